@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidelog.functions.clock import epoch_micros, from_epoch_micros
+from tidelog.functions.numbers import int_div
 
 # Fixed value: 100-nanosecond steps between 1582-10-15 (UUID epoch) and 1970-01-01.
 UUID_EPOCH_STEPS = 122_192_928_000_000_000
@@ -40,4 +41,4 @@ def timeuuid_time(uuid: Column) -> Column:
     steps = F.conv(
         F.concat(F.substring(uuid, 16, 3), F.substring(uuid, 10, 4), F.substring(uuid, 1, 8)), 16, 10
     ).cast("bigint")
-    return from_epoch_micros(F.floor((steps - UUID_EPOCH_STEPS) / 10).cast("bigint"))
+    return from_epoch_micros(int_div(steps - UUID_EPOCH_STEPS, 10))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.numbers import int_div
 from tidelog.operators.prefix import prefix_sum
 
 # Fixed value: 50 records per second and partition in a batch of 5 seconds.
@@ -25,7 +26,7 @@ def offset_ranges(records: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def batch_number(stride: int = BATCH_STRIDE) -> Column:
-    return F.floor(F.col("offset") / stride).cast("bigint")
+    return int_div(F.col("offset"), stride)
 
 
 def batch_offset_ranges(records: DataFrame, stride: int = BATCH_STRIDE) -> DataFrame:

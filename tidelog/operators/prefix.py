@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.functions.numbers import int_div
+
 BLOCK = 1 << 16
 
 
@@ -25,7 +27,7 @@ def prefix_sum(
         order = Window.orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(result, F.sum(value).over(order))
 
-    blocked = df.withColumn("_block", F.floor(F.col(index) / block).cast("bigint"))
+    blocked = df.withColumn("_block", int_div(F.col(index), block))
     inside = (
         Window.partitionBy("_block").orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -61,7 +63,7 @@ def previous_row(
     ``span`` values of it, so that a hot key is spread over many tasks. Only the
     last row of each such group is compared across groups.
     """
-    grouped = df.withColumn("_span", F.floor(F.col(order[0]) / span).cast("bigint")).withColumn(
+    grouped = df.withColumn("_span", int_div(F.col(order[0]), span)).withColumn(
         "_carried", carried
     )
     inside = Window.partitionBy(*keys, "_span").orderBy(*order)

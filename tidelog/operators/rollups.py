@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.clock import epoch_minute, minute_start
+from tidelog.functions.numbers import int_div
 
 # Fixed values of the meter: trailing window lengths and percentiles.
 SHORT_MINUTES = 1
@@ -56,7 +57,7 @@ def hourly_percentiles(events: DataFrame, digits: int = 6) -> DataFrame:
     Equal values are counted before they meet, so a group holds one entry per
     distinct value and no task sees the rows of a hot group.
     """
-    hour = F.floor(epoch_minute(F.col("ts")) / 60).cast("bigint").alias("hour")
+    hour = int_div(epoch_minute(F.col("ts")), 60).alias("hour")
     values = events.groupBy("event_type", hour, "value").agg(F.count(F.lit(1)).alias("copies"))
     return values.groupBy("event_type", "hour").agg(
         *percentile_columns(F.col("value"), F.col("copies"), digits)
@@ -65,7 +66,7 @@ def hourly_percentiles(events: DataFrame, digits: int = 6) -> DataFrame:
 
 def approximate_percentiles(events: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """Like :func:`hourly_percentiles` with a sketch of fixed size, for wide value ranges."""
-    hour = F.floor(epoch_minute(F.col("ts")) / 60).cast("bigint").alias("hour")
+    hour = int_div(epoch_minute(F.col("ts")), 60).alias("hour")
     marks = F.percentile_approx("value", list(PERCENTILES), accuracy)
     return (
         events.groupBy("event_type", hour)
@@ -82,7 +83,7 @@ def metric_rollup(events: DataFrame) -> DataFrame:
 
     A minute without events in its hour has null percentiles.
     """
-    rates = trailing_rates(events).withColumn("hour", F.floor(F.col("minute") / 60).cast("bigint"))
+    rates = trailing_rates(events).withColumn("hour", int_div(F.col("minute"), 60))
     return rates.join(hourly_percentiles(events), ["event_type", "hour"], "left").select(
         "event_type",
         minute_start(F.col("minute")).alias("minute"),

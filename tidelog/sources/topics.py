@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.functions.numbers import int_div
+
 RECORD_SCHEMA = T.StructType(
     [
         T.StructField("key", T.BinaryType()),
@@ -166,7 +168,7 @@ def publish(
         return 1
     if staging is None:
         raise ValueError("several slices need a staging path")
-    numbered = records.withColumn("slice", F.floor(F.col("offset") / offsets_per_slice).cast("bigint"))
+    numbered = records.withColumn("slice", int_div(F.col("offset"), offsets_per_slice))
     # One file per slice and partition: rows of a slice meet in tasks of bounded size.
     numbered.repartition("slice", "partition").write.mode("overwrite").partitionBy("slice").parquet(staging)
     staged = records.sparkSession.read.parquet(staging)

@@ -149,7 +149,7 @@ class ExactlyOnceSink:
         if not self.positions:
             return batch
         # One row per topic partition, counted on the driver already.
-        done = self.spark.createDataFrame(
+        done = batch.sparkSession.createDataFrame(
             sorted(self.positions.items()), "partition int, next_offset bigint"
         )
         return (
