@@ -10,12 +10,15 @@ ABORT = "abort"
 
 
 def last_stable_offsets(records: DataFrame, markers: DataFrame) -> DataFrame:
-    """First offset of the oldest open transaction, per partition that has one."""
+    """First offset of the oldest open transaction, per partition that has one.
+
+    Records are reduced to one row per transaction before they meet the markers.
+    """
+    started = records.groupBy("partition", "txn_id").agg(F.min("offset").alias("first_offset"))
     return (
-        records.select("partition", "txn_id", "offset")
-        .join(markers.select("partition", "txn_id"), ["partition", "txn_id"], "left_anti")
+        started.join(markers.select("partition", "txn_id"), ["partition", "txn_id"], "left_anti")
         .groupBy("partition")
-        .agg(F.min("offset").alias("stable_until"))
+        .agg(F.min("first_offset").alias("stable_until"))
     )
 
 
@@ -23,9 +26,9 @@ def read_committed(records: DataFrame, markers: DataFrame) -> DataFrame:
     """Records of committed transactions below the partition's last stable offset.
 
     ``records`` has ``(partition, offset, txn_id, ...)`` and ``markers`` one row
-    ``(partition, txn_id, state)`` per finished transaction. Both uses of the
-    markers join on the same key, so their shuffle is shared. The last stable
-    offsets are one row per topic partition and are broadcast.
+    ``(partition, txn_id, state)`` per finished transaction. The last stable
+    offsets are one row per topic partition and are broadcast; finding them
+    reads three narrow columns of the records.
     """
     committed = markers.filter(F.col("state") == COMMIT).select("partition", "txn_id")
     visible = records.join(committed, ["partition", "txn_id"], "left_semi")

@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.storage import small_table
+
 
 def _key_pairs(on: list[str], key_map: dict[str, str] | None) -> list[tuple[str, str]]:
     """(key column, table column) pairs; ``key_map`` is ``{key column: table column}``."""
     mapping = key_map or {}
-    return [(mapping_key, mapping[mapping_key]) if mapping_key in mapping else (mapping_key, mapping_key) for mapping_key in on]
+    return [(key, mapping.get(key, key)) for key in on]
 
 
 def lookup_join(
@@ -36,7 +38,8 @@ def lookup_join(
     pairs = _key_pairs(on, key_map)
     key_columns = [right for _, right in pairs]
     wanted = [value[0]] if value else (select if select is not None else table.columns)
-    left, right = keys.alias("keys"), table.select(*dict.fromkeys(key_columns + wanted)).alias("entries")
+    left = keys.alias("keys")
+    right = table.select(*dict.fromkeys(key_columns + wanted)).alias("entries")
     condition = reduce(
         Column.__and__, [F.col(f"keys.{k}") == F.col(f"entries.{r}") for k, r in pairs]
     )
@@ -64,13 +67,11 @@ def lookup_table_rows(keys: DataFrame, table: DataFrame, on: list[str], key_map:
 def frequent_keys(df: DataFrame, on: list[str], parts: int) -> DataFrame:
     """Keys that hold more than one in ``parts`` of the rows.
 
-    There are fewer than ``parts`` such keys, whatever the data, so the result
-    may be broadcast. Counts are combined before the shuffle.
+    There are fewer than ``parts`` such keys, whatever the data. Counts are
+    combined before the shuffle.
     """
     total = df.select(*on).count()
-    return (
-        df.groupBy(*on).count().filter(F.col("count") * parts > total).select(*on)
-    )
+    return df.groupBy(*on).count().filter(F.col("count") * parts > total).select(*on)
 
 
 def copartition_join(
@@ -79,22 +80,24 @@ def copartition_join(
     """Lookup join with both sides placed by key in ``parts`` partitions first.
 
     The join itself then needs no exchange. A key with more than its share of
-    rows on either side would overload its one partition, so such keys (fewer
-    than ``2 * parts``, broadcast to split them off) take an ordinary join, which
-    adaptive execution may split.
+    rows on either side would overload its one partition, so such keys take an
+    ordinary join, which adaptive execution may split. They are found first:
+    fewer than ``2 * parts`` keys, small enough for the driver and a broadcast.
+    When there are none, the optimizer removes that branch.
     """
-    hot = frequent_keys(keys, on, parts).unionByName(frequent_keys(table, on, parts)).distinct()
-    hot = F.broadcast(hot)
+    frequent = frequent_keys(keys, on, parts).unionByName(frequent_keys(table, on, parts)).distinct()
+    found = [tuple(row) for row in frequent.collect()]
+    hot = F.broadcast(small_table(keys.sparkSession, found, frequent.schema))
     cold = lookup_join(
         keys.join(hot, on, "left_anti").repartition(parts, *on),
-        table.join(hot, on, "left_anti").repartition(parts, *on),
+        table.join(hot, on, "left_anti").repartition(parts, *on).hint("merge"),
         on,
         select=select,
     )
-    warm = lookup_join(
+    spread = lookup_join(
         keys.join(hot, on, "left_semi"), table.join(hot, on, "left_semi"), on, select=select
     )
-    return cold.unionByName(warm)
+    return cold.unionByName(spread)
 
 
 def write_bucketed(df: DataFrame, name: str, on: list[str], buckets: int) -> None:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.clock import epoch_minute, minute_start
 from tidelog.functions.numbers import int_div
+from tidelog.operators.percentiles import exact_percentiles
 
 # Fixed values of the meter: trailing window lengths and percentiles.
 SHORT_MINUTES = 1
 LONG_MINUTES = 15
-PERCENTILES = (0.5, 0.95, 0.99)
+PERCENTILES = {"median": 0.5, "p95": 0.95, "p99": 0.99}
 
 
 def trailing_rates(events: DataFrame) -> DataFrame:
@@ -44,37 +45,23 @@ def trailing_rates(events: DataFrame) -> DataFrame:
     )
 
 
-def percentile_columns(value: Column, frequency: Column, digits: int) -> list[Column]:
-    names = {0.5: "median", 0.95: "p95", 0.99: "p99"}
-    return [
-        F.round(F.percentile(value, F.lit(p), frequency), digits).alias(names[p]) for p in PERCENTILES
-    ]
-
-
 def hourly_percentiles(events: DataFrame, digits: int = 6) -> DataFrame:
-    """Exact median, 95th and 99th percentile of ``value`` per type and hour.
-
-    Equal values are counted before they meet, so a group holds one entry per
-    distinct value and no task sees the rows of a hot group.
-    """
-    hour = int_div(epoch_minute(F.col("ts")), 60).alias("hour")
-    values = events.groupBy("event_type", hour, "value").agg(F.count(F.lit(1)).alias("copies"))
-    return values.groupBy("event_type", "hour").agg(
-        *percentile_columns(F.col("value"), F.col("copies"), digits)
+    """Exact median, 95th and 99th percentile of ``value`` per type and hour."""
+    hourly = events.select(
+        "event_type", int_div(epoch_minute(F.col("ts")), 60).alias("hour"), "value"
     )
+    marks = exact_percentiles(hourly, ["event_type", "hour"], "value", PERCENTILES)
+    return marks.select("event_type", "hour", *[F.round(name, digits).alias(name) for name in PERCENTILES])
 
 
 def approximate_percentiles(events: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """Like :func:`hourly_percentiles` with a sketch of fixed size, for wide value ranges."""
     hour = int_div(epoch_minute(F.col("ts")), 60).alias("hour")
-    marks = F.percentile_approx("value", list(PERCENTILES), accuracy)
+    marks = F.percentile_approx("value", list(PERCENTILES.values()), accuracy)
     return (
         events.groupBy("event_type", hour)
         .agg(marks.alias("marks"))
-        .select(
-            "event_type", "hour",
-            F.col("marks")[0].alias("median"), F.col("marks")[1].alias("p95"), F.col("marks")[2].alias("p99"),
-        )
+        .select("event_type", "hour", *[F.col("marks")[i].alias(name) for i, name in enumerate(PERCENTILES)])
     )
 
 

@@ -339,7 +339,7 @@ def project_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     spec = fixtures.published(spark, records, table(spark, sf_dir, "customer").count(), "user")
     rows = frames.decode_frames(read_topic_stream(spark, spec), "value").select(
-        "partition", "offset", F.col("key").cast("string").alias("key"), "lastname", "firstname"
+        "offset", F.col("key").cast("string").alias("key"), "lastname", "firstname"
     )
     out = scratch(spark, "users")
     append_stream(rows, out, name="users").awaitTermination()

@@ -200,8 +200,7 @@ ORACLE: dict[str, str] = {
                         WHEN 50 THEN 'unknown_schema' WHEN 75 THEN 'bad_length' END AS error
             FROM customer)""",
     "project_payload": """
-      SELECT cast(c_custkey % 4 AS integer) AS "partition", c_custkey // 4 AS "offset",
-             'key' || c_custkey AS "key", c_mktsegment AS lastname, c_name AS firstname FROM customer""",
+      SELECT c_custkey // 4 AS "offset", 'key' || c_custkey AS "key", c_mktsegment AS lastname, c_name AS firstname FROM customer""",
     "schema_version_lookup": """
       SELECT c_custkey, topic, version, schema_id
       FROM (SELECT c_custkey, 'region' || (c_nationkey % 6) AS topic FROM customer)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.storage import child_names, exists
+from tidelog.storage import child_names, exists, scratch
 
 _VERSION = "version="
 _DONE = "_SUCCESS"
@@ -27,15 +27,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     )
 
 
-def merge_rows(old: DataFrame, new: DataFrame, keys: list[str], order_by: str) -> DataFrame:
-    """Table content after writing ``new``: a row with an existing key replaces it.
+def replace_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Table content after writing ``new``, which has one row per key.
 
-    ``order_by`` tells which of several new rows of one key was written last; it
-    is not part of the table. Old rows move only if the new keys are too many to
-    broadcast.
+    Old rows move only if the new keys are too many to broadcast.
     """
-    replaced = latest_per_key(new, keys, order_by).select(*old.columns)
-    return old.join(replaced.select(*keys), keys, "left_anti").unionByName(replaced)
+    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
 def _versions(spark: SparkSession, target: str) -> list[int]:
@@ -56,14 +53,19 @@ def read_keyed_table(spark: SparkSession, target: str) -> DataFrame:
 def upsert(spark: SparkSession, target: str, df: DataFrame, keys: list[str], order_by: str) -> int:
     """Write rows into a keyed table; returns the new version.
 
+    A row replaces the row with the same key. ``order_by`` tells which of several
+    new rows of one key was written last; it is not part of the table.
     The result is written beside the old version and becomes visible when its
     write is complete, so a failed write changes nothing and may be repeated.
     """
     versions = _versions(spark, target)
+    rows = latest_per_key(df, keys, order_by).drop(order_by)
     if versions:
-        rows = merge_rows(read_keyed_table(spark, target), df, keys, order_by)
-    else:
-        rows = latest_per_key(df, keys, order_by).drop(order_by)
+        # Written first: both branches of the merge then read the same rows, and
+        # their size on disk decides whether the keys are broadcast.
+        staged = scratch(spark, "upsert")
+        rows.write.parquet(staged)
+        rows = replace_rows(read_keyed_table(spark, target), spark.read.parquet(staged), keys)
     version = versions[-1] + 1 if versions else 1
     rows.write.mode("overwrite").parquet(f"{target}/{_VERSION}{version:08d}")
     return version

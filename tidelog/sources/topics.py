@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.numbers import int_div
+from tidelog.storage import small_table
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -238,8 +239,10 @@ def read_topic_range(
         coarse = coarse & (F.col("offset") >= min(start.values()))
     if LATEST not in end.values():
         coarse = coarse & (F.col("offset") < max(end.values()))
-    bounds = df.sparkSession.createDataFrame(
-        [(p, start[p], end[p]) for p in partitions], "partition int, range_start bigint, range_end bigint"
+    bounds = small_table(
+        df.sparkSession,
+        [(p, start[p], end[p]) for p in partitions],
+        "partition int, range_start bigint, range_end bigint",
     )
     return (
         df.filter(coarse)
@@ -256,7 +259,8 @@ def check_data_loss(df: DataFrame, start: dict[int, int], *, strict: bool = Fals
     A requested partition without any record is reported with a null earliest
     offset. ``strict`` raises when there is a loss.
     """
-    requested = df.sparkSession.createDataFrame(
+    requested = small_table(
+        df.sparkSession,
         [(p, o) for p, o in sorted(start.items()) if o != EARLIEST],
         "partition int, requested_offset bigint",
     )

@@ -11,7 +11,10 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -79,3 +82,18 @@ def ship_package(spark: SparkSession) -> None:
             out.write(source, str(source.relative_to(package.parent)))
     spark.sparkContext.addPyFile(str(archive))
     spark.conf.set(marker, spark.sparkContext.applicationId)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A few driver-side rows (positions, ledger events) as a local relation.
+
+    Going through Arrow keeps the size known to the optimizer and needs no job.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(schema.fields)
+    arrays = [
+        pa.array(list(values), type=to_arrow_type(field.dataType))
+        for values, field in zip(columns, schema.fields)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=schema.fieldNames()), schema)

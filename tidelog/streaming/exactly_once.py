@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidelog.operators.ledger import LEDGER_SCHEMA, pending_ranges, range_id, resume_position
 from tidelog.operators.offsets import offset_ranges
 from tidelog.sources.topics import DataLossError, format_offsets, read_topic_range
-from tidelog.storage import child_names, exists, scratch
+from tidelog.storage import child_names, exists, scratch, small_table
 
 Process = Callable[[DataFrame], DataFrame]
 
@@ -37,7 +37,7 @@ def _utc_now() -> datetime:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """All ledger events; empty when nothing was written yet."""
     if not exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        return small_table(spark, [], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
@@ -77,7 +77,7 @@ class ExactlyOnceSink:
         on_stage: Callable[[str, int], None] = lambda stage, batch_id: None,
     ) -> None:
         """``holes`` allows unused offsets (transactional topics): a range then
-        starts where the one before ended. Without it such a start is an error.
+        starts where the one before ended. Without it a missing offset is an error.
         ``persist`` keeps the rows of a batch between the two jobs that read
         them, for sources that are slow to read twice; the first job reads two
         columns only. ``on_stage`` is called between the steps.
@@ -136,6 +136,8 @@ class ExactlyOnceSink:
                 (r["partition"], self._range_start(r["partition"], r["from_offset"]), r["until_offset"], r["n"])
                 for r in found
             ]
+            if not self.holes:
+                self._require_complete(ranges)
             name = range_id(self.application_id, [(self.topic, p, lo, hi) for p, lo, hi, _ in ranges])
             self._append_events(name, ranges, batch_id, processed=False)
             self.on_stage(AFTER_CLAIM, batch_id)
@@ -149,8 +151,8 @@ class ExactlyOnceSink:
         if not self.positions:
             return batch
         # One row per topic partition, counted on the driver already.
-        done = batch.sparkSession.createDataFrame(
-            sorted(self.positions.items()), "partition int, next_offset bigint"
+        done = small_table(
+            batch.sparkSession, sorted(self.positions.items()), "partition int, next_offset bigint"
         )
         return (
             batch.join(F.broadcast(done), "partition", "left")
@@ -166,6 +168,14 @@ class ExactlyOnceSink:
             return expected
         raise DataLossError(f"partition {partition}: expected offset {expected}, found {first}")
 
+    def _require_complete(self, ranges: list[tuple]) -> None:
+        """A range without holes has as many rows as offsets."""
+        for partition, first, until, rows in ranges:
+            if rows != until - first:
+                raise DataLossError(
+                    f"partition {partition}: {rows} rows for the offsets from {first} to {until}"
+                )
+
     def _write_and_commit(self, rows: DataFrame, name: str, ranges: list[tuple], batch_id: int) -> None:
         self.process(rows).write.mode("overwrite").parquet(f"{self.output_path}/range_id={name}")
         self.on_stage(AFTER_WRITE, batch_id)
@@ -178,7 +188,7 @@ class ExactlyOnceSink:
             (self.application_id, self.topic, p, lo, hi, n, self.run_id, batch_id, name, processed, now)
             for p, lo, hi, n in ranges
         ]
-        events = self.spark.createDataFrame(rows, LEDGER_SCHEMA)
+        events = small_table(self.spark, rows, LEDGER_SCHEMA)
         events.coalesce(1).write.mode("append").parquet(self.ledger_path)
 
 
