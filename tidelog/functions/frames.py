@@ -52,10 +52,6 @@ def encode_frame(schema_id: Column, *fields: Column) -> Column:
     return F.concat(header, *[_string_bytes(field) for field in fields])
 
 
-def _byte_substring(data: Column, start: Column, length: Column) -> Column:
-    return F.substring(data, start, length)
-
-
 def decode_frames(
     df: DataFrame,
     column: str,
@@ -89,7 +85,7 @@ def decode_frames(
             word,
             F.conv(
                 F.rpad(
-                    F.hex(_byte_substring(data, F.col("_pos").cast("int"), F.lit(MAX_VARINT_BYTES))),
+                    F.hex(F.substring(data, F.col("_pos").cast("int"), F.lit(MAX_VARINT_BYTES))),
                     2 * MAX_VARINT_BYTES,
                     "0",
                 ),
@@ -126,7 +122,7 @@ def decode_frames(
             )
             .when(body_end - 1 > F.col("_size"), F.lit(TRUNCATED)),
         )
-        raw = _byte_substring(
+        raw = F.substring(
             data,
             (F.col("_pos") + F.col(width)).cast("int"),
             F.shiftright(F.col(length), 1).cast("int"),
@@ -141,12 +137,14 @@ def decode_frames(
         out = out.withColumn("_pos", F.when(F.col("_error").isNull(), body_end))
 
     good = F.col("_error").isNull()
-    return out.select(
-        *original,
+    result = F.struct(
         F.when(good, F.col("schema_id")).alias("schema_id"),
         *[F.when(good, F.col(f"_text{i}")).alias(field) for i, field in enumerate(fields)],
         F.col("_error").alias("error"),
     )
+    # A filter on the result must stay above the decoding: pushed down, it would be
+    # written out again in terms of every step before it. A generated row stops it.
+    return out.select(*original, F.inline(F.array(result)))
 
 
 def dead_letters(decoded: DataFrame) -> DataFrame:

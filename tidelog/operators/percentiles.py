@@ -20,8 +20,15 @@ _BAND_SHIFT = 1100 * BANDS_PER_DOUBLING
 
 def value_band(value: Column) -> Column:
     """A whole number that never falls when the value rises."""
-    size = F.floor(F.log2(F.abs(value)) * BANDS_PER_DOUBLING) + _BAND_SHIFT
-    return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size).cast("bigint")
+    step = F.floor(F.log2(F.abs(value)) * BANDS_PER_DOUBLING)
+    size = F.least(step, F.lit(_BAND_SHIFT)) + _BAND_SHIFT
+    return (
+        F.when(F.isnan(value), F.lit(3 * _BAND_SHIFT))
+        .when(value == 0, F.lit(0))
+        .when(value > 0, size)
+        .otherwise(-size)
+        .cast("bigint")
+    )
 
 
 def exact_percentiles(
@@ -29,16 +36,20 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per group with a column for each wanted percentile.
 
-    Between two ranks the result is interpolated. Null values do not count; a
-    group with nulls only is left out. Equal values are counted before they are
+    Between two ranks the result is interpolated. Rows with a null value or a null
+    key do not count. Equal values are counted before they are
     shuffled. The bands of a group are at most some 100,000 whatever its size, and
     the rows of a band are sorted, which may spill, and never held in memory.
     """
+    # The join below would add these filters to one of its two branches. Given here
+    # they are the same in both, so that the counted values are shuffled once.
+    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in [*keys, value]])
     copies = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(present)
         .groupBy(*keys, F.col(value).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_band", value_band(F.col("_value")))
+        .filter(F.col("_band").isNotNull())
     )
     within_group = Window.partitionBy(*keys)
     upward = within_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -59,15 +70,7 @@ def exact_percentiles(
 
     positions = [edge(rank(p)) for p in wanted.values() for edge in (F.floor, F.ceil)]
     needed = reduce(Column.__or__, [holds(p, "_from", "_until") for p in positions])
-    # Null keys are groups too, hence the null-safe comparison. It also leaves both
-    # branches with the same filters, so that the counted values are shuffled once.
-    renamed = {c: f"_target_{i}" for i, c in enumerate([*keys, "_band"])}
-    targets = bands.filter(needed).select(
-        *[F.col(c).alias(name) for c, name in renamed.items()], "_from", "_total"
-    )
-    same_band = reduce(
-        Column.__and__, [F.col(c).eqNullSafe(F.col(name)) for c, name in renamed.items()]
-    )
+    targets = bands.filter(needed).select(*keys, "_band", "_from", "_total")
 
     in_band = (
         Window.partitionBy(*keys, "_band")
@@ -75,7 +78,7 @@ def exact_percentiles(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        copies.join(targets, same_band)
+        copies.join(targets, [*keys, "_band"])
         .withColumn("_high", F.col("_from") + F.sum("_copies").over(in_band))
         .withColumn("_low", F.col("_high") - F.col("_copies"))
     )
