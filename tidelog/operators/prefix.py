@@ -27,23 +27,20 @@ def prefix_sum(
         order = Window.orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(result, F.sum(value).over(order))
 
-    blocked = df.withColumn("_block", int_div(F.col(index), block))
+    # Named after the index, because the totals of a level are the input of the next.
+    number, total, carry = f"{index}_block", f"{index}_total", f"{index}_carry"
+    blocked = df.withColumn(number, int_div(F.col(index), block))
     inside = (
-        Window.partitionBy("_block").orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(number).orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    totals = blocked.groupBy("_block").agg(F.sum(value).alias("_block_total"))
+    totals = blocked.groupBy(number).agg(F.sum(value).alias(total))
     carried = prefix_sum(
-        totals,
-        index="_block",
-        value="_block_total",
-        result="_block_until",
-        max_index=max_index // block,
-        block=block,
-    ).select("_block", (F.col("_block_until") - F.col("_block_total")).alias("_carry"))
+        totals, index=number, value=total, result=carry, max_index=max_index // block, block=block
+    ).select(number, (F.col(carry) - F.col(total)).alias(carry))
     return (
-        blocked.withColumn("_inside", F.sum(value).over(inside))
-        .join(carried, "_block")
-        .withColumn(result, F.col("_inside") + F.col("_carry"))
+        blocked.withColumn(result, F.sum(value).over(inside))
+        .join(carried, number)
+        .withColumn(result, F.col(result) + F.col(carry))
         .select(*df.columns, result)
     )
 
