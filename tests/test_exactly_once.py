@@ -11,7 +11,7 @@ from tests.test_topics import records
 from tidelog.operators.ledger import pending_ranges, range_continuity, resume_position
 from tidelog.sources.topics import TopicSpec, publish, publish_slice, read_topic, read_topic_stream
 from tidelog.streaming.exactly_once import (
-    AFTER_CLAIM, AFTER_COMMIT, AFTER_WRITE, ExactlyOnceSink, read_ledger, read_output, run_exactly_once,
+    AFTER_CLAIM, AFTER_COMMIT, AFTER_WRITE, ExactlyOnceSink, compact_ledger, read_ledger, read_output, run_exactly_once,
 )
 
 APP = "app"
@@ -27,8 +27,8 @@ class Setup:
         self.spark, self.ledger, self.output = spark, path("ledger"), path("output")
         self.spec = TopicSpec("t", root=path("topic"), max_files_per_trigger=files_per_batch)
 
-    def publish(self, staging):
-        publish(records(self.spark, {0: 40, 1: 25}), self.spec, offsets_per_slice=10, staging=staging)
+    def publish(self):
+        publish(records(self.spark, {0: 40, 1: 25}), self.spec, offsets_per_slice=10)
 
     def sink(self, kill=None, **options):
         def on_stage(stage, batch_id):
@@ -48,7 +48,7 @@ class Setup:
         return sink
 
     def visible(self):
-        return rows(read_output(self.spark, self.output, self.ledger, APP), "partition", "offset")
+        return rows(read_output(self.spark, self.output, self.ledger), "partition", "offset")
 
     def events(self):
         return read_ledger(self.spark, self.ledger)
@@ -57,7 +57,7 @@ class Setup:
 @pytest.fixture
 def setup(spark, path):
     made = Setup(spark, path)
-    made.publish(path("staging"))
+    made.publish()
     return made
 
 
@@ -99,7 +99,7 @@ def test_replay_keeps_the_bounds_of_the_claim(setup):
 @pytest.mark.parametrize("files_per_batch", [1, 3, 100])
 def test_result_does_not_depend_on_the_batches(spark, path, files_per_batch):
     made = Setup(spark, path, files_per_batch)
-    made.publish(path("staging"))
+    made.publish()
     made.run(persist=True)
     made.run()
     assert made.visible() == EXPECTED
@@ -144,7 +144,7 @@ def test_holes_carry_the_position_forward(spark, path):
 
 def test_ledger_event_fields(spark, path):
     made = Setup(spark, path, files_per_batch=100)
-    made.publish(path("staging"))
+    made.publish()
     at = datetime.datetime(2024, 1, 2, 3, 4, 5, 6)
     made.run(run_id="r1", clock=lambda: at)
     got = made.events().select("application_id", "topic", "run_id", "event_time").distinct().collect()
@@ -154,18 +154,35 @@ def test_ledger_event_fields(spark, path):
     ]
 
 
-def test_output_of_another_application_is_hidden(setup, spark):
+def test_compacted_ledger_goes_on(setup, spark, path):
+    with pytest.raises(StreamingQueryException):
+        setup.run(kill=(AFTER_CLAIM, 1))
+    later = datetime.datetime.now() + datetime.timedelta(days=30)
+    compact_ledger(spark, setup.ledger, later)
+    assert pending_ranges(setup.events()).count() > 0
     setup.run()
-    assert read_output(spark, setup.output, setup.ledger, "other").count() == 0
+    assert setup.visible() == EXPECTED
+    compact_ledger(spark, setup.ledger, later)
+    assert setup.events().filter("processed").count() == 2
+    assert setup.visible() == EXPECTED
+
+
+def test_unfinished_output_is_pruned(setup, spark):
+    with pytest.raises(StreamingQueryException):
+        setup.run(kill=(AFTER_WRITE, 1))
+    plan = read_output(spark, setup.output, setup.ledger)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(range_id" in plan or "PartitionFilters: [NOT (range_id" in plan
+    assert "Join" not in plan
+    assert len(setup.visible()) == 20
 
 
-def test_unfinished_output_directories_are_pruned(setup, spark):
+def test_output_without_a_ledger_is_refused(setup, spark, path):
     setup.run()
-    plan = read_output(spark, setup.output, setup.ledger, APP)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+    with pytest.raises(ValueError):
+        read_output(spark, setup.output, path("nowhere"))
 
 
 def test_process_may_aggregate(setup, spark):
     setup.run(process=lambda df: df.groupBy("partition").agg(F.count("*").alias("c")))
-    total = read_output(spark, setup.output, setup.ledger, APP).agg(F.sum("c")).first()[0]
+    total = read_output(spark, setup.output, setup.ledger).agg(F.sum("c")).first()[0]
     assert total == len(EXPECTED)

@@ -97,7 +97,7 @@ def test_offset_ranges_and_totals(spark):
 
 def test_stream_total_is_kept_as_state(spark, path):
     spec = TopicSpec("t", root=path("topic"), max_files_per_trigger=1)
-    publish(records(spark, {0: 30}), spec, offsets_per_slice=10, staging=path("staging"))
+    publish(records(spark, {0: 30}), spec, offsets_per_slice=10)
     seen = []
     query = (
         stream_total(read_topic_stream(spark, spec)).writeStream.outputMode("complete")

@@ -106,7 +106,7 @@ def test_transaction_plan_in_small_blocks(spark, monkeypatch):
 
 def test_rows_written_by_a_stream(spark, path):
     spec = TopicSpec("t", root=path("topic"), max_files_per_trigger=2)
-    publish(records(spark, {0: 40, 1: 20}), spec, offsets_per_slice=10, staging=path("staging"))
+    publish(records(spark, {0: 40, 1: 20}), spec, offsets_per_slice=10)
     stream = read_topic_stream(spark, spec).select("partition", "offset")
     foreach_rows(stream, RowWriter(path("rows"))).awaitTermination()
     got = rows(read_rows(spark, path("rows"), "partition int, offset bigint"))
@@ -130,7 +130,7 @@ def test_row_writer_replaces_on_retry_and_leaves_nothing_on_error(path):
 
 def test_progress_events(spark, path):
     spec = TopicSpec("t", root=path("topic"), max_files_per_trigger=1)
-    publish(records(spark, {0: 30}), spec, offsets_per_slice=10, staging=path("staging"))
+    publish(records(spark, {0: 30}), spec, offsets_per_slice=10)
     recorder = ProgressRecorder(spark, path("progress"))
     spark.streams.addListener(recorder)
     try:

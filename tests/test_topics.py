@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,7 +85,7 @@ def test_data_loss(spark):
 def test_publish_skewed_partitions_and_read_back(spark, path):
     spec = TopicSpec("t", root=path("topic"))
     df = records(spark, {0: 100, 1: 7, 2: 1})
-    assert publish(df, spec, offsets_per_slice=30, staging=path("staging")) == 4
+    publish(df, spec, offsets_per_slice=30)
     back = read_topic(spark, spec)
     assert back.schema.fieldNames() == topics.RECORD_COLUMNS
     assert rows(back) == rows(df)
@@ -95,6 +97,21 @@ def test_publish_skewed_partitions_and_read_back(spark, path):
     assert all(f["n"] == f["hi"] - f["lo"] + 1 <= 30 for f in files)
 
 
+def test_later_slices_have_later_files(spark, path):
+    spec = TopicSpec("t", root=path("topic"))
+    publish(records(spark, {0: 40, 1: 13}), spec, offsets_per_slice=10)
+    publish(records(spark, {0: 15}, first=40), spec, offsets_per_slice=10)
+    times = (
+        spark.read.parquet(spec.path)
+        .select("slice", F.col("_metadata.file_modification_time").alias("at"))
+        .groupBy("slice").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+        .orderBy("slice").collect()
+    )
+    assert [t["slice"] for t in times] == list(range(6))
+    assert all(a["last"] < b["first"] for a, b in zip(times, times[1:]))
+    assert [n for n in os.listdir(path("topic")) if n.startswith("_")] == []
+
+
 def test_publishing_a_slice_again_replaces_it(spark, path):
     spec = TopicSpec("t", root=path("topic"))
     df = records(spark, {0: 5, 1: 5})
@@ -106,7 +123,7 @@ def test_publishing_a_slice_again_replaces_it(spark, path):
 @pytest.mark.parametrize("files_per_batch", [1, 2, 5, None])
 def test_stream_equals_batch(spark, path, files_per_batch):
     spec = TopicSpec("t", root=path("topic"), max_files_per_trigger=files_per_batch)
-    publish(records(spark, {0: 40, 1: 13}), spec, offsets_per_slice=10, staging=path("staging"))
+    publish(records(spark, {0: 40, 1: 13}), spec, offsets_per_slice=10)
     append_stream(read_topic_stream(spark, spec), path("out"), checkpoint=path("cp")).awaitTermination()
     assert rows(spark.read.parquet(path("out"))) == rows(read_topic(spark, spec))
 
@@ -122,7 +139,7 @@ def test_stream_takes_only_new_slices(spark, path):
 
 def test_range_replay_is_pruned(spark, path):
     spec = TopicSpec("t", root=path("topic"))
-    publish(records(spark, {0: 20, 1: 20, 2: 20}), spec, offsets_per_slice=10, staging=path("staging"))
+    publish(records(spark, {0: 20, 1: 20, 2: 20}), spec, offsets_per_slice=10)
     ranged = read_topic_range(read_topic(spark, spec), {1: 3}, {1: 8}, require_all=False).select("offset")
     plan = ranged._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(partition" in plan

@@ -75,7 +75,7 @@ def published(spark: SparkSession, records: DataFrame, rows: int, topic: str) ->
         root=scratch(spark, "topic"),
         max_files_per_trigger=SLICES_PER_BATCH * PARTITIONS,
     )
-    publish(records, spec, offsets_per_slice=width, staging=scratch(spark, "staging"))
+    publish(records, spec, offsets_per_slice=width)
     return spec
 
 

@@ -18,7 +18,7 @@ from tidelog.plans import fixtures
 from tidelog.plans.fixtures import table
 from tidelog.sources import generate, sinks, tables
 from tidelog.sources.topics import (
-    as_records, check_data_loss, parse_offsets, read_topic, read_topic_range, read_topic_stream,
+    TopicSpec, as_records, check_data_loss, parse_offsets, read_topic, read_topic_range, read_topic_stream,
 )
 from tidelog.storage import scratch
 from tidelog.streaming.append import append_stream
@@ -497,18 +497,20 @@ def transaction_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.select("txn_id", F.col("i").alias("place"), "abort", "event_id", "event_type")
 
 
-def _exactly_once(spark: SparkSession, topic_path_spec, ledger_path: str, output_path: str, on_stage=None) -> ExactlyOnceSink:
-    hooks = {"on_stage": on_stage} if on_stage else {}
+def _exactly_once(
+    spark: SparkSession, spec: TopicSpec, ledger_path: str, output_path: str,
+    on_stage: Callable[[str, int], None] = lambda stage, batch_id: None,
+) -> ExactlyOnceSink:
     sink = ExactlyOnceSink(
         spark,
         application_id=fixtures.APPLICATION,
-        topic=topic_path_spec.topic,
+        topic=spec.topic,
         ledger_path=ledger_path,
         output_path=output_path,
         process=lambda rows: decode_json(rows, "value", fixtures.EVENT_JSON_SCHEMA, ["topic", "partition", "offset"]),
-        **hooks,
+        on_stage=on_stage,
     )
-    sink.recover(read_topic(spark, topic_path_spec))
+    sink.recover(read_topic(spark, spec))
     return sink
 
 
@@ -518,7 +520,7 @@ def exactly_once_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger_path, output_path = scratch(spark, "ledger"), scratch(spark, "output")
     sink = _exactly_once(spark, spec, ledger_path, output_path)
     run_exactly_once(read_topic_stream(spark, spec), sink).awaitTermination()
-    return read_output(spark, output_path, ledger_path, fixtures.APPLICATION)
+    return read_output(spark, output_path, ledger_path)
 
 
 class _Killed(RuntimeError):
@@ -542,4 +544,4 @@ def pending_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise
     second = _exactly_once(spark, spec, ledger_path, output_path)
     run_exactly_once(read_topic_stream(spark, spec), second).awaitTermination()
-    return read_output(spark, output_path, ledger_path, fixtures.APPLICATION)
+    return read_output(spark, output_path, ledger_path)

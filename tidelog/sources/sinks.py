@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.storage import child_names, exists, scratch
-
-_VERSION = "version="
-_DONE = "_SUCCESS"
-
+from tidelog.storage import newest_version, scratch, version_path
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     """The row with the highest ``order_by`` for each key.
@@ -35,19 +31,12 @@ def replace_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
-def _versions(spark: SparkSession, target: str) -> list[int]:
-    names = [n for n in child_names(spark, target) if n.startswith(_VERSION)]
-    return sorted(
-        int(n[len(_VERSION):]) for n in names if exists(spark, f"{target}/{n}/{_DONE}")
-    )
-
-
 def read_keyed_table(spark: SparkSession, target: str) -> DataFrame:
     """Newest complete version of a keyed table."""
-    versions = _versions(spark, target)
-    if not versions:
+    version = newest_version(spark, target)
+    if not version:
         raise ValueError(f"no complete version at {target}")
-    return spark.read.parquet(f"{target}/{_VERSION}{versions[-1]:08d}")
+    return spark.read.parquet(version_path(target, version))
 
 
 def upsert(spark: SparkSession, target: str, df: DataFrame, keys: list[str], order_by: str) -> int:
@@ -58,17 +47,16 @@ def upsert(spark: SparkSession, target: str, df: DataFrame, keys: list[str], ord
     The result is written beside the old version and becomes visible when its
     write is complete, so a failed write changes nothing and may be repeated.
     """
-    versions = _versions(spark, target)
+    version = newest_version(spark, target)
     rows = latest_per_key(df, keys, order_by).drop(order_by)
-    if versions:
+    if version:
         # Written first: both branches of the merge then read the same rows, and
         # their size on disk decides whether the keys are broadcast.
         staged = scratch(spark, "upsert")
         rows.write.parquet(staged)
         rows = replace_rows(read_keyed_table(spark, target), spark.read.parquet(staged), keys)
-    version = versions[-1] + 1 if versions else 1
-    rows.write.mode("overwrite").parquet(f"{target}/{_VERSION}{version:08d}")
-    return version
+    rows.write.mode("overwrite").parquet(version_path(target, version + 1))
+    return version + 1
 
 
 def export_csv(df: DataFrame, path: str) -> None:

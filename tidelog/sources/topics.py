@@ -1,16 +1,16 @@
 """Topics: partitioned logs of typed records, read as a batch, a range or a stream.
 
 A file topic is a parquet directory ``<root>/topic=<t>/slice=<k>/partition=<p>``.
-Publishing appends slices one after another. A slice holds one file per topic
-partition, with consecutive offsets, so any prefix of the files is a prefix of
-every partition, and a micro-batch always covers one contiguous offset range per
-partition. ``kind="kafka"`` uses Spark's Kafka connector when its jar is on the
+A slice holds one file per topic partition, with consecutive offsets, and slices
+appear in order. Any prefix of the files is then a prefix of every partition, and
+a micro-batch covers one contiguous offset range per partition. ``kind="kafka"`` uses Spark's Kafka connector when its jar is on the
 class path.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.numbers import int_div
-from tidelog.storage import small_table
+from tidelog.storage import reveal_in_order, small_table
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -63,9 +63,6 @@ class TopicSpec:
     def path(self) -> str:
         return f"{self.root}/topic={self.topic}"
 
-    def slice_path(self, slice_id: int) -> str:
-        return f"{self.path}/slice={slice_id:012d}"
-
 
 def as_records(
     df: DataFrame, *, key: Column, value: Column, topic: str | Column, partition: Column,
@@ -128,54 +125,44 @@ def read_topic_stream(spark: SparkSession, spec: TopicSpec) -> DataFrame:
     return rows.withColumn("topic", F.lit(spec.topic)).select(*RECORD_COLUMNS)
 
 
-def publish_slice(records: DataFrame, spec: TopicSpec, slice_id: int) -> None:
-    """Append one slice. Publishing the same slice again replaces it.
-
-    Rows move once, to one task per topic partition, and are written in offset
-    order. The caller keeps a slice small enough for one file per partition.
-    """
-    (
-        records.select(*[c for c in RECORD_COLUMNS if c != "topic"])
-        .repartition("partition")
-        .sortWithinPartitions("partition", "offset")
-        .write.mode("overwrite")
-        .partitionBy("partition")
-        .parquet(spec.slice_path(slice_id))
-    )
-
-
-def publish(
-    records: DataFrame, spec: TopicSpec, *, offsets_per_slice: int, staging: str | None = None
-) -> int:
-    """Append records to a topic in offset order; returns the number of slices.
+def publish(records: DataFrame, spec: TopicSpec, *, offsets_per_slice: int) -> None:
+    """Append records to a topic in offset order.
 
     A Kafka topic takes the rows as they are (the broker gives offsets). For a
     file topic the offsets are cut into slices of ``offsets_per_slice`` per
     partition, which bounds every file whatever the skew between partitions.
-    With several slices the rows are first staged by slice, so the input is
-    computed once and each slice reads only its own directory.
+    Publishing a slice again replaces it.
     """
     if spec.kind == "kafka":
         records.select("key", "value", F.lit(spec.topic).alias("topic")).write.format("kafka").options(
             **spec.options
         ).save()
-        return 0
-    bounds = records.agg(F.min("offset"), F.max("offset")).first()
-    if bounds[0] is None:
-        return 0
-    first, last = bounds[0] // offsets_per_slice, bounds[1] // offsets_per_slice
-    if first == last:
-        publish_slice(records, spec, first)
-        return 1
-    if staging is None:
-        raise ValueError("several slices need a staging path")
-    numbered = records.withColumn("slice", int_div(F.col("offset"), offsets_per_slice))
-    # One file per slice and partition: rows of a slice meet in tasks of bounded size.
-    numbered.repartition("slice", "partition").write.mode("overwrite").partitionBy("slice").parquet(staging)
-    staged = records.sparkSession.read.parquet(staging)
-    for slice_id in range(first, last + 1):
-        publish_slice(staged.filter(F.col("slice") == slice_id), spec, slice_id)
-    return last - first + 1
+        return
+    _write_slices(records.withColumn("slice", int_div(F.col("offset"), offsets_per_slice)), spec)
+
+
+def publish_slice(records: DataFrame, spec: TopicSpec, slice_id: int) -> None:
+    """Append one slice to a file topic; one file per partition must hold it."""
+    _write_slices(records.withColumn("slice", F.lit(slice_id).cast("bigint")), spec)
+
+
+def _write_slices(numbered: DataFrame, spec: TopicSpec) -> None:
+    """One job writes all files out of sight, then the slices appear in order.
+
+    Rows move once, to one task per slice and partition. A file stream takes
+    files by modification time, so the times are set to rise from slice to slice.
+    Stores that cannot set a time copy on rename, which gives the same order.
+    """
+    spark = numbered.sparkSession
+    staging = f"{spec.root}/_staging-{uuid.uuid4().hex}"
+    (
+        numbered.select("slice", *[c for c in RECORD_COLUMNS if c != "topic"])
+        .repartition("slice", "partition")
+        .sortWithinPartitions("slice", "partition", "offset")
+        .write.partitionBy("slice", "partition")
+        .parquet(staging)
+    )
+    reveal_in_order(spark, staging, spec.path, "slice=")
 
 
 def parse_offsets(spec_json: str, topic: str) -> dict[int, int]:

@@ -7,6 +7,7 @@ local disk, HDFS or an object store.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -60,6 +61,65 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+VERSION = "version="
+_DONE = "_SUCCESS"
+
+
+def version_path(path: str, version: int) -> str:
+    return f"{path}/{VERSION}{version:08d}"
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete version below ``path``; 0 when there is none."""
+    complete = [
+        int(name[len(VERSION):])
+        for name in child_names(spark, path)
+        if name.startswith(VERSION) and exists(spark, f"{path}/{name}/{_DONE}")
+    ]
+    return max(complete, default=0)
+
+
+def _files_below(fs, hadoop_path) -> list:
+    found, pending = [], [hadoop_path]
+    while pending:
+        for status in fs.listStatus(pending.pop()):
+            (pending if status.isDirectory() else found).append(status.getPath())
+    return found
+
+
+def _last_modified(fs, hadoop_path) -> int:
+    times = [fs.getFileStatus(f).getModificationTime() for f in _files_below(fs, hadoop_path)]
+    return max(times, default=0)
+
+
+def reveal_in_order(spark: SparkSession, staging: str, target: str, prefix: str) -> None:
+    """Move the directories ``<prefix><number>`` of ``staging`` to ``target`` by number.
+
+    Their files get modification times that rise with the number and come after
+    those already in ``target``. Only names and times change, no data is read.
+    """
+    fs, staging_path = _resolve(spark, staging)
+    make_path = spark._jvm.org.apache.hadoop.fs.Path
+    numbers = sorted(
+        int(name[len(prefix):]) for name in child_names(spark, staging) if name.startswith(prefix)
+    )
+    earlier = sorted(
+        (int(name[len(prefix):]), name) for name in child_names(spark, target) if name.startswith(prefix)
+    )
+    last = _last_modified(fs, make_path(f"{target}/{earlier[-1][1]}")) if earlier else 0
+    first_time = max(int(time.time() * 1000) - len(numbers), last) + 1
+    fs.mkdirs(make_path(target))
+    for step, number in enumerate(numbers):
+        source, destination = make_path(f"{staging}/{prefix}{number}"), make_path(f"{target}/{prefix}{number}")
+        for file_path in _files_below(fs, source):
+            fs.setTimes(file_path, first_time + step, -1)
+        if fs.exists(destination):
+            fs.delete(destination, True)
+        if not fs.rename(source, destination):
+            raise OSError(f"could not move {source} to {destination}")
+    fs.delete(staging_path, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write one small file from the driver (never rows of a table)."""
     fs, hadoop_path = _resolve(spark, path)

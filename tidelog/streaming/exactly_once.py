@@ -5,8 +5,9 @@ not finished before, (2) claims them in the ledger, (3) writes the output to a
 directory named after the ranges, replacing what an earlier attempt left there,
 and (4) records the ranges as finished. Readers see only output whose ranges are
 finished, so an attempt that dies anywhere leaves nothing visible and is
-repeated with the same bounds. One writer per application and topic is assumed;
-``range_continuity`` shows when that was broken.
+repeated with the same bounds. One writer per application and topic, and an
+output folder of its own, are assumed; ``range_continuity`` shows when the first
+was broken.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.ledger import LEDGER_SCHEMA, pending_ranges, range_id, resume_position
+from tidelog.operators.ledger import LEDGER_SCHEMA, compact, pending_ranges, range_id, resume_position
 from tidelog.operators.offsets import offset_ranges
 from tidelog.sources.topics import DataLossError, format_offsets, read_topic_range
-from tidelog.storage import child_names, exists, scratch, small_table
+from tidelog.storage import newest_version, scratch, small_table, version_path
 
 Process = Callable[[DataFrame], DataFrame]
 
@@ -36,26 +37,41 @@ def _utc_now() -> datetime:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """All ledger events; empty when nothing was written yet."""
-    if not exists(spark, path):
+    version = newest_version(spark, path)
+    if not version:
         return small_table(spark, [], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(version_path(path, version))
 
 
-def read_output(spark: SparkSession, output_path: str, ledger_path: str, application_id: str) -> DataFrame:
+def compact_ledger(spark: SparkSession, path: str, as_of: datetime) -> None:
+    """Rewrite the ledger as few files without expired history.
+
+    To be called by the writer while it does not run, best before a start. The
+    new version takes over when it is complete.
+    """
+    version = newest_version(spark, path)
+    if version:
+        kept = compact(read_ledger(spark, path), as_of.isoformat(sep=" "))
+        kept.coalesce(1).write.mode("overwrite").parquet(version_path(path, version + 1))
+
+
+def read_output(spark: SparkSession, output_path: str, ledger_path: str) -> DataFrame:
     """Output rows of finished ranges.
 
-    The directory name is a partition column, so unfinished directories are
-    pruned instead of read when the finished ranges are few enough to broadcast.
+    A directory is hidden when its range was claimed but, before the directories
+    were listed, not finished. A claim is written before any output, so the claims
+    read after the listing cover everything listed. Only the last batches can be
+    hidden: their names come to the driver and prune the scan, and the finished
+    history, which may have expired, is not joined.
     """
-    if not any(name.startswith("range_id=") for name in child_names(spark, output_path)):
-        raise ValueError(f"no output at {output_path}")
-    finished = (
-        read_ledger(spark, ledger_path)
-        .filter(F.col("processed") & (F.col("application_id") == application_id))
-        .select("range_id")
-        .distinct()
-    )
-    return spark.read.parquet(output_path).join(finished, "range_id", "left_semi").drop("range_id")
+    if not newest_version(spark, ledger_path):
+        raise ValueError(f"no ledger at {ledger_path}")
+    finished = read_ledger(spark, ledger_path).filter("processed").select("range_id")
+    output = spark.read.parquet(output_path)
+    claimed = read_ledger(spark, ledger_path).filter("NOT processed").select("range_id").distinct()
+    hidden = [row[0] for row in claimed.join(finished, "range_id", "left_anti").collect()]
+    visible = output.filter(~F.col("range_id").isin(hidden)) if hidden else output
+    return visible.drop("range_id")
 
 
 class ExactlyOnceSink:
@@ -188,8 +204,9 @@ class ExactlyOnceSink:
             (self.application_id, self.topic, p, lo, hi, n, self.run_id, batch_id, name, processed, now)
             for p, lo, hi, n in ranges
         ]
-        events = small_table(self.spark, rows, LEDGER_SCHEMA)
-        events.coalesce(1).write.mode("append").parquet(self.ledger_path)
+        events = small_table(self.spark, rows, LEDGER_SCHEMA).coalesce(1)
+        version = newest_version(self.spark, self.ledger_path) or 1
+        events.write.mode("append").parquet(version_path(self.ledger_path, version))
 
 
 def run_exactly_once(stream: DataFrame, sink: ExactlyOnceSink, *, checkpoint: str | None = None, trigger: dict | None = None):
