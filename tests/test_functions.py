@@ -33,7 +33,7 @@ TEXTS = ["", "a", "é", "x" * 63, "x" * 64, "ü" * 40, "x" * 8191, "x" * 8192, "
 
 def test_frames_equal_hand_made_bytes(spark):
     df = spark.createDataFrame([(i, t, "last") for i, t in enumerate(TEXTS)], "i int, a string, b string")
-    encoded = df.withColumn("frame", frames.encode_frame(F.lit(70_000), F.col("a"), F.col("b")))
+    encoded = df.withColumn("frame", frames.encode_frame(70_000, "a", "b"))
     for row in encoded.collect():
         assert bytes(row["frame"]) == frame(70_000, TEXTS[row["i"]], "last")
 
@@ -85,7 +85,7 @@ def test_bad_frames_give_a_reason(spark):
 def test_frames_any_text(spark, pairs):
     pairs = [tuple(t.encode("utf-8", "ignore").decode() for t in p) for p in pairs]
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
-    framed = df.select("i", frames.encode_frame(F.lit(1), F.col("a"), F.col("b")).alias("f"))
+    framed = df.select("i", frames.encode_frame(1, "a", "b").alias("f"))
     got = {r["i"]: (r["firstname"], r["lastname"]) for r in frames.decode_frames(framed, "f").collect()}
     assert got == dict(enumerate(pairs))
 

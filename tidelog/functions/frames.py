@@ -3,6 +3,8 @@
 A frame is one zero byte, a 4-byte big-endian schema id and the record body. In
 the body every string is a zigzag varint byte length followed by UTF-8 bytes.
 All work is done with built-in expressions, so it stays in generated JVM code.
+They are written as SQL text, which is parsed at once; built call by call, their
+many small terms would take longer to set up than to run.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ USER_FIELDS = ("firstname", "lastname")
 MAGIC_HEX = "00"
 HEADER_BYTES = 5
 MAX_VARINT_BYTES = 5
-MAX_STRING_BYTES = 2**31 - 1
 
 BAD_MAGIC = "bad_magic"
 UNKNOWN_SCHEMA = "unknown_schema"
@@ -25,31 +26,32 @@ BAD_LENGTH = "bad_length"
 BAD_TEXT = "bad_text"
 
 
-def _byte_hex(value: Column) -> Column:
-    return F.lpad(F.hex(value.cast("bigint")), 2, "0")
+def _varint_sql(number: str) -> str:
+    """Bytes of an unsigned varint: seven bits a byte, lowest first, 0x80 on all but the last.
 
+    The bytes are put together as one integer and written once as hex digits.
+    """
 
-def _varint_hex(number: Column) -> Column:
-    """Hex digits of an unsigned varint; ``number`` is at most 35 bits."""
-    digits = None
-    for count in range(MAX_VARINT_BYTES, 0, -1):
-        groups = [F.shiftright(number, 7 * i).bitwiseAND(F.lit(0x7F)) for i in range(count)]
-        continued = [_byte_hex(g.bitwiseOR(F.lit(0x80))) for g in groups[:-1]]
-        candidate = F.concat(*continued, _byte_hex(groups[-1]))
-        digits = candidate if digits is None else F.when(number < 2 ** (7 * count), candidate).otherwise(digits)
-    return digits
-
+    def packed(count: int) -> str:
+        terms = []
+        for i in range(count):
+            more = 0x80 if i < count - 1 else 0
+            terms.append(f"shiftleft((shiftright({number}, {7 * i}) & 127) | {more}, {8 * (count - 1 - i)})")
+        return " | ".join(terms)
 
-def _string_bytes(text: Column) -> Column:
-    body = F.encode(text, "UTF-8")
-    zigzag = F.octet_length(text).cast("bigint") * 2
-    return F.concat(F.unhex(_varint_hex(zigzag)), body)
+    cases = " ".join(
+        f"WHEN {number} < {2 ** (7 * count)} THEN {packed(count)}" for count in range(1, MAX_VARINT_BYTES + 1)
+    )
+    return f"unhex(hex(CASE {cases} END))"
 
 
-def encode_frame(schema_id: Column, *fields: Column) -> Column:
-    """Framed bytes of one record; null when the id or any field is null."""
-    header = F.unhex(F.concat(F.lit(MAGIC_HEX), F.lpad(F.hex(schema_id.cast("bigint")), 8, "0")))
-    return F.concat(header, *[_string_bytes(field) for field in fields])
+def encode_frame(schema_id: int, *fields: str) -> Column:
+    """Framed bytes of one record of the named string columns; null when one is null."""
+    parts = [f"X'{MAGIC_HEX}{schema_id:08X}'"]
+    for field in fields:
+        zigzag = f"(2 * cast(octet_length(`{field}`) AS bigint))"
+        parts += [_varint_sql(zigzag), f"encode(`{field}`, 'UTF-8')"]
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def decode_frames(
@@ -63,88 +65,81 @@ def decode_frames(
     ``error`` is null for a good frame; otherwise the fields are null and
     ``error`` is the reason. Bytes after the last field are ignored.
     """
-    data = F.col(column)
-    original = df.columns
-    size = F.octet_length(data)
-    out = df.withColumn("_size", size.cast("bigint"))
-    out = out.withColumn(
-        "schema_id", F.conv(F.hex(F.substring(data, 2, 4)), 16, 10).cast("bigint")
+    unknown = (
+        f"WHEN _id NOT IN ({', '.join(map(str, known_ids))}) THEN '{UNKNOWN_SCHEMA}'" if known_ids else ""
     )
-    error = (
-        F.when(data.isNull() | (F.col("_size") < HEADER_BYTES), F.lit(TRUNCATED))
-        .when(F.hex(F.substring(data, 1, 1)) != MAGIC_HEX, F.lit(BAD_MAGIC))
+    out = df.selectExpr(
+        "*",
+        f"cast(octet_length(`{column}`) AS bigint) AS _size",
+        f"cast(conv(hex(substring(`{column}`, 2, 4)), 16, 10) AS bigint) AS _id",
+        f"{HEADER_BYTES + 1}L AS _pos0",
+    ).selectExpr(
+        "*",
+        f"""CASE WHEN _size IS NULL OR _size < {HEADER_BYTES} THEN '{TRUNCATED}'
+                 WHEN hex(substring(`{column}`, 1, 1)) <> '{MAGIC_HEX}' THEN '{BAD_MAGIC}'
+                 {unknown} END AS _error0""",
     )
-    if known_ids is not None:
-        error = error.when(~F.col("schema_id").isin(*known_ids), F.lit(UNKNOWN_SCHEMA))
-    out = out.withColumn("_error", error).withColumn("_pos", F.lit(HEADER_BYTES + 1).cast("bigint"))
-
-    for index, field in enumerate(fields):
-        word, width, length, text = (f"_{part}{index}" for part in ("word", "width", "length", "text"))
-        # Up to five bytes at the position as one 40-bit number, first byte highest.
-        out = out.withColumn(
-            word,
-            F.conv(
-                F.rpad(
-                    F.hex(F.substring(data, F.col("_pos").cast("int"), F.lit(MAX_VARINT_BYTES))),
-                    2 * MAX_VARINT_BYTES,
-                    "0",
-                ),
-                16,
-                10,
-            ).cast("bigint"),
-        )
+    for i in range(len(fields)):
+        out = _decode_string(out, column, i)
+
+    last = len(fields)
+    names = ["schema_id", *fields, "error"]
+    values = [f"CASE WHEN _error{last} IS NULL THEN _id END"]
+    values += [f"CASE WHEN _error{last} IS NULL THEN _text{i} END" for i in range(len(fields))]
+    values.append(f"_error{last}")
+    # A filter on the result must stay above the decoding: pushed down, it would be
+    # written out again in terms of every step before it. A generated row stops it.
+    pairs = ", ".join(f"'{name}', {value}" for name, value in zip(names, values))
+    return out.select(*df.columns, F.expr(f"inline(array(named_struct({pairs})))"))
+
+
+def _decode_string(df: DataFrame, column: str, i: int) -> DataFrame:
+    """Read string ``i`` at ``_pos<i>``; sets ``_text<i>`` and the next position and error."""
+    # The five bytes at the position as one 40-bit number, first byte highest.
+    word = f"cast(conv(rpad(hex(substring(`{column}`, cast(_pos{i} AS int), 5)), 10, '0'), 16, 10) AS bigint)"
 
-        def byte(i: int, word: str = word) -> Column:
-            return F.shiftright(F.col(word), 8 * (MAX_VARINT_BYTES - 1 - i)).bitwiseAND(F.lit(0xFF))
-
-        bytes_used = F.lit(None).cast("bigint")
-        zigzag = F.lit(None).cast("bigint")
-        for count in range(MAX_VARINT_BYTES, 0, -1):
-            last = byte(count - 1) < 0x80
-            number = F.lit(0).cast("bigint")
-            for i in range(count):
-                number = number + F.shiftleft(byte(i).bitwiseAND(F.lit(0x7F)), 7 * i)
-            bytes_used = F.when(last, F.lit(count).cast("bigint")).otherwise(bytes_used)
-            zigzag = F.when(last, number).otherwise(zigzag)
-        # The shortest prefix that ends in a byte below 0x80 wins: the loop above
-        # runs from the longest to the shortest, so the shortest test is outermost.
-        out = out.withColumn(width, bytes_used).withColumn(length, zigzag)
-        body_end = F.col("_pos") + F.col(width) + F.shiftright(F.col(length), 1)
-        out = out.withColumn(
-            "_error",
-            F.when(F.col("_error").isNotNull(), F.col("_error"))
-            .when(F.col("_pos") > F.col("_size"), F.lit(TRUNCATED))
-            .when(F.col(width).isNull(), F.lit(BAD_LENGTH))
-            .when(F.col("_pos") + F.col(width) - 1 > F.col("_size"), F.lit(TRUNCATED))
-            .when(
-                (F.col(length) % 2 != 0) | (F.shiftright(F.col(length), 1) > MAX_STRING_BYTES),
-                F.lit(BAD_LENGTH),
-            )
-            .when(body_end - 1 > F.col("_size"), F.lit(TRUNCATED)),
+    def byte_shift(k: int) -> int:
+        return 8 * (MAX_VARINT_BYTES - 1 - k)
+
+    width = " ".join(
+        f"WHEN shiftright(_word{i}, {byte_shift(k)}) & 128 = 0 THEN {k + 1}" for k in range(MAX_VARINT_BYTES)
+    )
+    zigzag = " ".join(
+        f"WHEN {count} THEN "
+        + " | ".join(
+            f"shiftleft(shiftright(_word{i}, {byte_shift(k)}) & 127, {7 * k})" for k in range(count)
         )
-        raw = F.substring(
-            data,
-            (F.col("_pos") + F.col(width)).cast("int"),
-            F.shiftright(F.col(length), 1).cast("int"),
+        for count in range(1, MAX_VARINT_BYTES + 1)
+    )
+    return (
+        df.selectExpr("*", f"CASE WHEN _error{i} IS NULL THEN {word} END AS _word{i}")
+        .selectExpr("*", f"CASE {width} END AS _width{i}")
+        .selectExpr("*", f"CASE _width{i} {zigzag} END AS _zigzag{i}")
+        .selectExpr(
+            "*",
+            f"_pos{i} + _width{i} AS _start{i}",
+            f"_pos{i} + _width{i} + shiftright(_zigzag{i}, 1) AS _pos{i + 1}",
         )
-        out = out.withColumn(text, F.when(F.col("_error").isNull(), raw.cast("string")))
-        out = out.withColumn(
-            "_error",
-            F.when(F.col("_error").isNotNull(), F.col("_error")).when(
-                ~F.is_valid_utf8(F.col(text)), F.lit(BAD_TEXT)
-            ),
+        .selectExpr(
+            "*",
+            f"""CASE WHEN _error{i} IS NOT NULL THEN _error{i}
+                     WHEN _pos{i} > _size THEN '{TRUNCATED}'
+                     WHEN _width{i} IS NULL THEN '{BAD_LENGTH}'
+                     WHEN _start{i} - 1 > _size THEN '{TRUNCATED}'
+                     WHEN _zigzag{i} % 2 <> 0 THEN '{BAD_LENGTH}'
+                     WHEN _pos{i + 1} - 1 > _size THEN '{TRUNCATED}' END AS _bounds{i}""",
+        )
+        .selectExpr(
+            "*",
+            f"""CASE WHEN _bounds{i} IS NULL THEN cast(substring(`{column}`, cast(_start{i} AS int),
+                     cast(_pos{i + 1} - _start{i} AS int)) AS string) END AS _text{i}""",
+        )
+        .selectExpr(
+            "*",
+            f"""CASE WHEN _bounds{i} IS NOT NULL THEN _bounds{i}
+                     WHEN NOT is_valid_utf8(_text{i}) THEN '{BAD_TEXT}' END AS _error{i + 1}""",
         )
-        out = out.withColumn("_pos", F.when(F.col("_error").isNull(), body_end))
-
-    good = F.col("_error").isNull()
-    result = F.struct(
-        F.when(good, F.col("schema_id")).alias("schema_id"),
-        *[F.when(good, F.col(f"_text{i}")).alias(field) for i, field in enumerate(fields)],
-        F.col("_error").alias("error"),
     )
-    # A filter on the result must stay above the decoding: pushed down, it would be
-    # written out again in terms of every step before it. A generated row stops it.
-    return out.select(*original, F.inline(F.array(result)))
 
 
 def dead_letters(decoded: DataFrame) -> DataFrame:

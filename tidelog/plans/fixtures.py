@@ -89,7 +89,7 @@ def user_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as framed user records ``(c_custkey, frame)``."""
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
-        encode_frame(F.lit(USER_SCHEMA_ID), F.col("c_name"), F.col("c_mktsegment")).alias("frame"),
+        encode_frame(USER_SCHEMA_ID, "c_name", "c_mktsegment").alias("frame"),
     )
 
 

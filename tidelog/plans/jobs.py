@@ -310,7 +310,7 @@ def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def framed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = table(spark, sf_dir, "documents").select(
         "doc_id",
-        frames.encode_frame(F.lit(fixtures.USER_SCHEMA_ID), F.col("source"), F.col("text")).alias("frame"),
+        frames.encode_frame(fixtures.USER_SCHEMA_ID, "source", "text").alias("frame"),
     )
     decoded = frames.decode_frames(framed, "frame", ("source", "text"))
     return decoded.select(
@@ -418,8 +418,9 @@ JOBS["timeuuid_time"] = JOBS.pop("timeuuid_time_of")
 
 @job
 def payload_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = generate.generate_payloads(table(spark, sf_dir, "events").select("event_id"), "event_id", SEED)
-    return decode_json(messages.select("event_id", "value"), "value", "name string, age int", ["event_id"])
+    return generate.generate_payloads(
+        table(spark, sf_dir, "events").select("event_id"), "event_id", SEED
+    )
 
 
 # --- per-row calls ------------------------------------------------------------

@@ -44,8 +44,10 @@ def _digest(purpose: str, index: str) -> str:
 
 
 def _name(index: str) -> str:
+    number = f"cast('0x' || substr({_digest('name', index)}, 1, 15) AS bigint)"
+    base = len(NAME_ALPHABET)
     return " || ".join(
-        f"substr('{NAME_ALPHABET}', {_draw(_digest('name', index), 3 * i + 1, 3, len(NAME_ALPHABET))} + 1, 1)"
+        f"substr('{NAME_ALPHABET}', cast(({number} // {base**i}) % {base} AS integer) + 1, 1)"
         for i in range(NAME_LENGTH)
     )
 
@@ -227,8 +229,10 @@ ORACLE: dict[str, str] = {
       FROM (SELECT event_id, {_UUID_STEPS} AS steps, {_UUID_DIGEST} AS digest FROM events)""",
     "timeuuid_time": "SELECT event_id, ts FROM events",
     "payload_generate": f"""
-      SELECT event_id, {_name('event_id')} AS name, {_draw(_digest('age', 'event_id'), 1, 8, AGE_RANGE)} AS age
-      FROM events""",
+      SELECT *, '{{"name":"' || name || '","age":' || age || '}}' AS value
+      FROM (SELECT event_id, {_name('event_id')} AS name,
+                   {_draw(_digest('age', 'event_id'), 1, 8, AGE_RANGE)} AS age
+            FROM events)""",
     "async_enrich": "SELECT doc_id, cast(2 * length(text) AS bigint) AS doubled FROM documents",
     "async_foreach": "SELECT doc_id, true AS done FROM documents",
     "foreach_rows": f'SELECT "partition", "offset", "key" FROM ({TOPIC_ROWS})',

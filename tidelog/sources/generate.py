@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.numbers import int_div
 from tidelog.functions.payloads import encode_json
 from tidelog.operators.prefix import prefix_sum
 
@@ -29,9 +30,11 @@ def _draw(digest: Column, start: int, digits: int, below: int) -> Column:
 
 def random_name(index: Column, seed: int) -> Column:
     """Ten letters and digits that depend on the index and the seed only."""
-    digest = _digest(seed, "name", index)
+    # Ten base-62 digits of one number below 2 ** 60, which is above 62 ** 10.
+    number = F.conv(F.substring(_digest(seed, "name", index), 1, 15), 16, 10).cast("bigint")
+    base = len(NAME_ALPHABET)
     letters = [
-        F.substring(F.lit(NAME_ALPHABET), _draw(digest, 3 * i + 1, 3, len(NAME_ALPHABET)) + 1, F.lit(1))
+        F.substring(F.lit(NAME_ALPHABET), (int_div(number, base**i) % base).cast("int") + 1, F.lit(1))
         for i in range(NAME_LENGTH)
     ]
     return F.concat(*letters)
