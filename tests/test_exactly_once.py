@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.test_topics import records
 from tidelog.operators.ledger import pending_ranges, range_continuity, resume_position
-from tidelog.sources.topics import TopicSpec, publish, publish_slice, read_topic, read_topic_stream
+from tidelog.sources.topics import TopicSpec, publish, publish_slice, read_topic_stream
 from tidelog.streaming.exactly_once import (
     AFTER_CLAIM, AFTER_COMMIT, AFTER_WRITE, ExactlyOnceSink, compact_ledger, read_ledger, read_output, run_exactly_once,
 )
@@ -43,7 +43,7 @@ class Setup:
 
     def run(self, checkpoint=None, kill=None, **options):
         sink = self.sink(kill, **options)
-        sink.recover(read_topic(self.spark, self.spec))
+        sink.recover(self.spec)
         run_exactly_once(read_topic_stream(self.spark, self.spec), sink, checkpoint=checkpoint).awaitTermination()
         return sink
 
@@ -108,7 +108,10 @@ def test_result_does_not_depend_on_the_batches(spark, path, files_per_batch):
 
 def test_new_slices_after_a_restart(setup, spark):
     setup.run()
-    assert setup.sink().recover(read_topic(spark, setup.spec)) == '{"t": {"0": 40, "1": 25}}'
+    sink = setup.sink()
+    assert sink.starting_offsets(3) == "earliest"
+    sink.recover(setup.spec)
+    assert sink.starting_offsets(3) == '{"t": {"0": 40, "1": 25, "2": -2}}'
     publish_slice(records(spark, {0: 5}, first=40), setup.spec, 4)
     publish_slice(records(spark, {1: 7, 2: 3}, first=25).filter("partition = 1"), setup.spec, 5)
     setup.run()

@@ -160,3 +160,10 @@ def test_progress_events(spark, path):
 def test_shared_folder_comes_from_the_session(spark, path):
     assert storage.shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert storage.scratch(spark, "x") != storage.scratch(spark, "x")
+
+
+def test_settings_follow_the_input():
+    from tidelog.session import settings_for
+
+    assert settings_for(10, 8)["spark.sql.shuffle.partitions"] == "8"
+    assert settings_for(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "102400"

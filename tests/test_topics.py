@@ -161,3 +161,7 @@ def test_kafka_options():
         "maxOffsetsPerTrigger": "100",
         "kafka.bootstrap.servers": "host:9092",
     }
+    ranged = topics._kafka_range_options(spec, {1: 5, 0: EARLIEST}, {1: 9, 0: LATEST})
+    assert ranged["assign"] == '{"t": [0, 1]}' and "subscribe" not in ranged
+    assert ranged["startingOffsets"] == '{"t": {"0": -2, "1": 5}}'
+    assert ranged["endingOffsets"] == '{"t": {"0": -1, "1": 9}}'

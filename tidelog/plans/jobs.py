@@ -511,7 +511,7 @@ def _exactly_once(
         process=lambda rows: decode_json(rows, "value", fixtures.EVENT_JSON_SCHEMA, ["topic", "partition", "offset"]),
         on_stage=on_stage,
     )
-    sink.recover(read_topic(spark, spec))
+    sink.recover(spec)
     return sink
 
 

@@ -240,6 +240,33 @@ def read_topic_range(
     )
 
 
+def read_range(
+    spark: SparkSession, spec: TopicSpec, start: dict[int, int], end: dict[int, int]
+) -> DataFrame:
+    """Records between two positions of the named partitions of a topic.
+
+    Kafka is asked for exactly this range; a file topic is pruned to it.
+    """
+    if spec.kind != "kafka":
+        return read_topic_range(read_topic(spark, spec), start, end, require_all=False)
+    return (
+        spark.read.format("kafka").options(**_kafka_range_options(spec, start, end)).load()
+        .select(*RECORD_COLUMNS)
+    )
+
+
+def _kafka_range_options(spec: TopicSpec, start: dict[int, int], end: dict[int, int]) -> dict[str, str]:
+    options = _kafka_options(spec)
+    for name in ("subscribe", "maxOffsetsPerTrigger"):
+        options.pop(name, None)
+    return {
+        **options,
+        "assign": json.dumps({spec.topic: sorted(start)}),
+        "startingOffsets": format_offsets(spec.topic, start),
+        "endingOffsets": format_offsets(spec.topic, end),
+    }
+
+
 def check_data_loss(df: DataFrame, start: dict[int, int], *, strict: bool = False) -> DataFrame:
     """Partitions whose earliest available offset lies after the requested start.
 

@@ -10,6 +10,7 @@ import tempfile
 import time
 import uuid
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pyarrow as pa
@@ -109,10 +110,15 @@ def reveal_in_order(spark: SparkSession, staging: str, target: str, prefix: str)
     last = _last_modified(fs, make_path(f"{target}/{earlier[-1][1]}")) if earlier else 0
     first_time = max(int(time.time() * 1000) - len(numbers), last) + 1
     fs.mkdirs(make_path(target))
-    for step, number in enumerate(numbers):
-        source, destination = make_path(f"{staging}/{prefix}{number}"), make_path(f"{target}/{prefix}{number}")
-        for file_path in _files_below(fs, source):
+
+    def set_times(step: int) -> None:
+        for file_path in _files_below(fs, make_path(f"{staging}/{prefix}{numbers[step]}")):
             fs.setTimes(file_path, first_time + step, -1)
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(set_times, range(len(numbers))))
+    for number in numbers:
+        source, destination = make_path(f"{staging}/{prefix}{number}"), make_path(f"{target}/{prefix}{number}")
         if fs.exists(destination):
             fs.delete(destination, True)
         if not fs.rename(source, destination):

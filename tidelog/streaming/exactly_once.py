@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.ledger import LEDGER_SCHEMA, compact, pending_ranges, range_id, resume_position
 from tidelog.operators.offsets import offset_ranges
-from tidelog.sources.topics import DataLossError, format_offsets, read_topic_range
+from tidelog.sources.topics import EARLIEST, DataLossError, TopicSpec, format_offsets, read_range
 from tidelog.storage import newest_version, scratch, small_table, version_path
 
 Process = Callable[[DataFrame], DataFrame]
@@ -111,12 +111,12 @@ class ExactlyOnceSink:
         self.on_stage = on_stage
         self.positions: dict[int, int] = {}
 
-    def recover(self, topic_rows: DataFrame) -> str:
-        """Finish claimed ranges from ``topic_rows``, then load the positions.
+    def recover(self, spec: TopicSpec) -> None:
+        """Finish claimed ranges of the topic, then load the positions.
 
-        Returns the positions as a start spec for the stream. A file stream lists
-        its files again with a new checkpoint; rows below the positions are
-        dropped by the sink.
+        A file stream lists its files again with a new checkpoint; rows below the
+        positions are dropped by the sink. A Kafka stream starts at
+        :meth:`starting_offsets`.
         """
         events = read_ledger(self.spark, self.ledger_path).filter(
             (F.col("application_id") == self.application_id) & (F.col("topic") == self.topic)
@@ -129,7 +129,7 @@ class ExactlyOnceSink:
         for name, rows in claims.items():
             start = {r["partition"]: r["from_offset"] for r in rows}
             end = {r["partition"]: r["until_offset"] for r in rows}
-            batch = read_topic_range(topic_rows, start, end, require_all=False)
+            batch = read_range(self.spark, spec, start, end)
             ranges = [(r["partition"], r["from_offset"], r["until_offset"], r["n"]) for r in rows]
             self._write_and_commit(batch, name, ranges, rows[0]["batch_id"])
         events = read_ledger(self.spark, self.ledger_path)
@@ -137,7 +137,14 @@ class ExactlyOnceSink:
             row["partition"]: row["next_offset"]
             for row in resume_position(events, self.application_id, self.topic).collect()
         }
-        return format_offsets(self.topic, self.positions)
+
+    def starting_offsets(self, partitions: int) -> str:
+        """Start spec of a Kafka stream; a partition that is new starts at its first record."""
+        if not self.positions:
+            return "earliest"
+        return format_offsets(
+            self.topic, {p: self.positions.get(p, EARLIEST) for p in range(partitions)}
+        )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         fresh = self._not_finished(batch)
