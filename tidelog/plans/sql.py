@@ -79,11 +79,12 @@ ORACLE: dict[str, str] = {
         ON t."partition" = b.p
       WHERE (s IS NULL OR "offset" >= s) AND (e IS NULL OR "offset" < e)""",
     "offset_gap_check": f"""
-      SELECT "partition", cast(150 AS bigint) AS requested_offset, earliest AS earliest_offset,
+      SELECT p AS "partition", cast(150 AS bigint) AS requested_offset, earliest AS earliest_offset,
              earliest - 150 AS lost
-      FROM (SELECT "partition", min("offset") AS earliest FROM ({TOPIC_ROWS})
-            WHERE "offset" >= 100 * ("partition" + 1) GROUP BY 1)
-      WHERE earliest > 150""",
+      FROM (VALUES (0), (1), (2), (3)) AS requested(p)
+      LEFT JOIN (SELECT "partition", min("offset") AS earliest FROM ({TOPIC_ROWS})
+                 WHERE "offset" >= 100 * ("partition" + 1) GROUP BY 1) ON p = "partition"
+      WHERE earliest IS NULL OR earliest > 150""",
     "topic_publish": f"""
       SELECT "partition", "offset", event_id, user_id, event_type, value FROM ({TOPIC_ROWS})""",
     "csv_schema_scan": """
