@@ -96,7 +96,7 @@ def test_latest_schema_and_missing_subject(spark):
         "subject string, version int, schema_id int",
     )
     records = spark.createDataFrame([("user",), ("other",)], "topic string")
-    got = rows(frames.with_reader_schema(records, registry), "topic", "version", "schema_id")
+    got = rows(frames.with_reader_schema(records, registry), "topic", "version", "reader_schema_id")
     assert got == [("other", None, None), ("user", 3, 12)]
 
 

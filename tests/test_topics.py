@@ -165,3 +165,29 @@ def test_kafka_options():
     assert ranged["assign"] == '{"t": [0, 1]}' and "subscribe" not in ranged
     assert ranged["startingOffsets"] == '{"t": {"0": -2, "1": 5}}'
     assert ranged["endingOffsets"] == '{"t": {"0": -1, "1": 9}}'
+
+
+def test_framed_stream_with_reader_schema(spark, path):
+    from tidelog.functions import frames
+
+    users = spark.range(20).select(
+        F.col("id"), F.concat(F.lit("first"), "id").alias("a"), F.concat(F.lit("last"), "id").alias("b")
+    )
+    framed = topics.as_records(
+        users.withColumn("value", frames.encode_frame(7, "a", "b")).withColumn(
+            "at", F.lit("2024-01-01").cast("timestamp_ntz")
+        ),
+        key=F.col("id"), value=F.col("value"), topic="user", partition=F.lit(0), offset=F.col("id"),
+        timestamp=F.col("at"),
+    )
+    spec = TopicSpec("user", root=path("topic"), max_files_per_trigger=1)
+    publish(framed, spec, offsets_per_slice=10)
+    registry = spark.createDataFrame(
+        [("user-value", 1, 6), ("user-value", 2, 7)], "subject string, version int, schema_id int"
+    )
+    stream = frames.decode_frames(read_topic_stream(spark, spec), "value")
+    joined = frames.with_reader_schema(stream, registry)
+    append_stream(joined.select("offset", "firstname", "lastname", "schema_id", "reader_schema_id"), path("out")).awaitTermination()
+    assert rows(spark.read.parquet(path("out"))) == sorted(
+        [(i, f"first{i}", f"last{i}", 7, 7) for i in range(20)], key=str
+    )

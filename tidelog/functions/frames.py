@@ -155,12 +155,12 @@ def latest_schema(registry: DataFrame) -> DataFrame:
 
 
 def with_reader_schema(records: DataFrame, registry: DataFrame, topic_column: str = "topic") -> DataFrame:
-    """Add ``schema_id`` and ``version`` of subject ``<topic>-value``.
+    """Add ``version`` and ``reader_schema_id``: the newest schema of ``<topic>-value``.
 
     The registry is one row per subject after the group-by; no hint is given, so
     the runtime size decides between a broadcast and a shuffle. A topic without
     a subject keeps nulls.
     """
     subject = F.concat(F.col(topic_column), F.lit("-value"))
-    latest = latest_schema(registry)
+    latest = latest_schema(registry).withColumnRenamed("schema_id", "reader_schema_id")
     return records.withColumn("subject", subject).join(latest, "subject", "left")

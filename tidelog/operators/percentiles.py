@@ -12,8 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bands per doubling of the value: neighbouring bands differ by about one percent.
-BANDS_PER_DOUBLING = 64
+# Bands per doubling of the value. Neighbouring bands differ by less than 0.02
+# percent, so that values that lie close together still spread over many bands.
+BANDS_PER_DOUBLING = 4096
 # Added so that the band of the smallest positive double is above zero.
 _BAND_SHIFT = 1100 * BANDS_PER_DOUBLING
 
@@ -37,9 +38,8 @@ def exact_percentiles(
     """One row per group with a column for each wanted percentile.
 
     Between two ranks the result is interpolated. Rows with a null value or a null
-    key do not count. Equal values are counted before they are
-    shuffled. The bands of a group are at most some 100,000 whatever its size, and
-    the rows of a band are sorted, which may spill, and never held in memory.
+    key do not count. Equal values are counted before they are shuffled. Bands and
+    the values of a band are sorted, which may spill; no group is held in memory.
     """
     # The join below would add these filters to one of its two branches. Given here
     # they are the same in both, so that the counted values are shuffled once.

@@ -24,6 +24,7 @@ USER_SCHEMA_ID = 42
 MAX_FILE_OFFSETS = 1_000_000
 MIN_SLICES = 4
 SLICES_PER_BATCH = 2
+MAX_TASKS = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +76,8 @@ def published(spark: SparkSession, records: DataFrame, rows: int, topic: str) ->
         root=scratch(spark, "topic"),
         max_files_per_trigger=SLICES_PER_BATCH * PARTITIONS,
     )
-    publish(records, spec, offsets_per_slice=width)
+    files = PARTITIONS * math.ceil((last_offset(rows) + 1) / width)
+    publish(records, spec, offsets_per_slice=width, tasks=min(2 * files, MAX_TASKS))
     return spec
 
 

@@ -33,6 +33,10 @@ JOBS: dict[str, Job] = {}
 
 SEED = 7
 
+# The map entry that is put, and the default of the extra key column.
+PUT_KEY, PUT_VALUE = "yet-another_key", "toto"
+EXTRA_VALUE = "42"
+
 
 def job(function: Job) -> Job:
     JOBS[function.__name__] = function
@@ -170,7 +174,7 @@ def lookup_join_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = (
         lines.select(*[F.col(c).alias(k) for k, c in LINE_KEYS.items()])
         .distinct()
-        .withColumn("toto", F.lit("42"))
+        .withColumn("toto", F.lit(EXTRA_VALUE))
     )
     return lookup.lookup_join(
         keys, lines, list(LINE_KEYS), key_map=LINE_KEYS, select=["l_orderkey", "l_quantity"]
@@ -357,13 +361,13 @@ def schema_version_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", F.concat(F.lit("region"), F.col("c_nationkey") % 6).alias("topic")
     )
     return frames.with_reader_schema(records, registry).select(
-        "c_custkey", "topic", "version", "schema_id"
+        "c_custkey", "topic", "version", "reader_schema_id"
     )
 
 
 @job
 def map_put(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, value = "yet-another_key", "toto"
+    key, value = PUT_KEY, PUT_VALUE
     plain = F.create_map(F.lit("type"), F.col("event_type"))
     taken = F.create_map(F.lit("type"), F.col("event_type"), F.lit(key), F.lit("old"))
     put = maps.map_put(F.when(F.col("event_id") % 2 == 0, taken).otherwise(plain), key, value)

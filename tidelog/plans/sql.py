@@ -205,10 +205,10 @@ ORACLE: dict[str, str] = {
     "project_payload": """
       SELECT c_custkey // 4 AS "offset", 'key' || c_custkey AS "key", c_mktsegment AS lastname, c_name AS firstname FROM customer""",
     "schema_version_lookup": """
-      SELECT c_custkey, topic, version, schema_id
+      SELECT c_custkey, topic, version, reader_schema_id
       FROM (SELECT c_custkey, 'region' || (c_nationkey % 6) AS topic FROM customer)
       LEFT JOIN (SELECT 'region' || n_regionkey AS subject, max(n_nationkey) AS version,
-                        arg_max(n_nationkey + 1000, n_nationkey) AS schema_id
+                        arg_max(n_nationkey + 1000, n_nationkey) AS reader_schema_id
                  FROM nation GROUP BY 1) ON topic = subject""",
     "map_put": """
       SELECT event_id, true AS has_type, event_type AS type, 'toto' AS put_value, 2 AS entries

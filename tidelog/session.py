@@ -9,6 +9,8 @@ import math
 # with little spilling and keeps 100 TB at about 100,000 partitions.
 SCAN_BYTES = 256 * 1024 * 1024
 SHUFFLE_BYTES = 1024 * 1024 * 1024
+# A join whose partitions all turn out smaller than this is hashed instead of sorted.
+HASH_BYTES = 64 * 1024 * 1024
 
 
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
@@ -21,7 +23,8 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SCAN_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(HASH_BYTES),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(HASH_BYTES),
         "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
         "spark.sql.shuffle.partitions": str(partitions),
     }

@@ -125,20 +125,23 @@ def read_topic_stream(spark: SparkSession, spec: TopicSpec) -> DataFrame:
     return rows.withColumn("topic", F.lit(spec.topic)).select(*RECORD_COLUMNS)
 
 
-def publish(records: DataFrame, spec: TopicSpec, *, offsets_per_slice: int) -> None:
+def publish(
+    records: DataFrame, spec: TopicSpec, *, offsets_per_slice: int, tasks: int | None = None
+) -> None:
     """Append records to a topic in offset order.
 
     A Kafka topic takes the rows as they are (the broker gives offsets). For a
     file topic the offsets are cut into slices of ``offsets_per_slice`` per
     partition, which bounds every file whatever the skew between partitions.
-    Publishing a slice again replaces it.
+    Publishing a slice again replaces it. ``tasks`` sets the number of writing
+    tasks; somewhat more than there are files keeps them even.
     """
     if spec.kind == "kafka":
         records.select("key", "value", F.lit(spec.topic).alias("topic")).write.format("kafka").options(
             **spec.options
         ).save()
         return
-    _write_slices(records.withColumn("slice", int_div(F.col("offset"), offsets_per_slice)), spec)
+    _write_slices(records.withColumn("slice", int_div(F.col("offset"), offsets_per_slice)), spec, tasks)
 
 
 def publish_slice(records: DataFrame, spec: TopicSpec, slice_id: int) -> None:
@@ -146,10 +149,11 @@ def publish_slice(records: DataFrame, spec: TopicSpec, slice_id: int) -> None:
     _write_slices(records.withColumn("slice", F.lit(slice_id).cast("bigint")), spec)
 
 
-def _write_slices(numbered: DataFrame, spec: TopicSpec) -> None:
+def _write_slices(numbered: DataFrame, spec: TopicSpec, tasks: int | None = None) -> None:
     """One job writes all files out of sight, then the slices appear in order.
 
-    Rows move once, to one task per slice and partition. A file stream takes
+    Rows move once, to one task per slice and partition, and are not sorted: a
+    file is one range of offsets, which is what scans are pruned by. A file stream takes
     files by modification time, so the times are set to rise from slice to slice.
     Stores that cannot set a time copy on rename, which gives the same order.
     """
@@ -157,8 +161,7 @@ def _write_slices(numbered: DataFrame, spec: TopicSpec) -> None:
     staging = f"{spec.root}/_staging-{uuid.uuid4().hex}"
     (
         numbered.select("slice", *[c for c in RECORD_COLUMNS if c != "topic"])
-        .repartition("slice", "partition")
-        .sortWithinPartitions("slice", "partition", "offset")
+        .repartition(*([tasks] if tasks else []), "slice", "partition")
         .write.partitionBy("slice", "partition")
         .parquet(staging)
     )
