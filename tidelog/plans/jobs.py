@@ -18,7 +18,7 @@ from tidelog.plans import fixtures
 from tidelog.plans.fixtures import table
 from tidelog.sources import generate, sinks, tables
 from tidelog.sources.topics import (
-    TopicSpec, as_records, check_data_loss, parse_offsets, read_topic, read_topic_range, read_topic_stream,
+    LATEST, TopicSpec, as_records, check_data_loss, parse_offsets, read_topic, read_topic_range, read_topic_stream,
 )
 from tidelog.storage import scratch
 from tidelog.streaming.append import append_stream
@@ -38,15 +38,18 @@ PUT_KEY, PUT_VALUE = "yet-another_key", "toto"
 EXTRA_VALUE = "42"
 
 
-def job(function: Job) -> Job:
-    JOBS[function.__name__] = function
-    return function
+def job(name: str) -> Callable[[Job], Job]:
+    def register(function: Job) -> Job:
+        JOBS[name] = function
+        return function
+
+    return register
 
 
 # --- topics -------------------------------------------------------------------
 
 
-@job
+@job("topic_view")
 def topic_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.events_topic(spark, sf_dir).select(
         F.col("key").cast("string").alias("key"),
@@ -55,7 +58,7 @@ def topic_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("topic_stream_append")
 def topic_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fixtures.published_events(spark, sf_dir)
     rows = read_topic_stream(spark, spec).select(
@@ -66,15 +69,16 @@ def topic_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@job
+@job("topic_range_replay")
 def topic_range_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = fixtures.last_offset(table(spark, sf_dir, "events").count())
     start = parse_offsets('{"events": {"0": 100, "1": -2, "2": 150, "3": 0}}', fixtures.TOPIC)
-    end = parse_offsets('{"events": {"0": -1, "1": 2200, "2": -1, "3": -1}}', fixtures.TOPIC)
+    end = {**dict.fromkeys(start, LATEST), 1: max(0, last - 100)}
     rows = read_topic_range(fixtures.events_topic(spark, sf_dir), start, end)
     return rows.select("partition", "offset", F.col("key").cast("string").alias("key"))
 
 
-@job
+@job("offset_gap_check")
 def offset_gap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     retained = fixtures.events_topic(spark, sf_dir).filter(
         F.col("offset") >= 100 * (F.col("partition") + 1)
@@ -82,7 +86,7 @@ def offset_gap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_data_loss(retained, {p: 150 for p in range(fixtures.PARTITIONS)})
 
 
-@job
+@job("topic_publish")
 def topic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fixtures.published_events(spark, sf_dir, fixtures.event_json())
     return decode_json(
@@ -93,7 +97,7 @@ def topic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keyed tables -------------------------------------------------------------
 
 
-@job
+@job("csv_schema_scan")
 def csv_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     cells = table(spark, sf_dir, "part").select(
@@ -105,24 +109,24 @@ def csv_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_csv(spark, path, tables.PAIR_SCHEMA)
 
 
-@job
+@job("keyed_table_scan")
 def keyed_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.read_table(spark, sf_dir, "supplier", view="supplier_table")
     return spark.sql("SELECT * FROM supplier_table")
 
 
-@job
+@job("range_source")
 def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.key_range(spark, table(spark, sf_dir, "orders").count())
 
 
-@job
+@job("filter_scan")
 def filter_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.read_table(spark, sf_dir, "part", view="part_table")
     return tables.filter_view(spark, "part_table", "p_size > 20")
 
 
-@job
+@job("csv_export")
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "export")
     selected = table(spark, sf_dir, "part").filter("p_size > 20").select("p_partkey", "p_size", "p_name")
@@ -130,10 +134,10 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_csv(spark, path, selected.schema)
 
 
-@job
+@job("upsert_table")
 def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    raised = customer.filter(F.col("c_custkey") % 2 == 0)
+    raised = customer.filter("c_acctbal < 5000")
     added = customer.withColumn("c_custkey", -1 - F.col("c_custkey"))
     changes = (
         raised.withColumn("c_acctbal", F.col("c_acctbal") + 100).withColumn("seq", F.lit(1))
@@ -149,7 +153,7 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lookup joins -------------------------------------------------------------
 
 
-@job
+@job("lookup_join_select")
 def lookup_join_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return lookup.lookup_join(
@@ -157,7 +161,7 @@ def lookup_join_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("lookup_join_all")
 def lookup_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "customer").select("c_custkey")
     return lookup.lookup_table_rows(
@@ -168,7 +172,7 @@ def lookup_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_KEYS = {"dummy": "l_partkey", "day": "l_suppkey", "bucket": "l_linenumber"}
 
 
-@job
+@job("lookup_join_mapped")
 def lookup_join_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     keys = (
@@ -181,7 +185,7 @@ def lookup_join_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("lookup_join_value")
 def lookup_join_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     keys = lines.select(*[F.col(c).alias(k) for k, c in LINE_KEYS.items()])
@@ -191,7 +195,7 @@ def lookup_join_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@job
+@job("sql_inner_join")
 def sql_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
@@ -202,7 +206,7 @@ def sql_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.where_join(spark, "ent", "ent_id", "id", "ent_id")
 
 
-@job
+@job("copartition_join")
 def copartition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -212,22 +216,22 @@ def copartition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- aggregations -------------------------------------------------------------
 
 
-@job
+@job("offset_ranges")
 def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.offset_ranges(fixtures.events_topic(spark, sf_dir))
 
 
-@job
+@job("batch_offset_ranges")
 def batch_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.batch_offset_ranges(fixtures.events_topic(spark, sf_dir))
 
 
-@job
+@job("row_count")
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.row_count(fixtures.events_topic(spark, sf_dir))
 
 
-@job
+@job("batch_running_total")
 def batch_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = fixtures.events_topic(spark, sf_dir)
     return offsets.batch_running_total(
@@ -235,12 +239,12 @@ def batch_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("metric_rollup")
 def metric_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.metric_rollup(table(spark, sf_dir, "events"))
 
 
-@job
+@job("approval_rate_minute")
 def approval_rate_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.approval_rate_minute(
         table(spark, sf_dir, "events"), F.col("event_type") != "error"
@@ -250,29 +254,29 @@ def approval_rate_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ledger -------------------------------------------------------------------
 
 
-@job
+@job("ledger_current")
 def ledger_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger_current(fixtures.events_ledger(spark, sf_dir))
 
 
-@job
+@job("ledger_history")
 def ledger_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger_history(
         fixtures.events_ledger(spark, sf_dir), fixtures.APPLICATION, fixtures.TOPIC
     )
 
 
-@job
+@job("range_continuity")
 def range_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.range_continuity(fixtures.events_ledger(spark, sf_dir))
 
 
-@job
+@job("ledger_retention")
 def ledger_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger_retention(fixtures.events_ledger(spark, sf_dir), "2024-01-31 00:00:00")
 
 
-@job
+@job("resume_position")
 def resume_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.resume_position(
         fixtures.events_ledger(spark, sf_dir), fixtures.APPLICATION, fixtures.TOPIC
@@ -287,13 +291,13 @@ def _damaged_props() -> F.Column:
     return F.when(F.col("event_id") % 50 == 0, F.lit('{"k": ')).otherwise(F.col("props"))
 
 
-@job
+@job("json_decode")
 def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("props", _damaged_props())
     return decode_json(events, "props", "k int", ["event_id"])
 
 
-@job
+@job("json_read_text")
 def json_read_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("props", _damaged_props())
     schema = T.StructType([T.StructField("k", T.IntegerType())])
@@ -302,7 +306,7 @@ def json_read_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("json_encode")
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = table(spark, sf_dir, "events").select(
         "event_id", encode_json("event_type", "value", "user_id").alias("payload")
@@ -310,7 +314,7 @@ def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_json(encoded, "payload", "event_type string, value double, user_id bigint", ["event_id"])
 
 
-@job
+@job("framed_encode")
 def framed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -325,7 +329,7 @@ def framed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("framed_decode")
 def framed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = frames.decode_frames(
         fixtures.damaged_frames(spark, sf_dir), "frame", known_ids=(fixtures.USER_SCHEMA_ID,)
@@ -333,7 +337,7 @@ def framed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("c_custkey", "schema_id", "firstname", "lastname", "error")
 
 
-@job
+@job("project_payload")
 def project_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     records = as_records(
@@ -350,7 +354,7 @@ def project_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@job
+@job("schema_version_lookup")
 def schema_version_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = table(spark, sf_dir, "nation").select(
         F.concat(F.lit("region"), F.col("n_regionkey"), F.lit("-value")).alias("subject"),
@@ -365,7 +369,7 @@ def schema_version_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("map_put")
 def map_put(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, value = PUT_KEY, PUT_VALUE
     plain = F.create_map(F.lit("type"), F.col("event_type"))
@@ -380,13 +384,13 @@ def map_put(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("map_get")
 def map_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.create_map(F.col("event_type"), F.col("value"))
     return table(spark, sf_dir, "events").select("event_id", maps.map_get(entries, "click").alias("click"))
 
 
-@job
+@job("nested_collections")
 def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row per user and type before the collection, so its size is the number of types.
     per_type = (
@@ -405,22 +409,19 @@ def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("timeuuid_make")
 def timeuuid_make(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", timeuuid(F.col("ts"), F.col("event_id")).alias("uuid")
     )
 
 
-@job
+@job("timeuuid_time")
 def timeuuid_time_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeuuid_make(spark, sf_dir).select("event_id", timeuuid_time(F.col("uuid")).alias("ts"))
 
 
-JOBS["timeuuid_time"] = JOBS.pop("timeuuid_time_of")
-
-
-@job
+@job("payload_generate")
 def payload_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.generate_payloads(
         table(spark, sf_dir, "events").select("event_id"), "event_id", SEED
@@ -430,7 +431,7 @@ def payload_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- per-row calls ------------------------------------------------------------
 
 
-@job
+@job("async_enrich")
 def async_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     def double_length(client: None, row: dict) -> dict:
         return {"doc_id": row["doc_id"], "doubled": 2 * len(row["text"])}
@@ -441,7 +442,7 @@ def async_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("async_foreach")
 def async_foreach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return foreach_async(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -449,7 +450,7 @@ def async_foreach(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job
+@job("foreach_rows")
 def foreach_rows_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fixtures.published_events(spark, sf_dir)
     rows = read_topic_stream(spark, spec).select(
@@ -460,10 +461,7 @@ def foreach_rows_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rows(spark, out, rows.schema)
 
 
-JOBS["foreach_rows"] = JOBS.pop("foreach_rows_job")
-
-
-@job
+@job("query_progress")
 def query_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fixtures.published_events(spark, sf_dir)
     path = scratch(spark, "progress")
@@ -488,12 +486,12 @@ def query_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- transactions and exactly-once --------------------------------------------
 
 
-@job
+@job("read_committed")
 def read_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed.read_committed(*fixtures.transactions(spark, sf_dir))
 
 
-@job
+@job("transaction_generate")
 def transaction_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     sent = generate.generate_transactions(
@@ -519,7 +517,7 @@ def _exactly_once(
     return sink
 
 
-@job
+@job("exactly_once_sink")
 def exactly_once_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fixtures.published_events(spark, sf_dir, fixtures.event_json())
     ledger_path, output_path = scratch(spark, "ledger"), scratch(spark, "output")
@@ -532,7 +530,7 @@ class _Killed(RuntimeError):
     """Stands for the loss of the driver between two steps."""
 
 
-@job
+@job("pending_replay")
 def pending_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fixtures.published_events(spark, sf_dir, fixtures.event_json())
     ledger_path, output_path = scratch(spark, "ledger"), scratch(spark, "output")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from tidelog.functions.timeuuid import UUID_EPOCH_STEPS
-from tidelog.plans.fixtures import APPLICATION, USER_SCHEMA_ID
+from tidelog.plans.fixtures import (
+    APPLICATION, MAX_FILE_OFFSETS, MIN_SLICES, PARTITIONS, SLICES_PER_BATCH, USER_SCHEMA_ID,
+)
 from tidelog.plans.jobs import SEED
 from tidelog.sources.generate import (
     ABORT_ABOVE, ABORT_RANGE, AGE_RANGE, MAX_RECORDS_PER_TXN, NAME_ALPHABET, NAME_LENGTH,
@@ -75,7 +77,8 @@ ORACLE: dict[str, str] = {
     "topic_stream_append": f'SELECT "key", "partition", "offset" FROM ({TOPIC_ROWS})',
     "topic_range_replay": f"""
       SELECT t."partition", "offset", "key" FROM ({TOPIC_ROWS}) t
-      JOIN (VALUES (0, 100, NULL), (1, NULL, 2200), (2, 150, NULL), (3, 0, NULL)) b(p, s, e)
+      JOIN (VALUES (0, 100, NULL), (1, NULL, (SELECT (count(*) - 1) // 4 - 100 FROM events)),
+                   (2, 150, NULL), (3, 0, NULL)) b(p, s, e)
         ON t."partition" = b.p
       WHERE (s IS NULL OR "offset" >= s) AND (e IS NULL OR "offset" < e)""",
     "offset_gap_check": f"""
@@ -98,7 +101,7 @@ ORACLE: dict[str, str] = {
     "csv_export": "SELECT p_partkey, p_size, p_name FROM part WHERE p_size > 20",
     "upsert_table": """
       SELECT c_custkey, c_name, c_nationkey,
-             CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 200 ELSE c_acctbal END AS c_acctbal,
+             CASE WHEN c_acctbal < 5000 THEN c_acctbal + 200 ELSE c_acctbal END AS c_acctbal,
              c_mktsegment
       FROM customer
       UNION ALL
@@ -237,9 +240,14 @@ ORACLE: dict[str, str] = {
     "async_enrich": "SELECT doc_id, cast(2 * length(text) AS bigint) AS doubled FROM documents",
     "async_foreach": "SELECT doc_id, true AS done FROM documents",
     "foreach_rows": f'SELECT "partition", "offset", "key" FROM ({TOPIC_ROWS})',
-    "query_progress": """
-      SELECT 'watched' AS name, cast(2 AS bigint) AS batches, count(*) AS input_rows,
-             true AS terminated, cast(NULL AS varchar) AS exception FROM events""",
+    "query_progress": f"""
+      WITH t AS ({TOPIC_ROWS}),
+      w AS (SELECT least({MAX_FILE_OFFSETS}, (max("offset") + {MIN_SLICES}) // {MIN_SLICES}) AS width FROM t)
+      SELECT 'watched' AS name,
+             cast(ceil(count(DISTINCT ("partition", "offset" // width))
+                       / {SLICES_PER_BATCH * PARTITIONS}.0) AS bigint) AS batches,
+             count(*) AS input_rows, true AS terminated, cast(NULL AS varchar) AS exception
+      FROM t, w""",
     "read_committed": f"""
       WITH r AS (
         SELECT event_id, "partition", ("offset" // 3) AS txn_id,
