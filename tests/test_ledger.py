@@ -113,3 +113,14 @@ def test_previous_row_of_a_hot_key(spark):
     assert rows(got, "o", "before") == sorted(
         [(3 * i, 3 * (i - 1) if i else None) for i in range(500)], key=str
     )
+
+
+def test_prefix_sum_reads_its_source_once(spark, path):
+    spark.range(0, 3000).write.parquet(path("rows"))
+    counts = spark.read.parquet(path("rows")).groupBy(F.expr("id div 10").alias("b")).agg(F.count("*").alias("n"))
+    summed = prefix_sum(counts, index="b", value="n", result="total", max_index=299, block=50)
+    assert summed.agg(F.max("total")).first()[0] == 3000
+    summed.collect()
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

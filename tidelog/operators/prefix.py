@@ -20,7 +20,7 @@ def prefix_sum(
 ) -> DataFrame:
     """Add ``result``: the sum of ``value`` over all rows up to this ``index``.
 
-    ``index`` is a unique integer from 0 to ``max_index`` (holes are fine). No
+    ``index`` is a unique, non-null integer from 0 to ``max_index`` (holes are fine). No
     task handles more than ``block`` rows of the order at any level.
     """
     if max_index < block:
@@ -29,7 +29,9 @@ def prefix_sum(
 
     # Named after the index, because the totals of a level are the input of the next.
     number, total, carry = f"{index}_block", f"{index}_total", f"{index}_carry"
-    blocked = df.withColumn(number, int_div(F.col(index), block))
+    # The join adds this filter to one branch; given here it is in both, and what
+    # ``df`` shuffles is then shuffled once.
+    blocked = df.withColumn(number, int_div(F.col(index), block)).filter(F.col(number).isNotNull())
     inside = (
         Window.partitionBy(number).orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -56,7 +58,7 @@ def previous_row(
 ) -> DataFrame:
     """Add ``result``: ``carried`` of the row before, in ``order``, within ``keys``.
 
-    The first ``order`` column is an integer; rows are grouped by key and by
+    Keys are not null. The first ``order`` column is an integer; rows are grouped by key and by
     ``span`` values of it, so that a hot key is spread over many tasks. Only the
     last row of each such group is compared across groups.
     """
