@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import mixing, rules, urls
+from tidelog.llm import bpe, langid, lines, mixing, rules, simhash, urls
 from tidelog.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,29 @@ URL_RULES = (
 )
 
 
+def fold(doc_id: Column, folds: int) -> Column:
+    """Remainder of a hash of the id; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_texts(read_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.drop_boilerplate(docs, "source", lines_name="n_lines", dropped_name="n_dropped")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.filter(~held_out).select("text", "lang"))
+    return langid.predict(docs.select("doc_id", "text"), model, "lang_pred", "score").select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -42,8 +65,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_copies(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_bpe": op2_bpe,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_language_id": op4_language_id,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_simhash": op9_simhash,
 }

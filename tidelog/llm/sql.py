@@ -90,7 +90,35 @@ FROM sized JOIN p ON sized.source IS NOT DISTINCT FROM p.source
 JOIN cut ON sized.source IS NOT DISTINCT FROM cut.source
 """
 
+LINES_SQL = rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
+), totals AS (
+  SELECT source, count(*) AS total FROM p GROUP BY source
+), c AS (
+  SELECT source, line, count(*) AS pages
+  FROM (SELECT DISTINCT r, source, unnest(lines) AS line FROM p)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY source, line
+), bad AS (
+  SELECT c.source, list(line) AS bad FROM c JOIN totals ON c.source IS NOT DISTINCT FROM totals.source
+  WHERE pages >= 10 AND pages > total * 0.1::DOUBLE GROUP BY c.source
+), k AS (
+  SELECT p.*, list_filter(lines, lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS before,
+    list_filter(lines, lambda s: NOT (regexp_matches(s, '[^\x20\x09-\x0D]')
+                                      AND list_contains(coalesce(bad, []), s))) AS kept
+  FROM p LEFT JOIN bad ON p.source IS NOT DISTINCT FROM bad.source
+), a AS (
+  SELECT *, list_filter(kept, lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS left_over FROM k
+)
+SELECT doc_id, source,
+  CASE WHEN len(left_over) > 0 AND len(kept) < len(lines) THEN array_to_string(kept, chr(10)) ELSE text END AS text,
+  coalesce(len(before), 0)::BIGINT AS n_lines,
+  CASE WHEN len(left_over) > 0 THEN len(before) - len(left_over) ELSE 0 END::BIGINT AS n_dropped
+FROM a
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_line_dedup": LINES_SQL,
     "op7_quality_rules": RULES_SQL,
     "op8_mixing": MIX_SQL,
 }
