@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, langid, lines, mixing, rules, simhash, urls
+from tidelog.llm import ann, bpe, langid, lines, mixing, rules, simhash, urls
 from tidelog.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
@@ -80,4 +84,5 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_nearest": op10_nearest,
 }
