@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, langid, lines, mixing, rules, simhash, urls
+from tidelog.llm import ann, bpe, langid, lines, mixing, quality_fm, rules, simhash, tools, urls
 from tidelog.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +22,28 @@ URL_RULES = (
 )
 
 
+# Tools of the tool-call query; their calls are derived from conversations.
+TOOLS = (
+    tools.Tool("search", (tools.Field("query", "string"), tools.Field("limit", "integer"))),
+    tools.Tool("translate", (tools.Field("text", "string"), tools.Field("to", "string"))),
+    tools.Tool("note", (tools.Field("text", "string"), tools.Field("urgent", "boolean", required=False))),
+)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """Remainder of a hash of the id; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    machine = quality_fm.fit(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
+    return quality_fm.score(docs, machine).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_texts(read_table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -45,6 +62,47 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tool_events(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results derived from conversations.
+
+    Every assistant turn is a call, whose tool, arguments and dependency follow from
+    its text: some lack a field, have a wrong type or name no known tool, and texts of
+    even length need the call before. The user turn that follows holds the result.
+    """
+    turns = conversations.select(
+        "conv_id", "turn", "role", "text", F.length("text").alias("n"),
+        F.concat(F.lit("c"), F.col("conv_id"), F.lit("-")).alias("prefix"),
+    )
+    n, text = F.col("n"), F.col("text")
+    tool = F.when(n % 11 == 0, "unknown").otherwise(
+        F.element_at(F.array(*[F.lit(t.name) for t in TOOLS]), (n % 3 + 1).cast("int"))
+    )
+    limit = F.when(n % 7 == 0, F.lit("many")).cast("string")
+    arguments = (
+        F.when(F.col("name") == "search", F.when(limit.isNotNull(), F.to_json(F.struct(text.alias("query"), limit.alias("limit"))))
+               .otherwise(F.to_json(F.struct(text.alias("query"), n.alias("limit")))))
+        .when(F.col("name") == "translate", F.to_json(F.struct(F.when(n % 5 != 0, F.lit("en")).alias("to"), text.alias("text"))))
+        .when(F.col("name") == "note", F.to_json(F.struct((n % 2 == 0).alias("urgent"), text.alias("text"))))
+        .otherwise(F.to_json(F.struct(n.alias("value"))))
+    )
+    calls = turns.filter("role = 'assistant'").withColumn("name", tool).select(
+        "conv_id", "turn", F.concat("prefix", "turn").alias("call_id"), "name", arguments.alias("arguments"),
+        F.when((n % 2 == 0) & (F.col("turn") > 2), F.array(F.concat("prefix", F.col("turn") - 2))).alias("needs"),
+    )
+    results = turns.filter("role = 'user'").select(
+        "conv_id", "turn", F.concat("prefix", F.col("turn") - 1).alias("call_id"), text.alias("content")
+    )
+    return calls, results
+
+
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_events(read_table(spark, sf_dir, "conversations"))
+    return tools.link_calls(calls, results, TOOLS).select(
+        "conv_id", "turn", "call_id", "name", "level", "linked",
+        (F.size("errors") == 0).alias("valid"), F.array_join("errors", ",").alias("errors"), "message",
+    )
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -77,9 +135,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_fm": op1_quality_fm,
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
     "op4_language_id": op4_language_id,
+    "op5_tool_calls": op5_tool_calls,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,

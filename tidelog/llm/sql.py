@@ -117,8 +117,51 @@ SELECT doc_id, source,
 FROM a
 """
 
+TOOLS_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, role, text, length(text) AS n, 'c' || conv_id || '-' AS prefix FROM conversations
+), calls AS (
+  SELECT conv_id, turn, prefix || turn AS call_id, n, text,
+    CASE WHEN n % 11 = 0 THEN 'unknown' ELSE ['search', 'translate', 'note'][n % 3 + 1] END AS name,
+    CASE WHEN n % 2 = 0 AND turn > 2 THEN prefix || (turn - 2) END AS needs
+  FROM t WHERE role = 'assistant'
+), links AS (
+  SELECT c.conv_id, c.call_id, c.needs FROM calls c JOIN calls d ON c.conv_id = d.conv_id AND c.needs = d.call_id
+), walk AS (
+  SELECT conv_id, call_id, 0 AS level FROM calls
+  UNION ALL
+  SELECT l.conv_id, l.call_id, w.level + 1 FROM walk w JOIN links l ON w.conv_id = l.conv_id AND l.needs = w.call_id
+), levels AS (
+  SELECT conv_id, call_id, max(level)::INT AS level FROM walk GROUP BY conv_id, call_id
+), results AS (
+  SELECT conv_id, prefix || (turn - 1) AS call_id, text AS content FROM t WHERE role = 'user'
+), checked AS (
+  SELECT c.*, level, r.content, r.call_id IS NOT NULL AS linked,
+    CASE name
+      WHEN 'search' THEN CASE WHEN n % 7 = 0 THEN ['type:limit'] ELSE [] END
+      WHEN 'translate' THEN CASE WHEN n % 5 = 0 THEN ['missing:to'] ELSE [] END
+      WHEN 'note' THEN [] ELSE ['unknown_tool'] END
+    || CASE WHEN c.needs IS NOT NULL AND l.call_id IS NULL THEN ['missing_dependency'] ELSE [] END AS errors,
+    CASE name
+      WHEN 'search' THEN CASE WHEN n % 7 = 0 THEN to_json({'limit': 'many', 'query': text})
+                              ELSE to_json({'limit': n, 'query': text}) END
+      WHEN 'translate' THEN CASE WHEN n % 5 = 0 THEN to_json({'text': text}) ELSE to_json({'text': text, 'to': 'en'}) END
+      WHEN 'note' THEN to_json({'text': text, 'urgent': n % 2 = 0})
+      ELSE to_json({'value': n}) END AS arguments
+  FROM calls c JOIN levels USING (conv_id, call_id)
+  LEFT JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+  LEFT JOIN links l ON c.conv_id = l.conv_id AND c.call_id = l.call_id
+)
+SELECT conv_id, turn, call_id, name, level, linked, len(errors) = 0 AS valid,
+  array_to_string(errors, ',') AS errors,
+  '{"arguments":' || arguments || ',"id":' || to_json(call_id) || ',"name":' || to_json(name)
+    || ',"result":' || coalesce(to_json(content), 'null') || '}' AS message
+FROM checked
+"""
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": LINES_SQL,
+    "op5_tool_calls": TOOLS_SQL,
     "op7_quality_rules": RULES_SQL,
     "op8_mixing": MIX_SQL,
 }
