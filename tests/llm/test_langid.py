@@ -1,0 +1,87 @@
+import math
+import os
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import DOCS
+from tidelog.llm import langid
+from tidelog.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def segmentations(text, ids, longest):
+    if not text:
+        yield []
+    for n in range(1, min(longest, len(text)) + 1):
+        piece = text[:n]
+        if piece in ids or n == 1:
+            for rest in segmentations(text[n:], ids, longest):
+                yield [ids.get(piece, len(ids)), *rest]
+
+
+IDS = {p: k for k, p in enumerate(["▁", "a", "b", "ab", "ba", "▁a", "aba"])}
+WORDS = ["▁abab", "▁a", "▁bxa", "▁abaaba", "▁"]
+
+
+def test_forward_sums_all_segmentations():
+    weights = np.random.default_rng(1).random((len(IDS) + 1, 3))
+    totals = langid.Lattice(WORDS, IDS, 3).totals(weights)
+    for word, total in zip(WORDS, totals):
+        assert np.allclose(total, sum(np.prod(weights[s], axis=0) for s in segmentations(word, IDS, 3)))
+
+
+def test_expected_counts_equal_enumeration():
+    weights = np.random.default_rng(2).random((len(IDS) + 1, 1))
+    lattice = langid.Lattice(WORDS, IDS, 3)
+    share = lattice.expected(weights)[:, 0]
+    for w, word in enumerate(WORDS):
+        expected, total = np.zeros(len(IDS) + 1), 0.0
+        for s in segmentations(word, IDS, 3):
+            p = math.prod(weights[s, 0])
+            total += p
+            for piece in s:
+                expected[piece] += p
+        mine = np.bincount(lattice.piece[lattice.word == w], share[lattice.word == w], len(IDS) + 1)
+        assert np.allclose(mine, expected / total)
+
+
+def test_units():
+    assert langid.units("Ab, c1d") == ["▁ab", "▁c", "▁d"]
+    assert [len(u) for u in langid.units("x" * 70)] == [32, 32, 7]
+
+
+def test_small_cache_changes_nothing(monkeypatch):
+    pieces = sorted(IDS)
+    weights = np.random.default_rng(3).random((len(pieces) + 1, 2))
+    texts = ["abab a", "ba ab aba", "", "abba b a", "b" * 100]
+    whole = langid.Scorer(langid.Model(["x", "y"], pieces, weights)).predict(texts)
+    monkeypatch.setattr(langid, "CACHE", 2)
+    monkeypatch.setattr(langid, "BLOCK", 1)
+    scorer = langid.Scorer(langid.Model(["x", "y"], pieces, weights))
+    assert [scorer.predict([t])[0][0] for t in texts] == [r[0] for r in whole]
+
+
+def test_edges(spark):
+    rows = [
+        (1, "the river and the stone", "en", None, None), (2, "der fluss und der stein", "de", None, None),
+        (3, None, "en", None, None), (4, "12 !?", None, None, None), (None, "the stone", None, None, None),
+        (6, "", "de", None, None), (6, "und der fluss " * 3000, None, None, None),
+    ]
+    docs = spark.createDataFrame(rows, DOCS).withColumnRenamed("source", "score")
+    model = langid.fit(docs)
+    assert model.languages == ["de", "en"]
+    got = sorted(tuple(r) for r in langid.predict(docs.select("text", "score"), model, "lang", "p").select("lang", "p").collect())
+    assert [g[0] for g in got] == ["de", "de", "en", "en", "und", "und", "und"]
+    assert all(0 <= g[1] <= 1 for g in got)
+    assert langid.predict(docs.filter("false").select("text"), model, "lang", "p").count() == 0
+    nothing = langid.fit(docs.filter("false"))
+    assert {r["lang"] for r in langid.predict(docs.select("text"), nothing, "lang", "p").collect()} == {"und"}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are missing")
+def test_held_out_accuracy(spark):
+    truth = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    held_out = QUERIES["op4_language_id"](spark, SF_DIR).filter("held_out").join(truth, "doc_id").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in held_out) >= 0.98 * len(held_out) > 0

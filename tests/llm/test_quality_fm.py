@@ -1,0 +1,59 @@
+import itertools
+import os
+
+import numpy as np
+import pytest
+
+from tidelog.llm import quality_fm as fm
+from tidelog.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_linear_time_equals_all_pairs():
+    seeded = np.random.default_rng(1)
+    machine = fm.Machine(0.3, seeded.normal(size=50), seeded.normal(size=(50, 4)))
+    rows = [(seeded.choice(50, n, replace=False), seeded.normal(size=n)) for n in (1, 2, 7)]
+    lengths = [len(r[0]) for r in rows]
+    got = machine.logits(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), np.cumsum([0, *lengths[:-1]]))
+    for (places, values), logit in zip(rows, got):
+        expected = machine.bias + (machine.weights[places] * values).sum()
+        for i, j in itertools.combinations(range(len(places)), 2):
+            expected += machine.factors[places[i]] @ machine.factors[places[j]] * values[i] * values[j]
+        assert np.isclose(logit, expected)
+
+
+def test_learns_an_interaction():
+    """The label is the product of two signs, which no linear model can learn."""
+    seeded = np.random.default_rng(2)
+    rows, labels = [], []
+    for _ in range(600):
+        a, b = seeded.integers(0, 2, 2)
+        rows.append((np.array([a, 2 + b]), np.ones(2, np.float32)))
+        labels.append(float(a == b))
+    machine = fm.train(rows, np.array(labels))
+    assert np.mean((fm._score(machine, rows) > 0.5) == np.array(labels)) > 0.95
+
+
+def test_edges(spark):
+    docs = spark.createDataFrame(
+        [(1, "good text here", 5, 0.1), (2, "### !!!", None, 0.2), (None, None, None, None), (3, "", 0, None), (3, "", 0, None),
+         (4, "word " * 50_000, 1, None)],
+        "doc_id long, text string, n_chars long, score double",
+    )
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (2, None), (None, 1), (99, 0)], "doc_id long, quality int")
+    machine = fm.fit(docs, labels)
+    got = fm.score(docs, machine).collect()
+    assert len(got) == 6 and all(0 <= r["score"] <= 1 for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] == 3}) == 1
+    assert fm.score(docs.filter("false"), machine).count() == 0
+    untrained = fm.fit(docs, labels.filter("false"))
+    assert {r["score"] for r in fm.score(docs, untrained).collect()} == {0.5}
+    assert fm.score(docs.drop("n_chars"), machine).count() == 6
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are missing")
+def test_held_out_accuracy(spark):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    rows = QUERIES["op1_quality_fm"](spark, SF_DIR).filter("held_out").join(labels, "doc_id").collect()
+    assert sum(r["quality"] == r["predicted"] for r in rows) >= 0.95 * len(rows) > 0

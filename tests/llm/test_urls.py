@@ -1,0 +1,101 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from tidelog.llm import urls
+from tidelog.llm.queries import URL_RULES
+
+PAGES = "page_id long, url string, html string, score string"
+
+
+def plain_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
+
+
+def plain_rule(url):
+    host, path = plain_parts(url)
+    fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.text), default=None)
+
+
+URLS = [
+    None, "", "no scheme", "http://", "://x.org/", "HTTP://WWW.Example.ORG/es/1?q#f", "http://example.org/ES/1", "http://a.org",
+    "http://a.org/", "http://notexample.org/es/", "http://example.org/en/12", "http://example.org/en/21", "https://x.com/fr/?a",
+    "https://x.com/fr", "https://com/de/#", "http://a.net/p?u=http://b.org/", "http://x.com:80/fr/", "ftp://É.org/a\nb", "x://y://z.org/",
+    "http://ex.com?x/de/", "http://ex.com#/fr/",
+]
+
+
+def test_parts_and_rules(spark):
+    df = spark.createDataFrame([(k, u, None, None) for k, u in enumerate(URLS)], PAGES)
+    for r in urls.judge_urls(df, URL_RULES).collect():
+        url = URLS[r["page_id"]]
+        assert (r["host"], r["path"]) == plain_parts(url)
+        rule = plain_rule(url)
+        assert r["rule"] == (rule.text if rule else None)
+        if rule:
+            assert r["verdict"] == rule.verdict
+        if not url:
+            assert r["verdict"] == urls.BLOCK
+
+
+def codes(url):
+    text = re.sub("[1-9]", "0", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in url))
+    return [urls.START] * 2 + [urls.CLASSED.find(c) + 1 for c in text]
+
+
+def plain_model(texts):
+    """Probability of a class after two others, by Witten-Bell over three orders."""
+    n = [Counter(), Counter(), Counter()]
+    for text in texts:
+        c = codes(text)
+        for i in range(2, len(c)):
+            for order in range(3):
+                n[order][tuple(c[i - order:i + 1])] += 1
+
+    def p(context, c):
+        value = (n[0][(c,)] + 1) / (sum(n[0].values()) + urls.CLASSES)
+        for order in (1, 2):
+            ctx = tuple(context[-order:])
+            followers = {k: v for k, v in n[order].items() if k[:-1] == ctx}
+            if followers:
+                value = (n[order][(*ctx, c)] + len(followers) * value) / (sum(followers.values()) + len(followers))
+        return value
+
+    return p
+
+
+def test_model_equals_a_plain_one(spark):
+    rows = [f"http://good{k}.org/news/{k}" for k in range(25)] + [f"http://bad-{k}.com/de/win{k}?x=1" for k in range(25)]
+    asked = ["http://good.net/news/1", "http://bad.net/win?x=1", "zzz", "http://good.net/news/1"]
+    df = spark.createDataFrame([(k, u, None, None) for k, u in enumerate(rows + asked)], PAGES)
+    judged = urls.with_rule(urls.with_grams(df), URL_RULES)
+    labelled = judged.filter("_label is not null")
+    train = {(r["url"], r["_label"]) for r in labelled.filter(~urls._held_out()).collect()}
+    models = {v: plain_model([u for u, label in sorted(train) if label == v]) for v in (urls.ALLOW, urls.BLOCK)}
+    result = {r["page_id"]: r for r in urls.judge_urls(df, URL_RULES).collect()}
+    for k, url in enumerate(asked, len(rows)):
+        c = codes(url)
+        each = [math.log(models["allow"](c[i - 2:i], c[i])) - math.log(models["block"](c[i - 2:i], c[i])) for i in range(2, len(c))]
+        assert result[k]["score"] == pytest.approx(sum(each) / len(each))
+    assert [result[k]["verdict"] for k in range(50, 54)][:2] == ["allow", "block"]
+    assert result[50]["score"] == result[53]["score"]
+
+
+def test_no_labels_and_empty(spark):
+    df = spark.createDataFrame([(1, "http://a.net/x", None, None), (None, "http://a.net/x", None, None)], PAGES)
+    assert {(r["verdict"], r["score"]) for r in urls.judge_urls(df, URL_RULES).collect()} == {("allow", 0.0)}
+    assert urls.judge_urls(df.filter("false"), URL_RULES).count() == 0
+
+
+def test_tie_between_rules(spark):
+    rules = (urls.Rule(urls.ALLOW, "b.com/"), urls.Rule(urls.BLOCK, "com/x/"))
+    df = spark.createDataFrame([(1, "http://a.b.com/x/", None, None)], PAGES)
+    assert urls.judge_urls(df, rules).first()["rule"] == "com/x/" if len("com/x/") > len("b.com/") else "b.com/"

@@ -10,7 +10,7 @@ and joined with one row per source. That table (a recipe, one row per source) is
 the only thing that is ordered as a whole.
 
 Cases: a null source is one more source; a null text has size 0; a source of
-size 0 has target 0; a null id is sampled like the id ''; rows with the same id
+size 0 has target 0 and its documents, which add no words, are taken once; a null id is sampled like the id ''; rows with the same id
 share their bin, so all or none of them are repeated; an empty table gives no
 rows; extra columns are kept by ``mix_documents`` and ignored elsewhere.
 """

@@ -187,20 +187,21 @@ def best_threshold(labelled: DataFrame, model: DataFrame) -> DataFrame:
     filled = grid.join(bins, "bin", "left").fillna(0, [ALLOW, BLOCK])
     ordered = F.array_sort(F.collect_list(F.struct("bin", F.col(ALLOW).alias("a"), F.col(BLOCK).alias("b"))))
     sides = filled.agg(ordered.alias("bins"), F.sum(ALLOW).alias("n_allow"), F.sum(BLOCK).alias("n_block"))
-    # Walk up the bins: what lies below the cut is blocked.
+    # Walk up the bins: what lies below the cut is blocked. Equally good cuts meet in the middle.
     walk = F.aggregate(
         "bins",
         F.struct(
             F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"),
-            F.lit(-1.0).alias("best"), F.lit(0).cast("long").alias("cut"),
+            F.lit(-1.0).alias("best"), F.lit(0).cast("long").alias("cut"), F.lit(0).cast("long").alias("until"),
         ),
         lambda s, x: F.struct(
             (s["a"] + x["a"]).alias("a"),
             (s["b"] + x["b"]).alias("b"),
             F.greatest(s["best"], _gain(s)).alias("best"),
             F.when(_gain(s) > s["best"], x["bin"]).otherwise(s["cut"]).alias("cut"),
+            F.when(_gain(s) >= s["best"], x["bin"]).otherwise(s["until"]).alias("until"),
         ),
-        lambda s: s["cut"] * BIN_WIDTH,
+        lambda s: (s["cut"] + s["until"]) / 2 * BIN_WIDTH,
     )
     known = (F.col("n_allow") > 0) & (F.col("n_block") > 0)
     return sides.select(F.when(known, walk).otherwise(0.0).alias("threshold"))
