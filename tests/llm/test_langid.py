@@ -21,24 +21,26 @@ def segmentations(text, ids, longest):
                 yield [ids.get(piece, len(ids)), *rest]
 
 
-IDS = {p: k for k, p in enumerate(["▁", "a", "b", "ab", "ba", "▁a", "aba"])}
-WORDS = ["▁abab", "▁a", "▁bxa", "▁abaaba", "▁"]
+PIECES = ["▁", "a", "b", "ab", "ba", "▁a", "aba", "xyz"]
+IDS = {p: k for k, p in enumerate(PIECES)}
+TRIE = langid.Trie(PIECES)
+WORDS = ["abab", "a", "bxa", "abaaba", "xy"]
 
 
 def test_forward_sums_all_segmentations():
     weights = np.random.default_rng(1).random((len(IDS) + 1, 3))
-    totals = langid.Lattice(WORDS, IDS, 3).totals(weights)
-    for word, total in zip(WORDS, totals):
-        assert np.allclose(total, sum(np.prod(weights[s], axis=0) for s in segmentations(word, IDS, 3)))
+    logs = langid.Lattice(WORDS, TRIE).logs(weights)
+    for word, log in zip(WORDS, logs):
+        assert np.allclose(np.exp(log), sum(np.prod(weights[s], axis=0) for s in segmentations("▁" + word, IDS, 3)))
 
 
 def test_expected_counts_equal_enumeration():
     weights = np.random.default_rng(2).random((len(IDS) + 1, 1))
-    lattice = langid.Lattice(WORDS, IDS, 3)
+    lattice = langid.Lattice(WORDS, TRIE)
     share = lattice.expected(weights)[:, 0]
     for w, word in enumerate(WORDS):
         expected, total = np.zeros(len(IDS) + 1), 0.0
-        for s in segmentations(word, IDS, 3):
+        for s in segmentations("▁" + word, IDS, 3):
             p = math.prod(weights[s, 0])
             total += p
             for piece in s:
@@ -48,8 +50,13 @@ def test_expected_counts_equal_enumeration():
 
 
 def test_units():
-    assert langid.units("Ab, c1d") == ["▁ab", "▁c", "▁d"]
+    assert langid.words_of("Ab, c1d") == ["ab", "c", "d"]
+    assert langid.units("ab") == ["▁ab"]
     assert [len(u) for u in langid.units("x" * 70)] == [32, 32, 7]
+    weights = np.random.default_rng(5).random((len(PIECES) + 1, 2))
+    long = "ab" * 40
+    parts = langid.Lattice([long, "a"], TRIE).logs(weights)
+    assert np.allclose(parts[1], langid.Lattice(["a"], TRIE).logs(weights)[0]) and parts.shape == (2, 2)
 
 
 def test_small_cache_changes_nothing(monkeypatch):

@@ -40,7 +40,7 @@ MARK = "▁"
 # Letters of one unit; keeps products of probabilities far from underflow.
 LONGEST = 32
 # Known words per task, words that are worked on together, characters per slice.
-CACHE, BLOCK, SLICE_CHARS = 300_000, 20_000, 1 << 20
+CACHE, BLOCK, SLICE_CHARS = 400_000, 20_000, 1 << 20
 # Weight of a letter outside the vocabulary, and of the common share in every language.
 UNKNOWN, COMMON = 1e-7, 100.0
 
@@ -54,66 +54,101 @@ def load_pieces(path: str | None = None) -> list[str]:
     return sorted(p for p in pieces if p == MARK or p.removeprefix(MARK).isalpha())
 
 
-def units(text: str) -> list[str]:
-    """Words of a text as units to be cut into pieces."""
-    found = []
-    for word in find_letters(text.lower()):
-        word = MARK + word
-        if len(word) <= LONGEST:
-            found.append(word)
-        else:
-            found.extend(word[k:k + LONGEST] for k in range(0, len(word), LONGEST))
-    return found
+def words_of(text: str) -> list[str]:
+    return find_letters(text.lower())
+
+
+def units(word: str) -> list[str]:
+    """A word with its mark, cut into the units that are segmented."""
+    word = MARK + word
+    return [word] if len(word) <= LONGEST else [word[k:k + LONGEST] for k in range(0, len(word), LONGEST)]
+
+
+class Trie:
+    """Pieces as a tree: an edge is a node and a character, in one sorted array."""
+
+    def __init__(self, pieces: list[str]):
+        nodes = {"": 0}
+        edges, children = [], []
+        for piece in pieces:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in nodes:
+                    nodes[piece[:n]] = len(nodes)
+                    edges.append(nodes[piece[:n - 1]] << 21 | ord(piece[n - 1]))
+                    children.append(nodes[piece[:n]])
+        order = np.argsort(np.array(edges, np.int64))
+        self.edges = np.append(np.array(edges, np.int64)[order], np.iinfo(np.int64).max)
+        self.children = np.append(np.array(children, np.int64)[order], 0)
+        # Number of the piece that ends in a node, -1 if none does.
+        self.piece = np.full(len(nodes), -1, np.int64)
+        self.piece[[nodes[p] for p in pieces]] = np.arange(len(pieces))
+        self.unknown = len(pieces)
+
+    def step(self, states: np.ndarray, characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which states have the next character, and where it leads them."""
+        wanted = states << 21 | characters
+        at = np.searchsorted(self.edges, wanted)
+        there = self.edges[at] == wanted
+        return there, self.children[at[there]]
 
 
 class Lattice:
-    """All pieces that occur in a block of units, ordered by where they end."""
-
-    def __init__(self, words: list[str], ids: dict[str, int], longest: int):
-        word, start, end, piece = [], [], [], []
-        unknown = len(ids)
-        for w, text in enumerate(words):
-            n = len(text)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    found = ids.get(text[i:j])
-                    if found is None:
-                        if j > i + 1:
-                            continue
-                        found = unknown
-                    word.append(w)
-                    start.append(i)
-                    end.append(j)
-                    piece.append(found)
-        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
-        self.width = int(self.lengths.max()) + 1
-        arrays = [np.array(x, np.int64) for x in (word, start, end, piece)]
-        self.word, self.start, self.end, self.piece = arrays
-        self.by_end = self._runs(self.end)
-        self.by_start = self._runs(self.start)
+    """All pieces that occur in the units of some words.
 
-    def _runs(self, key: np.ndarray) -> list[np.ndarray]:
-        order = np.argsort(key, kind="stable")
-        cuts = np.searchsorted(key[order], np.arange(self.width + 1))
-        return [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    ``source`` names the word of each unit. Pieces are held in runs of equal length and
+    start, so that a unit occurs once in a run at most.
+    """
 
-    def _add(self, target: np.ndarray, words: np.ndarray, values: np.ndarray) -> None:
-        # Words rise inside a run, so equal ones are neighbours.
-        first = np.flatnonzero(np.diff(words, prepend=-1))
-        target[words[first]] += np.add.reduceat(values, first, axis=0)
+    def __init__(self, words: list[str], trie: Trie):
+        parts = [(number, part) for number, word in enumerate(words) for part in units(word)]
+        self.source = np.fromiter((number for number, _ in parts), np.int64, len(parts))
+        self.lengths = np.fromiter((len(part) for _, part in parts), np.int64, len(parts))
+        self.width = int(self.lengths.max()) + 1
+        characters = np.frombuffer("".join(part for _, part in parts).encode("utf-32-le"), "<u4").astype(np.int64)
+        owner = np.repeat(np.arange(len(parts)), self.lengths)
+        begin = np.cumsum(self.lengths) - self.lengths
+        place = np.arange(len(characters)) - begin[owner]
+        self.runs: list[tuple[int, int, slice]] = []
+        found, size, done = [], 1, 0
+        at, states = np.arange(len(characters)), np.zeros(len(characters), np.int64)
+        while len(at):
+            there, states = trie.step(states, characters[at + size - 1])
+            if size == 1:
+                piece = np.full(len(at), -1, np.int64)
+                piece[there] = trie.piece[states]
+                piece[piece < 0] = trie.unknown
+                chosen, at = at, at[there]
+            else:
+                at = at[there]
+                piece = trie.piece[states]
+                ends = piece >= 0
+                chosen, piece = at[ends], piece[ends]
+            order = np.argsort(place[chosen].astype(np.uint8), kind="stable")
+            chosen, piece = chosen[order], piece[order]
+            counts = np.bincount(place[chosen], minlength=self.width)
+            for start in np.flatnonzero(counts).tolist():
+                self.runs.append((start, start + size, slice(done, done + int(counts[start]))))
+                done += int(counts[start])
+            found.append((owner[chosen], piece))
+            inside = place[at] + size < self.lengths[owner[at]]
+            at, states, size = at[inside], states[inside], size + 1
+        self.word = np.concatenate([f[0] for f in found])
+        self.piece = np.concatenate([f[1] for f in found])
 
     def forward(self, weights: np.ndarray) -> np.ndarray:
         """Sums over all segmentations of every prefix; ``weights`` has a row per piece."""
         alpha = np.zeros((self.width, len(self.lengths), weights.shape[1]))
         alpha[0] = 1.0
-        for j in range(1, self.width):
-            if len(run := self.by_end[j]):
-                w = self.word[run]
-                self._add(alpha[j], w, alpha[self.start[run], w] * weights[self.piece[run]])
+        for start, end, run in sorted(self.runs, key=lambda r: r[1]):
+            w = self.word[run]
+            alpha[end, w] += alpha[start, w] * weights[self.piece[run]]
         return alpha
 
-    def totals(self, weights: np.ndarray) -> np.ndarray:
-        return self.forward(weights)[self.lengths, np.arange(len(self.lengths))]
+    def logs(self, weights: np.ndarray) -> np.ndarray:
+        """Logarithm of each word's probability, one column per weight column."""
+        totals = np.log(self.forward(weights)[self.lengths, np.arange(len(self.lengths))])
+        first = np.flatnonzero(np.diff(self.source, prepend=-1))
+        return np.add.reduceat(totals, first, axis=0)
 
     def expected(self, weights: np.ndarray) -> np.ndarray:
         """Probability that a piece is used at its place, one column per weight column."""
@@ -121,12 +156,15 @@ class Lattice:
         n = np.arange(len(self.lengths))
         beta = np.zeros_like(alpha)
         beta[self.lengths, n] = 1.0
-        for i in range(self.width - 2, -1, -1):
-            if len(run := self.by_start[i]):
-                w = self.word[run]
-                self._add(beta[i], w, beta[self.end[run], w] * weights[self.piece[run]])
+        for start, end, run in sorted(self.runs, key=lambda r: -r[0]):
+            w = self.word[run]
+            beta[start, w] += beta[end, w] * weights[self.piece[run]]
         total = alpha[self.lengths, n]
-        return alpha[self.start, self.word] * weights[self.piece] * beta[self.end, self.word] / total[self.word]
+        share = np.empty((len(self.word), weights.shape[1]))
+        for start, end, run in self.runs:
+            w = self.word[run]
+            share[run] = alpha[start, w] * weights[self.piece[run]] * beta[end, w] / total[w]
+        return share
 
 
 def _slices(texts: Iterator[str]) -> Iterator[list[str]]:
@@ -156,26 +194,27 @@ def fit(docs: DataFrame, path: str | None = None) -> Model:
     shared = spark.sparkContext.broadcast(pieces)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = {p: k for k, p in enumerate(shared.value)}
-        longest = max(map(len, ids), default=1)
-        equal = np.append(np.full(len(ids), 1.0 / max(1, len(ids))), UNKNOWN)[:, None]
-        sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(ids) + 1))
+        n = len(shared.value)
+        trie = Trie(shared.value)
+        equal = np.append(np.full(n, 1.0 / max(1, n)), UNKNOWN)[:, None]
+        sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n + 1))
         words: dict[str, Counter] = defaultdict(Counter)
 
         def settle() -> None:
             different = sorted(set().union(*words.values()))
             for k in range(0, len(different), BLOCK):
                 block = different[k:k + BLOCK]
-                lattice = Lattice(block, ids, longest)
+                lattice = Lattice(block, trie)
                 share = lattice.expected(equal)[:, 0]
+                owner = lattice.source[lattice.word]
                 for lang, counts in words.items():
                     times = np.fromiter((counts.get(w, 0) for w in block), np.float64, len(block))
-                    sums[lang] += np.bincount(lattice.piece, share * times[lattice.word], len(ids) + 1)
+                    sums[lang] += np.bincount(lattice.piece, share * times[owner], n + 1)
             words.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
-                words[lang.as_py()].update(units(text.as_py()))
+                words[lang.as_py()].update(words_of(text.as_py()))
                 if sum(map(len, words.values())) > CACHE:
                     settle()
         if words:
@@ -215,8 +254,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.ids = {p: k for k, p in enumerate(model.pieces)}
-        self.longest = max(map(len, self.ids), default=1)
+        self.trie = Trie(model.pieces)
         self._reset()
 
     def _reset(self) -> None:
@@ -233,12 +271,12 @@ class Scorer:
         step = max(1, 4 * BLOCK // max(4, len(self.model.languages)))
         for k in range(0, len(new), step):
             block = new[k:k + step]
-            parts.append(np.log(Lattice(block, self.ids, self.longest).totals(self.model.weights)))
+            parts.append(Lattice(block, self.trie).logs(self.model.weights))
             self.row.update(zip(block, range(len(self.row), len(self.row) + len(block))))
         self.logs = np.concatenate(parts)
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        split = [units(t) for t in texts]
+        split = [words_of(t) for t in texts]
         self._learn({w for words in split for w in words})
         row, results = self.row.__getitem__, []
         for words in split:
