@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.test_topics import records
 from tidelog.operators.ledger import pending_ranges, range_continuity, resume_position
-from tidelog.sources.topics import TopicSpec, publish, publish_slice, read_topic_stream
+from tidelog.sources.topics import DataLossError, TopicSpec, publish, publish_slice, read_topic_stream
 from tidelog.streaming.exactly_once import (
     AFTER_CLAIM, AFTER_COMMIT, AFTER_WRITE, ExactlyOnceSink, compact_ledger, read_ledger, read_output, run_exactly_once,
 )
@@ -112,8 +112,8 @@ def test_new_slices_after_a_restart(setup, spark):
     assert sink.starting_offsets(3) == "earliest"
     sink.recover(setup.spec)
     assert sink.starting_offsets(3) == '{"t": {"0": 40, "1": 25, "2": -2}}'
-    publish_slice(records(spark, {0: 5}, first=40), setup.spec, 4)
-    publish_slice(records(spark, {1: 7, 2: 3}, first=25).filter("partition = 1"), setup.spec, 5)
+    publish_slice(records(spark, {0: 5}, first=40), setup.spec)
+    publish_slice(records(spark, {1: 7, 2: 3}, first=25).filter("partition = 1"), setup.spec)
     setup.run()
     new = [(0, o) for o in range(40, 45)] + [(1, o) for o in range(25, 32)]
     assert setup.visible() == sorted(EXPECTED + new, key=str)
@@ -122,23 +122,23 @@ def test_new_slices_after_a_restart(setup, spark):
 
 def test_missing_offsets_stop_the_stream(spark, path):
     made = Setup(spark, path)
-    publish_slice(records(spark, {0: 10}), made.spec, 0)
-    publish_slice(records(spark, {0: 10}, first=12), made.spec, 1)
+    publish_slice(records(spark, {0: 10}), made.spec)
+    publish_slice(records(spark, {0: 10}, first=12), made.spec)
     with pytest.raises(StreamingQueryException, match="partition 0"):
         made.run()
 
 
 def test_missing_offsets_inside_a_batch_stop_the_stream(spark, path):
     made = Setup(spark, path)
-    publish_slice(records(spark, {0: 10}).filter("offset <> 4"), made.spec, 0)
+    publish_slice(records(spark, {0: 10}).filter("offset <> 4"), made.spec)
     with pytest.raises(StreamingQueryException, match="9 rows"):
         made.run()
 
 
 def test_holes_carry_the_position_forward(spark, path):
     made = Setup(spark, path, files_per_batch=1)
-    publish_slice(records(spark, {0: 10}).filter("offset <> 4"), made.spec, 0)
-    publish_slice(records(spark, {0: 10}, first=12), made.spec, 1)
+    publish_slice(records(spark, {0: 10}).filter("offset <> 4"), made.spec)
+    publish_slice(records(spark, {0: 10}, first=12), made.spec)
     made.run(holes=True)
     done = rows(made.events().filter("processed"), "from_offset", "until_offset", "n")
     assert done == [(0, 10, 9), (10, 22, 10)]
@@ -189,3 +189,54 @@ def test_process_may_aggregate(setup, spark):
     setup.run(process=lambda df: df.groupBy("partition").agg(F.count("*").alias("c")))
     total = read_output(spark, setup.output, setup.ledger).agg(F.sum("c")).first()[0]
     assert total == len(EXPECTED)
+
+
+def test_expired_records_of_a_claim_are_an_error(setup, spark):
+    with pytest.raises(StreamingQueryException):
+        setup.run(kill=(AFTER_CLAIM, 0))
+    sink = setup.sink()
+    kept = records(spark, {0: 40, 1: 25}).filter("offset >= 6")
+    setup.spec = TopicSpec("t", root=setup.spec.root + "-expired", max_files_per_trigger=2)
+    publish(kept, setup.spec, offsets_per_slice=10)
+    with pytest.raises(DataLossError, match="were claimed"):
+        sink.recover(setup.spec)
+    assert resume_position(setup.events(), APP, "t").count() == 0
+
+
+def test_a_double_does_not_hide_a_hole(spark, path):
+    made = Setup(spark, path)
+    twice = records(spark, {0: 4}).filter("offset <> 2")
+    publish_slice(twice.unionByName(twice.filter("offset = 1")), made.spec)
+    with pytest.raises(StreamingQueryException, match="4 rows with 3 offsets"):
+        made.run()
+
+
+def test_resumed_stream_is_pruned_to_what_is_new(setup, spark, path):
+    setup.run()
+    sink = setup.sink()
+    sink.recover(setup.spec)
+    publish(records(spark, {0: 5, 2: 3}, first=40), setup.spec, offsets_per_slice=10)
+    spec = sink.resume(setup.spec)
+    assert spec.positions == {0: 40, 1: 25} and spec.first_slice == 8
+    query = (
+        read_topic_stream(spark, spec).select("partition", "offset").writeStream.format("memory").queryName("resumed")
+        .option("checkpointLocation", path("cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert rows(spark.table("resumed")) == sorted([(0, o) for o in range(40, 45)] + [(2, o) for o in range(40, 43)], key=str)
+    plan = query._jsq.explainInternal(True)
+    filters = plan.rpartition("PartitionFilters: ")[2]
+    assert "(slice#" in filters and ">= 8)" in filters
+    # Eight slices were there before; their files are not read.
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 8
+    run_exactly_once(read_topic_stream(spark, spec), sink).awaitTermination()
+    assert len(setup.visible()) == len(EXPECTED) + 8
+
+
+def test_kafka_resumes_at_the_positions(setup):
+    setup.run()
+    sink = setup.sink()
+    sink.recover(setup.spec)
+    assert sink.resume(TopicSpec("t", kind="kafka"), 2).starting_offsets == '{"t": {"0": 40, "1": 25}}'
+    with pytest.raises(ValueError):
+        sink.resume(TopicSpec("t", kind="kafka"))

@@ -25,6 +25,22 @@ def offset_ranges(records: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
+def counted_offset_ranges(records: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Like :func:`offset_ranges`, with ``n_different``, the number of different offsets.
+
+    Rows are counted per offset first, so that no task holds a whole partition.
+    """
+    keys = by or ["topic", "partition"]
+    per_offset = records.groupBy(*keys, "offset").agg(F.count(F.lit(1)).alias("copies"))
+    return per_offset.groupBy(*keys).agg(
+        F.min("offset").alias("from_offset"),
+        F.max("offset").alias("max_offset"),
+        (F.max("offset") + 1).alias("until_offset"),
+        F.sum("copies").alias("n"),
+        F.count(F.lit(1)).alias("n_different"),
+    )
+
+
 def batch_number(stride: int = BATCH_STRIDE) -> Column:
     return int_div(F.col("offset"), stride)
 
@@ -41,7 +57,10 @@ def row_count(df: DataFrame, name: str = "n") -> DataFrame:
 
 
 def batch_running_total(records: DataFrame, max_offset: int, stride: int = BATCH_STRIDE) -> DataFrame:
-    """Rows per micro-batch and the total over this and all earlier batches."""
+    """Rows per micro-batch and the total over this and all earlier batches.
+
+    Records without an offset are a batch of their own, without a total.
+    """
     counts = records.groupBy(batch_number(stride).alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
     return prefix_sum(
         counts, index="batch_id", value="n", result="total", max_index=max_offset // stride

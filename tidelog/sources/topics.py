@@ -1,8 +1,8 @@
 """Topics: partitioned logs of typed records, read as a batch, a range or a stream.
 
 A file topic is a parquet directory ``<root>/topic=<t>/slice=<k>/partition=<p>``.
-A slice holds one file per topic partition, with consecutive offsets, and slices
-appear in order. Any prefix of the files is then a prefix of every partition, and
+A slice holds one file per topic partition, with rising offsets, and slices
+appear in order and are never changed. Any prefix of the files is then a prefix of every partition, and
 a micro-batch covers one contiguous offset range per partition. ``kind="kafka"`` uses Spark's Kafka connector when its jar is on the
 class path.
 """
@@ -10,15 +10,17 @@ class path.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.numbers import int_div
-from tidelog.storage import reveal_in_order, small_table
+from tidelog.storage import child_names, reveal_in_order, small_table
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -37,8 +39,8 @@ RECORD_COLUMNS = RECORD_SCHEMA.fieldNames()
 EARLIEST = -2
 LATEST = -1
 
-# Beyond this many partitions the bounds are joined instead of written as a predicate.
-MAX_PREDICATE_PARTITIONS = 64
+# Partitions with similar bounds share a term of the range predicate beyond this many.
+MAX_PREDICATE_TERMS = 64
 
 
 class DataLossError(RuntimeError):
@@ -55,6 +57,9 @@ class TopicSpec:
     max_files_per_trigger: int | None = None
     max_offsets_per_trigger: int | None = None
     starting_offsets: str = "earliest"
+    # Next offset of each partition of a file topic; what lies before is not read.
+    positions: dict[int, int] = field(default_factory=dict)
+    first_slice: int = 0
     fail_on_data_loss: bool = True
     read_committed: bool = True
     options: dict[str, str] = field(default_factory=dict)
@@ -107,7 +112,7 @@ def read_topic(spark: SparkSession, spec: TopicSpec) -> DataFrame:
     if spec.kind == "kafka":
         options = _kafka_options(spec)
         options.pop("maxOffsetsPerTrigger", None)
-        return spark.read.format("kafka").options(**options).load().select(*RECORD_COLUMNS)
+        return _kafka_records(spark.read.format("kafka").options(**options).load())
     rows = spark.read.schema(_file_schema()).parquet(spec.path)
     return rows.withColumn("topic", F.lit(spec.topic)).select(*RECORD_COLUMNS)
 
@@ -115,16 +120,71 @@ def read_topic(spark: SparkSession, spec: TopicSpec) -> DataFrame:
 def read_topic_stream(spark: SparkSession, spec: TopicSpec) -> DataFrame:
     """Subscribe to the topic from its earliest record, in capped micro-batches."""
     if spec.kind == "kafka":
-        return (
-            spark.readStream.format("kafka").options(**_kafka_options(spec)).load().select(*RECORD_COLUMNS)
-        )
+        return _kafka_records(spark.readStream.format("kafka").options(**_kafka_options(spec)).load())
     reader = spark.readStream.schema(_file_schema()).options(**spec.options)
     if spec.max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", spec.max_files_per_trigger)
     rows = reader.parquet(spec.path)
+    if spec.positions:
+        rows = rows.filter((F.col("slice") >= spec.first_slice) & not_before(spec.positions))
     return rows.withColumn("topic", F.lit(spec.topic)).select(*RECORD_COLUMNS)
 
 
+def _kafka_records(rows: DataFrame) -> DataFrame:
+    """The connector's rows with the time type of a file topic."""
+    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).select(*RECORD_COLUMNS)
+
+
+def not_before(positions: dict[int, int]) -> Column:
+    """Records at or after the position of their partition; new partitions are taken whole.
+
+    Partitions with similar positions share a term, so that the predicate stays short; the
+    exact test is then an expression beside it.
+    """
+    terms = ~F.col("partition").isin(*positions)
+    for group in _similar(positions, positions):
+        term = F.col("partition").isin(*group) if len(group) > 1 else F.col("partition") == group[0]
+        terms = terms | (term & (F.col("offset") >= min(positions[p] for p in group)))
+    if len(positions) <= MAX_PREDICATE_TERMS:
+        return terms
+    return terms & (F.col("offset") >= F.coalesce(_by_partition(positions), F.lit(0)))
+
+
+def _by_partition(values: dict[int, int]) -> Column:
+    entries = [F.lit(x) for p in sorted(values) for x in (p, values[p])]
+    return F.try_element_at(F.create_map(*entries), F.col("partition"))
+
+
+def _similar(partitions: dict[int, int], bounds: dict[int, int]) -> list[list[int]]:
+    """At most ``MAX_PREDICATE_TERMS`` groups of partitions, neighbours by bound."""
+    ordered = sorted(partitions, key=lambda p: (bounds[p], p))
+    size = -(-len(ordered) // MAX_PREDICATE_TERMS)
+    return [ordered[k:k + size] for k in range(0, len(ordered), size)] if ordered else []
+
+
+def first_open_slice(spark: SparkSession, spec: TopicSpec, positions: dict[int, int]) -> int:
+    """The first slice of a file topic with a record at or after ``positions``.
+
+    Reads the offsets only; later slices may hold finished records too.
+    """
+    rows = spark.read.schema(_file_schema()).parquet(spec.path)
+    ends = rows.groupBy("slice", "partition").agg(F.max("offset").alias("last"))
+    is_open = F.col("last") >= F.coalesce(_by_partition(positions), F.lit(0))
+    found = ends.agg(F.min(F.when(is_open, F.col("slice"))).alias("first"), F.max("slice").alias("end")).first()
+    return found["first"] if found["first"] is not None else found["end"] + 1
+
+
+def next_offsets(spark: SparkSession, spec: TopicSpec) -> dict[int, int]:
+    """The offset after the last published one of every partition of a file topic.
+
+    Reads two columns; one row per topic partition comes to the driver.
+    """
+    if not child_names(spark, spec.path):
+        return {}
+    ends = read_topic(spark, spec).groupBy("partition").agg((F.max("offset") + 1).alias("next"))
+    return {r["partition"]: r["next"] for r in ends.collect()}
+
+
 def publish(
     records: DataFrame, spec: TopicSpec, *, offsets_per_slice: int, tasks: int | None = None
 ) -> None:
@@ -133,8 +193,9 @@ def publish(
     A Kafka topic takes the rows as they are (the broker gives offsets). For a
     file topic the offsets are cut into slices of ``offsets_per_slice`` per
     partition, which bounds every file whatever the skew between partitions.
-    Publishing a slice again replaces it. ``tasks`` sets the number of writing
-    tasks; somewhat more than there are files keeps them even.
+    Records whose partition already reaches beyond their offset are there from an earlier call
+    and are skipped, so a call that failed may be repeated. ``tasks`` sets the number of
+    writing tasks; somewhat more than there are files keeps them even.
     """
     if spec.kind == "kafka":
         records.select("key", "value", F.lit(spec.topic).alias("topic")).write.format("kafka").options(
@@ -144,9 +205,10 @@ def publish(
     _write_slices(records.withColumn("slice", int_div(F.col("offset"), offsets_per_slice)), spec, tasks)
 
 
-def publish_slice(records: DataFrame, spec: TopicSpec, slice_id: int) -> None:
-    """Append one slice to a file topic; one file per partition must hold it."""
-    _write_slices(records.withColumn("slice", F.lit(slice_id).cast("bigint")), spec)
+def publish_slice(records: DataFrame, spec: TopicSpec) -> None:
+    """Append one slice to a file topic. For small appends: one file, written by one task,
+    holds the records of a partition; :func:`publish` cuts larger ones."""
+    _write_slices(records.withColumn("slice", F.lit(0).cast("bigint")), spec)
 
 
 def _write_slices(numbered: DataFrame, spec: TopicSpec, tasks: int | None = None) -> None:
@@ -156,9 +218,15 @@ def _write_slices(numbered: DataFrame, spec: TopicSpec, tasks: int | None = None
     file is one range of offsets, which is what scans are pruned by. A file stream takes
     files by modification time, so the times are set to rise from slice to slice.
     Stores that cannot set a time copy on rename, which gives the same order.
+    New slices are numbered after those that are there; no slice is ever replaced.
     """
     spark = numbered.sparkSession
     staging = f"{spec.root}/_staging-{uuid.uuid4().hex}"
+    there = [int(n.removeprefix("slice=")) for n in child_names(spark, spec.path) if n.startswith("slice=")]
+    if there:
+        known = next_offsets(spark, spec)
+        numbered = numbered.filter(F.col("offset") >= F.coalesce(_by_partition(known), F.lit(0)))
+        numbered = numbered.withColumn("slice", F.col("slice") + (max(there) + 1))
     (
         numbered.select("slice", *[c for c in RECORD_COLUMNS if c != "topic"])
         .repartition(*([tasks] if tasks else []), "slice", "partition")
@@ -194,9 +262,9 @@ def read_topic_range(
 
     ``EARLIEST`` in ``start`` and ``LATEST`` in ``end`` leave that side open.
     Naming every partition of the topic is required unless ``require_all`` is off.
-    A few partitions become one predicate, which prunes directories and row
-    groups. Many partitions become a broadcast table with one row per partition,
-    behind a coarse predicate that still prunes.
+    The bounds become one predicate, which prunes directories and row groups. Beyond
+    ``MAX_PREDICATE_TERMS`` partitions, neighbours by start share a term, and the exact
+    bounds are joined: one row per partition.
     """
     if set(start) != set(end):
         raise ValueError("start and end must name the same partitions")
@@ -209,34 +277,25 @@ def read_topic_range(
     if not start:
         return df.limit(0)
 
-    def inside(partition: int) -> Column:
-        condition = F.col("partition") == partition
-        if start[partition] != EARLIEST:
-            condition = condition & (F.col("offset") >= start[partition])
-        if end[partition] != LATEST:
-            condition = condition & (F.col("offset") < end[partition])
+    def inside(group: list[int]) -> Column:
+        condition = F.col("partition").isin(*group) if len(group) > 1 else F.col("partition") == group[0]
+        lowest, ends = min(start[p] for p in group), [end[p] for p in group]
+        if lowest != EARLIEST:
+            condition = condition & (F.col("offset") >= lowest)
+        if LATEST not in ends:
+            condition = condition & (F.col("offset") < max(ends))
         return condition
 
-    partitions = sorted(start)
-    if len(partitions) <= MAX_PREDICATE_PARTITIONS:
-        condition = inside(partitions[0])
-        for partition in partitions[1:]:
-            condition = condition | inside(partition)
-        return df.filter(condition)
-
-    coarse = F.lit(True)
-    if EARLIEST not in start.values():
-        coarse = coarse & (F.col("offset") >= min(start.values()))
-    if LATEST not in end.values():
-        coarse = coarse & (F.col("offset") < max(end.values()))
+    pruned = df.filter(reduce(Column.__or__, map(inside, _similar(start, start))))
+    if len(start) <= MAX_PREDICATE_TERMS:
+        return pruned
     bounds = small_table(
         df.sparkSession,
-        [(p, start[p], end[p]) for p in partitions],
+        [(p, start[p], end[p]) for p in sorted(start)],
         "partition int, range_start bigint, range_end bigint",
     )
     return (
-        df.filter(coarse)
-        .join(F.broadcast(bounds), "partition")
+        pruned.join(F.broadcast(bounds), "partition")
         .filter((F.col("range_start") == EARLIEST) | (F.col("offset") >= F.col("range_start")))
         .filter((F.col("range_end") == LATEST) | (F.col("offset") < F.col("range_end")))
         .select(*df.columns)
@@ -244,17 +303,23 @@ def read_topic_range(
 
 
 def read_range(
-    spark: SparkSession, spec: TopicSpec, start: dict[int, int], end: dict[int, int]
+    spark: SparkSession, spec: TopicSpec, start: dict[int, int], end: dict[int, int], *, require_all: bool = False
 ) -> DataFrame:
     """Records between two positions of the named partitions of a topic.
 
-    Kafka is asked for exactly this range; a file topic is pruned to it.
+    Kafka is asked for exactly this range; a file topic is pruned to it. With
+    ``require_all`` every partition of a file topic must be named; its partitions are
+    known from the listed files, without reading any.
     """
     if spec.kind != "kafka":
-        return read_topic_range(read_topic(spark, spec), start, end, require_all=False)
+        rows = read_topic(spark, spec)
+        if require_all:
+            found = {int(p) for name in rows.inputFiles() for p in re.findall(r"/partition=(\d+)/", name)}
+            if unnamed := sorted(found - set(start)):
+                raise ValueError(f"partition {unnamed[0]} is not named in the offset spec")
+        return read_topic_range(rows, start, end, require_all=False)
     return (
-        spark.read.format("kafka").options(**_kafka_range_options(spec, start, end)).load()
-        .select(*RECORD_COLUMNS)
+        _kafka_records(spark.read.format("kafka").options(**_kafka_range_options(spec, start, end)).load())
     )
 
 

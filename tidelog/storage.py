@@ -49,6 +49,20 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that this session's file systems give it."""
+    fs, hadoop_path = _resolve(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a table that :func:`scratch` named, once nothing reads it any more."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    fs, hadoop_path = _resolve(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _resolve(spark, path)
     return fs.exists(hadoop_path)
@@ -63,13 +77,19 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 VERSION = "version="
-_DONE = "_SUCCESS"
+# Written by us after the files of a version: not every committer leaves a mark.
+_DONE = "_COMPLETE"
 
 
 def version_path(path: str, version: int) -> str:
     return f"{path}/{VERSION}{version:08d}"
 
 
+def complete_version(spark: SparkSession, path: str, version: int) -> None:
+    """Make a written version visible."""
+    write_text(spark, f"{version_path(path, version)}/{_DONE}", "")
+
+
 def newest_version(spark: SparkSession, path: str) -> int:
     """Number of the newest complete version below ``path``; 0 when there is none."""
     complete = [
@@ -120,7 +140,7 @@ def reveal_in_order(spark: SparkSession, staging: str, target: str, prefix: str)
     for number in numbers:
         source, destination = make_path(f"{staging}/{prefix}{number}"), make_path(f"{target}/{prefix}{number}")
         if fs.exists(destination):
-            fs.delete(destination, True)
+            raise FileExistsError(f"{destination} is there already")
         if not fs.rename(source, destination):
             raise OSError(f"could not move {source} to {destination}")
     fs.delete(staging_path, True)

@@ -12,17 +12,24 @@ was broken.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.ledger import LEDGER_SCHEMA, compact, pending_ranges, range_id, resume_position
-from tidelog.operators.offsets import offset_ranges
-from tidelog.sources.topics import EARLIEST, DataLossError, TopicSpec, format_offsets, read_range
-from tidelog.storage import newest_version, scratch, small_table, version_path
+from tidelog.operators.offsets import counted_offset_ranges, offset_ranges
+from tidelog.sources.topics import (
+    EARLIEST, DataLossError, TopicSpec, first_open_slice, format_offsets, read_range,
+)
+from tidelog.storage import complete_version, newest_version, scratch, small_table, version_path
+
+# Rows of a ledger file after compaction.
+LEDGER_FILE_ROWS = 1_000_000
 
 Process = Callable[[DataFrame], DataFrame]
 
@@ -44,7 +51,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_ledger(spark: SparkSession, path: str, as_of: datetime) -> None:
-    """Rewrite the ledger as few files without expired history.
+    """Rewrite the ledger as few files (by their rows) without expired history.
 
     To be called by the writer while it does not run, best before a start. The
     new version takes over when it is complete.
@@ -52,7 +59,9 @@ def compact_ledger(spark: SparkSession, path: str, as_of: datetime) -> None:
     version = newest_version(spark, path)
     if version:
         kept = compact(read_ledger(spark, path), as_of.isoformat(sep=" "))
-        kept.coalesce(1).write.mode("overwrite").parquet(version_path(path, version + 1))
+        files = max(1, math.ceil(kept.count() / LEDGER_FILE_ROWS))
+        kept.repartition(files).write.mode("overwrite").parquet(version_path(path, version + 1))
+        complete_version(spark, path, version + 1)
 
 
 def read_output(spark: SparkSession, output_path: str, ledger_path: str) -> DataFrame:
@@ -114,9 +123,8 @@ class ExactlyOnceSink:
     def recover(self, spec: TopicSpec) -> None:
         """Finish claimed ranges of the topic, then load the positions.
 
-        A file stream lists its files again with a new checkpoint; rows below the
-        positions are dropped by the sink. A Kafka stream starts at
-        :meth:`starting_offsets`.
+        A claim whose records are no longer all there is not finished, but an error.
+        :meth:`resume` gives the spec of a stream that starts after the positions.
         """
         events = read_ledger(self.spark, self.ledger_path).filter(
             (F.col("application_id") == self.application_id) & (F.col("topic") == self.topic)
@@ -131,6 +139,7 @@ class ExactlyOnceSink:
             end = {r["partition"]: r["until_offset"] for r in rows}
             batch = read_range(self.spark, spec, start, end)
             ranges = [(r["partition"], r["from_offset"], r["until_offset"], r["n"]) for r in rows]
+            self._require_claimed(batch, ranges)
             self._write_and_commit(batch, name, ranges, rows[0]["batch_id"])
         events = read_ledger(self.spark, self.ledger_path)
         self.positions = {
@@ -138,6 +147,21 @@ class ExactlyOnceSink:
             for row in resume_position(events, self.application_id, self.topic).collect()
         }
 
+    def resume(self, spec: TopicSpec, partitions: int | None = None) -> TopicSpec:
+        """``spec`` for a stream that goes on after the finished ranges.
+
+        Slices of a file topic that hold nothing after them are not read. A Kafka stream must be told the
+        number of ``partitions``, since its start names all of them.
+        """
+        if spec.kind != "kafka":
+            if not self.positions:
+                return spec
+            first = first_open_slice(self.spark, spec, self.positions)
+            return replace(spec, positions=dict(self.positions), first_slice=first)
+        if partitions is None:
+            raise ValueError("a Kafka stream needs the number of partitions to resume")
+        return replace(spec, starting_offsets=self.starting_offsets(partitions))
+
     def starting_offsets(self, partitions: int) -> str:
         """Start spec of a Kafka stream; a partition that is new starts at its first record."""
         if not self.positions:
@@ -152,7 +176,8 @@ class ExactlyOnceSink:
             fresh = fresh.persist()
         try:
             # One row per topic partition comes to the driver.
-            found = offset_ranges(fresh, ["partition"]).collect()
+            count = offset_ranges if self.holes else counted_offset_ranges
+            found = count(fresh, ["partition"]).collect()
             if not found:
                 return
             ranges = [
@@ -160,7 +185,7 @@ class ExactlyOnceSink:
                 for r in found
             ]
             if not self.holes:
-                self._require_complete(ranges)
+                self._require_complete(found)
             name = range_id(self.application_id, [(self.topic, p, lo, hi) for p, lo, hi, _ in ranges])
             self._append_events(name, ranges, batch_id, processed=False)
             self.on_stage(AFTER_CLAIM, batch_id)
@@ -191,12 +216,24 @@ class ExactlyOnceSink:
             return expected
         raise DataLossError(f"partition {partition}: expected offset {expected}, found {first}")
 
-    def _require_complete(self, ranges: list[tuple]) -> None:
-        """A range without holes has as many rows as offsets."""
+    def _require_complete(self, found: list) -> None:
+        """A range without holes has every offset exactly once."""
+        for r in found:
+            if not r["n"] == r["n_different"] == r["until_offset"] - r["from_offset"]:
+                raise DataLossError(
+                    f"partition {r['partition']}: {r['n']} rows with {r['n_different']} offsets "
+                    f"from {r['from_offset']} to {r['until_offset']}"
+                )
+
+    def _require_claimed(self, batch: DataFrame, ranges: list[tuple]) -> None:
+        """The records read again must be those that were claimed."""
+        found = {r["partition"]: r for r in counted_offset_ranges(batch, ["partition"]).collect()}
         for partition, first, until, rows in ranges:
-            if rows != until - first:
+            r = found.get(partition)
+            if (r["n"] if r else 0) != rows or (r and r["n_different"] != rows):
                 raise DataLossError(
-                    f"partition {partition}: {rows} rows for the offsets from {first} to {until}"
+                    f"partition {partition}: {rows} rows were claimed from {first} to {until}, "
+                    f"{r['n'] if r else 0} are there"
                 )
 
     def _write_and_commit(self, rows: DataFrame, name: str, ranges: list[tuple], batch_id: int) -> None:
@@ -212,8 +249,10 @@ class ExactlyOnceSink:
             for p, lo, hi, n in ranges
         ]
         events = small_table(self.spark, rows, LEDGER_SCHEMA).coalesce(1)
-        version = newest_version(self.spark, self.ledger_path) or 1
-        events.write.mode("append").parquet(version_path(self.ledger_path, version))
+        version = newest_version(self.spark, self.ledger_path)
+        events.write.mode("append").parquet(version_path(self.ledger_path, version or 1))
+        if not version:
+            complete_version(self.spark, self.ledger_path, 1)
 
 
 def run_exactly_once(stream: DataFrame, sink: ExactlyOnceSink, *, checkpoint: str | None = None, trigger: dict | None = None):
