@@ -107,3 +107,11 @@ def test_foreach_awaits_every_row(spark, path):
     receipts = foreach_async(frame(spark, 130, parts=2), lambda: None, touch, "id").collect()
     assert sorted(r["id"] for r in receipts) == list(range(130)) and all(r["done"] for r in receipts)
     assert len(os.listdir(folder)) == 130
+
+
+def test_integers_keep_their_digits_and_nulls_are_none(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, "a"), (None, None), (big + 2, "c")], "id long, t string").coalesce(1)
+    seen = map_async(df, lambda: None, lambda c, row: {"id": row["id"], "seen": repr(row["id"])}, "id long, seen string")
+    assert [tuple(r) for r in seen.collect()] == [(big, str(big)), (None, "None"), (big + 2, str(big + 2))]
+    assert [r["id"] for r in foreach_async(df, lambda: None, lambda c, row: None, "id").collect()] == [big, None, big + 2]

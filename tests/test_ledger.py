@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidelog.operators import ledger
-from tidelog.operators.prefix import prefix_sum, previous_row
+from tidelog.operators.prefix import highest_before, prefix_sum
 from tidelog.storage import small_table
 
 T0 = datetime.datetime(2024, 1, 31)
@@ -107,14 +107,30 @@ def test_prefix_sum_has_no_single_task_window_over_the_rows(spark):
     assert windows and all("windowspecdefinition(id_block" in line for line in windows)
 
 
-def test_previous_row_of_a_hot_key(spark):
-    df = spark.range(0, 500).select(F.lit("hot").alias("k"), (F.col("id") * 3).alias("o"))
-    got = previous_row(df, keys=["k"], order=["o"], carried=F.col("o"), result="before", span=50)
+def test_highest_before_of_a_hot_key(spark):
+    values = [(i * 37) % 501 for i in range(500)]
+    df = spark.createDataFrame([("hot", 3 * i, v) for i, v in enumerate(values)], "k string, o long, v long")
+    got = highest_before(df, keys=["k"], order=["o"], value="v", result="before", span=50)
     assert rows(got, "o", "before") == sorted(
-        [(3 * i, 3 * (i - 1) if i else None) for i in range(500)], key=str
+        [(3 * i, max(values[:i], default=None)) for i in range(500)], key=str
     )
 
 
+@pytest.mark.parametrize("block", [2, 65_536])
+def test_prefix_sum_treats_a_null_index_alike_at_every_size(spark, block):
+    df = spark.createDataFrame([(None, 5), (0, 1), (1, 2), (7, 4), (None, 9)], "i long, v long")
+    got = prefix_sum(df, index="i", value="v", result="s", max_index=7, block=block)
+    assert rows(got) == sorted([(None, 5, None), (0, 1, 1), (1, 2, 3), (7, 4, 7), (None, 9, None)], key=str)
+
+
+def test_ranges_are_compared_with_all_before_them(spark):
+    found = []
+    for lo, hi in ((0, 100), (10, 20), (20, 30), (100, 200)):
+        found.append(("a", "t", 0, lo, hi, hi - lo, "r", 0, f"{lo}", True, None))
+    broken = ledger.range_continuity(small_table(spark, found, ledger.LEDGER_SCHEMA))
+    assert rows(broken, "from_offset", "prev_until", "kind") == [(10, 100, "overlap"), (20, 100, "overlap")]
+
+
 def test_prefix_sum_reads_its_source_once(spark, path):
     spark.range(0, 3000).write.parquet(path("rows"))
     counts = spark.read.parquet(path("rows")).groupBy(F.expr("id div 10").alias("b")).agg(F.count("*").alias("n"))

@@ -104,3 +104,14 @@ def test_bucketed_tables_join_without_an_exchange(spark):
     )
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == left.join(right, "k").count()
+
+
+def test_columns_of_the_same_name_are_both_given(spark):
+    keys = spark.createDataFrame([(1, "left", 99)], "id int, name string, partitioner int")
+    table = spark.createDataFrame([(1, "right", 1)], "id int, name string, partitioner int")
+    got = lookup_join(keys, table, ["id"], select=["id", "name"])
+    assert got.columns == ["id", "name", "partitioner", "table_name"] and rows(got) == [(1, "left", 99, "right")]
+    renamed = lookup_join(keys.withColumnRenamed("id", "dummy"), table, ["dummy"], key_map={"dummy": "partitioner"})
+    assert rows(renamed, "dummy", "partitioner", "table_partitioner", "table_name") == [(1, 99, 1, "right")]
+    with pytest.raises(ValueError, match="table_name"):
+        lookup_join(keys.withColumnRenamed("partitioner", "table_name"), table, ["id"], select=["name"])

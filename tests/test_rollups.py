@@ -59,11 +59,11 @@ def test_trailing_rates(spark):
     first = T.replace(second=0)
     at = lambda m: first + datetime.timedelta(minutes=m)
     assert {k[1] for k in got if k[0] == "a"} == {at(m) for m in range(16)}
-    assert (got["a", at(0)]["n"], got["a", at(0)]["rate_15m"]) == (2, round(2 / 900, 6))
-    assert (got["a", at(1)]["n"], got["a", at(1)]["rate_15m"]) == (1, round(3 / 900, 6))
-    assert (got["a", at(14)]["n"], got["a", at(14)]["rate_15m"]) == (0, round(3 / 900, 6))
-    assert got["a", at(15)]["rate_15m"] == round(1 / 900, 6)
-    assert got["a", at(1)]["rate_1m"] == round(1 / 60, 6)
+    assert (got["a", at(0)]["n"], got["a", at(0)]["rate_15m"]) == (2, 2 / 900)
+    assert (got["a", at(1)]["n"], got["a", at(1)]["rate_15m"]) == (1, 3 / 900)
+    assert (got["a", at(14)]["n"], got["a", at(14)]["rate_15m"]) == (0, 3 / 900)
+    assert got["a", at(15)]["rate_15m"] == 1 / 900
+    assert got["a", at(1)]["rate_1m"] == 1 / 60
     # Percentiles are those of the clock hour: 10:58 and 10:59 only.
     assert got["a", at(0)]["median"] == 2.0 and got["a", at(2)]["median"] is None
 
@@ -80,7 +80,7 @@ def test_approval_rates(spark):
     assert rows(got, "hour", "minute", "ttl_txn_min", "approved_txn_min", "ttl_txn_hr", "approved_txn_hr") == [
         (10, 58, 2, 1, 3, 2), (10, 59, 1, 1, 3, 2), (11, 0, 1, 1, 1, 1),
     ]
-    assert rows(got.filter("minute = 58"), "approved_rate_min", "approved_rate_hr") == [(0.5, round(2 / 3, 6))]
+    assert rows(got.filter("minute = 58"), "approved_rate_min", "approved_rate_hr") == [(0.5, 2 / 3)]
 
 
 def test_offset_ranges_and_totals(spark):
@@ -140,3 +140,11 @@ def test_read_committed_only_grows_as_markers_arrive(spark):
         assert visible <= now
         visible = now
     assert len(visible) == 2 * 6 * 3
+
+
+def test_percentiles_of_infinities_and_small_rates(spark):
+    df = spark.createDataFrame([("a", math.inf), ("a", math.inf), ("a", 1.0), ("b", -math.inf), ("b", -math.inf)], "k string, v double")
+    got = rows(exact_percentiles(df, ["k"], "v", {"p50": 0.5, "p0": 0.0}))
+    assert got == [("a", math.inf, 1.0), ("b", -math.inf, -math.inf)]
+    events = spark.range(1).select(F.lit("x").alias("event_type"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.lit(1e-9).alias("value"))
+    assert {r["median"] for r in rollups.metric_rollup(events).collect()} == {1e-9}

@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidelog.storage import ship_package
 
@@ -17,21 +18,22 @@ from tidelog.storage import ship_package
 IN_FLIGHT = 49
 TIMEOUT_SECONDS = 10.0
 
-# Results handed back to Spark at a time.
+# Rows turned into Python values, and results handed back to Spark, at a time.
+INPUT_ROWS = 256
 OUTPUT_ROWS = 1000
 
 
 def _results(
-    batches: Iterator[pd.DataFrame], submit: Callable[[dict], Any], in_flight: int, timeout: float
+    batches: Iterator[pa.RecordBatch], submit: Callable[[dict], Any], in_flight: int, timeout: float
 ) -> Iterator[Any]:
     """Results in input order while at most ``in_flight`` calls are pending."""
     pending: deque = deque()
     for batch in batches:
-        names = list(batch.columns)
-        for values in batch.itertuples(index=False, name=None):
-            if len(pending) >= in_flight:
-                yield pending.popleft().result(timeout=timeout)
-            pending.append(submit(dict(zip(names, values))))
+        for start in range(0, batch.num_rows, INPUT_ROWS):
+            for row in batch.slice(start, INPUT_ROWS).to_pylist():
+                if len(pending) >= in_flight:
+                    yield pending.popleft().result(timeout=timeout)
+                pending.append(submit(row))
     while pending:
         yield pending.popleft().result(timeout=timeout)
 
@@ -51,14 +53,15 @@ def map_async(
     Each partition makes one client, keeps up to ``in_flight`` calls running in
     threads, and closes the client when the partition ends, also after an error
     and for an empty partition. A call that takes longer than ``timeout`` fails
-    the task; Spark then runs the partition again, so calls must be repeatable.
+    the task; Spark then runs the partition again, so calls must be repeatable. Rows
+    are plain Python values: integers keep all their digits, nulls are None.
     """
     ship_package(df.sparkSession)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    fields = schema.fieldNames()
+    arrow_schema = to_arrow_schema(schema)
 
-    def run_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make_client()
         pool = ThreadPoolExecutor(max_workers=in_flight)
         try:
@@ -66,16 +69,16 @@ def map_async(
             for result in _results(batches, lambda row: pool.submit(call, client, row), in_flight, timeout):
                 rows.append(result)
                 if len(rows) >= OUTPUT_ROWS:
-                    yield pd.DataFrame(rows, columns=fields)
+                    yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
                     rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=fields)
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
         finally:
             pool.shutdown(wait=False, cancel_futures=True)
             if close is not None:
                 close(client)
 
-    return df.mapInPandas(run_partition, schema)
+    return df.mapInArrow(run_partition, schema)
 
 
 def foreach_async(

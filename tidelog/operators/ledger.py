@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators.prefix import previous_row
+from tidelog.operators.prefix import highest_before
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -72,17 +72,18 @@ def ledger_history(events: DataFrame, application_id: str, topic: str) -> DataFr
 def range_continuity(
     events: DataFrame, *, transactional: bool = False, span: int = ORDER_SPAN
 ) -> DataFrame:
-    """Finished ranges that do not start where the range before them ended.
+    """Finished ranges that do not start where all ranges before them ended.
 
-    In strict mode the start must equal the previous end; a transactional topic
-    uses offsets for its own records, so there a later start is allowed.
+    ``prev_until`` is the highest end of the ranges that start before. In strict mode
+    the start must equal it; a transactional topic uses offsets for its own records,
+    so there a later start is allowed.
     """
     ranges = events.filter("processed").groupBy(*RANGE_KEY).agg(F.max("n").alias("n"))
-    placed = previous_row(
+    placed = highest_before(
         ranges,
         keys=POSITION_KEY,
         order=["from_offset", "until_offset"],
-        carried=F.col("until_offset"),
+        value="until_offset",
         result="prev_until",
         span=span,
     )

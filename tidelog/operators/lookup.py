@@ -32,7 +32,8 @@ def lookup_join(
     match are dropped and null keys match nothing. The result has all columns of
     ``keys`` and the chosen table columns: ``select``, all of them by default,
     or, with ``value=(column, new_name)``, only that table column under its new
-    name. Spark's adaptive execution chooses a broadcast or a shuffle from the
+    name. A key column that both sides call the same is given once; any other table column
+    whose name the key side uses too is given as ``table_<name>``. Spark's adaptive execution chooses a broadcast or a shuffle from the
     sizes, and splits skewed shuffle partitions.
     """
     pairs = _key_pairs(on, key_map)
@@ -46,11 +47,13 @@ def lookup_join(
     joined = left.join(right, condition, "inner")
     if value:
         return joined.select(F.col(f"entries.{value[0]}").alias(value[1]))
-    # A table column that the key side already has under the same name is the
-    # same value for an equal key, and is given once.
-    extra = [c for c in wanted if c not in keys.columns]
+    extra = [c for c in wanted if (c, c) not in pairs]
+    named = {c: f"table_{c}" if c in keys.columns else c for c in extra}
+    if taken := sorted({*keys.columns, *extra} & {new for old, new in named.items() if new != old}):
+        raise ValueError(f"both sides have columns named {taken}")
     return joined.select(
-        *[F.col(f"keys.{c}") for c in keys.columns], *[F.col(f"entries.{c}") for c in extra]
+        *[F.col(f"keys.{c}") for c in keys.columns],
+        *[F.col(f"entries.{c}").alias(named[c]) for c in extra],
     )
 
 
@@ -68,10 +71,11 @@ def frequent_keys(df: DataFrame, on: list[str], parts: int) -> DataFrame:
     """Keys that hold more than one in ``parts`` of the rows.
 
     There are fewer than ``parts`` such keys, whatever the data. Counts are
-    combined before the shuffle.
+    combined before the shuffle, and the total is the sum of the same counts.
     """
-    total = df.select(*on).count()
-    return df.groupBy(*on).count().filter(F.col("count") * parts > total).select(*on)
+    counts = df.groupBy(*on).count()
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.filter(F.col("count") * parts > total).select(*on)
 
 
 def copartition_join(

@@ -92,5 +92,7 @@ def exact_percentiles(
     results = []
     for name, p in wanted.items():
         low, high = F.col(f"_{name}_floor"), F.col(f"_{name}_ceil")
-        results.append((low + (high - low) * (rank(p) - F.floor(rank(p)))).alias(name))
+        between = low + (high - low) * (rank(p) - F.floor(rank(p)))
+        # Two equal infinities have no difference.
+        results.append(F.when(low == high, low).otherwise(between).alias(name))
     return found.select(*keys, *results)

@@ -1,4 +1,4 @@
-"""Running totals and previous-row lookups without a single-task window.
+"""Running totals and running maxima without a single-task window.
 
 Spark computes a window without a partition key in one task, and a window over
 a hot key likewise. The functions here cut the order into blocks of bounded
@@ -7,7 +7,7 @@ length, work inside the blocks, and carry one row per block forward.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.numbers import int_div
@@ -20,13 +20,16 @@ def prefix_sum(
 ) -> DataFrame:
     """Add ``result``: the sum of ``value`` over all rows up to this ``index``.
 
-    ``index`` is a unique, non-null integer from 0 to ``max_index`` (holes are fine). No
-    task handles more than ``block`` rows of the order at any level.
+    ``index`` is a unique integer from 0 to ``max_index`` (holes are fine). A row
+    with a null index has no place in the order: it is kept, counts for no other row and has a
+    null result. No task handles more than ``block`` rows of the order at any level.
     """
-    if max_index < block:
-        order = Window.orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(result, F.sum(value).over(order))
+    placed = _blocked_sum(df.filter(F.col(index).isNotNull()), index, value, result, max_index, block)
+    nowhere = F.lit(None).cast(placed.schema[result].dataType).alias(result)
+    return placed.unionByName(df.filter(F.col(index).isNull()).select("*", nowhere))
 
+
+def _blocked_sum(df: DataFrame, index: str, value: str, result: str, max_index: int, block: int) -> DataFrame:
     # Named after the index, because the totals of a level are the input of the next.
     number, total, carry = f"{index}_block", f"{index}_total", f"{index}_carry"
     # The join adds this filter to one branch; given here it is in both, and what
@@ -36,9 +39,13 @@ def prefix_sum(
         Window.partitionBy(number).orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     totals = blocked.groupBy(number).agg(F.sum(value).alias(total))
-    carried = prefix_sum(
-        totals, index=number, value=total, result=carry, max_index=max_index // block, block=block
-    ).select(number, (F.col(carry) - F.col(total)).alias(carry))
+    last = max_index // block
+    if last < block:
+        order = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        carried = totals.withColumn(carry, F.sum(total).over(order))
+    else:
+        carried = _blocked_sum(totals, number, total, carry, last, block)
+    carried = carried.select(number, (F.col(carry) - F.col(total)).alias(carry))
     return (
         blocked.withColumn(result, F.sum(value).over(inside))
         .join(carried, number)
@@ -47,34 +54,26 @@ def prefix_sum(
     )
 
 
-def previous_row(
-    df: DataFrame,
-    *,
-    keys: list[str],
-    order: list[str],
-    carried: Column,
-    result: str,
-    span: int,
+def highest_before(
+    df: DataFrame, *, keys: list[str], order: list[str], value: str, result: str, span: int
 ) -> DataFrame:
-    """Add ``result``: ``carried`` of the row before, in ``order``, within ``keys``.
+    """Add ``result``: the highest ``value`` of all rows before, in ``order``, within ``keys``.
 
     Keys are not null. The first ``order`` column is an integer; rows are grouped by key and by
     ``span`` values of it, so that a hot key is spread over many tasks. Only the
-    last row of each such group is compared across groups.
+    highest value of each such group is compared across groups.
     """
-    grouped = df.withColumn("_span", int_div(F.col(order[0]), span)).withColumn(
-        "_carried", carried
-    )
-    inside = Window.partitionBy(*keys, "_span").orderBy(*order)
-    last = grouped.groupBy(*keys, "_span").agg(
-        F.max(F.struct(*order, "_carried")).alias("_last")
+    grouped = df.withColumn("_span", int_div(F.col(order[0]), span))
+    before = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, "_span").orderBy(*order).rowsBetween(*before)
+    across = Window.partitionBy(*keys).orderBy("_span").rowsBetween(*before)
+    entering = (
+        grouped.groupBy(*keys, "_span").agg(F.max(value).alias("_top"))
+        .select(*keys, "_span", F.max("_top").over(across).alias("_entering"))
     )
-    across = Window.partitionBy(*keys).orderBy("_span")
-    entering = last.select(*keys, "_span", F.lag("_last._carried").over(across).alias("_entering"))
     return (
-        grouped.withColumn("_before", F.lag("_carried").over(inside))
-        .withColumn("_first", F.row_number().over(inside) == 1)
+        grouped.withColumn("_inside", F.max(value).over(inside))
         .join(entering, [*keys, "_span"])
-        .withColumn(result, F.when(F.col("_first"), F.col("_entering")).otherwise(F.col("_before")))
+        .withColumn(result, F.greatest("_inside", "_entering"))
         .select(*df.columns, result)
     )

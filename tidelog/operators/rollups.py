@@ -40,18 +40,17 @@ def trailing_rates(events: DataFrame) -> DataFrame:
         "minute",
         "n",
         "n_15m",
-        F.round(F.col("n") / (60 * SHORT_MINUTES), 6).alias("rate_1m"),
-        F.round(F.col("n_15m") / (60 * LONG_MINUTES), 6).alias("rate_15m"),
+        (F.col("n") / (60 * SHORT_MINUTES)).alias("rate_1m"),
+        (F.col("n_15m") / (60 * LONG_MINUTES)).alias("rate_15m"),
     )
 
 
-def hourly_percentiles(events: DataFrame, digits: int = 6) -> DataFrame:
+def hourly_percentiles(events: DataFrame) -> DataFrame:
     """Exact median, 95th and 99th percentile of ``value`` per type and hour."""
     hourly = events.select(
         "event_type", int_div(epoch_minute(F.col("ts")), 60).alias("hour"), "value"
     )
-    marks = exact_percentiles(hourly, ["event_type", "hour"], "value", PERCENTILES)
-    return marks.select("event_type", "hour", *[F.round(name, digits).alias(name) for name in PERCENTILES])
+    return exact_percentiles(hourly, ["event_type", "hour"], "value", PERCENTILES)
 
 
 def approximate_percentiles(events: DataFrame, accuracy: int = 10_000) -> DataFrame:
@@ -98,11 +97,8 @@ def approval_rate_minute(transactions: DataFrame, approved: Column) -> DataFrame
         .withColumn("approved_txn_hr", F.sum("approved_txn_min").over(clock_hour))
         .select(
             "year", "month", "day", "hour", "minute",
-            F.round(F.col("approved_txn_hr") / F.col("ttl_txn_hr"), 6).alias("approved_rate_hr"),
-            F.round(F.col("approved_txn_min") / F.col("ttl_txn_min"), 6).alias("approved_rate_min"),
-            F.col("approved_txn_hr").cast("int").alias("approved_txn_hr"),
-            F.col("approved_txn_min").cast("int").alias("approved_txn_min"),
-            F.col("ttl_txn_hr").cast("int").alias("ttl_txn_hr"),
-            F.col("ttl_txn_min").cast("int").alias("ttl_txn_min"),
+            (F.col("approved_txn_hr") / F.col("ttl_txn_hr")).alias("approved_rate_hr"),
+            (F.col("approved_txn_min") / F.col("ttl_txn_min")).alias("approved_rate_min"),
+            "approved_txn_hr", "approved_txn_min", "ttl_txn_hr", "ttl_txn_min",
         )
     )
