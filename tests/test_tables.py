@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,7 +117,7 @@ def test_rows_written_by_a_stream(spark, path):
 def test_row_writer_replaces_on_retry_and_leaves_nothing_on_error(path):
     from pyspark.sql import Row
 
-    writer = RowWriter(path("rows"))
+    writer = RowWriter("file:" + path("rows"))
     for value in (1, 2):
         assert writer.open(0, 5)
         writer.process(Row(a=value))
@@ -167,3 +168,43 @@ def test_settings_follow_the_input():
 
     assert settings_for(10, 8)["spark.sql.shuffle.partitions"] == "8"
     assert settings_for(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "102400"
+
+
+def test_upsert_takes_maps_and_refuses_null_keys(spark, path):
+    schema = "k int, items map<string,double>, tags array<string>, seq int"
+    sinks.upsert(spark, path("t"), spark.createDataFrame([(1, {"a": 1.0}, ["x"], 0), (2, {}, None, 0)], schema), ["k"], "seq")
+    changes = [(1, {"b": 2.0}, ["y"], 2), (1, {"c": 3.0}, ["z"], 1), (3, None, [], 1)]
+    sinks.upsert(spark, path("t"), spark.createDataFrame(changes, schema), ["k"], "seq")
+    got = {r["k"]: (r["items"], r["tags"]) for r in sinks.read_keyed_table(spark, path("t")).collect()}
+    assert got == {1: ({"b": 2.0}, ["y"]), 2: ({}, None), 3: (None, [])}
+    with pytest.raises(Exception, match="key column is null"):
+        sinks.upsert(spark, path("t"), spark.createDataFrame([(None, {}, [], 3)], schema), ["k"], "seq")
+    assert sinks.read_keyed_table(spark, path("t")).count() == 3
+
+
+def test_csv_gives_any_text_back(spark, path):
+    texts = ["a\nb", "", None, 'say "x"', "a,b", " pad ", "\n", "back\\slash", "é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    sinks.export_csv(df, path("csv"))
+    got = {r["i"]: r["t"] for r in tables.read_csv(spark, path("csv"), df.schema).collect()}
+    assert got == dict(enumerate(texts))
+
+
+def test_rows_of_all_types_come_back(spark, path):
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    schema = "b binary, d date, t timestamp_ntz, n decimal(10,2), big long, m map<string,binary>, a array<date>, s string"
+    values = (bytearray(b"\x00\xff"), date(2024, 2, 29), datetime(2024, 1, 2, 3, 4, 5, 678901), Decimal("1.50"), 2**60,
+              {"k": bytearray(b"v")}, [date(2024, 1, 1)], "é\n")
+    df = spark.createDataFrame([values, (None,) * 8], schema)
+    df.write.parquet(path("in"))
+    foreach_rows(spark.readStream.schema(df.schema).parquet(path("in")), RowWriter(path("rows"))).awaitTermination()
+    back = read_rows(spark, path("rows"), df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_rows_need_a_known_file_system(spark, path):
+    stream = spark.readStream.schema("a int").parquet(path(""))
+    with pytest.raises(Exception, match="nowhere|No FileSystem"):
+        foreach_rows(stream, RowWriter("nowhere://x/y"))

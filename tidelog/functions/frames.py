@@ -142,6 +142,37 @@ def _decode_string(df: DataFrame, column: str, i: int) -> DataFrame:
     )
 
 
+def decode_registered(
+    df: DataFrame,
+    column: str,
+    registry: DataFrame,
+    fields: tuple[str, ...] = USER_FIELDS,
+    topic_column: str = "topic",
+) -> DataFrame:
+    """:func:`decode_frames` with the schema ids that the registry has for ``<topic>-value``.
+
+    ``registry`` has ``subject`` and ``schema_id``. A frame with another id is unknown,
+    whatever its body looks like. The ids of a topic are few; no hint is given, so the
+    runtime size of the registry decides between a broadcast and a shuffle.
+    """
+    known = registry.select(
+        F.col("subject").alias("_subject"), F.col("schema_id").cast("bigint").alias("_written_id"), F.lit(True).alias("_known")
+    ).distinct()
+    written = F.when(
+        F.octet_length(column) >= HEADER_BYTES, F.conv(F.hex(F.substring(column, 2, 4)), 16, 10).cast("bigint")
+    )
+    looked_up = df.withColumn("_subject", F.concat(F.col(topic_column), F.lit("-value"))).withColumn("_written_id", written)
+    decoded = decode_frames(looked_up.join(known, ["_subject", "_written_id"], "left"), column, fields)
+    unknown = (
+        F.col("_known").isNull() & F.col("_written_id").isNotNull() & ~F.coalesce(F.col("error") == BAD_MAGIC, F.lit(False))
+    )
+    return decoded.select(
+        *df.columns,
+        *[F.when(~unknown, F.col(c)).alias(c) for c in ("schema_id", *fields)],
+        F.when(unknown, F.lit(UNKNOWN_SCHEMA)).otherwise(F.col("error")).alias("error"),
+    )
+
+
 def dead_letters(decoded: DataFrame) -> DataFrame:
     """The rows of a decoded frame table that could not be read."""
     return decoded.filter(F.col("error").isNotNull())

@@ -20,11 +20,8 @@ APPLICATION = "rollup"
 PARTITIONS = 4
 USER_SCHEMA_ID = 42
 
-# Upper bound of a topic file, and the number of slices of a topic below that bound.
-MAX_FILE_OFFSETS = 1_000_000
-MIN_SLICES = 4
-SLICES_PER_BATCH = 2
-MAX_TASKS = 20_000
+# Rows of a topic file; a micro-batch takes as many files as there are cores.
+FILE_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,16 +65,21 @@ EVENT_JSON_SCHEMA = "event_id bigint, user_id bigint, event_type string, value d
 def published(spark: SparkSession, records: DataFrame, rows: int, topic: str) -> TopicSpec:
     """Write records (dealt evenly to the partitions) to a new file topic.
 
-    Four slices, or more when a file would pass its bound.
+    A micro-batch keeps all cores busy, and there are two batches at least. The topic is
+    published in two calls that meet inside a slice.
     """
-    width = max(1, min(MAX_FILE_OFFSETS, math.ceil((last_offset(rows) + 1) / MIN_SLICES)))
+    offsets = last_offset(rows) + 1
+    slices_per_batch = max(1, math.ceil(spark.sparkContext.defaultParallelism / PARTITIONS))
+    slices = max(2 * slices_per_batch, math.ceil(offsets / FILE_ROWS))
+    width = max(1, math.ceil(offsets / slices))
     spec = TopicSpec(
         topic=topic,
         root=scratch(spark, "topic"),
-        max_files_per_trigger=SLICES_PER_BATCH * PARTITIONS,
+        max_files_per_trigger=slices_per_batch * PARTITIONS,
     )
-    files = PARTITIONS * math.ceil((last_offset(rows) + 1) / width)
-    publish(records, spec, offsets_per_slice=width, tasks=min(2 * files, MAX_TASKS))
+    half = width * (slices // 2) + width // 2
+    for part in (F.col("offset") < half, F.col("offset") >= half):
+        publish(records.filter(part), spec, offsets_per_slice=width, tasks=slices * PARTITIONS)
     return spec
 
 
@@ -87,6 +89,15 @@ def published_events(spark: SparkSession, sf_dir: str, value: Column | None = No
     )
 
 
+def schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of the user schema: one per region, ids from 40."""
+    return table(spark, sf_dir, "region").select(
+        F.lit("user-value").alias("subject"),
+        F.col("r_regionkey").alias("version"),
+        (F.col("r_regionkey") + 40).alias("schema_id"),
+    )
+
+
 def user_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as framed user records ``(c_custkey, frame)``."""
     return table(spark, sf_dir, "customer").select(

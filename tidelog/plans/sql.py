@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from tidelog.functions.timeuuid import UUID_EPOCH_STEPS
-from tidelog.plans.fixtures import (
-    APPLICATION, MAX_FILE_OFFSETS, MIN_SLICES, PARTITIONS, SLICES_PER_BATCH, USER_SCHEMA_ID,
-)
+from tidelog.plans.fixtures import APPLICATION, USER_SCHEMA_ID
 from tidelog.plans.jobs import SEED
 from tidelog.sources.generate import (
     ABORT_ABOVE, ABORT_RANGE, AGE_RANGE, MAX_RECORDS_PER_TXN, NAME_ALPHABET, NAME_LENGTH,
@@ -70,6 +68,8 @@ def _string_bytes(text: str) -> str:
 _UUID_STEPS = f"printf('%015x', epoch_us(ts) * 10 + {UUID_EPOCH_STEPS})"
 _UUID_DIGEST = "md5(cast(event_id AS varchar))"
 
+_BIG_ID = f"CASE WHEN doc_id % 3 <> 0 THEN doc_id + {2**53 + 1} END"
+
 ORACLE: dict[str, str] = {
     "topic_view": f"""
       SELECT "key", props AS value, 'events' AS topic, "partition", "offset", ts AS "timestamp",
@@ -95,23 +95,28 @@ ORACLE: dict[str, str] = {
              CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_size END AS ent_other FROM part""",
     "keyed_table_scan": "SELECT * FROM supplier",
     "range_source": """
-      SELECT i AS k, 'd' || i AS day, 'bucket' || i AS bucket
-      FROM range(1, (SELECT count(*) + 1 FROM orders)) r(i)""",
+      SELECT o_orderkey AS k, 'd' || o_orderkey AS day, 'bucket' || o_orderkey AS bucket,
+             o_orderkey AS "key", o_orderkey AS v1, o_orderkey AS v2 FROM orders""",
     "filter_scan": "SELECT * FROM part WHERE p_size > 20",
-    "csv_export": "SELECT p_partkey, p_size, p_name FROM part WHERE p_size > 20",
+    "csv_export": """
+      SELECT p_partkey, p_size,
+             CASE p_size % 5 WHEN 0 THEN '' WHEN 1 THEN NULL
+                             WHEN 2 THEN p_name || chr(10) || '"quoted", second line' ELSE p_name END AS p_name
+      FROM part WHERE p_size > 20""",
     "upsert_table": """
       SELECT c_custkey, c_name, c_nationkey,
              CASE WHEN c_acctbal < 5000 THEN c_acctbal + 200 ELSE c_acctbal END AS c_acctbal,
-             c_mktsegment
+             c_mktsegment, c_acctbal AS item, c_mktsegment || '|' || c_name AS tags
       FROM customer
       UNION ALL
-      SELECT -1 - c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+      SELECT -1 - c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_acctbal,
+             c_mktsegment || '|' || c_name FROM customer""",
     "lookup_join_select": """
-      SELECT o_custkey AS c_custkey, c_name, c_mktsegment
+      SELECT o_custkey AS c_custkey, o_orderstatus AS c_mktsegment, c_name, c_mktsegment AS table_c_mktsegment
       FROM orders JOIN customer ON o_custkey = c_custkey""",
     "lookup_join_all": "SELECT orders.* FROM customer JOIN orders ON o_custkey = c_custkey",
     "lookup_join_mapped": """
-      SELECT dummy, day, bucket, '42' AS toto, l_orderkey, l_quantity
+      SELECT dummy, day, bucket, '42' AS toto, -1 AS l_quantity, l_orderkey, l_quantity AS table_l_quantity
       FROM (SELECT DISTINCT l_partkey AS dummy, l_suppkey AS day, l_linenumber AS bucket FROM lineitem) k
       JOIN lineitem ON dummy = l_partkey AND day = l_suppkey AND bucket = l_linenumber""",
     "lookup_join_value": """
@@ -132,8 +137,11 @@ ORACLE: dict[str, str] = {
       FROM ({TOPIC_ROWS}) GROUP BY "partition", "offset" // 250""",
     "row_count": "SELECT count(*) AS n FROM events",
     "batch_running_total": f"""
-      SELECT batch_id, n, cast(sum(n) OVER (ORDER BY batch_id) AS bigint) AS total
-      FROM (SELECT "offset" // 250 AS batch_id, count(*) AS n FROM ({TOPIC_ROWS}) GROUP BY 1)""",
+      SELECT batch_id, n,
+             CASE WHEN batch_id IS NOT NULL
+                  THEN cast(sum(n) OVER (ORDER BY batch_id NULLS LAST) AS bigint) END AS total
+      FROM (SELECT CASE WHEN "offset" % 97 <> 0 THEN "offset" // 250 END AS batch_id, count(*) AS n
+            FROM ({TOPIC_ROWS}) GROUP BY 1)""",
     "metric_rollup": """
       WITH spread AS (
         SELECT event_type, date_trunc('minute', ts) + to_minutes(cast(k AS integer)) AS "minute", k
@@ -162,8 +170,7 @@ ORACLE: dict[str, str] = {
              cast(minute(m.at) AS integer) AS minute,
              round(h.ok / h.ttl::double, 6) AS approved_rate_hr,
              round(m.ok / m.ttl::double, 6) AS approved_rate_min,
-             cast(h.ok AS integer) AS approved_txn_hr, cast(m.ok AS integer) AS approved_txn_min,
-             cast(h.ttl AS integer) AS ttl_txn_hr, cast(m.ttl AS integer) AS ttl_txn_min
+             h.ok AS approved_txn_hr, m.ok AS approved_txn_min, h.ttl AS ttl_txn_hr, m.ttl AS ttl_txn_min
       FROM m JOIN h ON date_trunc('hour', m.at) = h.at""",
     "ledger_current": f"""
       SELECT application_id, topic, "partition", event_time, from_offset, until_offset, n
@@ -174,9 +181,12 @@ ORACLE: dict[str, str] = {
     "range_continuity": f"""
       SELECT application_id, topic, "partition", from_offset, until_offset, prev_until,
              CASE WHEN from_offset > prev_until THEN 'gap' ELSE 'overlap' END AS kind
-      FROM (SELECT *, lag(until_offset) OVER (PARTITION BY application_id, topic, "partition"
-                                              ORDER BY from_offset, until_offset) AS prev_until
-            FROM ({LEDGER_ROWS}) WHERE processed)
+      FROM (SELECT *, max(until_offset) OVER (PARTITION BY application_id, topic, "partition"
+                                              ORDER BY from_offset, until_offset
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_until
+            FROM (SELECT * REPLACE (until_offset + CASE WHEN "partition" = 3 AND batch_id = 0 THEN 600 ELSE 0 END
+                                    AS until_offset) FROM ({LEDGER_ROWS}))
+            WHERE processed)
       WHERE from_offset <> prev_until""",
     "ledger_retention": f"""
       SELECT * FROM ({LEDGER_ROWS})
@@ -233,21 +243,21 @@ ORACLE: dict[str, str] = {
       FROM (SELECT event_id, {_UUID_STEPS} AS steps, {_UUID_DIGEST} AS digest FROM events)""",
     "timeuuid_time": "SELECT event_id, ts FROM events",
     "payload_generate": f"""
-      SELECT *, '{{"name":"' || name || '","age":' || age || '}}' AS value
+      SELECT *, '{{"name":"' || name || '","age":' || age || '}}' AS value,
+             '{{"abort":"' || abort || '","name":"' || name || '","age":' || age || '}}' AS flagged_value
       FROM (SELECT event_id, {_name('event_id')} AS name,
-                   {_draw(_digest('age', 'event_id'), 1, 8, AGE_RANGE)} AS age
+                   {_draw(_digest('age', 'event_id'), 1, 8, AGE_RANGE)} AS age,
+                   CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END AS abort
             FROM events)""",
-    "async_enrich": "SELECT doc_id, cast(2 * length(text) AS bigint) AS doubled FROM documents",
-    "async_foreach": "SELECT doc_id, true AS done FROM documents",
-    "foreach_rows": f'SELECT "partition", "offset", "key" FROM ({TOPIC_ROWS})',
-    "query_progress": f"""
-      WITH t AS ({TOPIC_ROWS}),
-      w AS (SELECT least({MAX_FILE_OFFSETS}, (max("offset") + {MIN_SLICES}) // {MIN_SLICES}) AS width FROM t)
-      SELECT 'watched' AS name,
-             cast(ceil(count(DISTINCT ("partition", "offset" // width))
-                       / {SLICES_PER_BATCH * PARTITIONS}.0) AS bigint) AS batches,
-             count(*) AS input_rows, true AS terminated, cast(NULL AS varchar) AS exception
-      FROM t, w""",
+    "async_enrich": f"""
+      SELECT doc_id, {_BIG_ID} AS big, cast(2 * length(text) AS bigint) AS doubled FROM documents""",
+    "async_foreach": f"SELECT {_BIG_ID} AS big, true AS done FROM documents",
+    "foreach_rows": f"""
+      SELECT "key", props AS value, 'events' AS topic, "partition", "offset", ts AS "timestamp",
+             0 AS "timestampType" FROM ({TOPIC_ROWS})""",
+    "query_progress": """
+      SELECT 'watched' AS name, true AS ran, count(*) AS input_rows, true AS terminated,
+             cast(NULL AS varchar) AS exception FROM events""",
     "read_committed": f"""
       WITH r AS (
         SELECT event_id, "partition", ("offset" // 3) AS txn_id,
@@ -274,7 +284,9 @@ ORACLE: dict[str, str] = {
         SELECT txn_id, abort, first_record,
                least(wanted, (SELECT count(*) FROM events) - first_record) AS n
         FROM placed WHERE first_record < (SELECT count(*) FROM events))
-      SELECT txn_id, cast(i AS integer) AS place, abort, event_id, event_type
+      SELECT txn_id, cast(i AS integer) AS place, abort, event_id, event_type,
+             '{{"abort":"' || CASE WHEN abort THEN 'true' ELSE 'false' END || '","name":"' || {_name('event_id')}
+             || '","age":' || {_draw(_digest('age', 'event_id'), 1, 8, AGE_RANGE)} || '}}' AS value
       FROM plan, range({MAX_RECORDS_PER_TXN}) r(i), events
       WHERE i < n AND event_id = first_record + i""",
     "exactly_once_sink": DECODED_EVENTS,

@@ -48,11 +48,14 @@ def payload_columns(index: Column, seed: int) -> list[Column]:
     return [random_name(index, seed).alias("name"), random_age(index, seed).alias("age")]
 
 
-def generate_payloads(df: DataFrame, index: str, seed: int) -> DataFrame:
-    """One ``{"name": ..., "age": ...}`` message per row of ``df``."""
-    return df.select(index, *payload_columns(F.col(index), seed)).withColumn(
-        "value", encode_json("name", "age")
-    )
+def generate_payloads(df: DataFrame, index: str, seed: int, abort: Column | None = None) -> DataFrame:
+    """One ``{"name": ..., "age": ...}`` message per row of ``df``.
+
+    With ``abort`` (a boolean), messages start with its text: ``{"abort": "true", ...}``.
+    """
+    flag = [] if abort is None else [abort.cast("string").alias("abort")]
+    fields = [*["abort" for _ in flag], "name", "age"]
+    return df.select(index, *flag, *payload_columns(F.col(index), seed)).withColumn("value", encode_json(*fields))
 
 
 def transaction_plan(candidates: DataFrame, size: int, seed: int) -> DataFrame:
@@ -108,7 +111,8 @@ def generate_transactions(records: DataFrame, index: str, size: int, seed: int)
 
     ``index`` numbers the rows 0 to ``size - 1``. The result has one row per
     record sent: ``txn_id``, place ``i`` in the transaction, ``abort``, and the
-    columns of ``records``. Each row is committed exactly once.
+    columns of ``records``, and the message with the abort flag as ``value``. Each row is
+    committed exactly once.
     """
     spark = records.sparkSession
     candidates = spark.range(candidates_needed(size)).withColumnRenamed("id", "txn_id")
@@ -119,4 +123,7 @@ def generate_transactions(records: DataFrame, index: str, size: int, seed: int)
         F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("i"),
         "first_record",
     ).withColumn(index, F.col("first_record") + F.col("i"))
-    return sent.drop("first_record").join(records, index)
+    joined = sent.drop("first_record").join(records, index)
+    name, age = payload_columns(F.col(index), seed)
+    message = F.to_json(F.struct(F.col("abort").cast("string").alias("abort"), name, age))
+    return joined.withColumn("value", message)

@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The same on both sides. A null has a mark of its own; an empty text is a pair of quotes.
+CSV_OPTIONS = {
+    "header": "false", "nullValue": "\\N", "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
 PAIR_SCHEMA = T.StructType(
     [T.StructField("ent_id", T.IntegerType()), T.StructField("ent_other", T.IntegerType())]
 )
@@ -19,8 +25,14 @@ def read_table(spark: SparkSession, keyspace: str, table: str, view: str | None
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV without header and with a given schema; a cell that does not fit is null."""
-    return spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE").csv(path)
+    """CSV without header and with a given schema; a cell that does not fit is null.
+
+    A table with text may have line breaks in it: its files are read whole, one per
+    task, as they were written. Others are split.
+    """
+    text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
+    return reader.option("multiLine", str(text).lower()).csv(path)
 
 
 def key_columns(index: Column, first: str = "k", prefix: str = "d", bucket: str = "bucket") -> list[Column]:
@@ -38,11 +50,14 @@ def key_range(spark: SparkSession, last: int, first: int = 1) -> DataFrame:
     return spark.range(first, last + 1).select(*key_columns(F.col("id")))
 
 
+def triple_columns(index: Column) -> list[Column]:
+    """``(i, i, i)`` for an integer column."""
+    return [index.alias("key"), index.alias("v1"), index.alias("v2")]
+
+
 def triple_range(spark: SparkSession, rows: int) -> DataFrame:
     """Rows ``(i, i, i)`` for ``i`` from 0."""
-    return spark.range(rows).select(
-        F.col("id").alias("key"), F.col("id").alias("v1"), F.col("id").alias("v2")
-    )
+    return spark.range(rows).select(*triple_columns(F.col("id")))
 
 
 def filter_view(
