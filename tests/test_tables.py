@@ -167,7 +167,7 @@ def test_settings_follow_the_input():
     from tidelog.session import settings_for
 
     assert settings_for(10, 8)["spark.sql.shuffle.partitions"] == "8"
-    assert settings_for(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "102400"
+    assert settings_for(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "409600"
 
 
 def test_upsert_takes_maps_and_refuses_null_keys(spark, path):

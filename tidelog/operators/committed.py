@@ -9,32 +9,33 @@ COMMIT = "commit"
 ABORT = "abort"
 
 
-def last_stable_offsets(records: DataFrame, markers: DataFrame) -> DataFrame:
-    """First offset of the oldest open transaction, per partition that has one.
+def with_state(records: DataFrame, markers: DataFrame) -> DataFrame:
+    """Records with the ``state`` of their transaction; null while it is open."""
+    states = markers.groupBy("partition", "txn_id").agg(F.max("state").alias("state"))
+    return records.join(states, ["partition", "txn_id"], "left")
 
-    Records are reduced to one row per transaction before they meet the markers.
-    """
-    started = records.groupBy("partition", "txn_id").agg(F.min("offset").alias("first_offset"))
+
+def last_stable_offsets(stated: DataFrame) -> DataFrame:
+    """First offset of the oldest open transaction, per partition that has one."""
     return (
-        started.join(markers.select("partition", "txn_id"), ["partition", "txn_id"], "left_anti")
-        .groupBy("partition")
-        .agg(F.min("first_offset").alias("stable_until"))
+        stated.filter(F.col("state").isNull())
+        .groupBy("partition").agg(F.min("offset").alias("stable_until"))
     )
 
 
 def read_committed(records: DataFrame, markers: DataFrame) -> DataFrame:
     """Records of committed transactions below the partition's last stable offset.
 
-    ``records`` has ``(partition, offset, txn_id, ...)`` and ``markers`` one row
-    ``(partition, txn_id, state)`` per finished transaction. The last stable
-    offsets are one row per topic partition and are broadcast; finding them
-    reads three narrow columns of the records.
+    ``records`` has ``(partition, offset, txn_id, ...)`` and ``markers`` a row
+    ``(partition, txn_id, state)`` per finished transaction. Records meet the markers in
+    one join, which gives the committed ones and those of open transactions. The last stable
+    offsets are one row per topic partition and are broadcast.
     """
-    committed = markers.filter(F.col("state") == COMMIT).select("partition", "txn_id")
-    visible = records.join(committed, ["partition", "txn_id"], "left_semi")
-    stable = F.broadcast(last_stable_offsets(records, markers))
+    stated = with_state(records, markers)
+    stable = F.broadcast(last_stable_offsets(stated))
     return (
-        visible.join(stable, "partition", "left")
+        stated.filter(F.col("state") == COMMIT)
+        .join(stable, "partition", "left")
         .filter(F.col("stable_until").isNull() | (F.col("offset") < F.col("stable_until")))
         .select(*records.columns)
     )

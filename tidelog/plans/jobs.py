@@ -246,6 +246,34 @@ def batch_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.batch_offset_ranges(fixtures.events_topic(spark, sf_dir))
 
 
+@job("stream_offset_ranges")
+def stream_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges and counts per partition, kept as state over all batches of a stream."""
+    stream = read_topic_stream(spark, fixtures.published_events(spark, sf_dir))
+    return _final_state(offsets.offset_ranges(stream))
+
+
+@job("stream_running_total")
+def stream_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _final_state(offsets.stream_total(read_topic_stream(spark, fixtures.published_events(spark, sf_dir))))
+
+
+def _final_state(aggregated: DataFrame) -> DataFrame:
+    """Run an aggregated stream to its end; its last complete result is the table.
+
+    Each batch replaces the result: a few rows, one per group.
+    """
+    spark, out = aggregated.sparkSession, scratch(aggregated.sparkSession, "state")
+    query = (
+        aggregated.writeStream.outputMode("complete").trigger(availableNow=True)
+        .option("checkpointLocation", scratch(spark, "checkpoint"))
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
 @job("row_count")
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.row_count(fixtures.events_topic(spark, sf_dir))

@@ -136,6 +136,11 @@ ORACLE: dict[str, str] = {
              max("offset") AS max_offset, max("offset") + 1 AS until_offset, count(*) AS n
       FROM ({TOPIC_ROWS}) GROUP BY "partition", "offset" // 250""",
     "row_count": "SELECT count(*) AS n FROM events",
+    "stream_offset_ranges": f"""
+      SELECT 'events' AS topic, "partition", min("offset") AS from_offset, max("offset") AS max_offset,
+             max("offset") + 1 AS until_offset, count(*) AS n
+      FROM ({TOPIC_ROWS}) GROUP BY "partition" """,
+    "stream_running_total": "SELECT count(*) AS total FROM events",
     "batch_running_total": f"""
       SELECT batch_id, n,
              CASE WHEN batch_id IS NOT NULL

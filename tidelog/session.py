@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 
 # Bytes per scan task, and per shuffle partition before adaptive execution joins
-# small ones and splits skewed ones. A gigabyte is sorted in the memory of a core
-# with little spilling and keeps 100 TB at about 100,000 partitions.
+# small ones and splits skewed ones. A quarter of a gigabyte of compressed rows is
+# sorted in the memory of a core, and keeps 100 TB at about 400,000 partitions.
 SCAN_BYTES = 256 * 1024 * 1024
-SHUFFLE_BYTES = 1024 * 1024 * 1024
+SHUFFLE_BYTES = 256 * 1024 * 1024
 # A join whose partitions all turn out smaller than this is hashed instead of sorted.
 HASH_BYTES = 64 * 1024 * 1024
 
