@@ -104,7 +104,8 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+    judged = urls.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidelog.llm.mixing import SEED
 from tidelog.llm.rules import STOP_WORDS
+from tidelog.llm.urls import BIN_WIDTH, CLASSED, CLASSES, HELD_OUT_FOLDS, LAST_BIN, LOWER, START, UPPER
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -159,9 +160,96 @@ SELECT conv_id, turn, call_id, name, level, linked, len(errors) = 0 AS valid,
 FROM checked
 """
 
+_PLAIN_URL = f"translate(translate(url, '{UPPER}', '{LOWER}'), '123456789', '000000000')"
+_PARTS = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+
+
+def _fits(host: str, path: str) -> str:
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}'))"
+
+
+def _smoothed(label: str) -> str:
+    """Witten-Bell over three orders from the counts of one label."""
+    p0 = f"(coalesce(c0.{label}, 0) + 1) / (t.{label} + {CLASSES})::DOUBLE"
+    p1 = f"""(CASE WHEN coalesce(x1.{label} + x1.{label}_kinds, 0) > 0
+        THEN (coalesce(c1.{label}, 0) + x1.{label}_kinds * ({p0})) / (x1.{label} + x1.{label}_kinds) ELSE {p0} END)"""
+    return f"""(CASE WHEN coalesce(x2.{label} + x2.{label}_kinds, 0) > 0
+        THEN (coalesce(c2.{label}, 0) + x2.{label}_kinds * {p1}) / (x2.{label} + x2.{label}_kinds) ELSE {p1} END)"""
+
+
+URLS_SQL = f"""
+WITH p AS (
+  SELECT page_id, url,
+    translate(coalesce(regexp_extract(url, {_PARTS}, 1), ''), '{UPPER}', '{LOWER}') AS host,
+    coalesce(regexp_extract(url, {_PARTS}, 2), '') AS path
+  FROM pages
+), r AS (
+  SELECT *, CASE
+      WHEN {_fits('example.org', '/en/1')} THEN 'example.org/en/1'
+      WHEN {_fits('example.org', '/es/')} THEN 'example.org/es/'
+      WHEN {_fits('com', '/de/')} THEN 'com/de/'
+      WHEN {_fits('com', '/fr/')} THEN 'com/fr/'
+      WHEN {_fits('org', '/')} THEN 'org/' END AS rule
+  FROM p
+), j AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS label,
+    ('0x' || substr(md5(coalesce(url, '')), 1, 7))::INT % {HELD_OUT_FOLDS} = 0 AS held_out
+  FROM r
+), u AS (
+  SELECT url, [{START}, {START}] || list_transform(string_split({_PLAIN_URL}, ''), lambda c: instr('{CLASSED}', c)) AS codes
+  FROM (SELECT DISTINCT url FROM j WHERE url <> '')
+), g AS (
+  SELECT url, unnest(list_transform(range(3, len(codes) + 1),
+    lambda i: (codes[i - 2] * {CLASSES} + codes[i - 1]) * {CLASSES} + codes[i])) AS gram
+  FROM u
+), c2 AS (
+  SELECT gram, count(*) FILTER (WHERE label = 'allow') AS a, count(*) FILTER (WHERE label = 'block') AS b
+  FROM g JOIN j USING (url) WHERE label IS NOT NULL AND NOT held_out GROUP BY gram
+), c1 AS (
+  SELECT gram % {CLASSES**2} AS gram, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b FROM c2 GROUP BY 1
+), c0 AS (
+  SELECT gram % {CLASSES} AS gram, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b FROM c2 GROUP BY 1
+), t AS (
+  SELECT coalesce(sum(a), 0)::BIGINT AS a, coalesce(sum(b), 0)::BIGINT AS b FROM c2
+), x2 AS (
+  SELECT gram // {CLASSES} AS ctx, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b,
+    count(*) FILTER (WHERE a > 0) AS a_kinds, count(*) FILTER (WHERE b > 0) AS b_kinds FROM c2 GROUP BY 1
+), x1 AS (
+  SELECT gram // {CLASSES} AS ctx, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b,
+    count(*) FILTER (WHERE a > 0) AS a_kinds, count(*) FILTER (WHERE b > 0) AS b_kinds FROM c1 GROUP BY 1
+), m AS (
+  SELECT d.gram, ln({_smoothed('a')}) - ln({_smoothed('b')}) AS ratio
+  FROM (SELECT DISTINCT gram FROM g) d CROSS JOIN t
+  LEFT JOIN c2 ON c2.gram = d.gram
+  LEFT JOIN c1 ON c1.gram = d.gram % {CLASSES**2}
+  LEFT JOIN c0 ON c0.gram = d.gram % {CLASSES}
+  LEFT JOIN x2 ON x2.ctx = d.gram // {CLASSES}
+  LEFT JOIN x1 ON x1.ctx = d.gram % {CLASSES**2} // {CLASSES}
+), s AS (
+  SELECT url, sum(ratio) / count(*) AS score FROM g JOIN m USING (gram) GROUP BY url
+), h AS (
+  SELECT greatest(least(floor(score / {BIN_WIDTH}::DOUBLE), {LAST_BIN}), -{LAST_BIN})::INT AS bin,
+    count(*) FILTER (WHERE label = 'allow') AS a, count(*) FILTER (WHERE label = 'block') AS b
+  FROM s JOIN j USING (url) WHERE label IS NOT NULL AND held_out GROUP BY 1
+), gain AS (
+  SELECT k.bin, 1.0 - coalesce(sum(a) OVER below, 0) / greatest(sum(a) OVER (), 1)::DOUBLE
+      + coalesce(sum(b) OVER below, 0) / greatest(sum(b) OVER (), 1)::DOUBLE AS gain,
+    coalesce(sum(a) OVER (), 0) > 0 AND coalesce(sum(b) OVER (), 0) > 0 AS known
+  FROM range(-{LAST_BIN}, {LAST_BIN} + 1) k(bin) LEFT JOIN h ON h.bin = k.bin
+  WINDOW below AS (ORDER BY k.bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), cut AS (
+  SELECT CASE WHEN bool_and(known) THEN (min(bin) + max(bin)) / 2 * {BIN_WIDTH}::DOUBLE ELSE 0 END AS threshold
+  FROM gain WHERE gain = (SELECT max(gain) FROM gain)
+)
+SELECT page_id, host, path, rule,
+  coalesce(label, CASE WHEN score >= (SELECT threshold FROM cut) THEN 'allow' ELSE 'block' END) AS verdict
+FROM j LEFT JOIN s ON j.url = s.url
+"""
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": LINES_SQL,
     "op5_tool_calls": TOOLS_SQL,
+    "op6_url_filter": URLS_SQL,
     "op7_quality_rules": RULES_SQL,
     "op8_mixing": MIX_SQL,
 }

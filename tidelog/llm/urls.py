@@ -110,7 +110,8 @@ def with_rule(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _held_out() -> Column:
-    return F.crc32(F.coalesce(F.col("url"), F.lit("")).cast("binary")) % HELD_OUT_FOLDS == 0
+    digits = F.substring(F.md5(F.coalesce(F.col("url"), F.lit(""))), 1, 7)
+    return F.conv(digits, 16, 10).cast("int") % HELD_OUT_FOLDS == 0
 
 
 def log_ratios(labelled: DataFrame) -> DataFrame:
