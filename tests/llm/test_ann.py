@@ -68,6 +68,13 @@ def test_bad_vectors_few_candidates_and_empty(spark):
     assert ann.search(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [18, 22, 40])
+def test_small_tables_give_as_many_as_there_are(spark, n):
+    rows = vectors(n, 6, n)
+    got, truth = run(spark, rows, F.col("vec_id") == 0, 20), brute_force(rows, lambda q: q == 0, 20)
+    assert [i for i, _ in got[0]] == [i for i, _ in truth[0]]
+
+
 def test_walk_is_in_order():
     seeded = np.random.default_rng(4)
     first, second, sizes = seeded.normal(size=6), seeded.normal(size=5), seeded.integers(0, 3, 30)

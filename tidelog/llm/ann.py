@@ -33,8 +33,8 @@ from tidelog.storage import ship_package
 
 # Centroids per half, rows of the fitting sample, rounds of k-means.
 CENTROIDS, SAMPLE, ROUNDS = 64, 8192, 12
-# Share of all entries that a query looks at.
-SHARE = 0.55
+# Share of all entries that a query looks at, and how often it looks at what it returns at least.
+SHARE, LEAST_TIMES = 0.55, 4
 # Groups of first centroids; entries and queries of a block; queries at a time.
 GROUPS, ENTRY_BLOCK, QUERY_BLOCK, STEP = 16, 4096, 4096, 256
 # Scores within this of the last place are compared exactly.
@@ -137,7 +137,7 @@ def search(vectors: DataFrame, asked: Column, k: int = 20, share: float = SHARE)
     width = math.ceil(size / GROUPS) * size
     in_group = [int(sizes[g * width:(g + 1) * width].sum()) for g in range(GROUPS)]
     blocks = [max(1, math.ceil(n / ENTRY_BLOCK)) for n in in_group]
-    wanted = math.ceil(share * int(sizes.sum()))
+    wanted = max(math.ceil(share * int(sizes.sum())), LEAST_TIMES * (k + 1))
     sizes_shared = spark.sparkContext.broadcast(sizes)
 
     def probe(batches):

@@ -8,7 +8,8 @@ backward) of all segmentations of all training words, first under equal weights.
 
 Tasks add up expected counts per language and piece before anything is shuffled, so
 what is gathered has one row per language, piece and task, whatever the text. The
-model has one number per language and piece and is sent to every executor.
+model has one number per language and piece and is sent to every executor; more than
+``MOST_LANGUAGES`` languages are refused.
 
 Cases: ``und`` with score 0 if a text is null or has no letter, or nothing was
 learned; equal scores go to the smaller language name; training rows without text or
@@ -41,6 +42,8 @@ MARK = "▁"
 LONGEST = 32
 # Known words per task, words that are worked on together, characters per slice.
 CACHE, BLOCK, SLICE_CHARS = 400_000, 20_000, 1 << 20
+# Languages that a model may have; it has a number for each of them and each piece.
+MOST_LANGUAGES = 256
 # Weight of a letter outside the vocabulary, and of the common share in every language.
 UNKNOWN, COMMON = 1e-7, 100.0
 
@@ -227,6 +230,9 @@ def fit(docs: DataFrame, path: str | None = None) -> Model:
             )
 
     usable = docs.select(F.col("lang").cast("string"), "text").filter("lang is not null and text is not null")
+    named = [r["lang"] for r in usable.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
+    if len(named) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     counts = (
         usable.mapInArrow(count, "lang string, piece long, n double")
         .groupBy("lang", "piece").agg(F.sum("n").alias("n"))
