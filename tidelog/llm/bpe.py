@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ from tidelog.storage import ship_package
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 # Known pre-tokens per task, and new pre-tokens that are merged together.
-CACHE, BLOCK = 300_000, 20_000
+CACHE, BLOCK = 450_000, 20_000
 # Characters of text that are cut into pre-tokens at a time.
 SLICE_CHARS = 1 << 20
 PAIR = 1 << 32
@@ -77,13 +76,15 @@ def merge_words(words: list[str], vocabulary: Vocabulary) -> list[bytes]:
         symbols.append(-1)
     after = list(range(1, len(symbols) + 1))
     before = list(range(-1, len(symbols) - 1))
-    positions: dict[int, list[int]] = defaultdict(list)
-    left = symbols[0]
-    for p in range(1, len(symbols)):
-        right = symbols[p]
-        if left >= 0 and right >= 0 and (pair := left * PAIR + right) in merges:
-            positions[pair].append(p - 1)
-        left = right
+    positions: dict[int, list[int]] = {}
+    flat = np.array(symbols, np.int64)
+    # Pairs of neighbours; a pair with a separator is no merge.
+    for p, pair in enumerate((flat[:-1] * PAIR + flat[1:]).tolist()):
+        if pair in merges:
+            if pair in positions:
+                positions[pair].append(p)
+            else:
+                positions[pair] = [p]
     ranks = [(merges[pair][0], pair) for pair in positions]
     heapq.heapify(ranks)
     while ranks:
@@ -100,11 +101,18 @@ def merge_words(words: list[str], vocabulary: Vocabulary) -> list[bytes]:
             symbols[p], symbols[q] = made, -2
             r, o = after[q], before[p]
             after[p], before[r] = r, p
-            for start, first, second in ((o, symbols[o], made), (p, made, symbols[r])):
-                if first >= 0 and second >= 0 and (new := first * PAIR + second) in merges:
-                    if new not in positions:
-                        heapq.heappush(ranks, (merges[new][0], new))
-                    positions[new].append(start)
+            if (left := symbols[o]) >= 0 and (new := left * PAIR + made) in merges:
+                if new in positions:
+                    positions[new].append(o)
+                else:
+                    positions[new] = [o]
+                    heapq.heappush(ranks, (merges[new][0], new))
+            if (right := symbols[r]) >= 0 and (new := made * PAIR + right) in merges:
+                if new in positions:
+                    positions[new].append(p)
+                else:
+                    positions[new] = [p]
+                    heapq.heappush(ranks, (merges[new][0], new))
     flat = np.array(symbols, np.int64)
     alive = flat >= 0
     ids = flat[alive].astype("<u4").tobytes()
