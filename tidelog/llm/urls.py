@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import materialize
@@ -115,13 +115,19 @@ def _held_out() -> Column:
 
 
 def log_ratios(labelled: DataFrame) -> DataFrame:
-    """``gram, ratio`` for every possible gram: log P(allowed) - log P(blocked)."""
-    counts = (
+    """``gram, ratio`` for every possible gram: log P(allowed) - log P(blocked).
+
+    The counts have a row per gram at most. What shorter contexts need are sums over
+    the fixed grid of all grams.
+    """
+    counts = materialize(
         labelled.filter(~_held_out())
         .select("_label", F.explode("_grams").alias("gram"))
         .groupBy("gram")
-        .agg(*[F.sum(F.when(F.col("_label") == v, 1).otherwise(0)).alias(v) for v in (ALLOW, BLOCK)])
+        .agg(*[F.sum(F.when(F.col("_label") == v, 1).otherwise(0)).alias(v) for v in (ALLOW, BLOCK)]),
+        "url-grams",
     )
+    totals = counts.agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in (ALLOW, BLOCK)]).first()
     grid = labelled.sparkSession.range(CLASSES**3).select(
         F.col("id").alias("gram"),
         F.floor(F.col("id") / CLASSES**2).cast("int").alias("c1"),
@@ -129,26 +135,23 @@ def log_ratios(labelled: DataFrame) -> DataFrame:
         (F.col("id") % CLASSES).cast("int").alias("c3"),
     )
     table = grid.join(counts, "gram", "left").fillna(0, [ALLOW, BLOCK])
-    probability = {}
+    after, last, both, one = (Window.partitionBy(*c) for c in (["c2", "c3"], ["c3"], ["c1", "c2"], ["c2"]))
     for v in (ALLOW, BLOCK):
-        pair, single = f"{v}_pair", f"{v}_single"
-        pairs = table.groupBy("c2", "c3").agg(F.sum(v).alias(pair))
-        singles = table.groupBy("c3").agg(F.sum(v).alias(single))
-        context1 = pairs.groupBy("c2").agg(
-            F.sum(pair).alias(f"{v}_n1"), F.sum(F.when(F.col(pair) > 0, 1).otherwise(0)).alias(f"{v}_t1")
-        )
-        context2 = table.groupBy("c1", "c2").agg(
-            F.sum(v).alias(f"{v}_n2"), F.sum(F.when(F.col(v) > 0, 1).otherwise(0)).alias(f"{v}_t2")
+        table = table.withColumns({f"{v}_pair": F.sum(v).over(after), f"{v}_single": F.sum(v).over(last)}).withColumns(
+            {
+                f"{v}_n2": F.sum(v).over(both),
+                f"{v}_t2": F.sum(F.when(F.col(v) > 0, 1).otherwise(0)).over(both),
+                f"{v}_n1": F.sum(v).over(one),
+                # Every pair stands in the grid once for each class before it.
+                f"{v}_t1": F.sum(F.when((F.col("c1") == 0) & (F.col(f"{v}_pair") > 0), 1).otherwise(0)).over(one),
+            }
         )
-        everything = singles.agg(F.sum(single)).scalar()
-        order0 = (F.col(single) + 1) / (everything + CLASSES)
-        order1 = _interpolate(F.col(pair), f"{v}_n1", f"{v}_t1", order0)
+    probability = {}
+    for v in (ALLOW, BLOCK):
+        order0 = (F.col(f"{v}_single") + 1) / (F.lit(totals[v]) + CLASSES)
+        order1 = _interpolate(F.col(f"{v}_pair"), f"{v}_n1", f"{v}_t1", order0)
         probability[v] = _interpolate(F.col(v), f"{v}_n2", f"{v}_t2", order1)
-        table = (
-            table.join(pairs, ["c2", "c3"]).join(singles, "c3").join(context1, "c2").join(context2, ["c1", "c2"])
-        )
-    ratio = F.log(probability[ALLOW]) - F.log(probability[BLOCK])
-    return table.select("gram", ratio.alias("ratio"))
+    return table.select("gram", (F.log(probability[ALLOW]) - F.log(probability[BLOCK])).alias("ratio"))
 
 
 def _interpolate(count: Column, total: str, kinds: str, shorter: Column) -> Column:
