@@ -62,11 +62,11 @@ def event_json() -> Column:
 EVENT_JSON_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double"
 
 
-def published(spark: SparkSession, records: DataFrame, rows: int, topic: str) -> TopicSpec:
+def published(spark: SparkSession, records: DataFrame, rows: int, topic: str, *, halves: bool = False) -> TopicSpec:
     """Write records (dealt evenly to the partitions) to a new file topic.
 
-    A micro-batch keeps all cores busy, and there are two batches at least. The topic is
-    published in two calls that meet inside a slice.
+    A micro-batch keeps all cores busy, and there are two batches at least. With ``halves``
+    the topic is published in two calls that meet inside a slice.
     """
     offsets = last_offset(rows) + 1
     slices_per_batch = max(1, math.ceil(spark.sparkContext.defaultParallelism / PARTITIONS))
@@ -78,15 +78,17 @@ def published(spark: SparkSession, records: DataFrame, rows: int, topic: str) ->
         max_files_per_trigger=slices_per_batch * PARTITIONS,
     )
     half = width * (slices // 2) + width // 2
-    for part in (F.col("offset") < half, F.col("offset") >= half):
+    parts = (F.col("offset") < half, F.col("offset") >= half) if halves else (F.lit(True),)
+    for part in parts:
         publish(records.filter(part), spec, offsets_per_slice=width, tasks=slices * PARTITIONS)
     return spec
 
 
-def published_events(spark: SparkSession, sf_dir: str, value: Column | None = None) -> TopicSpec:
-    return published(
-        spark, events_topic(spark, sf_dir, value), table(spark, sf_dir, "events").count(), TOPIC
-    )
+def published_events(
+    spark: SparkSession, sf_dir: str, value: Column | None = None, *, halves: bool = False
+) -> TopicSpec:
+    rows = table(spark, sf_dir, "events").count()
+    return published(spark, events_topic(spark, sf_dir, value), rows, TOPIC, halves=halves)
 
 
 def schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

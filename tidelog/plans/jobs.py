@@ -88,7 +88,7 @@ def offset_gap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job("topic_publish")
 def topic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = fixtures.published_events(spark, sf_dir, fixtures.event_json())
+    spec = fixtures.published_events(spark, sf_dir, fixtures.event_json(), halves=True)
     return decode_json(
         read_topic(spark, spec), "value", fixtures.EVENT_JSON_SCHEMA, ["partition", "offset"]
     )
