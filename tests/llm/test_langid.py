@@ -87,6 +87,31 @@ def test_edges(spark):
     assert {r["lang"] for r in langid.predict(docs.select("text"), nothing, "lang", "p").collect()} == {"und"}
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrst"
+    names = [f"{letters[k % 20]}{letters[k // 20]}-X{k}" for k in range(300)]
+    texts = [" ".join(f"{letters[k % 20]}q{letters[k // 20]}x{c}" for c in letters) for k in range(300)]
+    rows = [(k, text, lang, None, None) for k, (text, lang) in enumerate(zip(texts, names))]
+    rows += [(300, None, "none", None, None), (301, "12", "digits", None, None), (302, "ж", "zz-letters", None, None)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(2)
+    model = langid.fit(docs)
+    assert model.languages == sorted([*names, "zz-letters"])
+    assert max(weights.shape[1] for _, weights in model.chunks()) <= langid.AT_ONCE
+    got = {r["doc_id"]: (r["p_lang"], r["p"]) for r in langid.predict(docs.select("doc_id", "text"), model, "p_lang", "p").collect()}
+    assert [got[k][0] for k in range(300)] == names
+    assert got[300] == got[301] == ("und", 0.0)
+    # The same as with all languages side by side.
+    whole = np.hstack([weights for _, weights in model.chunks()])
+    side_by_side = langid.Scorer(langid.Model(model.languages, model.pieces, whole)).predict([*texts, "", "", "ж"])
+    for k in [*range(300), 302]:
+        lang, p = side_by_side[k]
+        assert got[k] == (lang, pytest.approx(p))
+    # Sums that are handed over in between add up to the same.
+    monkeypatch.setattr(langid, "AT_ONCE", 1000)
+    (_, weights), = langid.fit(docs).chunks()
+    assert np.allclose(weights, whole)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are missing")
 def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")

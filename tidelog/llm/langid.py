@@ -7,9 +7,12 @@ probabilities of the pieces are learned per language by expected counts (forward
 backward) of all segmentations of all training words, first under equal weights.
 
 Tasks add up expected counts per language and piece before anything is shuffled, so
-what is gathered has one row per language, piece and task, whatever the text. The
-model has one number per language and piece and is sent to every executor; more than
-``MOST_LANGUAGES`` languages are refused.
+what is gathered has one row per language, piece and task, whatever the text; a task
+that meets more than ``AT_ONCE`` languages hands its sums over in between. The counts
+stay sparse and go to the executors in chunks of ``AT_ONCE`` languages. One chunk at a
+time is expanded to a number per language and piece, and every text keeps its best
+language and its sum of probabilities from chunk to chunk, so any number of languages
+works. The driver holds one chunk, the names of the languages and the pieces.
 
 Cases: ``und`` with score 0 if a text is null or has no letter, or nothing was
 learned; equal scores go to the smaller language name; training rows without text or
@@ -33,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.llm.common import materialize
 from tidelog.storage import ship_package
 
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
@@ -42,8 +46,8 @@ MARK = "▁"
 LONGEST = 32
 # Known words per task, words that are worked on together, characters per slice.
 CACHE, BLOCK, SLICE_CHARS = 400_000, 20_000, 1 << 20
-# Languages that a model may have; it has a number for each of them and each piece.
-MOST_LANGUAGES = 256
+# Languages that are worked on together, and numbers that a task holds for them at most.
+AT_ONCE, CELLS = 128, 1 << 23
 # Weight of a letter outside the vocabulary, and of the common share in every language.
 UNKNOWN, COMMON = 1e-7, 100.0
 
@@ -182,12 +186,43 @@ def _slices(texts: Iterator[str]) -> Iterator[list[str]]:
         yield part
 
 
+class Weights:
+    """Weights of the pieces for one chunk of languages after the other.
+
+    ``shared`` has a broadcast for each chunk: pieces, columns and expected counts.
+    """
+
+    def __init__(self, everywhere: np.ndarray, totals: list[np.ndarray], shared: list):
+        self.everywhere, self.totals, self.shared = everywhere, totals, shared
+
+    def __len__(self) -> int:
+        return len(self.shared)
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        piece, column, n = self.shared[k].value
+        if len(self.shared) > 1:
+            # A broadcast keeps what it has read; the next access reads it again.
+            self.shared[k].__dict__.pop("_value", None)
+        counts = np.zeros((len(self.everywhere) + 1, len(self.totals[k])))
+        counts[piece, column] = n
+        return _weights(counts, self.everywhere, self.totals[k])
+
+
 class Model:
-    """Languages, pieces, and one row of probabilities per piece."""
+    """Languages in order of their names, pieces, and one row of probabilities per piece,
+    as an array or as ``Weights``."""
 
-    def __init__(self, languages: list[str], pieces: list[str], weights: np.ndarray):
+    def __init__(self, languages: list[str], pieces: list[str], weights: np.ndarray | Weights):
         self.languages, self.pieces, self.weights = languages, pieces, weights
 
+    def chunks(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Number of the first language and weights of each chunk."""
+        start = 0
+        for k in range(len(self.weights) if isinstance(self.weights, Weights) else bool(self.languages)):
+            weights = self.weights[k] if isinstance(self.weights, Weights) else self.weights
+            yield start, weights
+            start += weights.shape[1]
+
 
 def fit(docs: DataFrame, path: str | None = None) -> Model:
     """Learn from ``text`` and ``lang`` of all rows that have both."""
@@ -195,6 +230,7 @@ def fit(docs: DataFrame, path: str | None = None) -> Model:
     ship_package(spark)
     pieces = load_pieces(path)
     shared = spark.sparkContext.broadcast(pieces)
+    at_once = AT_ONCE
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(shared.value)
@@ -202,111 +238,173 @@ def fit(docs: DataFrame, path: str | None = None) -> Model:
         equal = np.append(np.full(n, 1.0 / max(1, n)), UNKNOWN)[:, None]
         sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n + 1))
         words: dict[str, Counter] = defaultdict(Counter)
-
-        def settle() -> None:
+        held = 0
+
+        def hand_over() -> Iterator[pa.RecordBatch]:
+            for lang, values in sums.items():
+                used = np.flatnonzero(values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(values[used])],
+                    names=["lang", "piece", "n"],
+                )
+            sums.clear()
+
+        def settle() -> Iterator[pa.RecordBatch]:
             different = sorted(set().union(*words.values()))
+            number = dict(zip(different, range(len(different))))
+            known = {}
+            for lang, counts in words.items():
+                rows = np.fromiter(map(number.__getitem__, counts), np.int64, len(counts))
+                order = np.argsort(rows)
+                known[lang] = rows[order], np.fromiter(counts.values(), np.float64, len(counts))[order]
+            words.clear()
             for k in range(0, len(different), BLOCK):
                 block = different[k:k + BLOCK]
                 lattice = Lattice(block, trie)
                 share = lattice.expected(equal)[:, 0]
                 owner = lattice.source[lattice.word]
-                for lang, counts in words.items():
-                    times = np.fromiter((counts.get(w, 0) for w in block), np.float64, len(block))
-                    sums[lang] += np.bincount(lattice.piece, share * times[owner], n + 1)
-            words.clear()
+                # The places of each word in the lattice, so that a language reads those of its words only.
+                order = np.argsort(owner, kind="stable")
+                first = np.searchsorted(owner[order], np.arange(len(block) + 1))
+                for lang, (rows, times) in known.items():
+                    here = slice(*np.searchsorted(rows, [k, k + len(block)]))
+                    row = rows[here] - k
+                    if not len(row):
+                        continue
+                    if lang not in sums and len(sums) >= at_once:
+                        yield from hand_over()
+                    size = first[row + 1] - first[row]
+                    place = order[np.repeat(first[row] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+                    sums[lang] += np.bincount(lattice.piece[place], share[place] * np.repeat(times[here], size), n + 1)
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
-                words[lang.as_py()].update(words_of(text.as_py()))
-                if sum(map(len, words.values())) > CACHE:
-                    settle()
+                found = words_of(text.as_py())
+                if not found:
+                    continue
+                counts = words[lang.as_py()]
+                held -= len(counts)
+                counts.update(found)
+                held += len(counts)
+                if held > CACHE:
+                    yield from settle()
+                    held = 0
         if words:
-            settle()
-        for lang, values in sums.items():
-            used = np.flatnonzero(values)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(values[used])],
-                names=["lang", "piece", "n"],
-            )
+            yield from settle()
+        yield from hand_over()
 
     usable = docs.select(F.col("lang").cast("string"), "text").filter("lang is not null and text is not null")
-    named = [r["lang"] for r in usable.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(named) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    counts = (
-        usable.mapInArrow(count, "lang string, piece long, n double")
-        .groupBy("lang", "piece").agg(F.sum("n").alias("n"))
-        .toArrow()
+    counts = materialize(
+        usable.mapInArrow(count, "lang string, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")),
+        "language-pieces",
     )
-    languages = sorted(set(counts.column("lang").to_pylist()))
-    table = np.zeros((len(pieces) + 1, len(languages)))
-    column = {lang: k for k, lang in enumerate(languages)}
-    columns = np.array([column[x] for x in counts.column("lang").to_pylist()], np.int64)
-    table[counts.column("piece").to_numpy(), columns] = counts.column("n").to_numpy()
-    return Model(languages, pieces, _weights(table))
-
-
-def _weights(counts: np.ndarray) -> np.ndarray:
+    everywhere = np.zeros(len(pieces))
+    known = counts.filter(F.col("piece") < len(pieces))
+    by_piece = known.groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+    everywhere[by_piece.column("piece").to_numpy()] = by_piece.column("n").to_numpy()
+    # A language may have letters outside the vocabulary only.
+    inside = F.sum(F.when(F.col("piece") < len(pieces), F.col("n")).otherwise(0.0))
+    total = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(inside.alias("n")).collect()}
+    languages = sorted(total)
+    totals, parts = [], []
+    for k in range(0, len(languages), AT_ONCE):
+        names = languages[k:k + AT_ONCE]
+        column = {lang: c for c, lang in enumerate(names)}
+        # Names are ordered alike here and in Spark: by code points.
+        chunk = counts.filter(F.col("lang").between(names[0], names[-1])).toArrow()
+        columns = np.array([column[x] for x in chunk.column("lang").to_pylist()], np.int64)
+        parts.append(spark.sparkContext.broadcast((chunk.column("piece").to_numpy(), columns, chunk.column("n").to_numpy())))
+        totals.append(np.array([total[lang] for lang in names]))
+    return Model(languages, pieces, Weights(everywhere, totals, parts))
+
+
+def _weights(counts: np.ndarray, everywhere: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """Probabilities of the pieces, smoothed by their share in all languages and a floor."""
-    known = counts[:-1]
-    everywhere = known.sum(axis=1, keepdims=True) + 1.0
-    everywhere /= everywhere.sum()
-    weights = (known + COMMON * everywhere) / (known.sum(axis=0, keepdims=True) + COMMON)
+    share = (everywhere + 1.0)[:, None]
+    share /= share.sum()
+    weights = (counts[:-1] + COMMON * share) / (totals + COMMON)
     return np.vstack([weights, np.full((1, counts.shape[1]), UNKNOWN)])
 
 
 class Scorer:
-    """Scores texts of one task and remembers the words that it has met."""
+    """Scores texts of one task and remembers the words that it has met, as long as all
+    languages are in one chunk."""
 
     def __init__(self, model: Model):
         self.model = model
         self.trie = Trie(model.pieces)
-        self._reset()
+        self.weights = None
+        self._reset(0)
 
-    def _reset(self) -> None:
+    def _reset(self, languages: int) -> None:
         self.row: dict[str, int] = {}
-        self.logs = np.zeros((0, len(self.model.languages)))
+        self.logs = np.zeros((0, languages))
 
     def _learn(self, words: set[str]) -> None:
+        languages = self.weights.shape[1]
         new = sorted(w for w in words if w not in self.row)
-        if len(self.row) + len(new) > CACHE:
-            self._reset()
+        if len(self.row) + len(new) > min(CACHE, CELLS // languages):
+            self._reset(languages)
             new = sorted(words)
         parts = [self.logs]
         # The lattice has a column per language.
-        step = max(1, 4 * BLOCK // max(4, len(self.model.languages)))
+        step = max(1, 4 * BLOCK // max(4, languages))
         for k in range(0, len(new), step):
             block = new[k:k + step]
-            parts.append(Lattice(block, self.trie).logs(self.model.weights))
+            parts.append(Lattice(block, self.trie).logs(self.weights))
             self.row.update(zip(block, range(len(self.row), len(self.row) + len(block))))
         self.logs = np.concatenate(parts)
 
-    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        split = [words_of(t) for t in texts]
+    def _scores(self, split: list[list[str]]) -> Iterator[np.ndarray | None]:
+        """The scores of each text under the languages of the chunk; none if it has no word."""
         self._learn({w for words in split for w in words})
-        row, results = self.row.__getitem__, []
+        row, step = self.row.__getitem__, max(1, CELLS // self.weights.shape[1])
         for words in split:
-            if not words or not self.model.languages:
-                results.append((UNDETERMINED, 0.0))
-                continue
-            score = self.logs[np.fromiter(map(row, words), np.int64, len(words))].sum(axis=0)
-            best = int(np.argmax(score))
-            results.append((self.model.languages[best], float(1.0 / np.exp(score - score[best]).sum())))
-        return results
+            rows = np.fromiter(map(row, words), np.int64, len(words))
+            yield sum(self.logs[rows[k:k + step]].sum(axis=0) for k in range(0, len(rows), step)) if words else None
+
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        split = [words_of(t) for t in texts]
+        # Language, its score, and the sum of all probabilities divided by that of the language.
+        best: list[tuple[int, float, float] | None] = [None] * len(split)
+        for start, weights in self._chunks():
+            if weights is not self.weights:
+                self.weights = weights
+                self._reset(weights.shape[1])
+            for k, score in enumerate(self._scores(split)):
+                if score is None:
+                    continue
+                top = int(np.argmax(score))
+                new = start + top, float(score[top]), float(np.exp(score - score[top]).sum())
+                best[k] = new if best[k] is None else _joined(best[k], new)
+        return [(UNDETERMINED, 0.0) if b is None else (self.model.languages[b[0]], 1.0 / b[2]) for b in best]
+
+    def _chunks(self) -> Iterator[tuple[int, np.ndarray]]:
+        if self.weights is not None and self.weights.shape[1] == len(self.model.languages):
+            return iter([(0, self.weights)])
+        return self.model.chunks()
+
+
+def _joined(a: tuple[int, float, float], b: tuple[int, float, float]) -> tuple[int, float, float]:
+    """The better one of two results, the first if they are equal, with the sum of both."""
+    if b[1] > a[1]:
+        a, b = b, a
+    return a[0], a[1], a[2] + b[2] * float(np.exp(b[1] - a[1]))
 
 
 def predict(docs: DataFrame, model: Model, lang: str, score: str) -> DataFrame:
     """Add the predicted language and its share of the probability (under equal priors)."""
     spark = docs.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast((model.languages, model.pieces, model.weights))
+    shared = spark.sparkContext.broadcast((model.languages, model.pieces))
+    weights = model.weights
     schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
     text = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
         for batch in batches:
-            scorer = scorer or Scorer(Model(*shared.value))
+            scorer = scorer or Scorer(Model(*shared.value, weights))
             texts = (value.as_py() or "" for value in batch.column(text))
             found = [result for part in _slices(texts) for result in scorer.predict(part)]
             yield pa.RecordBatch.from_arrays(
