@@ -60,3 +60,26 @@ def test_hot_conversation(spark, shape):
     results = calls.select("conv_id", "turn", "call_id", F.lit("r").alias("content"))
     found = tools.link_calls(calls, results, TOOLS).groupBy("level").count().collect()
     assert {r["level"]: r["count"] for r in found} == {0: 1000, 1: 1000, 2: 1000}
+
+
+def test_repeated_calls_and_results_are_kept(spark):
+    calls = [
+        (1, 1, "a", "f", '{"a":1}', None, None), (1, 1, "a", "f", '{"a":1}', None, None), (1, 4, "a", "g", "{}", ["a"], None),
+        (None, 1, "a", "f", '{"a":1}', None, None), (None, 1, "a", "f", '{"a":1}', None, None), (1, 6, "b", "f", '{"a":1}', ["a"], None),
+    ]
+    results = [
+        (1, 2, "a", "one"), (1, 2, "a", "one"), (1, 5, "a", "two"), (None, 3, "a", None), (1, 9, None, "x"),
+        (1, 9, None, "x"), (2, 2, "a", "orphan"), (1, 7, "b", "only"),
+    ]
+    calls, results = spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS)
+    found = [(r["conv_id"], r["turn"], r["call_id"], r["level"], r["linked"], tuple(r["errors"])) for r in tools.link_calls(calls, results, TOOLS).collect()]
+    assert sorted(found, key=str) == sorted([
+        (1, 1, "a", 0, True, ("multiple_results",)), (1, 1, "a", None, False, ("duplicate_id",)),
+        (1, 4, "a", None, False, ("missing:x", "duplicate_id")), (None, 1, "a", 0, True, ()),
+        (None, 1, "a", None, False, ("duplicate_id",)), (1, 6, "b", 1, True, ()),
+    ], key=str)
+    left = sorted((tuple(r) for r in tools.unlinked_results(calls, results).collect()), key=str)
+    assert left == sorted([
+        (1, 2, "a", "one", "later_result"), (1, 5, "a", "two", "later_result"), (1, 9, None, "x", "no_identifier"),
+        (1, 9, None, "x", "no_identifier"), (2, 2, "a", "orphan", "no_call"),
+    ], key=str)

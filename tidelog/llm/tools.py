@@ -10,11 +10,12 @@ No conversation is gathered: all steps are joins and partial aggregates by
 identifier, and levels are found in rounds, as many as the longest chain, each over
 the dependencies that are still open.
 
-Cases: calls with the same identifier keep the first (by turn, then content), the same
-for results; a null identifier cannot be linked or depended on, the call is kept with
+Cases: of calls with the same identifier the first (by turn, then content) is linked, the
+others are rows with the error ``duplicate_id``, no level and no result; of results of a
+call the first is linked and the call has the error ``multiple_results``; results that
+are not linked are given by ``unlinked_results``; a null identifier cannot be linked or depended on, the call is kept with
 level 0; a dependency that is not a call of the conversation is an error of the call and
-otherwise ignored; calls on a cycle, or behind one, have no level; results without a
-call are left out; arguments that are null or not a JSON object are invalid and
+otherwise ignored; calls on a cycle, or behind one, have no level; arguments that are null or not a JSON object are invalid and
 written as null; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -74,14 +75,33 @@ def argument_errors(tools: tuple[Tool, ...], name: Column, arguments: Column, pa
 
 
 def _first(rows: DataFrame, *values: str) -> DataFrame:
-    """The first row by turn of every conversation and identifier."""
+    """The first row by turn of every conversation and identifier, and the number of rows."""
     return (
         rows.filter(F.col("call_id").isNotNull())
-        .groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", *values)).alias("first"))
-        .select("conv_id", "call_id", "first.*")
+        .groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", *values)).alias("first"), F.count(F.lit(1)).alias("n_rows"))
+        .select("conv_id", "call_id", "first.*", "n_rows")
     )
 
 
+def _later(rows: DataFrame, first: DataFrame, *values: str) -> DataFrame:
+    """All rows but the ``first`` of every conversation and identifier. Equal rows are counted."""
+    row = F.struct("turn", *values)
+    several = first.filter("n_rows > 1").select("conv_id", "call_id", row.alias("first"))
+    counts = (
+        rows.join(several, ["conv_id", "call_id"])
+        .groupBy("conv_id", "call_id", "turn", *values, row.eqNullSafe(F.col("first")).alias("is_first"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    times = F.col("n") - F.col("is_first").cast("long")
+    return counts.filter(times > 0).select("conv_id", "call_id", "turn", *values, F.explode(F.sequence(F.lit(1), times)).alias("copy")).drop("copy")
+
+
+def _keyed(rows: DataFrame, *columns: str) -> DataFrame:
+    """Null conversations are one more conversation; a key without nulls keeps the joins plain."""
+    key = F.struct(F.col("conv_id").isNull().alias("none"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("id"))
+    return rows.select(key.alias("conv_id"), F.col("conv_id").alias("conv"), "turn", "call_id", *columns)
+
+
 def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
@@ -117,10 +137,7 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: tuple[Tool, ...]) ->
     ``calls`` has ``conv_id, turn, call_id, name, arguments, needs`` (JSON text, array of
     identifiers), ``results`` has ``conv_id, turn, call_id, content``.
     """
-    # Null conversations are one more conversation; a key without nulls keeps the joins plain.
-    key = F.struct(F.col("conv_id").isNull().alias("none"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("id"))
-    calls = calls.select(key.alias("conv_id"), F.col("conv_id").alias("conv"), "turn", "call_id", "name", "arguments", "needs")
-    results = results.select(key.alias("conv_id"), "turn", "call_id", "content")
+    calls, results = _keyed(calls, "name", "arguments", "needs"), _keyed(results, "content")
     named = materialize(_first(calls, "conv", "name", "arguments", "needs"), "calls")
     needs = named.select("conv_id", "call_id", F.explode("needs").alias("needs")).distinct()
     known = named.select("conv_id", F.col("call_id").alias("needs"))
@@ -129,21 +146,27 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: tuple[Tool, ...]) ->
         .groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("n_missing"))
     )
     level = levels(named, needs.join(known, ["conv_id", "needs"], "left_semi").select("conv_id", "call_id", "needs"))
-    answers = _first(results, "content").select("conv_id", "call_id", "content", F.lit(True).alias("answered"))
+    answers = _first(results, "content").select("conv_id", "call_id", "content", F.lit(True).alias("answered"), "n_rows")
+    answers = answers.withColumnRenamed("n_rows", "n_results")
     linked = (
-        named.join(level, ["conv_id", "call_id"], "left")
+        named.withColumn("duplicate", F.lit(False)).join(level, ["conv_id", "call_id"], "left")
         .join(answers, ["conv_id", "call_id"], "left")
         .join(missing, ["conv_id", "call_id"], "left")
     )
     nameless = calls.filter(F.col("call_id").isNull()).select(
         "conv", "turn", "call_id", "name", "arguments", F.lit(0).alias("level"),
         F.lit(None).cast("string").alias("content"), F.lit(None).cast("boolean").alias("answered"),
-        F.lit(None).cast("long").alias("n_missing"),
+        F.lit(None).cast("long").alias("n_missing"), F.lit(None).cast("long").alias("n_results"),
+        F.lit(False).alias("duplicate"),
     )
-    rows = linked.select(*nameless.columns).unionByName(nameless).withColumn("parsed", F.try_parse_json("arguments"))
+    later = _later(calls, named, "conv", "name", "arguments", "needs").withColumn("duplicate", F.lit(True))
+    rows = later.drop("conv_id", "needs").unionByName(linked.select(*nameless.columns), allowMissingColumns=True)
+    rows = rows.unionByName(nameless).withColumn("parsed", F.try_parse_json("arguments"))
     errors = F.concat(
         argument_errors(tools, F.col("name"), F.col("arguments"), F.col("parsed")),
         F.when(F.col("n_missing") > 0, F.array(F.lit("missing_dependency"))).otherwise(F.array().cast("array<string>")),
+        F.when(F.col("n_results") > 1, F.array(F.lit("multiple_results"))).otherwise(F.array().cast("array<string>")),
+        F.when(F.col("duplicate"), F.array(F.lit("duplicate_id"))).otherwise(F.array().cast("array<string>")),
     )
     is_object = F.schema_of_variant("parsed").startswith("OBJECT")
     message = F.to_json(
@@ -157,3 +180,18 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: tuple[Tool, ...]) ->
         F.col("conv").alias("conv_id"), "turn", "call_id", "name", "level",
         F.coalesce("answered", F.lit(False)).alias("linked"), errors.alias("errors"), message.alias("message"),
     )
+
+
+def unlinked_results(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """``conv_id, turn, call_id, content, reason`` of the results that no call of
+    ``link_calls`` has: ``no_identifier``, ``no_call`` or ``later_result``."""
+    calls, results = _keyed(calls), _keyed(results, "content")
+    known = calls.filter(F.col("call_id").isNotNull()).select("conv_id", "call_id").distinct()
+    columns = ["conv", "turn", "call_id", "content"]
+    nameless = results.filter(F.col("call_id").isNull()).select(*columns, F.lit("no_identifier").alias("reason"))
+    named = results.filter(F.col("call_id").isNotNull())
+    orphans = named.join(known, ["conv_id", "call_id"], "left_anti").select(*columns, F.lit("no_call").alias("reason"))
+    answers = named.join(known, ["conv_id", "call_id"], "left_semi")
+    later = _later(answers, _first(answers, "conv", "content"), "conv", "content")
+    later = later.select(*columns, F.lit("later_result").alias("reason"))
+    return nameless.unionByName(orphans).unionByName(later).withColumnRenamed("conv", "conv_id")
