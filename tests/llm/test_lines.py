@@ -39,3 +39,13 @@ def test_large_sets_are_joined_alike(spark, monkeypatch):
 
 def test_empty(spark):
     assert lines.drop_boilerplate(spark.createDataFrame([], "host string, text string"), "host").count() == 0
+
+
+def test_pages_of_boilerplate_alone_are_reported(spark):
+    rows = [("h", f"menu\nbody {k}\nfoot") for k in range(30)] + [("h", "menu\n\nfoot\nmenu"), ("h", None), ("h", " "), ("g", "menu")]
+    df = spark.createDataFrame(rows, "host string, text string")
+    got = lines.drop_boilerplate(df, "host", dropped_name="gone", found_name="found")
+    assert got.columns == ["host", "text", "gone", "found"]
+    left = sorted((tuple(r) for r in got.filter("gone = 0").collect()), key=str)
+    assert left == sorted([("h", "menu\n\nfoot\nmenu", 0, 3), ("h", None, 0, 0), ("h", " ", 0, 0), ("g", "menu", 0, 0)], key=str)
+    assert got.filter("gone = 2 and found = 2").count() == 30

@@ -11,7 +11,8 @@ sets are joined with the pages, by broadcast if there are few of them in all.
 Cases: a null host is one more host; a null text stays null and counts as a page;
 lines without a word are never dropped; a line that a page repeats counts once per
 page and is dropped everywhere on it; a page that would lose all its lines with a
-word is left as it is (whole copies are a matter for document dedup); repeated rows
+word is left as it is (whole copies are a matter for document dedup), which shows in
+the number of lines found, if it is asked for; repeated rows
 are pages of their own; an empty table gives no rows; all columns are kept. Lines
 are compared by a 128-bit hash of the whole line.
 """
@@ -55,9 +56,11 @@ def boilerplate(pages: DataFrame, host: str, ratio: float = RATIO, min_pages: in
 
 
 def drop_boilerplate(pages: DataFrame, host: str, ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     lines_name: str | None = None, dropped_name: str | None = None) -> DataFrame:
-    """The pages without boilerplate lines in ``text``; optionally with two more
-    columns, the number of lines with a word and how many of them were dropped."""
+                     lines_name: str | None = None, dropped_name: str | None = None,
+                     found_name: str | None = None) -> DataFrame:
+    """The pages without boilerplate lines in ``text``; optionally with three more
+    columns, the number of lines with a word, how many of them were dropped, and how
+    many are boilerplate (more than were dropped on a page of boilerplate alone)."""
     found = materialize(boilerplate(pages, host, ratio, min_pages), "boilerplate")
     key, bad, split, kept = (free_name(pages, c) for c in ("_site", "_bad", "_lines", "_kept"))
     sets = found.groupBy("host").agg(F.collect_set("line_hash").alias(bad)).withColumnRenamed("host", key)
@@ -80,5 +83,8 @@ def drop_boilerplate(pages: DataFrame, host: str, ratio: float = RATIO, min_page
         extra.append(F.coalesce(F.when(F.col("text").isNotNull(), n_before), F.lit(0)).cast("long").alias(lines_name))
     if dropped_name:
         extra.append(F.coalesce(F.when(changed, n_before - n_after), F.lit(0)).cast("long").alias(dropped_name))
+    if found_name:
+        found_lines = F.when(F.col("text").isNotNull(), n_before - n_after)
+        extra.append(F.coalesce(found_lines, F.lit(0)).cast("long").alias(found_name))
     text = F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text")
     return parts.select(*[text if c == "text" else F.col(c) for c in pages.columns], *extra)
