@@ -4,7 +4,7 @@ A word (run of letters, lower case, with a mark in front) may be cut into pieces
 vocabulary in many ways. A forward pass sums the probability of all of them; the
 score of a text under a language is the sum of the logarithms of its words. The
 probabilities of the pieces are learned per language by expected counts (forward and
-backward) of all segmentations of all training words, first under equal weights.
+backward) of all segmentations of all training words, in one pass under equal weights.
 
 Tasks add up expected counts per language and piece before anything is shuffled, so
 what is gathered has one row per language, piece and task, whatever the text; a task
