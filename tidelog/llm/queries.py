@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, langid, lines, mixing, quality_fm, rules, simhash, tools, urls
+from tidelog.llm import (
+    ann, bpe, langid, lines, mixing, negatives, packing, prefix_trie, quality_fm, rules, simhash, tools, urls,
+)
 from tidelog.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +137,20 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuild(turns, group=5, folds=9))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"), shifted, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_fm": op1_quality_fm,
     "op2_bpe": op2_bpe,
@@ -146,4 +162,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_nearest": op10_nearest,
+    "op11_packing": op11_packing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }

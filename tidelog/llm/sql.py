@@ -246,10 +246,74 @@ SELECT page_id, host, path, rule,
 FROM j LEFT JOIN s ON j.url = s.url
 """
 
+TRIE_SQL = r"""
+WITH codes AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_concat([n::BIGINT], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), codes
+), turns AS (
+  SELECT i.conv_id, 0 AS kind, pos, role, text FROM ids i JOIN t ON t.conv_id = i.base WHERE pos <= h
+  UNION ALL SELECT i.conv_id, 1, pos, role, text FROM ids i JOIN t USING (conv_id) WHERE pos > h
+), whole AS (
+  SELECT conv_id, coalesce(list({'role': role, 'text': text} ORDER BY kind, pos) FILTER (WHERE role IS NOT NULL), []) AS path
+  FROM ids LEFT JOIN turns USING (conv_id) GROUP BY conv_id
+), prefixes AS (
+  SELECT conv_id, len(path) AS full_depth, d AS depth, path[1:d] AS path FROM whole, (SELECT unnest(range(0, 10000)) AS d)
+  WHERE d <= len(path)
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE full_depth = depth) AS ends
+  FROM prefixes GROUP BY path, depth
+), families AS (
+  SELECT p.*, u.conv_id AS parent_conv_id,
+    (SELECT count(*) FROM nodes c WHERE c.depth = p.depth + 1 AND c.path[1:p.depth] = p.path) AS n_children
+  FROM nodes p LEFT JOIN nodes u ON u.depth = p.depth - 1 AND u.path = p.path[1:p.depth - 1]
+)
+SELECT f.conv_id, f.depth, any_value(f.parent_conv_id) AS parent_conv_id, any_value(f.n_convs) AS n_convs,
+  any_value(f.n_children)::BIGINT AS n_children, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves,
+  sum(CASE WHEN v.depth > 0 THEN (v.n_convs - 1) * strlen(v.path[v.depth].text) ELSE 0 END)::BIGINT AS saved_tokens,
+  sha256(coalesce(any_value(f.ends), '')) AS ends_sha256
+FROM families f JOIN families v ON v.depth >= f.depth AND v.path[1:f.depth] = f.path
+GROUP BY f.conv_id, f.depth, f.path
+"""
+
+NEGATIVES_SQL = r"""
+WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_sum(list_transform(range(1, len(a.c) + 1), lambda i: a.c[i] * b.c[i]))::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INT AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": LINES_SQL,
     "op5_tool_calls": TOOLS_SQL,
     "op6_url_filter": URLS_SQL,
     "op7_quality_rules": RULES_SQL,
     "op8_mixing": MIX_SQL,
+    "op12_prefix_trie": TRIE_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
 }
