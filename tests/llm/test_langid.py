@@ -1,5 +1,6 @@
 import math
 import os
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -49,14 +50,59 @@ def test_expected_counts_equal_enumeration():
         assert np.allclose(mine, expected / total)
 
 
-def test_units():
+def plain_log(word, weights):
+    """Logarithm of the sum over all segmentations, in exact fractions."""
+    text = "▁" + word
+    sums = [Fraction(1)] + [Fraction(0)] * len(text)
+    for end in range(1, len(text) + 1):
+        for n in range(1, min(3, end) + 1):
+            piece = text[end - n:end]
+            if piece in IDS or n == 1:
+                sums[end] += sums[end - n] * Fraction(float(weights[IDS.get(piece, len(IDS))]))
+    return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+
+@pytest.mark.parametrize("smallest", [1.0, 1e-12])
+def test_runs_of_any_length_are_summed_whole(smallest):
+    weights = np.random.default_rng(5).random((len(PIECES) + 1, 2)) * smallest
+    words = ["a", "abx" * 4, "ab" * 12, "b" * 31, "xyzab" * 8, "ab" * 150, "abaab" * 400]
+    logs = langid.Lattice(words, TRIE).logs(weights)
+    for word, log in zip(words, logs):
+        assert np.allclose(log, [plain_log(word, weights[:, c]) for c in range(2)], rtol=1e-9)
+        assert np.allclose(langid.Lattice([word], TRIE).logs(weights)[0], log)
+
+
+def test_expected_counts_of_long_runs():
+    weights = np.random.default_rng(6).random((len(IDS) + 1, 1)) * 1e-9
+    word = "abaxyzab" * 60
+    lattice = langid.Lattice([word, "ab"], TRIE)
+    share = lattice.expected(weights)[:, 0]
+    here = lattice.word == 0
+    # Every place lies in exactly one piece of a segmentation.
+    size = np.array([len(p) for p in PIECES] + [1])
+    assert np.isclose((share[here] * size[lattice.piece[here]]).sum(), len(word) + 1)
+    # Derivatives of the logarithm of the sum are the expected counts.
+    for k in (1, 3):
+        more = weights.copy()
+        more[k] *= 1.0001
+        change = (plain_log(word, more[:, 0]) - plain_log(word, weights[:, 0])) / math.log(1.0001)
+        assert np.isclose(np.bincount(lattice.piece[here], share[here], len(IDS) + 1)[k], change, rtol=1e-3)
+
+
+def test_blocks_hold_all_words_within_bounds(monkeypatch):
+    monkeypatch.setattr(langid, "CELLS", 100)
+    words = langid.by_length({"a" * n for n in range(1, 60)})
+    found = list(langid.blocks(words, 10, 2))
+    assert [w for _, block in found for w in block] == words and [k for k, _ in found] == [words.index(b[0]) for _, b in found]
+    assert all(len(b) == 1 or (len(b[-1]) + 2) * len(b) * 2 <= 100 for _, b in found)
+
+
+def test_letters():
     assert langid.words_of("Ab, c1d") == ["ab", "c", "d"]
-    assert langid.units("ab") == ["▁ab"]
-    assert [len(u) for u in langid.units("x" * 70)] == [32, 32, 7]
-    weights = np.random.default_rng(5).random((len(PIECES) + 1, 2))
-    long = "ab" * 40
-    parts = langid.Lattice([long, "a"], TRIE).logs(weights)
-    assert np.allclose(parts[1], langid.Lattice(["a"], TRIE).logs(weights)[0]) and parts.shape == (2, 2)
+    assert langid.words_of("½ ² ① 12 _ Ⅷ") == []
+    assert langid.words_of("x² नमस्ते e\u0301t") == ["x", "नमस्ते", "e\u0301t"]
+    scorer = langid.Scorer(langid.Model(["x", "y"], sorted(IDS), np.full((len(IDS) + 1, 2), 0.1)))
+    assert scorer.predict(["½ ² ①"]) == [(langid.UNDETERMINED, 0.0)]
 
 
 def test_small_cache_changes_nothing(monkeypatch):

@@ -1,3 +1,5 @@
+import pytest
+
 from tests.llm.helpers import split_words
 from tidelog.llm import lines
 
@@ -37,6 +39,22 @@ def test_large_sets_are_joined_alike(spark, monkeypatch):
     assert sorted(map(str, lines.drop_boilerplate(df, "host").collect())) == small
 
 
+@pytest.mark.parametrize("n", [5, 50, 5000])
+def test_planted_lines_at_every_host_size(spark, n):
+    shares = {2: "two", 5: "five", 20: "twenty", 60: "sixty"}
+    df = spark.createDataFrame(
+        [("h", "\n".join([f"body {k}", *[f"line {name}" for share, name in shares.items() if 100 * k < share * n]])) for k in range(n)],
+        "host string, text string",
+    )
+    found = {name: lines.boilerplate(df, "host").filter(f"line_hash = unhex(md5('line {name}'))").count() for name in shares.values()}
+    pages = {name: -(-share * n // 100) for share, name in shares.items()}
+    # Over 2 % of the pages, and three pages at least: the same rule for every host.
+    assert found == {name: int(k > 0.02 * n and k >= 3) for name, k in pages.items()}
+    assert found["sixty"] == 1 and found["five"] == int(n >= 50) and found["twenty"] == int(n >= 50)
+    kept = lines.drop_boilerplate(df, "host").filter("text LIKE '%line sixty%'").count()
+    assert kept == 0 and lines.drop_boilerplate(df, "host").filter("text LIKE 'body%'").count() == n
+
+
 def test_empty(spark):
     assert lines.drop_boilerplate(spark.createDataFrame([], "host string, text string"), "host").count() == 0
 

@@ -59,6 +59,15 @@ def test_reruns_agree_and_documents_follow(docs):
     assert {k: v for k, v in found.items() if k != twice} == {k: v for k, v in copies.items() if v and k != twice}
 
 
+def test_empty_documents_of_a_source_at_its_limit(spark):
+    rows = [(k, "w " * 3, None, "small", None) for k in range(20)] + [(100 + k, " ", None, "small", None) for k in range(200)]
+    rows += [(1000 + k, "w " * 50, None, "large", None) for k in range(300)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix(docs, weights=(1, 3)).filter("source = 'small'").collect()
+    assert {r["target"] for r in got} == {2.0 * 60} and {r["copies"] for r in got} == {2}
+    assert mixing.mix_documents(docs, weights=(1, 3)).filter("source = 'small'").count() == 440
+
+
 def test_empty(spark):
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
     assert mixing.mix_documents(spark.createDataFrame([], DOCS)).count() == 0

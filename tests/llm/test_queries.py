@@ -35,3 +35,10 @@ def test_query_gives_a_row_for_each_input(spark, name):
     table = {"op6_url_filter": "pages", "op10_nearest": "embeddings"}.get(name, "documents")
     n = spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
     assert rows.count() == (n // 20 * 20 if name == "op10_nearest" else n)
+
+
+def test_the_bench_times_the_pipeline(monkeypatch):
+    import bench
+
+    monkeypatch.delenv("BENCH_QUERIES", raising=False)
+    assert "pipeline" in bench.names_of(bench.queries())

@@ -17,20 +17,21 @@ works. The driver holds one chunk, the names of the languages and the pieces.
 Cases: ``und`` with score 0 if a text is null or has no letter, or nothing was
 learned; equal scores go to the smaller language name; training rows without text or
 language are skipped; a letter outside the vocabulary is a piece of its own with the
-same small weight everywhere; runs of over ``LONGEST`` letters are cut there;
+same small weight everywhere; combining marks belong to the word of their letter; runs
+of any length are summed over all segmentations, with sums rescaled on the way;
 texts are read whole; repeated rows count as often as they occur; an empty table
 gives no rows; other columns are kept.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +43,8 @@ from tidelog.storage import ship_package
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
 MARK = "▁"
-# Letters of one unit; keeps products of probabilities far from underflow.
-LONGEST = 32
+# Letters between two rescalings of the sums, and places of words that need none.
+RESCALE, SHORT = 4, 16
 # Known words per task, words that are worked on together, characters per slice.
 CACHE, BLOCK, SLICE_CHARS = 400_000, 20_000, 1 << 20
 # Languages that are worked on together, and numbers that a task holds for them at most.
@@ -51,24 +52,35 @@ AT_ONCE, CELLS = 128, 1 << 23
 # Weight of a letter outside the vocabulary, and of the common share in every language.
 UNKNOWN, COMMON = 1e-7, 100.0
 
-find_letters = re.compile(r"[^\W\d_]+").findall
+find_letters = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+is_letters = regex.compile(r"[\p{L}\p{M}]+").fullmatch
 
 
 def load_pieces(path: str | None = None) -> list[str]:
     """Pieces of the vocabulary that consist of letters (and the mark in front)."""
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(DEFAULT_VOCABULARY))
     pieces = {model.id_to_piece(i) for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if p == MARK or p.removeprefix(MARK).isalpha())
+    return sorted(p for p in pieces if p == MARK or is_letters(p.removeprefix(MARK)))
 
 
 def words_of(text: str) -> list[str]:
     return find_letters(text.lower())
 
 
-def units(word: str) -> list[str]:
-    """A word with its mark, cut into the units that are segmented."""
-    word = MARK + word
-    return [word] if len(word) <= LONGEST else [word[k:k + LONGEST] for k in range(0, len(word), LONGEST)]
+def by_length(words: set[str]) -> list[str]:
+    return sorted(words, key=lambda w: (len(w), w))
+
+
+def blocks(words: list[str], most: int, columns: int) -> Iterator[tuple[int, list[str]]]:
+    """Runs of words (by rising length) with their start: ``most`` words, and no more places
+    in all, columns counted, than ``CELLS``; one word at least."""
+    start = 0
+    while start < len(words):
+        end = min(len(words), start + most)
+        while end > start + 1 and (len(words[end - 1]) + 2) * (end - start) * columns > CELLS:
+            end = start + max(1, (end - start) // 2)
+        yield start, words[start:end]
+        start = end
 
 
 class Trie:
@@ -100,18 +112,19 @@ class Trie:
 
 
 class Lattice:
-    """All pieces that occur in the units of some words.
+    """All pieces that occur in some words, each with a mark in front.
 
-    ``source`` names the word of each unit. Pieces are held in runs of equal length and
-    start, so that a unit occurs once in a run at most.
+    Pieces are held in runs of equal length and start, so that a word occurs once in a
+    run at most. Sums over long words leave the range of numbers, so every few letters
+    those that are still needed are divided by the largest one; the logarithms of the
+    divisors are kept per place.
     """
 
     def __init__(self, words: list[str], trie: Trie):
-        parts = [(number, part) for number, word in enumerate(words) for part in units(word)]
-        self.source = np.fromiter((number for number, _ in parts), np.int64, len(parts))
-        self.lengths = np.fromiter((len(part) for _, part in parts), np.int64, len(parts))
+        parts = [MARK + word for word in words]
+        self.lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         self.width = int(self.lengths.max()) + 1
-        characters = np.frombuffer("".join(part for _, part in parts).encode("utf-32-le"), "<u4").astype(np.int64)
+        characters = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.int64)
         owner = np.repeat(np.arange(len(parts)), self.lengths)
         begin = np.cumsum(self.lengths) - self.lengths
         place = np.arange(len(characters)) - begin[owner]
@@ -130,7 +143,7 @@ class Lattice:
                 piece = trie.piece[states]
                 ends = piece >= 0
                 chosen, piece = at[ends], piece[ends]
-            order = np.argsort(place[chosen].astype(np.uint8), kind="stable")
+            order = np.argsort(place[chosen].astype(np.uint8 if self.width < 256 else np.int32), kind="stable")
             chosen, piece = chosen[order], piece[order]
             counts = np.bincount(place[chosen], minlength=self.width)
             for start in np.flatnonzero(counts).tolist():
@@ -139,38 +152,61 @@ class Lattice:
             found.append((owner[chosen], piece))
             inside = place[at] + size < self.lengths[owner[at]]
             at, states, size = at[inside], states[inside], size + 1
+        # No piece here is longer, so sums further back are not needed again.
+        self.reach = max((end - start for start, end, _ in self.runs), default=1)
         self.word = np.concatenate([f[0] for f in found])
         self.piece = np.concatenate([f[1] for f in found])
 
-    def forward(self, weights: np.ndarray) -> np.ndarray:
+    def _sums(self, sums: np.ndarray, steps: list[tuple[int, int, slice]], weights: np.ndarray, forward: bool) -> np.ndarray | None:
+        """Add up ``sums`` (place, word, column) run by run; the logarithms of the divisors per place."""
+        if self.width <= SHORT:
+            for a, b, run in steps:
+                w = self.word[run]
+                sums[b, w] += sums[a, w] * weights[self.piece[run]]
+            return None
+        scales, total, last = np.zeros(sums.shape), np.zeros(sums.shape[1:]), steps[0][1]
+        for a, b, run in steps:
+            if abs(b - last) >= RESCALE:
+                # Sums before ``b`` are complete; these may still be used, and have one scale.
+                near = slice(max(0, last - self.reach + 1), b) if forward else slice(b + 1, last + self.reach)
+                top = sums[near].max(axis=0)
+                top[top <= 0] = 1.0
+                sums[near] /= top
+                total += np.log(top)
+                scales[near] = total
+                last = b
+            w = self.word[run]
+            sums[b, w] += sums[a, w] * weights[self.piece[run]]
+        scales[slice(last, None) if forward else slice(0, last + 1)] = total
+        return scales
+
+    def forward(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """Sums over all segmentations of every prefix; ``weights`` has a row per piece."""
         alpha = np.zeros((self.width, len(self.lengths), weights.shape[1]))
         alpha[0] = 1.0
-        for start, end, run in sorted(self.runs, key=lambda r: r[1]):
-            w = self.word[run]
-            alpha[end, w] += alpha[start, w] * weights[self.piece[run]]
-        return alpha
+        return alpha, self._sums(alpha, sorted(self.runs, key=lambda r: r[1]), weights, True)
+
+    def _ends(self, alpha: np.ndarray, scales: np.ndarray | None) -> np.ndarray:
+        at = self.lengths, np.arange(len(self.lengths))
+        return np.log(alpha[at]) + (0.0 if scales is None else scales[at])
 
     def logs(self, weights: np.ndarray) -> np.ndarray:
         """Logarithm of each word's probability, one column per weight column."""
-        totals = np.log(self.forward(weights)[self.lengths, np.arange(len(self.lengths))])
-        first = np.flatnonzero(np.diff(self.source, prepend=-1))
-        return np.add.reduceat(totals, first, axis=0)
+        return self._ends(*self.forward(weights))
 
     def expected(self, weights: np.ndarray) -> np.ndarray:
         """Probability that a piece is used at its place, one column per weight column."""
-        alpha = self.forward(weights)
-        n = np.arange(len(self.lengths))
+        alpha, scales = self.forward(weights)
         beta = np.zeros_like(alpha)
-        beta[self.lengths, n] = 1.0
-        for start, end, run in sorted(self.runs, key=lambda r: -r[0]):
-            w = self.word[run]
-            beta[start, w] += beta[end, w] * weights[self.piece[run]]
-        total = alpha[self.lengths, n]
+        beta[self.lengths, np.arange(len(self.lengths))] = 1.0
+        back = sorted(((end, start, run) for start, end, run in self.runs), key=lambda r: -r[1])
+        behind = self._sums(beta, back, weights, False)
+        total = self._ends(alpha, scales)
         share = np.empty((len(self.word), weights.shape[1]))
         for start, end, run in self.runs:
             w = self.word[run]
-            share[run] = alpha[start, w] * weights[self.piece[run]] * beta[end, w] / total[w]
+            scale = -total[w] if scales is None else scales[start, w] + behind[end, w] - total[w]
+            share[run] = alpha[start, w] * weights[self.piece[run]] * beta[end, w] * np.exp(scale)
         return share
 
 
@@ -250,7 +286,7 @@ def fit(docs: DataFrame, path: str | None = None) -> Model:
             sums.clear()
 
         def settle() -> Iterator[pa.RecordBatch]:
-            different = sorted(set().union(*words.values()))
+            different = by_length(set().union(*words.values()))
             number = dict(zip(different, range(len(different))))
             known = {}
             for lang, counts in words.items():
@@ -258,11 +294,10 @@ def fit(docs: DataFrame, path: str | None = None) -> Model:
                 order = np.argsort(rows)
                 known[lang] = rows[order], np.fromiter(counts.values(), np.float64, len(counts))[order]
             words.clear()
-            for k in range(0, len(different), BLOCK):
-                block = different[k:k + BLOCK]
+            for k, block in blocks(different, BLOCK, 4):
                 lattice = Lattice(block, trie)
                 share = lattice.expected(equal)[:, 0]
-                owner = lattice.source[lattice.word]
+                owner = lattice.word
                 # The places of each word in the lattice, so that a language reads those of its words only.
                 order = np.argsort(owner, kind="stable")
                 first = np.searchsorted(owner[order], np.arange(len(block) + 1))
@@ -342,15 +377,14 @@ class Scorer:
 
     def _learn(self, words: set[str]) -> None:
         languages = self.weights.shape[1]
-        new = sorted(w for w in words if w not in self.row)
+        new = by_length({w for w in words if w not in self.row})
         if len(self.row) + len(new) > min(CACHE, CELLS // languages):
             self._reset(languages)
-            new = sorted(words)
+            new = by_length(words)
         parts = [self.logs]
         # The lattice has a column per language.
         step = max(1, 4 * BLOCK // max(4, languages))
-        for k in range(0, len(new), step):
-            block = new[k:k + step]
+        for _, block in blocks(new, step, 2 * languages):
             parts.append(Lattice(block, self.trie).logs(self.weights))
             self.row.update(zip(block, range(len(self.row), len(self.row) + len(block))))
         self.logs = np.concatenate(parts)

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import BROADCAST_ROWS, NOT_BLANK, free_name, materialize
 
-RATIO = 0.1
-MIN_PAGES = 10
+# A few pages in a hundred; and a line of one or two pages says nothing about a site.
+RATIO = 0.02
+MIN_PAGES = 3
 
 
 def _has_word(line: Column) -> Column:

@@ -96,8 +96,9 @@ def plan_mix(
         .agg(
             F.max(
                 F.when(
-                    F.col("_before") + F.col("bin_size") / 2
-                    <= F.col("target") - F.col("whole") * F.col("source_size"),
+                    # Whole repetitions alone leave nothing for documents of size 0 either.
+                    ((F.col("target") > F.col("whole") * F.col("source_size")) | (F.col("source_size") == 0))
+                    & (F.col("_before") + F.col("bin_size") / 2 <= F.col("target") - F.col("whole") * F.col("source_size")),
                     F.col("bin"),
                 )
             ).alias("last_bin")

@@ -52,7 +52,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return lines.drop_boilerplate(docs, "source", lines_name="n_lines", dropped_name="n_dropped")
+    return lines.drop_boilerplate(
+        docs, "source", lines_name="n_lines", dropped_name="n_dropped", found_name="n_boilerplate"
+    )
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

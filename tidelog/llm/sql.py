@@ -102,7 +102,7 @@ WITH p AS (
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY source, line
 ), bad AS (
   SELECT c.source, list(line) AS bad FROM c JOIN totals ON c.source IS NOT DISTINCT FROM totals.source
-  WHERE pages >= 10 AND pages > total * 0.1::DOUBLE GROUP BY c.source
+  WHERE pages >= 3 AND pages > total * 0.02::DOUBLE GROUP BY c.source
 ), k AS (
   SELECT p.*, list_filter(lines, lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS before,
     list_filter(lines, lambda s: NOT (regexp_matches(s, '[^\x20\x09-\x0D]')
@@ -114,7 +114,8 @@ WITH p AS (
 SELECT doc_id, source,
   CASE WHEN len(left_over) > 0 AND len(kept) < len(lines) THEN array_to_string(kept, chr(10)) ELSE text END AS text,
   coalesce(len(before), 0)::BIGINT AS n_lines,
-  CASE WHEN len(left_over) > 0 THEN len(before) - len(left_over) ELSE 0 END::BIGINT AS n_dropped
+  CASE WHEN len(left_over) > 0 THEN len(before) - len(left_over) ELSE 0 END::BIGINT AS n_dropped,
+  coalesce(len(before) - len(left_over), 0)::BIGINT AS n_boilerplate
 FROM a
 """
 
