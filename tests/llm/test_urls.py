@@ -46,49 +46,84 @@ def test_parts_and_rules(spark):
             assert r["verdict"] == urls.BLOCK
 
 
-def codes(url):
-    text = re.sub("[1-9]", "0", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in url))
-    return [urls.START] * 2 + [urls.CLASSED.find(c) + 1 for c in text]
-
-
-def plain_model(texts):
-    """Probability of a class after two others, by Witten-Bell over three orders."""
-    n = [Counter(), Counter(), Counter()]
+def plain_model(texts, characters):
+    """Probability of a character after others, by Witten-Bell over all orders."""
+    n = [Counter() for _ in range(urls.ORDER + 1)]
     for text in texts:
-        c = codes(text)
-        for i in range(2, len(c)):
-            for order in range(3):
-                n[order][tuple(c[i - order:i + 1])] += 1
+        marked = urls.START * urls.ORDER + text
+        for i in range(urls.ORDER, len(marked)):
+            for order in range(urls.ORDER + 1):
+                n[order][marked[i - order:i + 1]] += 1
 
     def p(context, c):
-        value = (n[0][(c,)] + 1) / (sum(n[0].values()) + urls.CLASSES)
-        for order in (1, 2):
-            ctx = tuple(context[-order:])
-            followers = {k: v for k, v in n[order].items() if k[:-1] == ctx}
+        value = (n[0][c] + 1) / (sum(n[0].values()) + characters)
+        for order in range(1, urls.ORDER + 1):
+            followers = {k: v for k, v in n[order].items() if k[:-1] == context[-order:]}
             if followers:
-                value = (n[order][(*ctx, c)] + len(followers) * value) / (sum(followers.values()) + len(followers))
+                value = (n[order][context[-order:] + c] + len(followers) * value) / (sum(followers.values()) + len(followers))
         return value
 
     return p
 
 
+ROWS = [f"http://good{k}.org/news/{k}" for k in range(25)] + [f"http://bad-{k}.com/de/win{k}?x=1" for k in range(25)]
+ASKED = ["http://good.net/news/1", "http://bad.net/win?x=1", "zzz", "http://good.net/news/1", "Ünï/漢😀9", "http://good.net/" + "news/" * 3000]
+
+
+def scores(spark):
+    df = spark.createDataFrame([(k, u, None, None) for k, u in enumerate(ROWS + ASKED)], PAGES)
+    return df, {r["page_id"]: r for r in urls.judge_urls(df, URL_RULES).collect()}
+
+
 def test_model_equals_a_plain_one(spark):
-    rows = [f"http://good{k}.org/news/{k}" for k in range(25)] + [f"http://bad-{k}.com/de/win{k}?x=1" for k in range(25)]
-    asked = ["http://good.net/news/1", "http://bad.net/win?x=1", "zzz", "http://good.net/news/1"]
-    df = spark.createDataFrame([(k, u, None, None) for k, u in enumerate(rows + asked)], PAGES)
-    judged = urls.with_rule(urls.with_grams(df), URL_RULES)
-    labelled = judged.filter("_label is not null")
-    train = {(r["url"], r["_label"]) for r in labelled.filter(~urls._held_out()).collect()}
-    models = {v: plain_model([u for u, label in sorted(train) if label == v]) for v in (urls.ALLOW, urls.BLOCK)}
-    result = {r["page_id"]: r for r in urls.judge_urls(df, URL_RULES).collect()}
-    for k, url in enumerate(asked, len(rows)):
-        c = codes(url)
-        each = [math.log(models["allow"](c[i - 2:i], c[i])) - math.log(models["block"](c[i - 2:i], c[i])) for i in range(2, len(c))]
-        assert result[k]["score"] == pytest.approx(sum(each) / len(each))
+    df, result = scores(spark)
+    found = urls.different_urls(urls.with_rule(urls.with_parts(df), URL_RULES)).collect()
+    train = [(r["url"], r["label"]) for r in found if r["label"] and not r["held_out"]]
+    characters = len({c for url in ROWS + ASKED for c in url})
+    models = {v: plain_model([u for u, label in train if label == v], characters) for v in (urls.ALLOW, urls.BLOCK)}
+    known = {}
+    for k, url in enumerate(ASKED, len(ROWS)):
+        marked, total = urls.START * urls.ORDER + url, 0.0
+        for i in range(urls.ORDER, len(marked)):
+            gram = marked[i - urls.ORDER:i + 1]
+            if gram not in known:
+                known[gram] = math.log(models["allow"](gram[:-1], gram[-1])) - math.log(models["block"](gram[:-1], gram[-1]))
+            total += known[gram]
+        assert result[k]["score"] == pytest.approx(total / len(url))
     assert [result[k]["verdict"] for k in range(50, 54)][:2] == ["allow", "block"]
     assert result[50]["score"] == result[53]["score"]
 
 
+def test_large_models_are_joined_alike(spark, monkeypatch):
+    _, small = scores(spark)
+    monkeypatch.setattr(urls, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(urls, "HOT_GRAMS", 50)
+    _, large = scores(spark)
+    assert {k: (r["verdict"], r["score"]) for k, r in large.items()} == {
+        k: (r["verdict"], pytest.approx(r["score"])) for k, r in small.items()}
+
+
+def test_digits_and_rare_characters_tell_urls_apart(spark):
+    rows = [f"http://x{k}.org/a" for k in range(40)] + [f"http://x{k}.org/é{k}" for k in range(40)]
+    rules = (urls.Rule(urls.ALLOW, "org/a"), urls.Rule(urls.BLOCK, "org/é"))
+    asked = ["http://x1.net/a", "http://x1.net/é1"]
+    rows += [f"http://example.org/en/{d}/{k}" for d in (1, 2) for k in range(60)]
+    rules += (urls.Rule(urls.BLOCK, "example.org/en/1"), urls.Rule(urls.ALLOW, "example.org/en/2"))
+    asked += ["http://example.net/en/1/7", "http://example.net/en/2/7"]
+    df = spark.createDataFrame([(k, u, None, None) for k, u in enumerate(rows + asked)], PAGES)
+    found = {r["page_id"]: r["verdict"] for r in urls.judge_urls(df, rules).collect()}
+    assert [found[k] for k in range(len(rows), len(rows) + 4)] == ["allow", "block", "block", "allow"]
+
+
+def test_the_model_grows_with_the_urls(spark):
+    def grams(n):
+        rows = [(k, f"http://h{k * k}.net/p{k * 7919}", None, None) for k in range(n)]
+        judged = urls.with_rule(urls.with_parts(spark.createDataFrame(rows, PAGES)), URL_RULES)
+        return urls.gram_counts(urls.different_urls(judged)).count()
+
+    assert grams(400) > 2 * grams(100)
+
+
 def test_no_labels_and_empty(spark):
     df = spark.createDataFrame([(1, "http://a.net/x", None, None), (None, "http://a.net/x", None, None)], PAGES)
     assert {(r["verdict"], r["score"]) for r in urls.judge_urls(df, URL_RULES).collect()} == {("allow", 0.0)}
@@ -98,4 +133,5 @@ def test_no_labels_and_empty(spark):
 def test_tie_between_rules(spark):
     rules = (urls.Rule(urls.ALLOW, "b.com/"), urls.Rule(urls.BLOCK, "com/x/"))
     df = spark.createDataFrame([(1, "http://a.b.com/x/", None, None)], PAGES)
-    assert urls.judge_urls(df, rules).first()["rule"] == "com/x/" if len("com/x/") > len("b.com/") else "b.com/"
+    # Both have six characters; the longer host wins.
+    assert urls.judge_urls(df, rules).first()["rule"] == "b.com/"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidelog.llm.mixing import SEED
 from tidelog.llm.rules import STOP_WORDS
-from tidelog.llm.urls import BIN_WIDTH, CLASSED, CLASSES, HELD_OUT_FOLDS, LAST_BIN, LOWER, START, UPPER
+from tidelog.llm.urls import BIN_WIDTH, HELD_OUT_FOLDS, LAST_BIN, LOWER, ORDER, START, UPPER
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -161,7 +161,6 @@ SELECT conv_id, turn, call_id, name, level, linked, len(errors) = 0 AS valid,
 FROM checked
 """
 
-_PLAIN_URL = f"translate(translate(url, '{UPPER}', '{LOWER}'), '123456789', '000000000')"
 _PARTS = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
 
 
@@ -169,14 +168,22 @@ def _fits(host: str, path: str) -> str:
     return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}'))"
 
 
-def _smoothed(label: str) -> str:
-    """Witten-Bell over three orders from the counts of one label."""
-    p0 = f"(coalesce(c0.{label}, 0) + 1) / (t.{label} + {CLASSES})::DOUBLE"
-    p1 = f"""(CASE WHEN coalesce(x1.{label} + x1.{label}_kinds, 0) > 0
-        THEN (coalesce(c1.{label}, 0) + x1.{label}_kinds * ({p0})) / (x1.{label} + x1.{label}_kinds) ELSE {p0} END)"""
-    return f"""(CASE WHEN coalesce(x2.{label} + x2.{label}_kinds, 0) > 0
-        THEN (coalesce(c2.{label}, 0) + x2.{label}_kinds * {p1}) / (x2.{label} + x2.{label}_kinds) ELSE {p1} END)"""
+def _order(k: int) -> str:
+    """Counts of the grams of ``k + 1`` characters, with those of their contexts (Witten-Bell)."""
+    def probability(v: str) -> str:
+        return f"""(CASE WHEN sum({v}) OVER c > 0
+          THEN ({v} + count(*) FILTER (WHERE {v} > 0) OVER c * q{v}) / (sum({v}) OVER c + count(*) FILTER (WHERE {v} > 0) OVER c)
+          ELSE q{v} END)::DOUBLE AS p{v}"""
 
+    return f"""m{k} AS (
+  SELECT gram, {probability('a')}, {probability('b')}
+  FROM (SELECT g.*, s.pa AS qa, s.pb AS qb FROM n{k} g JOIN m{k - 1} s ON s.gram = g.gram[2:])
+  WINDOW c AS (PARTITION BY gram[1:{k}])
+)"""
+
+
+_COUNTS = ", ".join(f"n{k} AS (SELECT gram[2:] AS gram, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b FROM n{k + 1} GROUP BY 1)"
+                    for k in reversed(range(ORDER)))
 
 URLS_SQL = f"""
 WITH p AS (
@@ -197,37 +204,18 @@ WITH p AS (
     ('0x' || substr(md5(coalesce(url, '')), 1, 7))::INT % {HELD_OUT_FOLDS} = 0 AS held_out
   FROM r
 ), u AS (
-  SELECT url, [{START}, {START}] || list_transform(string_split({_PLAIN_URL}, ''), lambda c: instr('{CLASSED}', c)) AS codes
-  FROM (SELECT DISTINCT url FROM j WHERE url <> '')
+  SELECT url, '{START * ORDER}' || url AS marked FROM (SELECT DISTINCT url FROM j WHERE url <> '')
 ), g AS (
-  SELECT url, unnest(list_transform(range(3, len(codes) + 1),
-    lambda i: (codes[i - 2] * {CLASSES} + codes[i - 1]) * {CLASSES} + codes[i])) AS gram
-  FROM u
-), c2 AS (
-  SELECT gram, count(*) FILTER (WHERE label = 'allow') AS a, count(*) FILTER (WHERE label = 'block') AS b
-  FROM g JOIN j USING (url) WHERE label IS NOT NULL AND NOT held_out GROUP BY gram
-), c1 AS (
-  SELECT gram % {CLASSES**2} AS gram, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b FROM c2 GROUP BY 1
-), c0 AS (
-  SELECT gram % {CLASSES} AS gram, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b FROM c2 GROUP BY 1
-), t AS (
-  SELECT coalesce(sum(a), 0)::BIGINT AS a, coalesce(sum(b), 0)::BIGINT AS b FROM c2
-), x2 AS (
-  SELECT gram // {CLASSES} AS ctx, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b,
-    count(*) FILTER (WHERE a > 0) AS a_kinds, count(*) FILTER (WHERE b > 0) AS b_kinds FROM c2 GROUP BY 1
-), x1 AS (
-  SELECT gram // {CLASSES} AS ctx, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b,
-    count(*) FILTER (WHERE a > 0) AS a_kinds, count(*) FILTER (WHERE b > 0) AS b_kinds FROM c1 GROUP BY 1
-), m AS (
-  SELECT d.gram, ln({_smoothed('a')}) - ln({_smoothed('b')}) AS ratio
-  FROM (SELECT DISTINCT gram FROM g) d CROSS JOIN t
-  LEFT JOIN c2 ON c2.gram = d.gram
-  LEFT JOIN c1 ON c1.gram = d.gram % {CLASSES**2}
-  LEFT JOIN c0 ON c0.gram = d.gram % {CLASSES}
-  LEFT JOIN x2 ON x2.ctx = d.gram // {CLASSES}
-  LEFT JOIN x1 ON x1.ctx = d.gram % {CLASSES**2} // {CLASSES}
-), s AS (
-  SELECT url, sum(ratio) / count(*) AS score FROM g JOIN m USING (gram) GROUP BY url
+  SELECT url, unnest(list_transform(range(1, length(url) + 1), lambda i: substr(marked, i, {ORDER + 1}))) AS gram FROM u
+), n{ORDER} AS (
+  SELECT gram, count(*) FILTER (WHERE label = 'allow' AND NOT held_out) AS a,
+    count(*) FILTER (WHERE label = 'block' AND NOT held_out) AS b
+  FROM g JOIN j USING (url) GROUP BY gram
+), {_COUNTS}, m0 AS (
+  SELECT gram, (a + 1) / (sum(a) OVER () + count(*) OVER ())::DOUBLE AS pa,
+    (b + 1) / (sum(b) OVER () + count(*) OVER ())::DOUBLE AS pb FROM n0
+), {', '.join(_order(k) for k in range(1, ORDER + 1))}, s AS (
+  SELECT url, sum(ln(pa) - ln(pb)) / count(*) AS score FROM g JOIN m{ORDER} USING (gram) GROUP BY url
 ), h AS (
   SELECT greatest(least(floor(score / {BIN_WIDTH}::DOUBLE), {LAST_BIN}), -{LAST_BIN})::INT AS bin,
     count(*) FILTER (WHERE label = 'allow') AS a, count(*) FILTER (WHERE label = 'block') AS b

@@ -1,21 +1,24 @@
 """URL filter: rules first, then the ratio of two character language models.
 
 The urls that a rule allows train one model, those that a rule blocks the other.
-Each is a variable-order Markov model over character classes: order 2, smoothed
-with order 1, order 0 and a uniform share, each by the number of different
-followers of the context (Witten-Bell). A url without a rule is allowed if its
-length-normalised log-likelihood difference reaches a threshold; that is the
+Each is a variable-order Markov model over the characters as they are: a character
+is predicted from the longest context of up to ``ORDER`` characters that was seen
+before, smoothed with all shorter ones down to a uniform share, each by the number of
+different followers of the context (Witten-Bell). A url without a rule is allowed if
+its length-normalised log-likelihood difference reaches a threshold; that is the
 score with the best balanced accuracy on rule-labelled urls held out of training.
 
-The models depend on the data only through counts of ``CLASSES ** 3`` grams, so
-the table of log ratios has a fixed number of rows and may be broadcast. Only urls
-are shuffled, never pages, and every different url is scored once.
+Every different url is cut into grams of ``ORDER + 1`` characters, and these are
+counted; shorter ones are sums over the longer ones. The table of grams grows with the
+urls and is never broadcast beyond ``BROADCAST_ROWS``: it is built order by order with
+shuffle joins, and scores join it by gram, the frequent grams (fewer than ``HOT_GRAMS``,
+whatever the data) apart. Only urls are shuffled, never pages.
 
 Cases: a null url or one without ``://`` has an empty host and path and fits no
-rule; a null or empty url is blocked; equal urls get equal results; rules of the
-same length are ordered by host length, then by text; without any labelled url the
-score is 0 and the threshold 0; an empty table gives no rows; extra columns are
-ignored; null page ids pass through.
+rule; a null or empty url is blocked; equal urls get equal results; urls of any length
+are read whole; rules of the same length are ordered by host length, then by text;
+without any labelled url the score is 0 and the threshold 0; an empty table gives no
+rows; extra columns are ignored; null page ids pass through.
 """
 
 from __future__ import annotations
@@ -25,16 +28,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import materialize
+from tidelog.llm.common import BROADCAST_ROWS, materialize
 
 ALLOW, BLOCK = "allow", "block"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
-# Character classes: 0 is anything else, all digits are one class.
-CLASSED = LOWER + "0/.-_?=&#%:"
-START = len(CLASSED) + 1
-CLASSES = len(CLASSED) + 2
+# Characters of the longest context, and the mark in front of a url.
+ORDER, START = 5, "\u0002"
+# Grams with over this fraction of all places are joined by broadcast.
+HOT_GRAMS = 4096
 
 # Scores are binned for the calibration only: width and outermost bin.
 BIN_WIDTH, LAST_BIN = 0.01, 1000
@@ -69,32 +72,22 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     )
 
 
-def _codes(url: Column) -> Column:
-    """Character classes of a url, after two start marks."""
-    plain = F.translate(F.translate(F.coalesce(url, F.lit("")), UPPER, LOWER), "123456789", "000000000")
-    characters = F.filter(F.split(plain, ""), lambda c: c != "")
-    return F.concat(
-        F.array(F.lit(START), F.lit(START)),
-        F.transform(characters, lambda c: F.instr(F.lit(CLASSED), c)),
-    )
-
-
-def _grams() -> Column:
-    """Numbers of all three-class grams of the column ``_codes``."""
-    return F.transform(
-        F.sequence(F.lit(2), F.size("_codes") - 1),
-        lambda i: (F.get("_codes", i - 2) * CLASSES + F.get("_codes", i - 1)) * CLASSES + F.get("_codes", i),
-    )
-
-
-def with_grams(pages: DataFrame) -> DataFrame:
-    """Host, path and grams of each url; a url without characters has no grams."""
+def with_parts(pages: DataFrame) -> DataFrame:
     host, path = host_and_path(F.col("url"))
-    coded = pages.select("page_id", "url", host.alias("host"), path.alias("path"), _codes(F.col("url")).alias("_codes"))
-    return coded.select(
-        "page_id", "url", "host", "path",
-        F.when(F.size("_codes") > 2, _grams()).otherwise(F.array().cast("array<int>")).alias("_grams"),
+    return pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+
+
+def with_grams(urls: DataFrame, *columns: Column | str) -> DataFrame:
+    """``columns`` and ``gram`` for each character of a url: it and the ``ORDER`` ones before it."""
+    marks = F.array(*[F.lit(START)] * ORDER)
+    characters = F.concat(marks, F.filter(F.split("url", ""), lambda c: c != ""))
+    # A column of its own: inside the function below, a url would be split for every character.
+    cut = urls.withColumn("_characters", characters)
+    grams = F.transform(
+        F.sequence(F.lit(ORDER), F.size("_characters") - 1),
+        lambda i: F.concat(*[F.get("_characters", i - k) for k in reversed(range(ORDER + 1))]),
     )
+    return cut.select(*columns, F.explode(grams).alias("gram"))
 
 
 def with_rule(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -114,44 +107,45 @@ def _held_out() -> Column:
     return F.conv(digits, 16, 10).cast("int") % HELD_OUT_FOLDS == 0
 
 
-def log_ratios(labelled: DataFrame) -> DataFrame:
-    """``gram, ratio`` for every possible gram: log P(allowed) - log P(blocked).
+def different_urls(judged: DataFrame) -> DataFrame:
+    """``url, id, label, held_out, n``: every different url that has characters, and its pages."""
+    urls = judged.filter("url <> ''").groupBy("url").agg(F.first("_label").alias("label"), F.count(F.lit(1)).alias("n"))
+    return urls.select("url", F.unhex(F.md5("url")).alias("id"), "label", _held_out().alias("held_out"), "n")
 
-    The counts have a row per gram at most. What shorter contexts need are sums over
-    the fixed grid of all grams.
-    """
-    counts = materialize(
-        labelled.filter(~_held_out())
-        .select("_label", F.explode("_grams").alias("gram"))
-        .groupBy("gram")
-        .agg(*[F.sum(F.when(F.col("_label") == v, 1).otherwise(0)).alias(v) for v in (ALLOW, BLOCK)]),
-        "url-grams",
-    )
-    totals = counts.agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in (ALLOW, BLOCK)]).first()
-    grid = labelled.sparkSession.range(CLASSES**3).select(
-        F.col("id").alias("gram"),
-        F.floor(F.col("id") / CLASSES**2).cast("int").alias("c1"),
-        F.floor(F.col("id") / CLASSES % CLASSES).cast("int").alias("c2"),
-        (F.col("id") % CLASSES).cast("int").alias("c3"),
+
+def gram_counts(urls: DataFrame) -> DataFrame:
+    """``gram, allow, block, places``: training weight under each label, and places in all urls."""
+    def weight(label: str) -> Column:
+        return F.when((F.col("label") == label) & ~F.col("held_out"), F.col("n")).otherwise(0)
+
+    each = with_grams(urls, weight(ALLOW).alias(ALLOW), weight(BLOCK).alias(BLOCK))
+    return each.groupBy("gram").agg(F.sum(ALLOW).alias(ALLOW), F.sum(BLOCK).alias(BLOCK), F.count(F.lit(1)).alias("places"))
+
+
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """``gram, ratio, places`` for every gram of ``counts``: log P(allowed) - log P(blocked)."""
+    orders = [counts]
+    for k in reversed(range(ORDER)):
+        # The last k + 1 characters: one less than the order above has.
+        shorter = orders[0].groupBy(F.substring("gram", 2, k + 1).alias("gram"))
+        orders.insert(0, materialize(shorter.agg(*[F.sum(c).alias(c) for c in (ALLOW, BLOCK, "places")]), f"url-grams-{k}"))
+    sizes = orders[0].agg(
+        F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in (ALLOW, BLOCK)]
+    ).first()
+    model = orders[0].select(
+        "gram", "places", *[((F.col(v) + 1) / F.lit(float(sizes[v] + sizes["n"]))).alias(f"p_{v}") for v in (ALLOW, BLOCK)]
     )
-    table = grid.join(counts, "gram", "left").fillna(0, [ALLOW, BLOCK])
-    after, last, both, one = (Window.partitionBy(*c) for c in (["c2", "c3"], ["c3"], ["c1", "c2"], ["c2"]))
-    for v in (ALLOW, BLOCK):
-        table = table.withColumns({f"{v}_pair": F.sum(v).over(after), f"{v}_single": F.sum(v).over(last)}).withColumns(
-            {
-                f"{v}_n2": F.sum(v).over(both),
-                f"{v}_t2": F.sum(F.when(F.col(v) > 0, 1).otherwise(0)).over(both),
-                f"{v}_n1": F.sum(v).over(one),
-                # Every pair stands in the grid once for each class before it.
-                f"{v}_t1": F.sum(F.when((F.col("c1") == 0) & (F.col(f"{v}_pair") > 0), 1).otherwise(0)).over(one),
-            }
-        )
-    probability = {}
-    for v in (ALLOW, BLOCK):
-        order0 = (F.col(f"{v}_single") + 1) / (F.lit(totals[v]) + CLASSES)
-        order1 = _interpolate(F.col(f"{v}_pair"), f"{v}_n1", f"{v}_t1", order0)
-        probability[v] = _interpolate(F.col(v), f"{v}_n2", f"{v}_t2", order1)
-    return table.select("gram", (F.log(probability[ALLOW]) - F.log(probability[BLOCK])).alias("ratio"))
+    for k in range(1, ORDER + 1):
+        # Different followers of a context: no more than there are characters.
+        context = Window.partitionBy(F.substring("gram", 1, k))
+        seen = orders[k].select("*", *[c for v in (ALLOW, BLOCK) for c in (
+            F.sum(v).over(context).alias(f"n_{v}"), F.sum(F.when(F.col(v) > 0, 1).otherwise(0)).over(context).alias(f"t_{v}"))])
+        shorter = model.select(F.col("gram").alias("end"), *[F.col(f"p_{v}").alias(f"q_{v}") for v in (ALLOW, BLOCK)])
+        joined = seen.join(shorter, F.substring("gram", 2, k) == F.col("end"))
+        model = materialize(joined.select("gram", "places", *[
+            _interpolate(F.col(v), f"n_{v}", f"t_{v}", F.col(f"q_{v}")).alias(f"p_{v}") for v in (ALLOW, BLOCK)
+        ]), f"url-order-{k}")
+    return model.select("gram", (F.log(f"p_{ALLOW}") - F.log(f"p_{BLOCK}")).alias("ratio"), "places")
 
 
 def _interpolate(count: Column, total: str, kinds: str, shorter: Column) -> Column:
@@ -161,33 +155,32 @@ def _interpolate(count: Column, total: str, kinds: str, shorter: Column) -> Colu
 
 
 def score_urls(urls: DataFrame, model: DataFrame) -> DataFrame:
-    """``url, score`` for the different urls of ``url, _grams``; empty ones have none.
-
-    The model has a fixed number of rows, so it is broadcast. Urls stay in one
-    partition from finding the different ones to adding up their grams.
-    """
-    different = urls.groupBy("url").agg(F.first("_grams").alias("_grams"))
-    return (
-        different.select("url", F.explode("_grams").alias("gram"))
-        .join(F.broadcast(model), "gram")
-        .groupBy("url")
-        .agg((F.sum("ratio") / F.count("ratio")).alias("score"))
-    )
-
-
-def best_threshold(labelled: DataFrame, model: DataFrame) -> DataFrame:
+    """``id, score`` of the urls: the mean ratio of their grams, all of which are in the model."""
+    each = with_grams(urls, "id")
+    facts = model.agg(F.count(F.lit(1)).alias("rows"), F.sum("places").alias("places")).first()
+    ratios = model.select("gram", "ratio")
+    if facts["rows"] <= BROADCAST_ROWS:
+        found = each.join(F.broadcast(ratios), "gram")
+    else:
+        # So many places can only be of fewer than HOT_GRAMS grams.
+        hot = F.col("places") * HOT_GRAMS > facts["places"]
+        frequent = F.broadcast(model.filter(hot).select("gram", "ratio"))
+        rest = each.join(frequent, "gram", "left_anti").join(model.filter(~hot).select("gram", "ratio"), "gram")
+        found = each.join(frequent, "gram").unionByName(rest)
+    return found.groupBy("id").agg((F.sum("ratio") / F.count("ratio")).alias("score"))
+
+
+def best_threshold(scored: DataFrame) -> DataFrame:
     """One row: the score that separates the held-out urls best (balanced accuracy)."""
-    held_out = labelled.filter(_held_out())
-    counts = held_out.groupBy("url", "_label").agg(F.count(F.lit(1)).alias("n"))
     number = F.floor(F.col("score") / BIN_WIDTH)
     bins = (
-        counts.join(score_urls(held_out, model), "url")
-        .select("_label", "n", F.greatest(F.least(number, F.lit(LAST_BIN)), F.lit(-LAST_BIN)).alias("bin"))
+        scored.filter("held_out AND label IS NOT NULL")
+        .select("label", "n", F.greatest(F.least(number, F.lit(LAST_BIN)), F.lit(-LAST_BIN)).alias("bin"))
         .groupBy("bin")
-        .agg(*[F.sum(F.when(F.col("_label") == v, F.col("n")).otherwise(0)).alias(v) for v in (ALLOW, BLOCK)])
+        .agg(*[F.sum(F.when(F.col("label") == v, F.col("n")).otherwise(0)).alias(v) for v in (ALLOW, BLOCK)])
     )
     # The number of bins is fixed, so this window is small whatever the data.
-    grid = labelled.sparkSession.range(-LAST_BIN, LAST_BIN + 1).select(F.col("id").alias("bin"))
+    grid = scored.sparkSession.range(-LAST_BIN, LAST_BIN + 1).select(F.col("id").alias("bin"))
     filled = grid.join(bins, "bin", "left").fillna(0, [ALLOW, BLOCK])
     ordered = F.array_sort(F.collect_list(F.struct("bin", F.col(ALLOW).alias("a"), F.col(BLOCK).alias("b"))))
     sides = filled.agg(ordered.alias("bins"), F.sum(ALLOW).alias("n_allow"), F.sum(BLOCK).alias("n_block"))
@@ -218,14 +211,14 @@ def _gain(s: Column) -> Column:
 
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` for every page."""
-    judged = with_rule(with_grams(pages.select("page_id", "url")), rules)
-    labelled = judged.filter(F.col("_label").isNotNull()).select("url", "_label", "_grams")
-    model = materialize(log_ratios(labelled), "url-ratios")
-    threshold = materialize(best_threshold(labelled, model), "url-threshold")
-    scores = score_urls(judged.select("url", "_grams"), model).withColumnRenamed("url", "_url")
-    scored = judged.join(scores, F.col("url") == F.col("_url"), "left")
+    judged = with_rule(with_parts(pages.select("page_id", "url")), rules)
+    urls = materialize(different_urls(judged), "urls")
+    model = materialize(log_ratios(materialize(gram_counts(urls), "url-grams")), "url-ratios")
+    scored = materialize(urls.join(score_urls(urls, model), "id"), "url-scores")
+    threshold = materialize(best_threshold(scored), "url-threshold")
+    judged = judged.join(scored.select(F.col("url").alias("_url"), "score"), F.col("url") == F.col("_url"), "left")
     passes = F.col("score") >= threshold.scalar()
-    return scored.select(
+    return judged.select(
         "page_id", "host", "path", "rule",
         F.coalesce("_label", F.when(passes, ALLOW).otherwise(BLOCK)).alias("verdict"),
         F.coalesce("score", F.lit(0.0)).alias("score"),
