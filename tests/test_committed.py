@@ -1,0 +1,77 @@
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tests.test_topics import records
+from tidelog.operators.committed import ABORT, COMMIT, read_committed, read_committed_stream, release
+from tidelog.sources.topics import TopicSpec, publish, read_topic_stream
+from tidelog.streaming.append import append_stream
+
+
+def log_of(seed, partitions=2, transactions=30):
+    """Interleaved transactions whose markers come later, some never: rows by offset."""
+    pick = random.Random(seed)
+    out = []
+    for p in range(partitions):
+        offset, open_ = 0, {}
+        for txn in range(transactions):
+            open_[txn] = pick.randrange(1, 4)
+            while open_ and (len(open_) > 3 or pick.random() < 0.6):
+                t = pick.choice(sorted(open_))
+                if open_[t]:
+                    out.append((p, offset, t, None))
+                    open_[t] -= 1
+                elif pick.random() < 0.9:
+                    out.append((p, offset, t, pick.choice([COMMIT, COMMIT, ABORT])))
+                    del open_[t]
+                else:
+                    break
+                offset += 1
+    return out
+
+
+SCHEMA = "partition int, offset long, txn_id long, state string"
+
+
+def streamed(spark, path, log, width):
+    spec = TopicSpec("t", root=path("topic"), max_files_per_trigger=1)
+    frame = spark.createDataFrame(log, SCHEMA)
+    whole = records(spark, {0: 1}).limit(0)
+    shaped = frame.select(
+        F.col("txn_id").cast("string").cast("binary").alias("key"), F.to_json(F.struct("txn_id", "state")).cast("binary").alias("value"),
+        F.lit("t").alias("topic"), "partition", "offset", F.lit("2024-01-01").cast("timestamp_ntz").alias("timestamp"), F.lit(0).alias("timestampType"),
+    )
+    assert shaped.columns == whole.columns
+    publish(shaped, spec, offsets_per_slice=width)
+    body = F.from_json(F.col("value").cast("string"), "txn_id long, state string")
+    stream = read_topic_stream(spark, spec).select("partition", "offset", body["txn_id"].alias("txn_id"), body["state"].alias("state"))
+    query = append_stream(read_committed_stream(stream), path("out"))
+    query.awaitTermination()
+    return spark.read.schema("partition int, offset long, txn_id long").parquet(path("out")), len(query.recentProgress)
+
+
+@pytest.mark.parametrize("seed, width", [(1, 3), (2, 40)])
+def test_stream_equals_the_batch_view(spark, path, seed, width):
+    log = log_of(seed)
+    got, batches = streamed(spark, path, log, width)
+    frame = spark.createDataFrame(log, SCHEMA)
+    expected = read_committed(frame.filter("state IS NULL").drop("state"), frame.filter("state IS NOT NULL"))
+    assert rows(got, "partition", "offset", "txn_id") == rows(expected, "partition", "offset", "txn_id") != []
+    assert batches > 2
+
+
+def test_markers_that_come_batches_later(spark, path):
+    log = [(0, 0, 1, None), (0, 1, 2, None), (0, 2, 2, COMMIT), (0, 3, 3, None), (0, 4, 3, ABORT), (0, 5, 1, COMMIT), (0, 6, 4, None)]
+    got, _ = streamed(spark, path, log, 1)
+    assert rows(got, "offset") == [(0,), (1,)]
+
+
+def test_release():
+    held = pd.DataFrame({"offset": [5, 1, 3], "txn_id": [2, 1, 2], "state": [None, None, None]}, dtype=object)
+    visible, left = release(held, pd.DataFrame({"txn_id": [2], "state": [COMMIT]}), "state")
+    assert not len(visible) and sorted(left["offset"]) == [1, 3, 5]
+    visible, left = release(left, pd.DataFrame({"txn_id": [1], "state": [ABORT]}), "state")
+    assert list(visible["offset"]) == [3, 5] and not len(left)

@@ -1,6 +1,8 @@
 """Kill and restart the exactly-once sink at every step."""
 
 import datetime
+import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -11,7 +13,7 @@ from tests.test_topics import records
 from tidelog.operators.ledger import pending_ranges, range_continuity, resume_position
 from tidelog.sources.topics import DataLossError, TopicSpec, publish, publish_slice, read_topic_stream
 from tidelog.streaming.exactly_once import (
-    AFTER_CLAIM, AFTER_COMMIT, AFTER_WRITE, ExactlyOnceSink, compact_ledger, read_ledger, read_output, run_exactly_once,
+    AFTER_CLAIM, AFTER_COMMIT, AFTER_WRITE, ClaimRefusedError, ExactlyOnceSink, compact_ledger, read_ledger, read_output, run_exactly_once,
 )
 
 APP = "app"
@@ -240,3 +242,76 @@ def test_kafka_resumes_at_the_positions(setup):
     assert sink.resume(TopicSpec("t", kind="kafka"), 2).starting_offsets == '{"t": {"0": 40, "1": 25}}'
     with pytest.raises(ValueError):
         sink.resume(TopicSpec("t", kind="kafka"))
+
+
+def test_of_two_writers_one_is_refused_at_its_claim(setup, spark):
+    first, second = setup.sink(), setup.sink()
+    first.recover(setup.spec)
+    second.recover(setup.spec)
+    batch = records(spark, {0: 5, 1: 3})
+    # The second one comes between the claim of the first and its output.
+    errors = []
+
+    def meanwhile(stage, batch_id):
+        if stage == AFTER_CLAIM:
+            with pytest.raises(ClaimRefusedError, match=first.run_id):
+                second(batch, 0)
+            errors.append(stage)
+
+    first.on_stage = meanwhile
+    first(batch, 0)
+    assert errors == [AFTER_CLAIM]
+    assert len(setup.visible()) == 8 and len(set(setup.visible())) == 8
+    # It is refused as long as it goes on from old positions.
+    with pytest.raises(ClaimRefusedError):
+        second(records(spark, {0: 7}), 1)
+    first.on_stage = lambda stage, batch_id: None
+    first(records(spark, {0: 2}, first=5), 1)
+    assert len(setup.visible()) == 10
+
+
+def test_writers_that_race_give_each_record_once(setup):
+    sinks = [setup.sink(), setup.sink()]
+    for sink in sinks:
+        sink.recover(setup.spec)
+    batch = records(setup.spark, {0: 40, 1: 25})
+
+    def work(sink):
+        try:
+            sink(batch, 0)
+            return "done"
+        except ClaimRefusedError:
+            return "refused"
+
+    with ThreadPoolExecutor(2) as pool:
+        assert sorted(pool.map(work, sinks)) == ["done", "refused"]
+    assert setup.visible() == EXPECTED
+
+
+def test_a_claim_that_never_reached_the_ledger_is_finished(setup, monkeypatch):
+    sink = setup.sink()
+    sink.recover(setup.spec)
+
+    def lost(*args, **kwargs):
+        raise OSError("lost")
+
+    monkeypatch.setattr(sink, "_append_events", lost)
+    with pytest.raises(OSError):
+        sink(records(sink.spark, {0: 10, 1: 5}), 0)
+    other = setup.sink()
+    other.recover(setup.spec)
+    assert other.positions == {0: 10, 1: 5} and len(setup.visible()) == 15
+    setup.run()
+    assert setup.visible() == EXPECTED
+
+
+def test_compaction_drops_old_claims(setup, path):
+    setup.run()
+    folder = f"{path('ledger')}/claims"
+    n = len([f for f in os.listdir(folder) if f.endswith(".json")])
+    assert n > 0
+    now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    compact_ledger(setup.spark, path("ledger"), now)
+    assert len([f for f in os.listdir(folder) if f.endswith(".json")]) == n
+    compact_ledger(setup.spark, path("ledger"), now + datetime.timedelta(days=30))
+    assert [f for f in os.listdir(folder) if f.endswith(".json")] == []

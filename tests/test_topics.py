@@ -242,3 +242,65 @@ def test_framed_stream_with_reader_schema(spark, path):
     assert rows(spark.read.parquet(path("out"))) == sorted(
         [(i, f"first{i}", f"last{i}", 7, 7) for i in range(20)], key=str
     )
+
+
+def test_late_records_are_added_and_repeated_ones_are_not(spark, path):
+    spec = TopicSpec("t", root=path("topic"))
+    publish(records(spark, {0: 50}, first=100), spec, offsets_per_slice=30)
+    publish(records(spark, {0: 100, 1: 3}), spec, offsets_per_slice=30)
+    publish(records(spark, {0: 160}, first=40), spec, offsets_per_slice=30)
+    publish(records(spark, {0: 20, 1: 5}), spec, offsets_per_slice=30)
+    assert positions(read_topic(spark, spec)) == sorted([(0, o) for o in range(200)] + [(1, o) for o in range(5)], key=str)
+    assert topics.next_offsets(spark, spec) == {0: 200, 1: 5}
+
+
+def test_a_hole_inside_a_slice_is_filled(spark, path):
+    spec = TopicSpec("t", root=path("topic"))
+    df = records(spark, {0: 60})
+    publish(df.filter("offset % 3 <> 0"), spec, offsets_per_slice=20)
+    publish(df, spec, offsets_per_slice=20)
+    assert positions(read_topic(spark, spec)) == sorted([(0, o) for o in range(60)], key=str)
+
+
+def test_index_has_every_slice_and_partition(spark, path):
+    spec = TopicSpec("t", root=path("topic"))
+    publish(records(spark, {0: 40, 1: 13}), spec, offsets_per_slice=10)
+    publish(records(spark, {0: 5}, first=40), spec, offsets_per_slice=10)
+    stored = spark.read.parquet(spec.path).groupBy("slice", "partition").agg(F.min("offset"), F.max("offset"), F.count("*"))
+    assert rows(topics.slice_index(spark, spec)) == rows(stored)
+    assert topics.slice_index(spark, TopicSpec("none", root=path("topic"))).count() == 0
+
+
+def _spoil(folder):
+    """Make the record files below a folder unreadable."""
+    for top, _, names in os.walk(folder):
+        for name in names:
+            if name.endswith(".parquet"):
+                with open(os.path.join(top, name), "wb") as file:
+                    file.write(b"spoiled")
+            elif name.endswith(".crc"):
+                os.remove(os.path.join(top, name))
+
+
+def test_append_and_restart_read_no_finished_file(spark, path):
+    spec = TopicSpec("t", root=path("topic"))
+    publish(records(spark, {0: 40, 1: 13}), spec, offsets_per_slice=10)
+    _spoil(spec.path)
+    with pytest.raises(Exception):
+        read_topic(spark, spec).count()
+    publish(records(spark, {0: 5, 1: 4}, first=40), spec, offsets_per_slice=10)
+    assert topics.next_offsets(spark, spec) == {0: 45, 1: 44}
+    assert topics.first_open_slice(spark, spec, {0: 40, 1: 13}) == 8
+    assert topics.first_open_slice(spark, spec, {0: 25, 1: 13}) == 2
+    assert topics.first_open_slice(spark, spec, {0: 45, 1: 44}) == 9
+    assert spark.read.parquet(f"{spec.path}/slice=8").count() == 9
+
+
+def test_slices_without_an_index_row_are_indexed_again(spark, path):
+    import shutil
+
+    spec = TopicSpec("t", root=path("topic"))
+    publish(records(spark, {0: 30}), spec, offsets_per_slice=10)
+    shutil.rmtree(f"{path("topic")}/slice-index")
+    assert topics.next_offsets(spark, spec) == {0: 30}
+    assert topics.slice_index(spark, spec).count() == 3

@@ -66,7 +66,8 @@ def published(spark: SparkSession, records: DataFrame, rows: int, topic: str, *,
     """Write records (dealt evenly to the partitions) to a new file topic.
 
     A micro-batch keeps all cores busy, and there are two batches at least. With ``halves``
-    the topic is published in two calls that meet inside a slice.
+    the topic is published in two calls that meet inside a slice: the later records first, then
+    the late ones, and some of the first call again.
     """
     offsets = last_offset(rows) + 1
     slices_per_batch = max(1, math.ceil(spark.sparkContext.defaultParallelism / PARTITIONS))
@@ -78,7 +79,7 @@ def published(spark: SparkSession, records: DataFrame, rows: int, topic: str, *,
         max_files_per_trigger=slices_per_batch * PARTITIONS,
     )
     half = width * (slices // 2) + width // 2
-    parts = (F.col("offset") < half, F.col("offset") >= half) if halves else (F.lit(True),)
+    parts = (F.col("offset") >= half, F.col("offset") < half + width) if halves else (F.lit(True),)
     for part in parts:
         publish(records.filter(part), spec, offsets_per_slice=width, tasks=slices * PARTITIONS)
     return spec
@@ -189,3 +190,24 @@ def events_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select(*LEDGER_SCHEMA.fieldNames())
     )
+
+
+def transaction_log(spark: SparkSession, sf_dir: str) -> TopicSpec:
+    """The same transactions as one topic: markers stand in the log, behind their records."""
+    records, markers = transactions(spark, sf_dir)
+    each = records.select("partition", "offset", "txn_id", "event_id", F.lit(None).cast("string").alias("state"))
+    ends = markers.select("partition", F.col("marker_offset").alias("offset"), "txn_id", F.lit(None).cast("bigint").alias("event_id"), "state")
+    log = as_records(
+        each.unionByName(ends).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")),
+        key=F.col("txn_id"), value=F.to_json(F.struct("txn_id", "event_id", "state")).cast("string"), topic="transactions",
+        partition=F.col("partition"), offset=F.col("offset"), timestamp=F.col("ts"),
+    )
+    # Slices end inside transactions, so that their markers come in a later batch.
+    offsets = last_offset(table(spark, sf_dir, "events").count()) * 4 // 3 + 4
+    width = max(2, offsets // 12 // 4 * 4 + 2)
+    spec = TopicSpec("transactions", root=scratch(spark, "topic"), max_files_per_trigger=2 * PARTITIONS)
+    publish(log, spec, offsets_per_slice=width)
+    return spec
+
+
+LOG_JSON_SCHEMA = "txn_id bigint, event_id bigint, state string"

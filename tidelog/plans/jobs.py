@@ -16,7 +16,7 @@ from tidelog.operators import committed, ledger, lookup, offsets, rollups
 from tidelog.operators.asyncmap import foreach_async, map_async
 from tidelog.plans import fixtures
 from tidelog.plans.fixtures import table
-from tidelog.sources import generate, sinks, tables
+from tidelog.sources import generate, keyed, sinks, tables
 from tidelog.sources.topics import (
     LATEST, TopicSpec, as_records, check_data_loss, parse_offsets, read_range, read_topic, read_topic_stream,
 )
@@ -157,10 +157,9 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(raised.withColumn("c_acctbal", F.col("c_acctbal") + 200).withColumn("seq", F.lit(2)))
         .unionByName(added.withColumn("seq", F.lit(3)))
     )
-    target = scratch(spark, "customers")
-    sinks.upsert(spark, target, customer.withColumn("seq", F.lit(0)), ["c_custkey"], "seq")
-    sinks.upsert(spark, target, changes, ["c_custkey"], "seq")
-    return sinks.read_keyed_table(spark, target).select(
+    target = keyed.create_table(customer, scratch(spark, "customers"), ["c_custkey"], 16)
+    keyed.change_table(target, changes, "seq")
+    return keyed.read_table(spark, target).select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
         F.map_values("items")[0].alias("item"), F.array_join("tags", "|").alias("tags"),
     )
@@ -175,8 +174,23 @@ def lookup_join_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("c_mktsegment")
     )
-    return lookup.lookup_join(
-        keys, table(spark, sf_dir, "customer"), ["c_custkey"], select=["c_name", "c_mktsegment"]
+    return keyed.keyed_lookup(
+        keys, _keyed(spark, sf_dir, "customer", ["c_custkey"]), ["c_custkey"], select=["c_name", "c_mktsegment"]
+    )
+
+
+def _keyed(spark: SparkSession, sf_dir: str, name: str, keys: list[str], buckets: int = 16) -> keyed.KeyedTable:
+    """A table in hash buckets of its key."""
+    return keyed.create_table(table(spark, sf_dir, name), scratch(spark, name), keys, buckets)
+
+
+@job("lookup_join_keyed")
+def lookup_join_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few keys of a large table: only their buckets are read."""
+    keys = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), "r_name")
+    return keyed.keyed_lookup(
+        keys, _keyed(spark, sf_dir, "orders", ["o_custkey"], 64), ["id"], key_map={"id": "o_custkey"},
+        select=["o_orderkey", "o_totalprice"],
     )
 
 
@@ -200,8 +214,9 @@ def lookup_join_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("toto", F.lit(EXTRA_VALUE))
         .withColumn("l_quantity", F.lit(-1))
     )
-    return lookup.lookup_join(
-        keys, lines, list(LINE_KEYS), key_map=LINE_KEYS, select=["l_orderkey", "l_quantity"]
+    entries = _keyed(spark, sf_dir, "lineitem", list(LINE_KEYS.values()))
+    return keyed.keyed_lookup(
+        keys, entries, list(LINE_KEYS), key_map=LINE_KEYS, select=["l_orderkey", "l_quantity"]
     )
 
 
@@ -562,6 +577,16 @@ def read_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed.read_committed(*fixtures.transactions(spark, sf_dir))
 
 
+@job("read_committed_stream")
+def read_committed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = decode_json(
+        read_topic_stream(spark, fixtures.transaction_log(spark, sf_dir)), "value", fixtures.LOG_JSON_SCHEMA, ["partition", "offset"]
+    )
+    out = scratch(spark, "committed")
+    append_stream(committed.read_committed_stream(log), out).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "partition", "txn_id", "offset")
+
+
 @job("transaction_generate")
 def transaction_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")

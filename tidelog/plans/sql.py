@@ -114,6 +114,8 @@ ORACLE: dict[str, str] = {
     "lookup_join_select": """
       SELECT o_custkey AS c_custkey, o_orderstatus AS c_mktsegment, c_name, c_mktsegment AS table_c_mktsegment
       FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "lookup_join_keyed": """
+      SELECT r_regionkey AS id, r_name, o_orderkey, o_totalprice FROM region JOIN orders ON r_regionkey = o_custkey""",
     "lookup_join_all": "SELECT orders.* FROM customer JOIN orders ON o_custkey = c_custkey",
     "lookup_join_mapped": """
       SELECT dummy, day, bucket, '42' AS toto, -1 AS l_quantity, l_orderkey, l_quantity AS table_l_quantity
@@ -297,3 +299,6 @@ ORACLE: dict[str, str] = {
     "exactly_once_sink": DECODED_EVENTS,
     "pending_replay": DECODED_EVENTS,
 }
+
+# The stream gives the rows of the batch view.
+ORACLE["read_committed_stream"] = ORACLE["read_committed"]

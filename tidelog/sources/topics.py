@@ -2,7 +2,9 @@
 
 A file topic is a parquet directory ``<root>/topic=<t>/slice=<k>/partition=<p>``.
 A slice holds one file per topic partition, with rising offsets, and slices
-appear in order and are never changed. Any prefix of the files is then a prefix of every partition, and
+appear in order and are never changed. An index beside the topic,
+``<root>/slice-index/topic=<t>``, has a row for each slice and partition (first and last
+offset, number of records), so that appends and restarts read no finished records. Any prefix of the files is then a prefix of every partition, and
 a micro-batch covers one contiguous offset range per partition. ``kind="kafka"`` uses Spark's Kafka connector when its jar is on the
 class path.
 """
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.numbers import int_div
-from tidelog.storage import child_names, reveal_in_order, small_table
+from tidelog.storage import child_names, exists, reveal_in_order, small_table
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -162,26 +164,71 @@ def _similar(partitions: dict[int, int], bounds: dict[int, int]) -> list[list[in
     return [ordered[k:k + size] for k in range(0, len(ordered), size)] if ordered else []
 
 
+INDEX_SCHEMA = T.StructType(
+    [
+        T.StructField("slice", T.LongType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("first", T.LongType()),
+        T.StructField("last", T.LongType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+
+
+def _index_path(spec: TopicSpec) -> str:
+    return f"{spec.root}/slice-index/topic={spec.topic}"
+
+
+def _slice_numbers(spark: SparkSession, spec: TopicSpec) -> list[int]:
+    return [int(n.removeprefix("slice=")) for n in child_names(spark, spec.path) if n.startswith("slice=")]
+
+
+def _add_to_index(spark: SparkSession, spec: TopicSpec, slices: list[int]) -> None:
+    """Index these slices. Two columns of their files are read, and no other file."""
+    paths = [f"{spec.path}/slice={k}" for k in slices]
+    rows = spark.read.option("basePath", spec.path).schema(_file_schema()).parquet(*paths)
+    found = rows.groupBy("slice", "partition").agg(
+        F.min("offset").alias("first"), F.max("offset").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    found.coalesce(1).write.mode("append").parquet(_index_path(spec))
+
+
+def slice_index(spark: SparkSession, spec: TopicSpec) -> DataFrame:
+    """``slice, partition, first, last, n`` of every slice and partition of a file topic.
+
+    Slices that a failed publish left without a row are read and indexed first; only slice
+    numbers come to the driver. A slice that two writers indexed counts once.
+    """
+    there = _slice_numbers(spark, spec)
+    if not there:
+        return small_table(spark, [], INDEX_SCHEMA)
+    known: set[int] = set()
+    if exists(spark, _index_path(spec)):
+        index = spark.read.schema(INDEX_SCHEMA).parquet(_index_path(spec))
+        known = {row[0] for row in index.select("slice").distinct().collect()}
+    if missing := sorted(set(there) - known):
+        _add_to_index(spark, spec, missing)
+    return spark.read.schema(INDEX_SCHEMA).parquet(_index_path(spec)).distinct()
+
+
 def first_open_slice(spark: SparkSession, spec: TopicSpec, positions: dict[int, int]) -> int:
     """The first slice of a file topic with a record at or after ``positions``.
 
-    Reads the offsets only; later slices may hold finished records too.
+    Reads the index only; later slices may hold finished records too.
     """
-    rows = spark.read.schema(_file_schema()).parquet(spec.path)
-    ends = rows.groupBy("slice", "partition").agg(F.max("offset").alias("last"))
     is_open = F.col("last") >= F.coalesce(_by_partition(positions), F.lit(0))
-    found = ends.agg(F.min(F.when(is_open, F.col("slice"))).alias("first"), F.max("slice").alias("end")).first()
-    return found["first"] if found["first"] is not None else found["end"] + 1
+    found = slice_index(spark, spec).agg(
+        F.min(F.when(is_open, F.col("slice"))).alias("first"), F.max("slice").alias("end")
+    ).first()
+    return found["first"] if found["first"] is not None else (found["end"] or 0) + 1
 
 
 def next_offsets(spark: SparkSession, spec: TopicSpec) -> dict[int, int]:
     """The offset after the last published one of every partition of a file topic.
 
-    Reads two columns; one row per topic partition comes to the driver.
+    Reads the index only; one row per topic partition comes to the driver.
     """
-    if not child_names(spark, spec.path):
-        return {}
-    ends = read_topic(spark, spec).groupBy("partition").agg((F.max("offset") + 1).alias("next"))
+    ends = slice_index(spark, spec).groupBy("partition").agg((F.max("last") + 1).alias("next"))
     return {r["partition"]: r["next"] for r in ends.collect()}
 
 
@@ -193,9 +240,10 @@ def publish(
     A Kafka topic takes the rows as they are (the broker gives offsets). For a
     file topic the offsets are cut into slices of ``offsets_per_slice`` per
     partition, which bounds every file whatever the skew between partitions.
-    Records whose partition already reaches beyond their offset are there from an earlier call
-    and are skipped, so a call that failed may be repeated. ``tasks`` sets the number of
-    writing tasks; somewhat more than there are files keeps them even.
+    Records whose partition and offset the topic holds are there from an earlier call
+    and are skipped, so a call that failed may be repeated; all others are added, late ones
+    too, whatever their order. ``tasks`` sets the number of writing tasks; somewhat more than
+    there are files keeps them even.
     """
     if spec.kind == "kafka":
         records.select("key", "value", F.lit(spec.topic).alias("topic")).write.format("kafka").options(
@@ -211,8 +259,32 @@ def publish_slice(records: DataFrame, spec: TopicSpec) -> None:
     _write_slices(records.withColumn("slice", F.lit(0).cast("bigint")), spec)
 
 
+def _not_there(records: DataFrame, spec: TopicSpec) -> DataFrame:
+    """The records whose offsets the topic does not hold.
+
+    Finished slices are read only where the index says that their ranges overlap those of
+    the new records, and then only offsets inside these ranges.
+    """
+    spark = records.sparkSession
+    new = {
+        r["partition"]: (r["lo"], r["hi"])
+        for r in records.groupBy("partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()
+    }
+    bounds = small_table(spark, [(p, *new[p]) for p in sorted(new)], "partition int, lo bigint, hi bigint")
+    # One row per topic partition on the broadcast side.
+    met = slice_index(spark, spec).join(F.broadcast(bounds), "partition").filter("first <= hi AND last >= lo")
+    span = met.agg(F.min("slice").alias("a"), F.max("slice").alias("b")).first()
+    if span["a"] is None:
+        return records
+    there = read_topic_range(
+        spark.read.schema(_file_schema()).parquet(spec.path).filter(F.col("slice").between(span["a"], span["b"])),
+        {p: lo for p, (lo, _) in new.items()}, {p: hi + 1 for p, (_, hi) in new.items()}, require_all=False,
+    )
+    return records.join(there.select("partition", "offset"), ["partition", "offset"], "left_anti").select(*records.columns)
+
+
 def _write_slices(numbered: DataFrame, spec: TopicSpec, tasks: int | None = None) -> None:
-    """One job writes all files out of sight, then the slices appear in order.
+    """One job writes all files out of sight, then the slices appear in order and are indexed.
 
     Rows move once, to one task per slice and partition, and are not sorted: a
     file is one range of offsets, which is what scans are pruned by. A file stream takes
@@ -222,11 +294,9 @@ def _write_slices(numbered: DataFrame, spec: TopicSpec, tasks: int | None = None
     """
     spark = numbered.sparkSession
     staging = f"{spec.root}/_staging-{uuid.uuid4().hex}"
-    there = [int(n.removeprefix("slice=")) for n in child_names(spark, spec.path) if n.startswith("slice=")]
+    there = _slice_numbers(spark, spec)
     if there:
-        known = next_offsets(spark, spec)
-        numbered = numbered.filter(F.col("offset") >= F.coalesce(_by_partition(known), F.lit(0)))
-        numbered = numbered.withColumn("slice", F.col("slice") + (max(there) + 1))
+        numbered = _not_there(numbered, spec).withColumn("slice", F.col("slice") + (max(there) + 1))
     (
         numbered.select("slice", *[c for c in RECORD_COLUMNS if c != "topic"])
         .repartition(*([tasks] if tasks else []), "slice", "partition")
@@ -234,6 +304,8 @@ def _write_slices(numbered: DataFrame, spec: TopicSpec, tasks: int | None = None
         .parquet(staging)
     )
     reveal_in_order(spark, staging, spec.path, "slice=")
+    if added := sorted(set(_slice_numbers(spark, spec)) - set(there)):
+        _add_to_index(spark, spec, added)
 
 
 def parse_offsets(spec_json: str, topic: str) -> dict[int, int]:

@@ -11,9 +11,11 @@ import time
 import uuid
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -156,6 +158,45 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of one small file."""
+    fs, hadoop_path = _resolve(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write one small file that is not there yet; false if it is.
+
+    The file system creates it exclusively, so that of several writers one succeeds.
+    """
+    fs, hadoop_path = _resolve(spark, path)
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
+
+
+def drop_older(spark: SparkSession, path: str, before: datetime) -> None:
+    """Remove the files directly below ``path`` that were written before a time (UTC)."""
+    fs, hadoop_path = _resolve(spark, path)
+    if fs.exists(hadoop_path):
+        limit = before.replace(tzinfo=timezone.utc).timestamp() * 1000
+        for status in fs.listStatus(hadoop_path):
+            if status.isFile() and status.getModificationTime() < limit:
+                fs.delete(status.getPath(), False)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per application."""
     marker = "spark.tidelog.shipped"

@@ -5,18 +5,25 @@ not finished before, (2) claims them in the ledger, (3) writes the output to a
 directory named after the ranges, replacing what an earlier attempt left there,
 and (4) records the ranges as finished. Readers see only output whose ranges are
 finished, so an attempt that dies anywhere leaves nothing visible and is
-repeated with the same bounds. One writer per application and topic, and an
-output folder of its own, are assumed; ``range_continuity`` shows when the first
-was broken.
+repeated with the same bounds.
+
+A claim is a file named after the positions that it starts from, and created
+exclusively: of two writers that go on from the same positions one is refused at its
+claim, before it writes anything. The file holds the claimed ranges, so a claim whose
+writer died before the ledger knew of it is finished by the next ``recover``. That
+is meant for a writer that is gone: ``recover`` must not be called while another one runs.
+Every sink has an output folder of its own.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +33,9 @@ from tidelog.operators.offsets import counted_offset_ranges, offset_ranges
 from tidelog.sources.topics import (
     EARLIEST, DataLossError, TopicSpec, first_open_slice, format_offsets, read_range,
 )
-from tidelog.storage import complete_version, newest_version, scratch, small_table, version_path
+from tidelog.storage import (
+    complete_version, create_text, drop_older, exists, newest_version, read_text, scratch, small_table, version_path,
+)
 
 # Rows of a ledger file after compaction.
 LEDGER_FILE_ROWS = 1_000_000
@@ -38,6 +47,10 @@ AFTER_WRITE = "after_write"
 AFTER_COMMIT = "after_commit"
 
 
+class ClaimRefusedError(RuntimeError):
+    """Another writer has claimed ranges from the same positions."""
+
+
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -50,12 +63,14 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(version_path(path, version))
 
 
-def compact_ledger(spark: SparkSession, path: str, as_of: datetime) -> None:
+def compact_ledger(spark: SparkSession, path: str, as_of: datetime, keep_claims: timedelta = timedelta(days=7)) -> None:
     """Rewrite the ledger as few files (by their rows) without expired history.
 
     To be called by the writer while it does not run, best before a start. The
-    new version takes over when it is complete.
+    new version takes over when it is complete. Claim files older than ``keep_claims`` go:
+    a writer that slept for longer is not refused any more.
     """
+    drop_older(spark, f"{path}/claims", as_of - keep_claims)
     version = newest_version(spark, path)
     if version:
         kept = compact(read_ledger(spark, path), as_of.isoformat(sep=" "))
@@ -146,6 +161,30 @@ class ExactlyOnceSink:
             row["partition"]: row["next_offset"]
             for row in resume_position(events, self.application_id, self.topic).collect()
         }
+        # A claim from these positions that never reached the ledger.
+        while exists(self.spark, path := self._claim_path()):
+            claim = json.loads(read_text(self.spark, path))
+            ranges = [tuple(r) for r in claim["ranges"]]
+            batch = read_range(self.spark, spec, {p: lo for p, lo, _, _ in ranges}, {p: hi for p, _, hi, _ in ranges})
+            self._require_claimed(batch, ranges)
+            self._append_events(claim["range_id"], ranges, claim["batch_id"], processed=False)
+            self._write_and_commit(batch, claim["range_id"], ranges, claim["batch_id"])
+            self.positions.update({p: hi for p, _, hi, _ in ranges})
+
+    def _claim_path(self) -> str:
+        """Positions only rise, so a claim from the same ones has the same name and no other."""
+        state = json.dumps([self.application_id, self.topic, sorted(self.positions.items())])
+        return f"{self.ledger_path}/claims/{hashlib.sha256(state.encode()).hexdigest()}.json"
+
+    def _claim(self, name: str, ranges: list[tuple], batch_id: int) -> None:
+        path = self._claim_path()
+        claim = {"run_id": self.run_id, "range_id": name, "batch_id": batch_id, "ranges": ranges}
+        if create_text(self.spark, path, json.dumps(claim)):
+            return
+        other = json.loads(read_text(self.spark, path) or "{}")
+        # The same batch tried again by this writer.
+        if (other.get("run_id"), other.get("range_id")) != (self.run_id, name):
+            raise ClaimRefusedError(f"run {other.get('run_id')} has claimed from the same positions of topic {self.topic!r}")
 
     def resume(self, spec: TopicSpec, partitions: int | None = None) -> TopicSpec:
         """``spec`` for a stream that goes on after the finished ranges.
@@ -187,6 +226,7 @@ class ExactlyOnceSink:
             if not self.holes:
                 self._require_complete(found)
             name = range_id(self.application_id, [(self.topic, p, lo, hi) for p, lo, hi, _ in ranges])
+            self._claim(name, ranges, batch_id)
             self._append_events(name, ranges, batch_id, processed=False)
             self.on_stage(AFTER_CLAIM, batch_id)
             self._write_and_commit(fresh, name, ranges, batch_id)
