@@ -77,5 +77,16 @@ def test_stages_keep_columns_and_take_empty_tables(spark):
     assert stages.encode_stage(spark, docs.filter("false"), "").count() == 0
 
 
+def test_noise_and_unlearned_languages_go(spark):
+    seeded = random.Random(8)
+    rows = corpus()
+    rows += [(400, " ".join("".join(seeded.choice("qxzjvkwy") for _ in range(8)) for _ in range(200)), None, "s0", None),
+             (401, "кто не работает тот не ест и живёт у моря " * 20, None, "s0", None), (402, prose(seeded, 5), None, "s1", None)]
+    kept = {r["doc_id"] for r in stages.language_stage(spark, spark.createDataFrame(rows, DOCS), "").collect()}
+    assert not kept & {301, 302, 303, 400, 401}
+    assert kept == {r[0] for r in rows} - {301, 302, 303, 400, 401}
+
+
+
 def test_order_of_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "lines", "copies", "mixing", "encoding"]

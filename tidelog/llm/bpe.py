@@ -223,7 +223,10 @@ def _map(docs: DataFrame, keys: list[str], path: str | None, fields: list[tuple]
             encoder = encoder or Encoder(Vocabulary(vocabulary.value))
             done = 0
             for texts in _slices(batch.column(len(keys))):
-                columns = list(zip(*rows(encoder, texts)))
+                # Copies of a text are encoded once.
+                different = list(dict.fromkeys(texts))
+                found = dict(zip(different, rows(encoder, different)))
+                columns = list(zip(*map(found.__getitem__, texts)))
                 part = batch.slice(done, len(texts))
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays(

@@ -363,12 +363,13 @@ def _weights(counts: np.ndarray, everywhere: np.ndarray, totals: np.ndarray) ->
 
 class Scorer:
     """Scores texts of one task and remembers the words that it has met, as long as all
-    languages are in one chunk."""
+    languages are in one chunk. With ``background``, every chunk has one more column: equal
+    weights for all pieces, which stand for text of no language."""
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, model: Model, background: bool = False):
+        self.model, self.background = model, background
         self.trie = Trie(model.pieces)
-        self.weights = None
+        self.weights = self.chunk = None
         self._reset(0)
 
     def _reset(self, languages: int) -> None:
@@ -398,24 +399,44 @@ class Scorer:
             yield sum(self.logs[rows[k:k + step]].sum(axis=0) for k in range(0, len(rows), step)) if words else None
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """Language and its share of the probability."""
+        return [found[:2] for found in self.judge(texts)]
+
+    def judge(self, texts: list[str]) -> list[tuple[str, float, float]]:
+        """Language, its share of the probability, and how much better a letter of the text fits
+        it than the background (difference of logarithms; 0 without background)."""
         split = [words_of(t) for t in texts]
         # Language, its score, and the sum of all probabilities divided by that of the language.
         best: list[tuple[int, float, float] | None] = [None] * len(split)
+        plain = [0.0] * len(split)
         for start, weights in self._chunks():
-            if weights is not self.weights:
+            if self.chunk is not weights:
+                self.chunk = weights
                 self.weights = weights
-                self._reset(weights.shape[1])
-            for k, score in enumerate(self._scores(split)):
-                if score is None:
+                if self.background:
+                    equal = np.append(np.full(len(weights) - 1, 1.0 / max(1, len(weights) - 1)), UNKNOWN)
+                    self.weights = np.hstack([weights, equal[:, None]])
+                self._reset(self.weights.shape[1])
+            for k, scores in enumerate(self._scores(split)):
+                if scores is None:
                     continue
-                top = int(np.argmax(score))
-                new = start + top, float(score[top]), float(np.exp(score - score[top]).sum())
+                if self.background:
+                    plain[k], scores = float(scores[-1]), scores[:-1]
+                top = int(np.argmax(scores))
+                new = start + top, float(scores[top]), float(np.exp(scores - scores[top]).sum())
                 best[k] = new if best[k] is None else _joined(best[k], new)
-        return [(UNDETERMINED, 0.0) if b is None else (self.model.languages[b[0]], 1.0 / b[2]) for b in best]
+        out = []
+        for b, words, other in zip(best, split, plain):
+            if b is None:
+                out.append((UNDETERMINED, 0.0, 0.0))
+            else:
+                fit = (b[1] - other) / sum(map(len, words)) if self.background else 0.0
+                out.append((self.model.languages[b[0]], 1.0 / b[2], fit))
+        return out
 
     def _chunks(self) -> Iterator[tuple[int, np.ndarray]]:
-        if self.weights is not None and self.weights.shape[1] == len(self.model.languages):
-            return iter([(0, self.weights)])
+        if self.chunk is not None and self.chunk.shape[1] == len(self.model.languages):
+            return iter([(0, self.chunk)])
         return self.model.chunks()
 
 
@@ -426,24 +447,28 @@ def _joined(a: tuple[int, float, float], b: tuple[int, float, float]) -> tuple[i
     return a[0], a[1], a[2] + b[2] * float(np.exp(b[1] - a[1]))
 
 
-def predict(docs: DataFrame, model: Model, lang: str, score: str) -> DataFrame:
-    """Add the predicted language and its share of the probability (under equal priors)."""
+def predict(docs: DataFrame, model: Model, lang: str, score: str, fit: str | None = None) -> DataFrame:
+    """Add the predicted language and its share of the probability (under equal priors), and
+    optionally how well the text fits it: the mean, over letters, of the difference of the
+    logarithms of its probability and of that under equal weights of all pieces. The share
+    says which language it is if it is one of those learned; the fit whether it is one."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast((model.languages, model.pieces))
     weights = model.weights
-    schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
+    added = [(lang, T.StringType()), (score, T.DoubleType()), *([(fit, T.DoubleType())] if fit else [])]
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in added]])
     text = docs.columns.index("text")
+    background = fit is not None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
         for batch in batches:
-            scorer = scorer or Scorer(Model(*shared.value, weights))
+            scorer = scorer or Scorer(Model(*shared.value, weights), background)
             texts = (value.as_py() or "" for value in batch.column(text))
-            found = [result for part in _slices(texts) for result in scorer.predict(part)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=schema.names,
-            )
+            found = [result for part in _slices(texts) for result in scorer.judge(part)]
+            columns = [pa.array([f[0] for f in found], pa.string()), *[
+                pa.array([f[k] for f in found], pa.float64()) for k in range(1, len(added))]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
     return docs.mapInArrow(work, schema)

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from tidelog.llm import bpe, langid, lines, mixing, simhash
 from tidelog.llm.common import free_name
 
-# A prediction below this share of the probability is rejected.
-LEAST_SCORE = 0.5
+# A prediction below this share of the probability is rejected, and one that fits its language
+# no better than equal weights of all pieces do: letter noise, or a language that was not learned.
+LEAST_SCORE, LEAST_FIT = 0.5, 0.0
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with a clear language; ``und`` and unclear ones go.
+    """Keep documents with a clear language; ``und``, unclear ones and those that fit no language go.
 
     Learns from all documents that state a language; if none does, there is no model
     to reject by, and all documents stay.
@@ -26,9 +27,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = langid.fit(docs.select("text", "lang"))
     if not model.languages:
         return docs
-    lang, score = free_name(docs, "_lang"), free_name(docs, "_score")
-    judged = langid.predict(docs, model, lang, score)
-    return judged.filter((F.col(lang) != langid.UNDETERMINED) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
+    lang, score, fit = (free_name(docs, c) for c in ("_lang", "_score", "_fit"))
+    judged = langid.predict(docs, model, lang, score, fit)
+    clear = (F.col(lang) != langid.UNDETERMINED) & (F.col(score) >= LEAST_SCORE) & (F.col(fit) > LEAST_FIT)
+    return judged.filter(clear).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
