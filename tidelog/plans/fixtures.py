@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.frames import encode_frame
+from tidelog.functions.avro import encode_record
 from tidelog.functions.numbers import int_div
 from tidelog.operators.committed import ABORT, COMMIT
 from tidelog.operators.ledger import LEDGER_SCHEMA
@@ -92,21 +93,51 @@ def published_events(
     return published(spark, events_topic(spark, sf_dir, value), rows, TOPIC, halves=halves)
 
 
+def _user(*fields: dict) -> str:
+    names = [{"name": "firstname", "type": "string"}, {"name": "lastname", "type": "string"}]
+    return json.dumps({"type": "record", "name": "User", "fields": [*names, *fields]})
+
+
+# Three versions of a record: fields are added, dropped, nested, and get defaults.
+USER_V1 = _user()
+USER_V2 = _user({"name": "nation", "type": "int"}, {"name": "cents", "type": "long"})
+USER_V3 = _user(
+    {"name": "nation", "type": ["null", "long"], "default": None},
+    {"name": "tags", "type": {"type": "array", "items": "string"}, "default": ["none"]},
+    {"name": "home", "type": {"type": "record", "name": "Home", "fields": [
+        {"name": "label", "type": "string"}, {"name": "key", "type": "long"}]}, "default": {"label": "unknown", "key": 0}},
+)
+USER_SCHEMAS = {USER_SCHEMA_ID: USER_V1, USER_SCHEMA_ID + 1: USER_V2, USER_SCHEMA_ID + 2: USER_V3}
+
+
 def schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of the user schema: one per region, ids from 40."""
+    schema_id = F.col("r_regionkey") + 40
+    text = F.when(schema_id > USER_SCHEMA_ID + 1, USER_V3).when(schema_id > USER_SCHEMA_ID, USER_V2).otherwise(USER_V1)
     return table(spark, sf_dir, "region").select(
         F.lit("user-value").alias("subject"),
         F.col("r_regionkey").alias("version"),
-        (F.col("r_regionkey") + 40).alias("schema_id"),
+        schema_id.alias("schema_id"),
+        text.alias("schema"),
     )
 
 
 def user_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as framed user records ``(c_custkey, frame)``."""
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey",
-        encode_frame(USER_SCHEMA_ID, "c_name", "c_mktsegment").alias("frame"),
+    """Customers as framed user records ``(c_custkey, frame)``, in three schema versions."""
+    users = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_name").alias("firstname"), F.col("c_mktsegment").alias("lastname"),
+        F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey")).alias("nation"),
+        F.coalesce("c_nationkey", F.lit(0)).alias("nation_key"),
+        F.round(F.col("c_acctbal") * 100).cast("bigint").alias("cents"),
+        F.array("c_mktsegment", "c_name").alias("tags"),
+        F.struct(F.col("c_name").alias("label"), F.col("c_custkey").cast("bigint").alias("key")).alias("home"),
     )
+    frames = [encode_record(schema_id, schema) for schema_id, schema in USER_SCHEMAS.items()]
+    version = F.col("c_custkey") % 3
+    # The second version has the nation of every user.
+    second = users.filter(version == 1).withColumn("nation", F.col("nation_key")).select("c_custkey", frames[1].alias("frame"))
+    others = F.when(version == 0, frames[0]).otherwise(frames[2])
+    return users.filter(version != 1).select("c_custkey", others.alias("frame")).unionByName(second)
 
 
 def damaged_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

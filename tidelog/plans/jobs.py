@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions import frames, maps
+from tidelog.functions import avro, frames, maps
 from tidelog.functions.payloads import decode_json, encode_json, read_json_text
 from tidelog.functions.timeuuid import timeuuid, timeuuid_time
 from tidelog.operators import committed, ledger, lookup, offsets, rollups
@@ -401,37 +401,39 @@ def framed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _user_columns() -> list:
+    tags, label = F.array_join("tags", "|").alias("tags"), F.col("home.label").alias("label")
+    return ["firstname", "lastname", "nation", tags, label, "error"]
+
+
 @job("framed_decode")
 def framed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good rows and, from an output of their own, the frames that cannot be read."""
-    framed = fixtures.damaged_frames(spark, sf_dir).withColumn("topic", F.lit("user"))
-    decoded = frames.decode_registered(framed, "frame", fixtures.schema_registry(spark, sf_dir)).select(
-        "c_custkey", "schema_id", "firstname", "lastname", "error"
-    )
-    good, dead = scratch(spark, "decoded"), scratch(spark, "dead-letters")
-    decoded.filter("error IS NULL").write.parquet(good)
-    frames.dead_letters(decoded).write.parquet(dead)
-    return spark.read.parquet(good).unionByName(spark.read.parquet(dead))
+    """Frames of three schema versions as the newest one; those that cannot be read lie apart."""
+    schemas, newest = avro.registered_schemas(fixtures.schema_registry(spark, sf_dir), "user-value")
+    decoded = avro.decode_versions(fixtures.damaged_frames(spark, sf_dir), "frame", schemas, newest)
+    path = scratch(spark, "decoded")
+    avro.with_dead_letters(decoded.select("c_custkey", "schema_id", *_user_columns())).write.partitionBy("dead").parquet(path)
+    rows = spark.read.parquet(path)
+    good, dead = rows.filter("dead = 0"), rows.filter("dead = 1")
+    return good.unionByName(dead).drop("dead")
 
 
 @job("project_payload")
 def project_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream, with the dead letters in an output of their own."""
     key = F.col("c_custkey")
     records = as_records(
-        fixtures.user_frames(spark, sf_dir).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")),
+        fixtures.damaged_frames(spark, sf_dir).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")),
         key=F.concat(F.lit("key"), key), value=F.col("frame"), topic="user",
         partition=fixtures.partition_of(key), offset=fixtures.offset_of(key), timestamp=F.col("ts"),
     )
     spec = fixtures.published(spark, records, table(spark, sf_dir, "customer").count(), "user")
-    decoded = frames.decode_registered(
-        read_topic_stream(spark, spec), "value", fixtures.schema_registry(spark, sf_dir)
-    )
-    rows = decoded.filter("error IS NULL").select(
-        "offset", F.col("key").cast("string").alias("key"), "lastname", "firstname"
-    )
+    schemas, newest = avro.registered_schemas(fixtures.schema_registry(spark, sf_dir), "user-value")
+    decoded = avro.decode_versions(read_topic_stream(spark, spec), "value", schemas, newest)
+    rows = decoded.select("offset", F.col("key").cast("string").alias("key"), *_user_columns())
     out = scratch(spark, "users")
-    append_stream(rows, out, name="users").awaitTermination()
-    return spark.read.parquet(out)
+    append_stream(avro.with_dead_letters(rows), out, name="users", partition_by=("dead",)).awaitTermination()
+    return spark.read.parquet(out).drop("dead")
 
 
 @job("schema_version_lookup")

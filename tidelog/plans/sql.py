@@ -70,6 +70,17 @@ _UUID_DIGEST = "md5(cast(event_id AS varchar))"
 
 _BIG_ID = f"CASE WHEN doc_id % 3 <> 0 THEN doc_id + {2**53 + 1} END"
 
+_DAMAGED_USERS = """SELECT *, CASE c_custkey % 100 WHEN 0 THEN 'bad_magic' WHEN 25 THEN 'truncated'
+                        WHEN 50 THEN 'unknown_schema' WHEN 75 THEN 'bad_length' END AS error FROM customer"""
+# What the newest schema has of the records of three versions.
+_USER_COLUMNS = """CASE WHEN error IS NULL THEN c_name END AS firstname,
+             CASE WHEN error IS NULL THEN c_mktsegment END AS lastname,
+             CASE WHEN error IS NULL AND (c_custkey % 3 = 1 OR c_custkey % 3 = 2 AND c_nationkey % 5 <> 0)
+               THEN c_nationkey END::BIGINT AS nation,
+             CASE WHEN error IS NULL THEN CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment || '|' || c_name ELSE 'none' END END AS tags,
+             CASE WHEN error IS NULL THEN CASE WHEN c_custkey % 3 = 2 THEN c_name ELSE 'unknown' END END AS label,
+             error"""
+
 ORACLE: dict[str, str] = {
     "topic_view": f"""
       SELECT "key", props AS value, 'events' AS topic, "partition", "offset", ts AS "timestamp",
@@ -216,14 +227,11 @@ ORACLE: dict[str, str] = {
              source, md5(text) AS text_md5
       FROM documents""",
     "framed_decode": f"""
-      SELECT c_custkey, CASE WHEN error IS NULL THEN cast({USER_SCHEMA_ID} AS bigint) END AS schema_id,
-             CASE WHEN error IS NULL THEN c_name END AS firstname,
-             CASE WHEN error IS NULL THEN c_mktsegment END AS lastname, error
-      FROM (SELECT *, CASE c_custkey % 100 WHEN 0 THEN 'bad_magic' WHEN 25 THEN 'truncated'
-                        WHEN 50 THEN 'unknown_schema' WHEN 75 THEN 'bad_length' END AS error
-            FROM customer)""",
-    "project_payload": """
-      SELECT c_custkey // 4 AS "offset", 'key' || c_custkey AS "key", c_mktsegment AS lastname, c_name AS firstname FROM customer""",
+      SELECT c_custkey, CASE WHEN error IS NULL THEN {USER_SCHEMA_ID} + c_custkey % 3 END AS schema_id,
+             {_USER_COLUMNS}
+      FROM ({_DAMAGED_USERS})""",
+    "project_payload": f"""
+      SELECT c_custkey // 4 AS "offset", 'key' || c_custkey AS "key", {_USER_COLUMNS} FROM ({_DAMAGED_USERS})""",
     "schema_version_lookup": """
       SELECT c_custkey, topic, version, reader_schema_id
       FROM (SELECT c_custkey, 'region' || (c_nationkey % 6) AS topic FROM customer)
