@@ -11,6 +11,7 @@ from tidelog.operators.committed import read_committed
 from tidelog.operators.offsets import (
     batch_offset_ranges, batch_running_total, offset_ranges, row_count, stream_total,
 )
+from tidelog.operators import percentiles
 from tidelog.operators.percentiles import exact_percentiles, value_band
 from tidelog.sources.topics import TopicSpec, publish, read_topic_stream
 from tests.test_topics import records
@@ -148,3 +149,53 @@ def test_percentiles_of_infinities_and_small_rates(spark):
     assert got == [("a", math.inf, 1.0), ("b", -math.inf, -math.inf)]
     events = spark.range(1).select(F.lit("x").alias("event_type"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.lit(1e-9).alias("value"))
     assert {r["median"] for r in rollups.metric_rollup(events).collect()} == {1e-9}
+
+
+def test_crowded_bands_are_cut_until_they_are_small(spark, monkeypatch):
+    # All values lie in one band, half of them within a millionth of it.
+    df = spark.range(20_000).select(
+        (F.col("id") % 2).cast("string").alias("k"),
+        F.when(F.col("id") % 4 < 2, F.lit(1e9) + F.col("id") * 1e-6).otherwise(F.lit(1e9) + F.col("id") / 20_000).alias("v"),
+    )
+    assert df.select(value_band(F.col("v"))).distinct().count() <= 2
+    sizes = []
+    real = percentiles.materialize
+
+    def watched(table, name):
+        out = real(table, name)
+        if name == "bands":
+            sizes.append(out.agg(F.max("_different")).first()[0])
+        return out
+
+    monkeypatch.setattr(percentiles, "materialize", watched)
+    got = {r["k"]: r for r in exact_percentiles(df, ["k"], "v", WANTED, most=50).collect()}
+    assert sizes[0] > 5000 and sizes[-1] <= 50
+    for k in ("0", "1"):
+        values = [r["v"] for r in df.filter(F.col("k") == k).collect()]
+        for name, p in WANTED.items():
+            assert got[k][name] == pytest.approx(float(np.quantile(values, p)), abs=1e-6)
+
+
+def test_null_types_have_percentiles(spark):
+    df = events(spark, (0, None, 1), (1, None, 3), (2, "a", 5), (3, "a", 7))
+    got = {(r["event_type"], r["median"]) for r in rollups.metric_rollup(df).filter("n > 0").collect()}
+    assert got == {(None, 2.0), ("a", 6.0)}
+
+
+def test_weighted_rates_equal_the_recursion(spark):
+    random = np.random.default_rng(4)
+    minutes = sorted(random.choice(np.arange(10_000, 12_500), 300, replace=False).tolist()) + [13_000, 20_000]
+    data = [(t, int(m), int(n)) for t in ("a", None) for m, n in zip(minutes, random.integers(0, 50, len(minutes)))]
+    df = spark.createDataFrame(data, "event_type string, minute long, n long")
+    got = {(r["event_type"], r["minute"]): r for r in rollups.weighted_rates(df, {"short": 1, "long": 15}).collect()}
+    assert len(got) == len(data)
+    for kind in ("a", None):
+        for name, w in (("short", 1), ("long", 15)):
+            average, last = None, None
+            for t, m, n in data:
+                if t != kind:
+                    continue
+                keep = math.exp(-1.0 / w)
+                average = n / 60 if average is None else average * keep ** (m - last) + (1 - keep) * n / 60
+                last = m
+                assert got[kind, m][name] == pytest.approx(average, rel=1e-9, abs=1e-9)

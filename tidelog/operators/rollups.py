@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from tidelog.operators.percentiles import exact_percentiles
 # Fixed values of the meter: trailing window lengths and percentiles.
 SHORT_MINUTES = 1
 LONG_MINUTES = 15
+# Lengths of a window after which a weighted average has forgotten.
+DECAYED = 20
 PERCENTILES = {"median": 0.5, "p95": 0.95, "p99": 0.99}
 
 
@@ -45,12 +49,52 @@ def trailing_rates(events: DataFrame) -> DataFrame:
     )
 
 
+def weighted_rates(rates: DataFrame, minutes: dict[str, int]) -> DataFrame:
+    """Add exponentially weighted rates per second to rows ``event_type, minute, n``.
+
+    The rate of a minute moves the average by ``1 - d`` of the difference, with ``d = exp(-1 / w)``
+    for a window of ``w`` minutes; the first minute of a type sets it, and minutes without
+    a row count as rate 0. A decayed sum is a prefix sum of terms that are scaled by their place in
+    a block of minutes; blocks hand one number on. A block lasts ``DECAYED * w`` minutes, after
+    which nothing is left of what came two blocks before.
+    """
+    first = rates.groupBy(F.col("event_type").alias("_type")).agg(F.min("minute").alias("_first"))
+    out = rates.join(first, F.col("event_type").eqNullSafe(F.col("_type"))).drop("_type")
+    for name, w in minutes.items():
+        length, keep = DECAYED * w, math.exp(-1.0 / w)
+        rate = F.col("n") / 60.0
+        gain = F.when(F.col("minute") == F.col("_first"), rate).otherwise(rate * (1.0 - keep))
+        blocked = out.withColumn("_block", int_div(F.col("minute"), length))
+        place = F.col("minute") - F.col("_block") * length
+        grown = gain * F.exp(place / float(w))
+        inside = Window.partitionBy("event_type", "_block").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # What a block hands on, as of its last minute; one row for each type and block.
+        ends = blocked.groupBy("event_type", "_block").agg((F.sum(grown) * math.exp(-(length - 1) / w)).alias("_end"))
+        in_order = Window.partitionBy("event_type").orderBy("_block")
+        one, two = (F.when(F.lag("_block", k).over(in_order) == F.col("_block") - k, F.lag("_end", k).over(in_order)) for k in (1, 2))
+        skipped = F.when(F.lag("_block", 1).over(in_order) == F.col("_block") - 2, F.lag("_end", 1).over(in_order))
+        before = F.coalesce(one, F.lit(0.0)) + F.coalesce(two, skipped, F.lit(0.0)) * math.exp(-DECAYED)
+        carried = (
+            blocked.select("event_type", "_block").distinct().join(
+                ends.select(F.col("event_type").alias("_t"), F.col("_block").alias("_b"), "_end"),
+                F.col("event_type").eqNullSafe(F.col("_t")) & (F.col("_block") == F.col("_b")),
+            ).select(F.col("event_type").alias("_t"), F.col("_block").alias("_b"), before.alias("_carry"))
+        )
+        out = (
+            blocked.withColumn("_sum", F.sum(grown).over(inside))
+            .join(carried, F.col("event_type").eqNullSafe(F.col("_t")) & (F.col("_block") == F.col("_b")))
+            .withColumn(name, F.col("_sum") * F.exp(-place / float(w)) + F.col("_carry") * F.exp(-(place + 1) / float(w)))
+            .drop("_block", "_sum", "_carry", "_t", "_b")
+        )
+    return out.drop("_first")
+
+
 def hourly_percentiles(events: DataFrame) -> DataFrame:
     """Exact median, 95th and 99th percentile of ``value`` per type and hour."""
     hourly = events.select(
         "event_type", int_div(epoch_minute(F.col("ts")), 60).alias("hour"), "value"
     )
-    return exact_percentiles(hourly, ["event_type", "hour"], "value", PERCENTILES)
+    return exact_percentiles(hourly, ["event_type", "hour"], "value", PERCENTILES, null_keys=True)
 
 
 def approximate_percentiles(events: DataFrame, accuracy: int = 10_000) -> DataFrame:
@@ -65,15 +109,17 @@ def approximate_percentiles(events: DataFrame, accuracy: int = 10_000) -> DataFr
 
 
 def metric_rollup(events: DataFrame) -> DataFrame:
-    """Trailing rates per minute beside the percentiles of the minute's hour.
+    """Trailing and weighted rates per minute beside the percentiles of the minute's hour.
 
-    A minute without events in its hour has null percentiles.
+    A minute without events in its hour has null percentiles; a null type is a type.
     """
-    rates = trailing_rates(events).withColumn("hour", int_div(F.col("minute"), 60))
-    return rates.join(hourly_percentiles(events), ["event_type", "hour"], "left").select(
+    rates = weighted_rates(trailing_rates(events), {"ewma_1m": SHORT_MINUTES, "ewma_15m": LONG_MINUTES})
+    marks = hourly_percentiles(events).withColumnsRenamed({"event_type": "_type", "hour": "_hour"})
+    same = F.col("event_type").eqNullSafe(F.col("_type")) & (int_div(F.col("minute"), 60) == F.col("_hour"))
+    return rates.join(marks, same, "left").select(
         "event_type",
         minute_start(F.col("minute")).alias("minute"),
-        "n", "rate_1m", "rate_15m", "median", "p95", "p99",
+        "n", "rate_1m", "rate_15m", "ewma_1m", "ewma_15m", "median", "p95", "p99",
     )
 
 

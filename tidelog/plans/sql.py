@@ -161,21 +161,35 @@ ORACLE: dict[str, str] = {
       FROM (SELECT CASE WHEN "offset" % 97 <> 0 THEN "offset" // 250 END AS batch_id, count(*) AS n
             FROM ({TOPIC_ROWS}) GROUP BY 1)""",
     "metric_rollup": """
-      WITH spread AS (
+      WITH e AS (
+        SELECT ts, CASE WHEN event_id % 50 <> 0 THEN event_type END AS event_type,
+               CASE WHEN event_type = 'view' THEN value / 1024 + 1048576::double ELSE value END AS value FROM events),
+      spread AS (
         SELECT event_type, date_trunc('minute', ts) + to_minutes(cast(k AS integer)) AS "minute", k
-        FROM events, range(15) r(k)),
+        FROM e, range(15) r(k)),
       rates AS (
         SELECT event_type, "minute", count(*) FILTER (WHERE k = 0) AS n, count(*) AS n15
         FROM spread GROUP BY 1, 2),
       marks AS (
         SELECT event_type, date_trunc('hour', ts) AS h, quantile_cont(value, 0.5) AS median,
                quantile_cont(value, 0.95) AS p95, quantile_cont(value, 0.99) AS p99
-        FROM events GROUP BY 1, 2)
-      SELECT rates.event_type, "minute", n, round(n / 60.0::double, 6) AS rate_1m,
-             round(n15 / 900.0::double, 6) AS rate_15m, round(median, 6) AS median,
-             round(p95, 6) AS p95, round(p99, 6) AS p99
+        FROM e GROUP BY 1, 2),
+      gains AS (
+        SELECT event_type, "minute" AS born, n / 60.0::double AS x, "minute" = min("minute") OVER (PARTITION BY event_type) AS starts
+        FROM rates WHERE n > 0),
+      weighted AS (
+        SELECT r.event_type, r."minute",
+          sum(x * CASE WHEN starts THEN 1 ELSE 1 - exp(-1.0::double) END * exp((epoch(born) - epoch(r."minute")) / 60::double)) AS ewma_1m,
+          sum(x * CASE WHEN starts THEN 1 ELSE 1 - exp(-1 / 15.0::double) END * exp((epoch(born) - epoch(r."minute")) / 900::double)) AS ewma_15m
+        FROM rates r JOIN gains g ON r.event_type IS NOT DISTINCT FROM g.event_type AND born <= r."minute" AND born > r."minute" - INTERVAL 600 MINUTE
+        GROUP BY 1, 2)
+      SELECT rates.event_type, rates."minute", n, round(n / 60.0::double, 6) AS rate_1m,
+             round(n15 / 900.0::double, 6) AS rate_15m, round(ewma_1m, 6) AS ewma_1m, round(ewma_15m, 6) AS ewma_15m,
+             round(median, 6) AS median, round(p95, 6) AS p95, round(p99, 6) AS p99
       FROM rates LEFT JOIN marks
-        ON rates.event_type = marks.event_type AND date_trunc('hour', "minute") = h""",
+        ON rates.event_type IS NOT DISTINCT FROM marks.event_type AND date_trunc('hour', rates."minute") = h
+      JOIN weighted w ON rates.event_type IS NOT DISTINCT FROM w.event_type AND w."minute" = rates."minute"
+    """,
     "approval_rate_minute": """
       WITH m AS (
         SELECT date_trunc('minute', ts) AS at, count(*) AS ttl,

@@ -197,6 +197,13 @@ def drop_older(spark: SparkSession, path: str, before: datetime) -> None:
                 fs.delete(status.getPath(), False)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: it is computed once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per application."""
     marker = "spark.tidelog.shipped"
