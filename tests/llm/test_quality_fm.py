@@ -52,6 +52,17 @@ def test_edges(spark):
     assert fm.score(docs.drop("n_chars"), machine).count() == 6
 
 
+def test_text_ids_and_the_bound_on_features(spark):
+    docs = spark.createDataFrame([(f"d{k}", "good words " * (k + 1) if k % 2 else "### !! " * (k + 1)) for k in range(40)], "doc_id string, text string")
+    labels = docs.selectExpr("doc_id", "cast(substring(doc_id, 2) AS int) % 2 AS quality")
+    machine = fm.fit(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in fm.score(docs, machine).collect()}
+    assert all((got[f"d{k}"] > 0.5) == bool(k % 2) for k in range(40))
+    # One document alone has more features than this, and is trained on.
+    small = fm.fit(docs, labels, most=1)
+    assert {round(r["score"], 6) for r in fm.score(docs, small).collect()} != {0.5}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are missing")
 def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")

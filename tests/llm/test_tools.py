@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,55 @@ def test_missing_fields(spark):
     assert got[1, "a"]["errors"] == ["missing:x"] and got[1, "b"]["errors"] == ["type:x"]
 
 
+def test_repeated_keys_and_long_integers(spark):
+    bodies = ['{"a":1,"a":2}', '{"a":12345678901234567890}', '{"a":1.0}', '{"a":1e3}', '{"a":-5,"b":{"x":1,"x":2}}']
+    got = link(spark, [(1, k, f"c{k}", "f", body, None, None) for k, body in enumerate(bodies)], [])
+    assert [got[1, f"c{k}"]["errors"] for k in range(3)] == [["duplicate_key"], [], []]
+    assert got[1, "c3"]["errors"] == ["type:a"] and got[1, "c4"]["errors"] == ["not_an_object"]
+    assert json.loads(got[1, "c0"]["message"])["arguments"] is None
+    assert '"a":12345678901234567890' in got[1, "c1"]["message"]
+
+
+def _plain_levels(needs):
+    """Longest chain below each call; none on or behind a cycle."""
+    level, open_ = {}, dict(needs)
+    while ready := [c for c, n in open_.items() if all(x in level for x in n)]:
+        for c in ready:
+            level[c] = 1 + max((level[x] for x in open_[c]), default=-1)
+        for c in ready:
+            del open_[c]
+    return level
+
+
+@pytest.mark.parametrize("shape", ["chain", "random", "dense", "cycle"])
+def test_levels_of_all_shapes(spark, shape):
+    pick = random.Random(3)
+    n = 150
+    needs = {k: [k - 1] if k else [] for k in range(n)}
+    if shape == "random":
+        needs = {k: sorted({pick.randrange(k) for _ in range(pick.randrange(3))}) if k else [] for k in range(n)}
+    if shape == "dense":
+        needs = {k: list(range(max(0, k - 6), k)) for k in range(40)}
+    if shape == "cycle":
+        needs[20] = [19, 25]
+    calls = spark.createDataFrame([("c", str(k)) for k in needs], "conv_id string, call_id string")
+    links = spark.createDataFrame([("c", str(k), str(x)) for k, xs in needs.items() for x in xs], "conv_id string, call_id string, needs string")
+    expected = {str(k): v for k, v in _plain_levels(needs).items()}
+    for found in (tools.levels(calls, links), tools._levels_one_by_one(calls, links) if shape in ("dense", "cycle") else None):
+        if found is not None:
+            assert {r["call_id"]: r["level"] for r in found.collect()} == expected
+
+
+def test_rounds_grow_with_the_logarithm(spark, monkeypatch):
+    calls = spark.range(200).select(F.lit("c").alias("conv_id"), F.col("id").cast("string").alias("call_id"))
+    links = spark.range(1, 200).select(F.lit("c").alias("conv_id"), F.col("id").cast("string").alias("call_id"), (F.col("id") - 1).cast("string").alias("needs"))
+    written = []
+    real = tools.materialize
+    monkeypatch.setattr(tools, "materialize", lambda df, name: written.append(name) or real(df, name))
+    assert tools.levels(calls, links).agg(F.max("level")).first()[0] == 199
+    assert len(written) <= 2 * 8 + 2
+
+
 @pytest.mark.parametrize("shape", ["wide"])
 def test_hot_conversation(spark, shape):
     calls = spark.range(3000).select(

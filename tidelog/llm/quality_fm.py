@@ -6,8 +6,9 @@ machine adds a weight per feature and, for every pair of features, the product o
 their low-rank factors; all pairs are summed in linear time as half of the square of
 the sum minus the sum of the squares. The result goes through the logistic function.
 
-The machine is fitted on a bounded sample of labelled rows: ``SAMPLE`` ids at most,
-the first in an order by hash. Their features, not their texts, reach the driver.
+The machine is fitted on a bounded sample of labelled rows: ``SAMPLE`` ids at most, the
+first in an order by hash, as long as they have no more than ``MOST_FEATURES`` features in
+all (one id at least). Their features, not their texts, reach the driver.
 Scoring is a map over the rows with a model of fixed size.
 
 Cases: a null or empty text has no words and is scored by its (empty) structure; a
@@ -26,15 +27,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import materialize
 from tidelog.storage import ship_package
 
 # Hash buckets of words, buckets per statistic, rank of the factors.
 WORD_BUCKETS, STAT_BUCKETS, RANK = 1 << 15, 16, 8
-# Largest number of labelled documents that the machine is fitted on.
-SAMPLE = 6000
+# Largest numbers of labelled documents, and of their features, that the machine is fitted on.
+SAMPLE, MOST_FEATURES = 6000, 1 << 22
 EPOCHS, MINIBATCH, RATE, PENALTY, SEED = 8, 64, 0.05, 1e-5, 11
 # Known words per task, and characters per slice.
 CACHE, SLICE_CHARS = 300_000, 1 << 20
@@ -158,8 +160,8 @@ def _with_length(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", length.alias("n_chars"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
-    """Fit on the documents of ``labels`` (``doc_id, quality``), ``sample`` ids at most."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = MOST_FEATURES) -> Machine:
+    """Fit on the documents of ``labels`` (``doc_id, quality``), ``sample`` ids at most. Ids may be of any type."""
     spark = docs.sparkSession
     ship_package(spark)
     chosen = (
@@ -183,7 +185,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
                 names=["doc_id", "label", "places", "vals"],
             )
 
-    table = texts.mapInArrow(work, "doc_id long, label double, places array<int>, vals array<float>").toArrow().sort_by("doc_id")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    found = materialize(texts.mapInArrow(work, f"doc_id {kind}, label double, places array<int>, vals array<float>"), "fm-features")
+    # At most ``sample`` rows are in this order.
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = found.select("doc_id", F.size("places").alias("n")).withColumns(
+        {"until": F.sum("n").over(order), "rank": F.count(F.lit(1)).over(order)}
+    )
+    within = sized.filter((F.col("until") <= most) | (F.col("rank") == 1)).select("doc_id")
+    table = found.join(F.broadcast(within), "doc_id").toArrow().sort_by("doc_id")
     rows = [
         (p.values.to_numpy().astype(np.int64), v.values.to_numpy())
         for p, v in zip(table.column("places"), table.column("vals"))

@@ -137,20 +137,35 @@ WITH RECURSIVE t AS (
   SELECT conv_id, call_id, max(level)::INT AS level FROM walk GROUP BY conv_id, call_id
 ), results AS (
   SELECT conv_id, prefix || (turn - 1) AS call_id, text AS content FROM t WHERE role = 'user'
-), checked AS (
-  SELECT c.*, level, r.content, r.call_id IS NOT NULL AS linked,
-    CASE name
-      WHEN 'search' THEN CASE WHEN n % 7 = 0 THEN ['type:limit'] ELSE [] END
-      WHEN 'translate' THEN CASE WHEN n % 5 = 0 THEN ['missing:to'] ELSE [] END
-      WHEN 'note' THEN [] ELSE ['unknown_tool'] END
-    || CASE WHEN c.needs IS NOT NULL AND l.call_id IS NULL THEN ['missing_dependency'] ELSE [] END AS errors,
+), asked AS (
+  SELECT *,
     CASE name
       WHEN 'search' THEN CASE WHEN n % 7 = 0 THEN to_json({'limit': 'many', 'query': text})
                               ELSE to_json({'limit': n, 'query': text}) END
       WHEN 'translate' THEN CASE WHEN n % 5 = 0 THEN to_json({'text': text}) ELSE to_json({'text': text, 'to': 'en'}) END
       WHEN 'note' THEN to_json({'text': text, 'urgent': n % 2 = 0})
       ELSE to_json({'value': n}) END AS arguments
-  FROM calls c JOIN levels USING (conv_id, call_id)
+  FROM calls
+), fields(name, field, kinds, required, place) AS (
+  VALUES ('search', 'query', ['VARCHAR'], true, 1), ('search', 'limit', ['BIGINT', 'UBIGINT'], true, 2),
+    ('translate', 'text', ['VARCHAR'], true, 1), ('translate', 'to', ['VARCHAR'], true, 2),
+    ('note', 'text', ['VARCHAR'], true, 1), ('note', 'urgent', ['BOOLEAN'], false, 2)
+), validated AS (
+  SELECT a.conv_id, a.call_id, list(wrong ORDER BY place) FILTER (WHERE wrong IS NOT NULL) AS wrong
+  FROM (SELECT a.conv_id, a.call_id, f.place,
+          CASE WHEN json_type(a.arguments, '$.' || f.field) IS NULL THEN CASE WHEN f.required THEN 'missing:' || f.field END
+               WHEN NOT list_contains(f.kinds, json_type(a.arguments, '$.' || f.field)) THEN 'type:' || f.field END AS wrong
+        FROM asked a JOIN fields f ON f.name = a.name
+        UNION ALL
+        SELECT conv_id, call_id, 3, 'unexpected:' || k FROM (SELECT conv_id, call_id, name, unnest(json_keys(arguments)) AS k FROM asked) u
+        WHERE name IN (SELECT name FROM fields) AND NOT EXISTS (SELECT 1 FROM fields f WHERE f.name = u.name AND f.field = k)) a
+  GROUP BY ALL
+), checked AS (
+  SELECT c.*, level, r.content, r.call_id IS NOT NULL AS linked,
+    CASE WHEN c.name IN (SELECT name FROM fields) THEN coalesce(v.wrong, []) ELSE ['unknown_tool'] END
+    || CASE WHEN c.needs IS NOT NULL AND l.call_id IS NULL THEN ['missing_dependency'] ELSE [] END AS errors
+  FROM asked c JOIN levels USING (conv_id, call_id)
+  LEFT JOIN validated v ON c.conv_id = v.conv_id AND c.call_id = v.call_id
   LEFT JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
   LEFT JOIN links l ON c.conv_id = l.conv_id AND c.call_id = l.call_id
 )

@@ -7,16 +7,16 @@ topological order. Arguments are checked against the schema of the named tool, a
 every call becomes one line of JSON with sorted keys and no blanks.
 
 No conversation is gathered: all steps are joins and partial aggregates by
-identifier, and levels are found in rounds, as many as the longest chain, each over
-the dependencies that are still open.
+identifier, and levels are found in rounds that double the length of the chains.
 
 Cases: of calls with the same identifier the first (by turn, then content) is linked, the
 others are rows with the error ``duplicate_id``, no level and no result; of results of a
 call the first is linked and the call has the error ``multiple_results``; results that
 are not linked are given by ``unlinked_results``; a null identifier cannot be linked or depended on, the call is kept with
 level 0; a dependency that is not a call of the conversation is an error of the call and
-otherwise ignored; calls on a cycle, or behind one, have no level; arguments that are null or not a JSON object are invalid and
-written as null; an empty table gives no rows; extra columns are ignored.
+otherwise ignored; calls on a cycle, or behind one, have no level; arguments that are null or not a JSON object (a
+key repeated further inside counts as that) are invalid and written as null; so are those that repeat a key, with the
+error ``duplicate_key``; whole numbers of up to 38 digits are integers, 1.0 too; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import materialize
+from tidelog.storage import scratch
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,9 @@ def _is_kind(kind: str, schema: Column) -> Column:
         return schema.isin("BIGINT", "DOUBLE", "FLOAT") | schema.startswith("DECIMAL")
     if kind in ("array", "object"):
         return schema.startswith(kind.upper())
-    return schema == {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN"}[kind]
+    if kind == "integer":
+        return (schema == "BIGINT") | schema.rlike(r"^DECIMAL\(\d+,0\)$")
+    return schema == {"string": "STRING", "boolean": "BOOLEAN"}[kind]
 
 
 def argument_errors(tools: tuple[Tool, ...], name: Column, arguments: Column, parsed: Column) -> Column:
@@ -69,7 +72,9 @@ def argument_errors(tools: tuple[Tool, ...], name: Column, arguments: Column, pa
         )
         errors = F.concat(F.array_compact(F.array(*checks)), F.coalesce(unknown, F.array().cast("array<string>")))
         per_tool = F.when(name == tool.name, errors).otherwise(per_tool)
-    return F.when(not_object, F.array(F.lit("not_an_object"))).otherwise(
+    keys = F.json_object_keys(arguments)
+    repeated = not_object & F.coalesce(F.size(keys) > F.size(F.array_distinct(keys)), F.lit(False))
+    return F.when(repeated, F.array(F.lit("duplicate_key"))).when(not_object, F.array(F.lit("not_an_object"))).otherwise(
         F.coalesce(per_tool, F.array(F.lit("unknown_tool")))
     )
 
@@ -109,26 +114,55 @@ def _same(left: str, right: str) -> Column:
 def levels(calls: DataFrame, links: DataFrame) -> DataFrame:
     """``conv_id, call_id, level`` of all calls but those on or behind a cycle.
 
-    ``links`` has ``conv_id, call_id, needs`` for dependencies between known calls.
+    ``links`` has ``conv_id, call_id, needs`` for dependencies between known calls. Round ``k``
+    knows the calls that lie exactly ``2 ** k`` dependencies away, and with them the levels
+    below ``2 ** (k + 1)``: rounds grow with the logarithm of the longest chain. Where many
+    paths make these pairs many more than the links, levels are found one after the other.
     """
+    key = ["conv_id", "call_id"]
+    reach = materialize(links, "links")
+    most = 4 * reach.count() + 1000
+    known = materialize(calls.select(*key, F.lit(0).alias("level")), "levels")
+    total, step = known.count(), 1
+    while n_pairs := reach.count():
+        if n_pairs > most:
+            return _levels_one_by_one(calls, links)
+        if step > total:
+            # A path longer than there are calls goes round a cycle.
+            return known.join(reach.select(*key).distinct(), key, "left_anti")
+        below = known.select("conv_id", F.col("call_id").alias("needs"), F.col("level").alias("below"))
+        longest = reach.join(below, ["conv_id", "needs"]).groupBy(*key).agg((F.max("below") + step).alias("longer"))
+        known = materialize(
+            known.join(longest, key, "left").select(*key, F.greatest("level", F.coalesce("longer", F.lit(0))).alias("level")), "levels"
+        )
+        onward = reach.select("conv_id", F.col("call_id").alias("needs"), F.col("needs").alias("far"))
+        reach = materialize(reach.join(onward, ["conv_id", "needs"]).select(*key, F.col("far").alias("needs")).distinct(), "links")
+        step *= 2
+    return known
+
+
+def _levels_one_by_one(calls: DataFrame, links: DataFrame) -> DataFrame:
+    """The same in as many rounds as the longest chain, each over what is still open."""
+    spark, key = links.sparkSession, ["conv_id", "call_id"]
+    folder = scratch(spark, "levels")
     open_links = materialize(links, "open-links")
-    done = calls.join(open_links, ["conv_id", "call_id"], "left_anti").select("conv_id", "call_id")
-    done = materialize(done.withColumn("level", F.lit(0)), "levels")
-    finished, level = done, 0
+    calls.join(open_links, key, "left_anti").select(*key, F.lit(0).alias("level")).write.parquet(f"{folder}/0")
+    schema, level = calls.select(*key, F.lit(0).alias("level")).schema, 0
+
+    def read(*numbers: int) -> DataFrame:
+        return spark.read.schema(schema).parquet(*[f"{folder}/{k}" for k in numbers])
+
     while open_links.limit(1).count():
-        met = done.select("conv_id", F.col("call_id").alias("needs"))
+        met = read(level).select("conv_id", F.col("call_id").alias("needs"))
         left = materialize(open_links.join(met, ["conv_id", "needs"], "left_anti"), "open-links")
-        waiting = left.select("conv_id", "call_id").distinct()
         level += 1
-        done = materialize(
-            open_links.select("conv_id", "call_id").distinct()
-            .join(waiting, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)),
-            "levels",
-        )
-        if not done.limit(1).count():
+        ready = open_links.select(*key).distinct().join(left.select(*key).distinct(), key, "left_anti")
+        ready.withColumn("level", F.lit(level)).write.parquet(f"{folder}/{level}")
+        if not read(level).limit(1).count():
             break
-        finished, open_links = finished.unionByName(done), left
-    return finished
+        open_links = left
+    # One scan of all folders: the plan does not grow with the levels.
+    return read(*range(level + 1))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, tools: tuple[Tool, ...]) -> DataFrame:
