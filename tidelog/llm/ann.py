@@ -34,9 +34,11 @@ from tidelog.storage import ship_package
 # Centroids per half, rows of the fitting sample, rounds of k-means.
 CENTROIDS, SAMPLE, ROUNDS = 64, 8192, 12
 # Share of all entries that a query looks at, and how often it looks at what it returns at least.
-SHARE, LEAST_TIMES = 0.55, 4
+SHARE, LEAST_TIMES = 0.5, 4
 # Groups of first centroids; entries and queries of a block; queries at a time.
 GROUPS, ENTRY_BLOCK, QUERY_BLOCK, STEP = 16, 4096, 4096, 256
+# Queries that one task walks for; each walk is a heap over all centroid pairs.
+WALK_BLOCK = 128
 # Scores within this of the last place are compared exactly.
 MARGIN = 1e-9
 
@@ -160,10 +162,11 @@ def search(vectors: DataFrame, asked: Column, k: int = 20, share: float = SHARE)
             )
 
     queries = rows.filter("asked").select(F.col("vec_id").alias("query_id"), "v")
-    query_blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    n_queries = queries.count()
+    query_blocks = max(1, math.ceil(n_queries / QUERY_BLOCK))
     per_group = F.array(*[F.lit(n) for n in blocks])
     asking = (
-        queries.repartition("query_id")
+        queries.repartition(max(1, math.ceil(n_queries / WALK_BLOCK)), "query_id")
         .mapInArrow(probe, "query_id long, v array<double>, group int, cells array<int>")
         .withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
         .withColumn("eb", F.explode(F.sequence(F.lit(0), F.get(per_group, F.col("group")) - 1)))
