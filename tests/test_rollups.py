@@ -1,4 +1,5 @@
 import datetime
+import os
 import math
 
 import numpy as np
@@ -13,6 +14,7 @@ from tidelog.operators.offsets import (
 )
 from tidelog.operators import percentiles
 from tidelog.operators.percentiles import exact_percentiles, value_band
+from tidelog.streaming.append import append_stream
 from tidelog.sources.topics import TopicSpec, publish, read_topic_stream
 from tests.test_topics import records
 
@@ -199,3 +201,56 @@ def test_weighted_rates_equal_the_recursion(spark):
                 average = n / 60 if average is None else average * keep ** (m - last) + (1 - keep) * n / 60
                 last = m
                 assert got[kind, m][name] == pytest.approx(average, rel=1e-9, abs=1e-9)
+
+
+def test_minutes_of_a_stream_equal_the_batch_and_late_rows_are_told(spark, path):
+    from tidelog.streaming.progress import ProgressRecorder, progress_table
+
+    schema = "ts timestamp, ok boolean, beat boolean"
+    base = datetime.datetime(2024, 1, 1, 10, 0, 0)
+    at = lambda minutes, **s: base + datetime.timedelta(minutes=minutes, **s)
+    batches = [
+        [(at(0), True, False), (at(0, seconds=59), False, False), (at(3), True, False)],
+        [(at(1), True, False), (at(61), False, False)],              # late by less than the delay
+        [(at(62), True, False)],                                     # from here on the watermark is past 10:56
+        [(at(2), True, False), (at(62), False, False)],              # the first row is late
+        [(at(500), True, True)],
+    ]
+    for k, data in enumerate(batches):
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(path(f"in/b{k}"))
+        for name in os.listdir(path(f"in/b{k}")):
+            os.utime(os.path.join(path(f"in/b{k}"), name), (1_700_000_000 + k, 1_700_000_000 + k))
+    recorder = ProgressRecorder(spark, path("progress"))
+    spark.streams.addListener(recorder)
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path("in/*"))
+        minutes = rollups.approval_minutes_stream(stream, F.col("ok"), "5 minutes", ~F.col("beat"))
+        query = append_stream(minutes, path("out"), checkpoint=path("cp"))
+        query.awaitTermination()
+        assert recorder.wait_terminated(str(query.runId))
+    finally:
+        spark.streams.removeListener(recorder)
+    kept = [r for data in batches[:4] for r in data if r[0] != at(2)]
+    whole = spark.createDataFrame(kept, schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    expected = rollups.approval_rate_minute(whole, F.col("ok"))
+    assert rows(rollups.approval_hours(spark.read.parquet(path("out")))) == rows(expected)
+    assert progress_table(spark, path("progress")).first()["late_rows"] == 1
+
+
+def test_merged_sketches_are_within_the_stated_error(spark):
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 3 != 0, F.lit("a")).alias("event_type"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_interval(secs=F.col("id") % 36_000)).alias("ts"),
+        F.exp(F.randn(seed=5) * 3).alias("value"),
+    )
+    sketches = rollups.minute_sketches(df)
+    assert sketches.count() == 2 * 600
+    marks = rollups.merged_quantiles(sketches, "event_type")
+    found = rollups.rank_errors(df, marks, "event_type").collect()
+    assert {r["event_type"] for r in found} == {None, "a"} and sum(r["n"] for r in found) == 200_000
+    assert all(0 <= r[f"{name}_error"] <= rollups.RANK_ERROR for r in found for name in rollups.PERCENTILES)
+    hours = rollups.merged_quantiles(sketches, "event_type", F.date_trunc("hour", "minute").alias("hour"))
+    assert hours.count() == 2 * 10 and hours.agg(F.sum("n")).first()[0] == 200_000
+    # A sketch does not grow with the rows.
+    size = sketches.groupBy().agg(F.octet_length(F.kll_merge_agg_double("sketch", F.lit(rollups.SKETCH_SIZE))).alias("b")).first()["b"]
+    assert size < 60_000

@@ -8,10 +8,13 @@ from pyspark.sql import types as T
 from tests.conftest import rows
 from tests.test_topics import records
 from tidelog import storage
+from tidelog.operators.offsets import offset_ranges
 from tidelog.sources import generate, sinks, tables
 from tidelog.sources.topics import TopicSpec, publish, read_topic_stream
 from tidelog.streaming.append import append_stream
-from tidelog.streaming.progress import ProgressRecorder, progress_table, read_events
+from tidelog.streaming.progress import (
+    ProgressRecorder, observe_ranges, observed_ranges, progress_table, read_events,
+)
 from tidelog.streaming.rows import RowWriter, foreach_rows, read_rows
 
 PEOPLE = "id int, name string, seq int"
@@ -208,3 +211,31 @@ def test_rows_need_a_known_file_system(spark, path):
     stream = spark.readStream.schema("a int").parquet(path(""))
     with pytest.raises(Exception, match="nowhere|No FileSystem"):
         foreach_rows(stream, RowWriter("nowhere://x/y"))
+
+
+def test_observed_ranges_equal_those_of_the_batches(spark, path):
+    spec = TopicSpec("t", root=path("topic"), max_files_per_trigger=2)
+    publish(records(spark, {0: 40, 1: 25}), spec, offsets_per_slice=10)
+    recorder = ProgressRecorder(spark, path("progress"), file_events=4)
+    spark.streams.addListener(recorder)
+    seen = {}
+
+    def batch(df, batch_id):
+        seen.update({(batch_id, r["partition"]): (r["from_offset"], r["until_offset"], r["n"]) for r in offset_ranges(df, ["partition"]).collect()})
+        df.write.format("noop").mode("overwrite").save()
+
+    try:
+        query = append_stream(observe_ranges(read_topic_stream(spark, spec), 2), path("out"), checkpoint=path("cp"))
+        query.awaitTermination()
+        assert recorder.wait_terminated(str(query.runId))
+        other = read_topic_stream(spark, spec).writeStream.foreachBatch(batch).option("checkpointLocation", path("cp2")).trigger(availableNow=True).start()
+        other.awaitTermination()
+        assert recorder.wait_terminated(str(other.runId))
+    finally:
+        spark.streams.removeListener(recorder)
+    events = read_events(spark, path("progress")).filter(F.col("run_id") == str(query.runId))
+    told = {(r["batch_id"], r["partition"]): (r["from_offset"], r["until_offset"], r["n"]) for r in observed_ranges(events, 2).collect()}
+    assert told == seen and len({b for b, _ in told}) > 2
+    # Events are gathered in files.
+    files = [n for n in os.listdir(path("progress")) if n.endswith(".json")]
+    assert len(files) < read_events(spark, path("progress")).count()

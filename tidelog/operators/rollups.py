@@ -137,6 +137,10 @@ def approval_rate_minute(transactions: DataFrame, approved: Column) -> DataFrame
         F.count(F.lit(1)).alias("ttl_txn_min"),
         F.count(F.when(approved, True)).alias("approved_txn_min"),
     )
+    return _with_hours(minutes)
+
+
+def _with_hours(minutes: DataFrame) -> DataFrame:
     clock_hour = Window.partitionBy("year", "month", "day", "hour")
     return (
         minutes.withColumn("ttl_txn_hr", F.sum("ttl_txn_min").over(clock_hour))
@@ -148,3 +152,72 @@ def approval_rate_minute(transactions: DataFrame, approved: Column) -> DataFrame
             "approved_txn_hr", "approved_txn_min", "ttl_txn_hr", "ttl_txn_min",
         )
     )
+
+
+# --- sketches ---------------------------------------------------------------------
+
+# Size of a sketch, and the error of a rank (as a share of the rows) that it has with 99 % certainty.
+SKETCH_SIZE, RANK_ERROR = 800, 0.005
+
+
+def minute_sketches(events: DataFrame) -> DataFrame:
+    """``event_type, minute, n, sketch``: a quantile sketch of ``value`` per type and minute.
+
+    Sketches have a bounded size whatever the number of events, and may be stored and merged.
+    ``events`` may be a stream with a watermark on ``ts``: a minute is then given once it is over.
+    """
+    return events.filter("value IS NOT NULL").groupBy("event_type", F.window("ts", "1 minute")).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("value", F.lit(SKETCH_SIZE)).alias("sketch")
+    ).select("event_type", F.col("window.start").alias("minute"), "n", "sketch")
+
+
+def merged_quantiles(sketches: DataFrame, *keys: Column | str) -> DataFrame:
+    """``keys, n`` and the percentiles of merged sketches: minutes to hours, hours to days."""
+    merged = sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("sketch"))
+    marks = [F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name) for name, p in PERCENTILES.items()]
+    names = [c for c in merged.columns if c not in ("n", "sketch")]
+    return merged.select(*names, "n", *marks)
+
+
+def rank_errors(events: DataFrame, quantiles: DataFrame, *keys: str) -> DataFrame:
+    """``quantiles`` with the distance of each percentile from its wanted rank, as a share of the rows.
+
+    A value stands for all ranks from the rows below it to those not above it."""
+    same = [F.col(f"_{k}").eqNullSafe(F.col(k)) for k in keys]
+    rows = events.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("value").cast("double").alias("_value")).filter("_value IS NOT NULL")
+    # One row per group on this side.
+    both = rows.join(quantiles, same)
+    sums = []
+    for name in PERCENTILES:
+        sums += [F.sum((F.col("_value") < F.col(name)).cast("int")).alias(f"_{name}_below"),
+                 F.sum((F.col("_value") <= F.col(name)).cast("int")).alias(f"_{name}_until")]
+    found = both.groupBy(*keys, "n", *PERCENTILES).agg(F.count(F.lit(1)).alias("_rows"), *sums)
+    errors = []
+    for name, p in PERCENTILES.items():
+        low, high = F.col(f"_{name}_below") / F.col("_rows"), F.col(f"_{name}_until") / F.col("_rows")
+        errors.append(F.greatest(low - p, F.lit(p) - high, F.lit(0.0)).alias(f"{name}_error"))
+    return found.select(*keys, "n", *PERCENTILES, *errors)
+
+
+# --- windows of a stream ------------------------------------------------------------
+
+
+def approval_minutes_stream(transactions: DataFrame, approved: Column, delay: str, counted: Column | None = None) -> DataFrame:
+    """Minute totals of a stream, each given once when the watermark has passed it.
+
+    ``delay`` says how late a transaction may come; later ones do not count, and the progress of
+    the query tells how many. Rows for which ``counted`` does not hold, such as heartbeats of an idle
+    topic, move the watermark only.
+    """
+    counted = F.lit(True) if counted is None else counted
+    minutes = transactions.withWatermark("ts", delay).groupBy(F.window("ts", "1 minute")).agg(
+        F.count(F.when(counted, True)).alias("ttl_txn_min"), F.count(F.when(counted & approved, True)).alias("approved_txn_min")
+    )
+    return minutes.filter("ttl_txn_min > 0").select(F.col("window.start").alias("at"), "ttl_txn_min", "approved_txn_min")
+
+
+def approval_hours(minutes: DataFrame) -> DataFrame:
+    """The rows of :func:`approval_rate_minute` from minute totals ``at, ttl_txn_min, approved_txn_min``."""
+    at = F.col("at")
+    fields = [F.year(at).alias("year"), F.month(at).alias("month"), F.day(at).alias("day"), F.hour(at).alias("hour"), F.minute(at).alias("minute")]
+    return _with_hours(minutes.select(*fields, "ttl_txn_min", "approved_txn_min"))

@@ -13,7 +13,7 @@ from tidelog.functions.numbers import int_div
 from tidelog.operators.committed import ABORT, COMMIT
 from tidelog.operators.ledger import LEDGER_SCHEMA
 from tidelog.operators.offsets import batch_number
-from tidelog.sources.topics import TopicSpec, as_records, publish
+from tidelog.sources.topics import TopicSpec, as_records, publish, publish_slice
 from tidelog.storage import scratch
 
 TOPIC = "events"
@@ -242,3 +242,19 @@ def transaction_log(spark: SparkSession, sf_dir: str) -> TopicSpec:
 
 
 LOG_JSON_SCHEMA = "txn_id bigint, event_id bigint, state string"
+
+
+HEARTBEAT = "heartbeat"
+
+
+def published_with_heartbeat(spark: SparkSession, sf_dir: str) -> TopicSpec:
+    """The event types as a topic, and after them a heartbeat of a day later, which ends all minutes."""
+    spec = published_events(spark, sf_dir, F.col("event_type"))
+    last = events_topic(spark, sf_dir).agg(F.max("offset").alias("o"), F.max("timestamp").alias("t"))
+    beat = last.filter("o IS NOT NULL").select(
+        F.lit(None).cast("binary").alias("key"), F.lit(HEARTBEAT).cast("binary").alias("value"), F.lit(TOPIC).alias("topic"),
+        F.lit(0).alias("partition"), (F.col("o") + 1).alias("offset"), (F.col("t") + F.expr("INTERVAL 1 DAY")).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    publish_slice(beat, spec)
+    return spec

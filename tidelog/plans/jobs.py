@@ -25,7 +25,9 @@ from tidelog.streaming.append import append_stream
 from tidelog.streaming.exactly_once import (
     AFTER_CLAIM, ExactlyOnceSink, read_output, run_exactly_once,
 )
-from tidelog.streaming.progress import ProgressRecorder, progress_table
+from tidelog.streaming.progress import (
+    ProgressRecorder, observe_ranges, observed_ranges, progress_table, read_events,
+)
 from tidelog.streaming.rows import RowWriter, foreach_rows, read_rows
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -321,6 +323,41 @@ def approval_rate_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rates, ["approved_rate_hr", "approved_rate_min"])
 
 
+@job("approval_rate_stream")
+def approval_rate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rates from a stream of events with a watermark; minutes come when they are over."""
+    spec = fixtures.published_with_heartbeat(spark, sf_dir)
+    events = read_topic_stream(spark, spec).select(
+        F.col("timestamp").cast("timestamp").alias("ts"), F.col("value").cast("string").alias("event_type")
+    )
+    out = scratch(spark, "minutes")
+    minutes = rollups.approval_minutes_stream(
+        events, F.col("event_type") != "error", "10 minutes", F.col("event_type") != fixtures.HEARTBEAT
+    )
+    append_stream(minutes, out).awaitTermination()
+    rates = rollups.approval_hours(spark.read.parquet(out))
+    return _rounded(rates, ["approved_rate_hr", "approved_rate_min"])
+
+
+@job("metric_sketches")
+def metric_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of merged minute sketches of a stream, and whether their ranks are within the stated error."""
+    events = table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    source = scratch(spark, "events")
+    events.write.parquet(source)
+    stream = spark.readStream.schema(events.schema).parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = scratch(spark, "sketches")
+    run = rollups.minute_sketches(stream).writeStream.outputMode("complete").trigger(availableNow=True)
+    run.option("checkpointLocation", scratch(spark, "checkpoint")).foreachBatch(
+        lambda batch, _: batch.write.mode("overwrite").parquet(out)
+    ).start().awaitTermination()
+    marks = rollups.merged_quantiles(spark.read.parquet(out), "event_type")
+    checked = rollups.rank_errors(events, marks, "event_type")
+    return checked.select("event_type", "n", *[
+        (F.col(f"{name}_error") <= rollups.RANK_ERROR).alias(f"{name}_within") for name in rollups.PERCENTILES
+    ])
+
+
 def _rounded(df: DataFrame, columns: list[str]) -> DataFrame:
     """Only for the comparison with another engine's last digits."""
     return df.withColumns({c: F.round(c, 6) for c in columns})
@@ -577,6 +614,29 @@ def query_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@job("query_observed")
+def query_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offset ranges of a stream as its progress events tell them, over all batches."""
+    spec, path = fixtures.published_events(spark, sf_dir), scratch(spark, "progress")
+    recorder = ProgressRecorder(spark, path)
+    spark.streams.addListener(recorder)
+    try:
+        rows = observe_ranges(read_topic_stream(spark, spec).select("partition", "offset"), fixtures.PARTITIONS)
+        query = append_stream(rows, scratch(spark, "watched"), name="observed")
+        run_id = str(query.runId)
+        query.awaitTermination()
+        if not recorder.wait_terminated(run_id):
+            raise TimeoutError("the last event of the query did not arrive")
+    finally:
+        spark.streams.removeListener(recorder)
+    ranges = observed_ranges(read_events(spark, path), fixtures.PARTITIONS).filter(F.col("run_id") == run_id)
+    # Ranges of the batches follow one another without a hole.
+    return ranges.groupBy("partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"), F.sum("n").alias("n"),
+        (F.sum(F.col("until_offset") - F.col("from_offset")) == F.sum("n")).alias("whole"), (F.count(F.lit(1)) > 1).alias("several"),
+    )
+
+
 # --- transactions and exactly-once --------------------------------------------
 
 

@@ -284,6 +284,12 @@ ORACLE: dict[str, str] = {
     "foreach_rows": f"""
       SELECT "key", props AS value, 'events' AS topic, "partition", "offset", ts AS "timestamp",
              0 AS "timestampType" FROM ({TOPIC_ROWS})""",
+    "metric_sketches": """
+      SELECT event_type, count(value) AS n, true AS median_within, true AS p95_within, true AS p99_within FROM events GROUP BY 1""",
+    "query_observed": f"""
+      SELECT "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset, count(*) AS n,
+             true AS whole, true AS several
+      FROM ({TOPIC_ROWS}) GROUP BY 1""",
     "query_progress": """
       SELECT 'watched' AS name, true AS ran, count(*) AS input_rows, true AS terminated,
              cast(NULL AS varchar) AS exception FROM events""",
@@ -322,5 +328,6 @@ ORACLE: dict[str, str] = {
     "pending_replay": DECODED_EVENTS,
 }
 
-# The stream gives the rows of the batch view.
+# The streams give the rows of the batch views.
+ORACLE["approval_rate_stream"] = ORACLE["approval_rate_minute"]
 ORACLE["read_committed_stream"] = ORACLE["read_committed"]
