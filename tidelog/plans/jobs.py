@@ -17,6 +17,7 @@ from tidelog.operators.asyncmap import foreach_async, map_async
 from tidelog.plans import fixtures
 from tidelog.plans.fixtures import table
 from tidelog.sources import generate, keyed, sinks, tables
+from tidelog.sources.capped import run_capped
 from tidelog.sources.topics import (
     LATEST, TopicSpec, as_records, check_data_loss, parse_offsets, read_range, read_topic, read_topic_stream,
 )
@@ -71,6 +72,21 @@ def topic_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@job("topic_stream_capped")
+def topic_stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges and counts of micro-batches with a cap in records, counted from the records they got."""
+    spec, out = fixtures.published_events(spark, sf_dir), scratch(spark, "capped")
+    share = -(-(fixtures.last_offset(table(spark, sf_dir, "events").count()) + 1) // 6)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "partition", "offset").write.mode("append").parquet(out)
+
+    run_capped(spark, spec, share * fixtures.PARTITIONS, keep)
+    return spark.read.parquet(out).groupBy("batch_id", "partition").agg(
+        F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"), F.count(F.lit(1)).alias("n")
+    )
+
+
 @job("topic_range_replay")
 def topic_range_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = fixtures.last_offset(table(spark, sf_dir, "events").count())
@@ -120,10 +136,8 @@ def keyed_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @job("range_source")
 def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key rows ``(k, day, bucket)`` and ``(key, v1, v2)`` for the keys of the orders."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    named = orders.select(*tables.key_columns(F.col("o_orderkey")))
-    numbers = orders.select(*tables.triple_columns(F.col("o_orderkey")))
-    return named.join(numbers, F.col("k") == F.col("key"))
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(*tables.key_columns(key), *tables.triple_columns(key))
 
 
 @job("filter_scan")

@@ -86,6 +86,9 @@ ORACLE: dict[str, str] = {
       SELECT "key", props AS value, 'events' AS topic, "partition", "offset", ts AS "timestamp",
              0 AS "timestampType" FROM ({TOPIC_ROWS})""",
     "topic_stream_append": f'SELECT "key", "partition", "offset" FROM ({TOPIC_ROWS})',
+    "topic_stream_capped": f"""
+      SELECT "offset" // share AS batch_id, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset, count(*) AS n
+      FROM (SELECT *, (max("offset") OVER () + 6) // 6 AS share FROM ({TOPIC_ROWS})) GROUP BY 1, 2""",
     "topic_range_replay": f"""
       SELECT t."partition", "offset", "key" FROM ({TOPIC_ROWS}) t
       JOIN (VALUES (0, 100, NULL), (1, NULL, (SELECT (count(*) - 1) // 4 - 100 FROM events)),

@@ -175,7 +175,8 @@ INDEX_SCHEMA = T.StructType(
 )
 
 
-def _index_path(spec: TopicSpec) -> str:
+def index_path(spec: TopicSpec) -> str:
+    """Folder of the slice index of a file topic."""
     return f"{spec.root}/slice-index/topic={spec.topic}"
 
 
@@ -190,7 +191,7 @@ def _add_to_index(spark: SparkSession, spec: TopicSpec, slices: list[int]) -> No
     found = rows.groupBy("slice", "partition").agg(
         F.min("offset").alias("first"), F.max("offset").alias("last"), F.count(F.lit(1)).alias("n")
     )
-    found.coalesce(1).write.mode("append").parquet(_index_path(spec))
+    found.coalesce(1).write.mode("append").parquet(index_path(spec))
 
 
 def slice_index(spark: SparkSession, spec: TopicSpec) -> DataFrame:
@@ -203,12 +204,12 @@ def slice_index(spark: SparkSession, spec: TopicSpec) -> DataFrame:
     if not there:
         return small_table(spark, [], INDEX_SCHEMA)
     known: set[int] = set()
-    if exists(spark, _index_path(spec)):
-        index = spark.read.schema(INDEX_SCHEMA).parquet(_index_path(spec))
+    if exists(spark, index_path(spec)):
+        index = spark.read.schema(INDEX_SCHEMA).parquet(index_path(spec))
         known = {row[0] for row in index.select("slice").distinct().collect()}
     if missing := sorted(set(there) - known):
         _add_to_index(spark, spec, missing)
-    return spark.read.schema(INDEX_SCHEMA).parquet(_index_path(spec)).distinct()
+    return spark.read.schema(INDEX_SCHEMA).parquet(index_path(spec)).distinct()
 
 
 def first_open_slice(spark: SparkSession, spec: TopicSpec, positions: dict[int, int]) -> int:
