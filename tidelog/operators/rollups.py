@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.clock import epoch_minute, minute_start
 from tidelog.functions.numbers import int_div
 from tidelog.operators.percentiles import exact_percentiles
+from tidelog.storage import materialize
 
 # Fixed values of the meter: trailing window lengths and percentiles.
 SHORT_MINUTES = 1
@@ -58,35 +59,42 @@ def weighted_rates(rates: DataFrame, minutes: dict[str, int]) -> DataFrame:
     a block of minutes; blocks hand one number on. A block lasts ``DECAYED * w`` minutes, after
     which nothing is left of what came two blocks before.
     """
-    first = rates.groupBy(F.col("event_type").alias("_type")).agg(F.min("minute").alias("_first"))
-    out = rates.join(first, F.col("event_type").eqNullSafe(F.col("_type"))).drop("_type")
-    for name, w in minutes.items():
-        length, keep = DECAYED * w, math.exp(-1.0 / w)
-        rate = F.col("n") / 60.0
+    def block_of(w: int) -> Column:
+        return int_div(F.col("minute"), DECAYED * w)
+
+    def place_of(w: int) -> Column:
+        return (F.col("minute") - block_of(w) * (DECAYED * w)) / float(w)
+
+    def inside(name: str, w: int) -> Column:
+        rate, keep = F.col("n") / 60.0, math.exp(-1.0 / w)
         gain = F.when(F.col("minute") == F.col("_first"), rate).otherwise(rate * (1.0 - keep))
-        blocked = out.withColumn("_block", int_div(F.col("minute"), length))
-        place = F.col("minute") - F.col("_block") * length
-        grown = gain * F.exp(place / float(w))
-        inside = Window.partitionBy("event_type", "_block").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        # What a block hands on, as of its last minute; one row for each type and block.
-        ends = blocked.groupBy("event_type", "_block").agg((F.sum(grown) * math.exp(-(length - 1) / w)).alias("_end"))
-        in_order = Window.partitionBy("event_type").orderBy("_block")
-        one, two = (F.when(F.lag("_block", k).over(in_order) == F.col("_block") - k, F.lag("_end", k).over(in_order)) for k in (1, 2))
-        skipped = F.when(F.lag("_block", 1).over(in_order) == F.col("_block") - 2, F.lag("_end", 1).over(in_order))
-        before = F.coalesce(one, F.lit(0.0)) + F.coalesce(two, skipped, F.lit(0.0)) * math.exp(-DECAYED)
-        carried = (
-            blocked.select("event_type", "_block").distinct().join(
-                ends.select(F.col("event_type").alias("_t"), F.col("_block").alias("_b"), "_end"),
-                F.col("event_type").eqNullSafe(F.col("_t")) & (F.col("_block") == F.col("_b")),
-            ).select(F.col("event_type").alias("_t"), F.col("_block").alias("_b"), before.alias("_carry"))
+        order = Window.partitionBy("event_type", f"_block_{name}").orderBy("minute")
+        return F.sum(gain * F.exp(place_of(w))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    sums = rates.withColumn("_first", F.min("minute").over(Window.partitionBy("event_type")))
+    sums = sums.withColumns({f"_block_{name}": block_of(w) for name, w in minutes.items()})
+    # The sums of a block are read twice, by its rows and for what it hands on.
+    sums = materialize(sums.withColumns({f"_sum_{name}": inside(name, w) for name, w in minutes.items()}), "weighted")
+    out = sums
+    in_order = Window.partitionBy("_t").orderBy("_b")
+    for name, w in minutes.items():
+        # As of the last minute of a block; one row for each type and block.
+        ends = sums.groupBy(F.col("event_type").alias("_t"), F.col(f"_block_{name}").alias("_b")).agg(
+            (F.max(f"_sum_{name}") * math.exp(-(DECAYED * w - 1) / w)).alias("_end")
         )
+
+        def of(k: int, distance: int) -> Column:
+            return F.when(F.lag("_b", k).over(in_order) == F.col("_b") - distance, F.lag("_end", k).over(in_order))
+
+        # The last block but one, and the one before.
+        last, other = F.coalesce(of(1, 1), F.lit(0.0)), F.coalesce(of(2, 2), of(1, 2), F.lit(0.0))
+        carried = ends.select("_t", "_b", (last + other * math.exp(-DECAYED)).alias("_carry"))
+        value = F.col(f"_sum_{name}") * F.exp(-place_of(w)) + F.col("_carry") * F.exp(-place_of(w) - 1.0 / w)
         out = (
-            blocked.withColumn("_sum", F.sum(grown).over(inside))
-            .join(carried, F.col("event_type").eqNullSafe(F.col("_t")) & (F.col("_block") == F.col("_b")))
-            .withColumn(name, F.col("_sum") * F.exp(-place / float(w)) + F.col("_carry") * F.exp(-(place + 1) / float(w)))
-            .drop("_block", "_sum", "_carry", "_t", "_b")
+            out.join(carried, F.col("event_type").eqNullSafe(F.col("_t")) & (F.col(f"_block_{name}") == F.col("_b")))
+            .withColumn(name, value).drop("_t", "_b", "_carry")
         )
-    return out.drop("_first")
+    return out.select(*rates.columns, *minutes)
 
 
 def hourly_percentiles(events: DataFrame) -> DataFrame:
