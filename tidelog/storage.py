@@ -10,7 +10,9 @@ import tempfile
 import time
 import uuid
 import zipfile
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -41,9 +43,27 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+_folders: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; nothing exists there yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder (and the open :func:`scratch_folder`); nothing exists there yet."""
+    return "/".join([shared_dir(spark), *_folders[-1:], f"{name}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """What :func:`scratch` names inside goes at the end: for a step that writes its result elsewhere.
+
+    Folders do not nest: an inner one lies beside the outer one, and goes first.
+    """
+    folder = f"{name}-{uuid.uuid4().hex}"
+    _folders.append(folder)
+    try:
+        yield
+    finally:
+        _folders.pop()
+        drop(spark, f"{shared_dir(spark)}/{folder}")
 
 
 def _resolve(spark: SparkSession, path: str):
