@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from tests.llm.helpers import DOCS, plain_fingerprint, plain_roots, prose, split
 from tests.llm.test_lines import plain as plain_lines
 from tests.llm.test_mixing import plain_targets
 from tidelog.llm import lines, mixing, stages
+from tidelog.storage import shared_dir
 
 DE = ("der", "und", "nicht", "stein", "fluss", "morgen", "papier", "wald", "sich", "gehen")
 
@@ -64,7 +66,11 @@ def brute_force(rows):
 def test_pipeline_equals_brute_force(spark, tmp_path):
     rows = corpus()
     spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    folder = shared_dir(spark).removeprefix("file://")
+    there = set(os.listdir(folder))
     result = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # The result alone is left.
+    assert [n.partition("-")[2].partition("-")[0] for n in set(os.listdir(folder)) - there] == ["encoding"]
     assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in result)
     assert sorted(((r["doc_id"], tuple(r["ids"])) for r in result), key=str) == sorted(brute_force(rows), key=str)
 
